@@ -42,12 +42,113 @@ def _out(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+# ------------------------------------------------------------------ ingest
+
+def q_enrich_raw(spark, sf_dir):
+    return _out(bronze(spark, sf_dir))
+
+
+def q_date_range_read(spark, sf_dir):
+    return _out(ingest.date_range(bronze(spark, sf_dir), "2024-01-08", "2024-01-21"))
+
+
+def _parsed(spark, sf_dir, start_offset=None):
+    recs = FX.raw_json(spark, sf_dir)
+    return ingest.replay(recs, start_offset=start_offset).drop("ingestion_timestamp")
+
+
+def _parsed_out(df: DataFrame) -> DataFrame:
+    return (df.withColumn("is_corrupt", F.col(ingest.CORRUPT_COLUMN).isNotNull())
+            .drop(ingest.CORRUPT_COLUMN, "properties")
+            .withColumn("price", F.col("price").cast("double")))
+
+
+def q_parse_json(spark, sf_dir):
+    return _parsed_out(_parsed(spark, sf_dir))
+
+
+def q_dead_letter_split(spark, sf_dir):
+    _, bad = ingest.split_dead_letters(_parsed(spark, sf_dir))
+    return bad.select(F.col("event_id").alias("key"), "kafka_offset", "error_reason",
+                      F.col(ingest.CORRUPT_COLUMN).alias("corrupt_record"))
+
+
+def q_replay_range(spark, sf_dir):
+    return _parsed_out(_parsed(spark, sf_dir, start_offset=FX.DUP_OFFSET_SHIFT))
+
+
+# ------------------------------------------------------------------ refine steps
+
+def _deduped(spark, sf_dir):
+    return refine.dedup_latest(bronze(spark, sf_dir))
+
+
+def q_dedup_latest(spark, sf_dir):
+    return _out(_deduped(spark, sf_dir))
+
+
+def q_null_defaults(spark, sf_dir):
+    return _out(refine.handle_nulls(_deduped(spark, sf_dir)))
+
+
+def q_standardize(spark, sf_dir):
+    return _out(_deduped(spark, sf_dir).transform(refine.handle_nulls).transform(refine.standardize))
+
+
+def q_derive(spark, sf_dir):
+    return _out(_deduped(spark, sf_dir).transform(refine.handle_nulls)
+                .transform(refine.standardize).transform(refine.derive))
+
+
+def q_quality_score(spark, sf_dir):
+    return _out(_deduped(spark, sf_dir).transform(refine.handle_nulls)
+                .transform(refine.standardize).transform(refine.derive)
+                .transform(refine.score_quality))
+
+
+def q_clean_all(spark, sf_dir):
+    return _out(clean(spark, sf_dir, keep_order=False))
+
+
 # ------------------------------------------------------------------ marts
 
 def q_revenue_mart(spark, sf_dir):
     return marts.revenue_mart(clean(spark, sf_dir))
 
 
+def q_session_mart(spark, sf_dir):
+    m = marts.session_mart(clean(spark, sf_dir))
+    # arrays are compared as text
+    return m.withColumn("event_sequence", F.array_join("event_sequence", ","))
+
+
+def q_product_mart(spark, sf_dir):
+    return marts.product_mart(clean(spark, sf_dir))
+
+
+def q_funnel_mart(spark, sf_dir):
+    return marts.funnel_mart(clean(spark, sf_dir))
+
+
+def q_kpi_windows(spark, sf_dir):
+    return marts.kpi_windows(clean(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "enrich_raw": q_enrich_raw,
+    "date_range_read": q_date_range_read,
+    "parse_json": q_parse_json,
+    "dead_letter_split": q_dead_letter_split,
+    "replay_range": q_replay_range,
+    "dedup_latest": q_dedup_latest,
+    "null_defaults": q_null_defaults,
+    "standardize": q_standardize,
+    "derive": q_derive,
+    "quality_score": q_quality_score,
+    "clean_all": q_clean_all,
     "revenue_mart": q_revenue_mart,
+    "session_mart": q_session_mart,
+    "product_mart": q_product_mart,
+    "funnel_mart": q_funnel_mart,
+    "kpi_windows": q_kpi_windows,
 }

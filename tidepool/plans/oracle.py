@@ -19,7 +19,8 @@ def _ctes(*extra: str) -> str:
         f"""bronze AS (
   SELECT *, '{BRONZE_BATCH}' AS batch_id, 'kafka_streaming' AS source_system,
          strftime(event_timestamp, '%Y-%m-%d') AS event_date,
-         cast(hour(event_timestamp) AS integer) AS event_hour
+         cast(hour(event_timestamp) AS integer) AS event_hour,
+         sha256(concat_ws('||', event_id, "timestamp", user_id)) AS row_hash
   FROM raw)""",
         """dedup AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -77,7 +78,6 @@ def _ctes(*extra: str) -> str:
       CASE WHEN user_id = 'anonymous' THEN 'missing_user' END,
       CASE WHEN price <= 0 THEN 'zero_price' END,
       CASE WHEN product_id IS NULL THEN 'missing_product' END) AS quality_flags,
-    sha256(concat_ws('||', event_id, "timestamp", user_id)) AS row_hash,
     batch_id AS bronze_batch_id
   FROM derived)""",
         """clean AS (
@@ -116,7 +116,161 @@ GROUP BY event_date, event_hour, category, channel_group, device_type, country,
 """
 
 
+MONEY_OUT = "* REPLACE (cast(price AS double) AS price)"
+MONEY_OUT2 = "* REPLACE (cast(price AS double) AS price, cast(total_amount AS double) AS total_amount)"
+
+ENRICH_RAW = _ctes() + f"SELECT {MONEY_OUT} FROM bronze"
+DATE_RANGE = _ctes() + (f"SELECT {MONEY_OUT} FROM bronze "
+                        "WHERE event_date >= '2024-01-08' AND event_date <= '2024-01-21'")
+DEDUP = _ctes() + f"SELECT {MONEY_OUT} FROM dedup"
+NULLS = _ctes() + f"SELECT {MONEY_OUT} FROM nulls"
+STANDARDIZE = _ctes() + f"SELECT {MONEY_OUT} FROM std"
+DERIVE = _ctes() + f"SELECT {MONEY_OUT2} FROM derived"
+SCORE = _ctes() + ("SELECT * EXCLUDE (bronze_batch_id) REPLACE (cast(price AS double) AS price, "
+                   "cast(total_amount AS double) AS total_amount) FROM scored")
+CLEAN_ALL = _ctes() + f"SELECT {CLEAN_COLS} FROM clean"
+
+SESSION = _ctes("""bounds AS (
+  SELECT session_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end
+  FROM clean GROUP BY session_id)""") + """
+SELECT c.session_id, c.user_id, c.device_type, c.channel_group, c.country, c.event_date,
+  min(b.session_start) AS session_start, min(b.session_end) AS session_end,
+  count(c.event_id) AS total_events,
+  count(DISTINCT c.event_type) AS distinct_event_types,
+  count(*) FILTER (WHERE c.event_type = 'page_view') AS page_views,
+  count(*) FILTER (WHERE c.event_type = 'add_to_cart') AS add_to_cart_count,
+  count(*) FILTER (WHERE c.event_type = 'purchase') AS purchase_count,
+  cast(sum(CASE WHEN c.event_type = 'purchase' THEN c.total_amount ELSE 0 END) AS double) AS session_revenue,
+  string_agg(c.event_type, ',' ORDER BY c.event_timestamp, c.event_id) AS event_sequence,
+  cast(floor(epoch(min(b.session_end))) AS bigint) - cast(floor(epoch(min(b.session_start))) AS bigint)
+    AS session_duration_seconds,
+  count(c.event_id) = 1 AS is_bounce,
+  count(*) FILTER (WHERE c.event_type = 'purchase') > 0 AS has_conversion
+FROM clean c JOIN bounds b USING (session_id)
+GROUP BY c.session_id, c.user_id, c.device_type, c.channel_group, c.country, c.event_date
+"""
+
+PRODUCT_AGG = """
+  SELECT product_id, product_name, category, event_date,
+    count(*) FILTER (WHERE event_type = 'page_view') AS views,
+    count(*) FILTER (WHERE event_type = 'add_to_cart') AS adds_to_cart,
+    count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+    cast(sum(CASE WHEN event_type = 'purchase' THEN total_amount ELSE 0 END) AS double) AS total_revenue,
+    cast(sum(price) FILTER (WHERE event_type = 'purchase') AS double)
+      / nullif(count(price) FILTER (WHERE event_type = 'purchase'), 0) AS avg_selling_price,
+    count(DISTINCT user_id) AS unique_users
+  FROM clean WHERE product_id IS NOT NULL
+  GROUP BY product_id, product_name, category, event_date"""
+
+PRODUCT = _ctes(f"pagg AS ({PRODUCT_AGG})") + """
+SELECT *,
+  round(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END, 4) AS view_to_cart_rate,
+  round(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END, 4) AS cart_to_purchase_rate,
+  round(CASE WHEN views > 0 THEN purchases / views ELSE 0 END, 4) AS view_to_purchase_rate
+FROM pagg
+"""
+
+
+def _funnel(keys: str, where: str = "") -> str:
+    return f"""
+  SELECT {keys},
+    count(DISTINCT CASE WHEN event_type = 'page_view' THEN user_id END) AS stage_1_viewers,
+    count(DISTINCT CASE WHEN event_type = 'add_to_cart' THEN user_id END) AS stage_2_cart_adders,
+    count(DISTINCT CASE WHEN event_type = 'checkout' THEN user_id END) AS stage_3_checkout,
+    count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS stage_4_purchasers
+  FROM clean {where} GROUP BY {keys}"""
+
+
+FUNNEL_RATES = """
+  round(stage_2_cart_adders / nullif(stage_1_viewers, 0), 4) AS view_to_cart_rate,
+  round(CASE WHEN stage_2_cart_adders > 0 THEN stage_3_checkout / stage_2_cart_adders ELSE 0 END, 4)
+    AS cart_to_checkout_rate,
+  round(CASE WHEN stage_3_checkout > 0 THEN stage_4_purchasers / stage_3_checkout ELSE 0 END, 4)
+    AS checkout_to_purchase_rate,
+  round(CASE WHEN stage_1_viewers > 0 THEN stage_4_purchasers / stage_1_viewers ELSE 0 END, 4)
+    AS overall_conversion_rate"""
+
+FUNNEL = _ctes(f"f AS ({_funnel('event_date, channel_group, device_type')})") + \
+    f"SELECT *, {FUNNEL_RATES} FROM f"
+
+KPI_WINDOWS = _ctes("""w AS (
+  SELECT *, unnest(generate_series(date_trunc('minute', event_timestamp) - INTERVAL 4 MINUTE,
+                                   date_trunc('minute', event_timestamp), INTERVAL 1 MINUTE)) AS window_start
+  FROM clean)""") + """
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type,
+  count(event_id) AS event_count, count(DISTINCT user_id) AS active_users,
+  cast(sum(CASE WHEN event_type = 'purchase' THEN total_amount ELSE 0 END) AS double) AS window_revenue
+FROM w GROUP BY window_start, event_type
+"""
+
+# ---------------------------------------------------------------- JSON ingest
+
+_PAYLOAD_STR = ["event_id", "event_type", "user_id", "session_id", "timestamp", "product_id",
+                "product_name", "category", "currency", "device_type", "browser", "os",
+                "ip_address", "country", "city", "referrer", "utm_source", "utm_medium",
+                "utm_campaign"]
+
+
+def _parsed_sql() -> str:
+    ok = "json_valid(value)"
+    fields = [f"CASE WHEN {ok} THEN json_extract_string(value, '$.{f}') END AS \"{f}\""
+              for f in _PAYLOAD_STR]
+    fields.append(f"CASE WHEN {ok} THEN cast(cast(json_extract_string(value, '$.price') "
+                  "AS decimal(18,2)) AS double) END AS price")
+    fields.append(f"CASE WHEN {ok} THEN cast(json_extract_string(value, '$.quantity') AS integer) "
+                  "END AS quantity")
+    body = ",\n    ".join(fields)
+    return f"""(SELECT key AS kafka_key, topic AS kafka_topic, "partition" AS kafka_partition,
+    "offset" AS kafka_offset, "timestamp" AS kafka_timestamp,
+    {body},
+    NOT {ok} AS is_corrupt,
+    CASE WHEN {ok} THEN NULL ELSE value END AS corrupt_record
+  FROM {FX.raw_json_sql()} j)"""
+
+
+def _parsed_ctes() -> str:
+    return f"""WITH p0 AS (SELECT * FROM {_parsed_sql()} p),
+parsed AS (
+  SELECT *, try_cast("timestamp" AS timestamp) AS event_timestamp,
+         sha256(concat_ws('||', event_id, "timestamp", user_id)) AS row_hash
+  FROM p0)
+"""
+
+
+PARSE_JSON = _parsed_ctes() + "SELECT * EXCLUDE (corrupt_record) FROM parsed"
+DEAD_LETTER = _parsed_ctes() + """
+SELECT event_id AS key, kafka_offset,
+  concat_ws(',', CASE WHEN is_corrupt THEN 'malformed_json' END,
+    CASE WHEN NOT is_corrupt AND event_id IS NULL THEN 'missing_event_id' END,
+    CASE WHEN NOT is_corrupt AND event_type IS NULL THEN 'missing_event_type' END,
+    CASE WHEN NOT is_corrupt AND "timestamp" IS NULL THEN 'missing_timestamp' END,
+    CASE WHEN NOT is_corrupt AND "timestamp" IS NOT NULL AND event_timestamp IS NULL
+         THEN 'bad_timestamp' END) AS error_reason,
+  corrupt_record
+FROM parsed
+WHERE is_corrupt OR event_id IS NULL OR event_type IS NULL OR "timestamp" IS NULL
+   OR event_timestamp IS NULL
+"""
+REPLAY = _parsed_ctes() + f"""SELECT * EXCLUDE (corrupt_record) FROM parsed
+WHERE kafka_offset >= {FX.DUP_OFFSET_SHIFT}"""
+
+
 def queries() -> dict[str, str]:
     return {
+        "enrich_raw": ENRICH_RAW,
+        "date_range_read": DATE_RANGE,
+        "parse_json": PARSE_JSON,
+        "dead_letter_split": DEAD_LETTER,
+        "replay_range": REPLAY,
+        "dedup_latest": DEDUP,
+        "null_defaults": NULLS,
+        "standardize": STANDARDIZE,
+        "derive": DERIVE,
+        "quality_score": SCORE,
+        "clean_all": CLEAN_ALL,
         "revenue_mart": REVENUE,
+        "session_mart": SESSION,
+        "product_mart": PRODUCT,
+        "funnel_mart": FUNNEL,
+        "kpi_windows": KPI_WINDOWS,
     }

@@ -157,12 +157,12 @@ COMMITTED_AT_SQL = "date_trunc('day', kafka_timestamp) + INTERVAL 1 DAY"
 
 def raw_json_sql() -> str:
     payload = ", ".join(f"{_q(n, 'duckdb')} := {_q(n, 'duckdb')}" for n in PAYLOAD_FIELDS)
-    js = f"to_json(struct_pack({payload}))"
+    js = f"cast(to_json(struct_pack({payload})) AS varchar)"
     return (
         f"(SELECT kafka_key AS key,\n"
         f"  CASE WHEN kafka_offset % {MALFORMED_EVERY} = 0 THEN substring({js}, 1, {MALFORMED_KEEP})"
         f" ELSE {js} END AS value,\n"
-        f"  kafka_topic AS topic, kafka_partition AS partition, kafka_offset AS offset,"
-        f" kafka_timestamp AS timestamp\n"
+        f"  kafka_topic AS topic, kafka_partition AS \"partition\", kafka_offset AS \"offset\","
+        f" kafka_timestamp AS \"timestamp\"\n"
         f" FROM {raw_events_sql()} r)"
     )
