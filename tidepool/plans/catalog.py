@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
-from tidepool.operators import marts, refine
+from tidepool.operators import changelog, marts, quality, refine, schemas, serve
 from tidepool.sources import fixtures as FX
 from tidepool.sources import ingest
 
@@ -134,6 +134,129 @@ def q_kpi_windows(spark, sf_dir):
     return marts.kpi_windows(clean(spark, sf_dir))
 
 
+# ------------------------------------------------------------------ change log
+
+SHIFT = FX.DUP_OFFSET_SHIFT
+AS_OF_VERSION = 14
+AS_OF_TS = "2024-01-10 00:00:00"
+REPLACE_FROM = "2024-01-21"
+FULL_RANGE = ("2024-01-01", "2024-12-31")
+
+
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean change log: every delivery, tagged with its batch (day - 1)."""
+    b = bronze(spark, sf_dir).withColumns({
+        "_batch": FX.fixture_batch_id(), "_committed": FX.fixture_committed_at()})
+    rows = refine.refine(b, dedup=False, keep_order=True, extra=["_batch", "_committed"])
+    return changelog.as_log(rows, F.col("_batch"), F.col("_committed")).drop("_batch", "_committed")
+
+
+def _deliveries(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    target = refine.refine(b.filter(F.col("kafka_offset") < SHIFT), keep_order=True)
+    source = refine.refine(b.filter(F.col("kafka_offset") >= SHIFT), keep_order=True)
+    return target, source
+
+
+def q_upsert_window_form(spark, sf_dir):
+    return _out(changelog.upsert(*_deliveries(spark, sf_dir)))
+
+
+def q_upsert_join_form(spark, sf_dir):
+    return _out(changelog.upsert_join(*_deliveries(spark, sf_dir)))
+
+
+def q_as_of_version(spark, sf_dir):
+    return _out(changelog.as_of_version(change_log(spark, sf_dir), AS_OF_VERSION))
+
+
+def q_as_of_timestamp(spark, sf_dir):
+    return _out(changelog.as_of_timestamp(change_log(spark, sf_dir), AS_OF_TS))
+
+
+def q_history(spark, sf_dir):
+    return changelog.history(change_log(spark, sf_dir), limit=20)
+
+
+def q_rollback(spark, sf_dir):
+    log = changelog.rollback(change_log(spark, sf_dir), AS_OF_VERSION)
+    return _out(changelog.current(log))
+
+
+def q_replace_from_min(spark, sf_dir):
+    target, _ = _deliveries(spark, sf_dir)
+    old = marts.product_mart(target)
+    new = marts.product_mart(clean(spark, sf_dir)).filter(F.col("event_date") >= REPLACE_FROM)
+    return changelog.replace_from_min(old, new)
+
+
+def q_evolve_append(spark, sf_dir):
+    c = refine.refine(bronze(spark, sf_dir), keep_order=True, extra=["ip_address"])
+    batch = FX.fixture_batch_id()
+    old = c.filter(batch < 15).drop("ip_address")
+    new = c.filter(batch >= 15)
+    return _out(changelog.evolve_append(old, new)).drop("kafka_timestamp", "kafka_offset")
+
+
+# ------------------------------------------------------------------ layout stats
+
+def q_table_stats(spark, sf_dir):
+    from tidepool.operators import layout
+    return layout.table_stats(bronze(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ quality
+
+def q_dq_bronze(spark, sf_dir):
+    return quality.validate(bronze(spark, sf_dir), quality.bronze_rules())
+
+
+def q_dq_silver(spark, sf_dir):
+    return quality.validate(clean(spark, sf_dir), quality.silver_rules())
+
+
+def q_dq_summary(spark, sf_dir):
+    return quality.summarize(q_dq_silver(spark, sf_dir))
+
+
+def q_completeness_gate(spark, sf_dir):
+    tagged = refine.completeness_tag(clean(spark, sf_dir))
+    return tagged.select("event_id", "data_quality_score", "error_reason")
+
+
+def q_conform_v1(spark, sf_dir):
+    incoming = clean(spark, sf_dir, keep_order=False).drop("utm_campaign")
+    ok, _ = schemas.conform(incoming, schemas.SILVER_SCHEMA)
+    return _out(ok)
+
+
+# ------------------------------------------------------------------ serving
+
+def q_revenue_query(spark, sf_dir):
+    return serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="weekly")
+
+
+def q_session_summary(spark, sf_dir):
+    sessions = marts.session_mart(clean(spark, sf_dir))
+    return serve.session_summary(sessions, *FULL_RANGE, device_type="mobile")
+
+
+def q_top_products(spark, sf_dir):
+    return serve.top_products(marts.product_mart(clean(spark, sf_dir)), *FULL_RANGE, top_n=20)
+
+
+def q_funnel_query(spark, sf_dir):
+    return serve.funnel_query(clean(spark, sf_dir), *FULL_RANGE)
+
+
+def q_latest_kpis(spark, sf_dir):
+    return serve.latest_kpis(clean(spark, sf_dir))
+
+
+def q_layer_counts(spark, sf_dir):
+    return serve.layer_counts(bronze(spark, sf_dir), clean(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_raw": q_enrich_raw,
     "date_range_read": q_date_range_read,
@@ -151,4 +274,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_mart": q_product_mart,
     "funnel_mart": q_funnel_mart,
     "kpi_windows": q_kpi_windows,
+    "upsert_window_form": q_upsert_window_form,
+    "upsert_join_form": q_upsert_join_form,
+    "as_of_version": q_as_of_version,
+    "as_of_timestamp": q_as_of_timestamp,
+    "history": q_history,
+    "rollback": q_rollback,
+    "replace_from_min": q_replace_from_min,
+    "evolve_append": q_evolve_append,
+    "table_stats": q_table_stats,
+    "dq_bronze": q_dq_bronze,
+    "dq_silver": q_dq_silver,
+    "dq_summary": q_dq_summary,
+    "completeness_gate": q_completeness_gate,
+    "conform_v1": q_conform_v1,
+    "revenue_query": q_revenue_query,
+    "session_summary": q_session_summary,
+    "top_products": q_top_products,
+    "funnel_query": q_funnel_query,
+    "latest_kpis": q_latest_kpis,
+    "layer_counts": q_layer_counts,
 }

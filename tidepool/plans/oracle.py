@@ -12,22 +12,21 @@ from tidepool.sources import fixtures as FX
 BRONZE_BATCH = "bronze_fixture"
 
 
-def _ctes(*extra: str) -> str:
-    """WITH-chain raw → bronze → dedup → clean, plus any extra CTEs."""
-    base = [
-        f"raw AS (SELECT * FROM {FX.raw_events_sql()} r)",
-        f"""bronze AS (
+def _chain(p: str, src: str) -> list[str]:
+    """CTEs bronze → dedup → clean over raw rows ``src``, names prefixed by ``p``."""
+    return [
+        f"""{p}bronze AS (
   SELECT *, '{BRONZE_BATCH}' AS batch_id, 'kafka_streaming' AS source_system,
          strftime(event_timestamp, '%Y-%m-%d') AS event_date,
          cast(hour(event_timestamp) AS integer) AS event_hour,
          sha256(concat_ws('||', event_id, "timestamp", user_id)) AS row_hash
-  FROM raw)""",
-        """dedup AS (
+  FROM {src})""",
+        f"""{p}dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY event_id
                                  ORDER BY kafka_timestamp DESC, kafka_offset DESC) AS rn
-    FROM bronze) WHERE rn = 1)""",
-        """nulls AS (
+    FROM {p}bronze) WHERE rn = 1)""",
+        f"""{p}nulls AS (
   SELECT * REPLACE (
     coalesce(user_id, 'anonymous') AS user_id,
     coalesce(session_id, 'unknown') AS session_id,
@@ -39,8 +38,8 @@ def _ctes(*extra: str) -> str:
     coalesce(quantity, 1) AS quantity,
     coalesce(utm_source, 'direct') AS utm_source,
     coalesce(utm_medium, 'none') AS utm_medium)
-  FROM dedup)""",
-        """std AS (
+  FROM {p}dedup)""",
+        f"""{p}std AS (
   SELECT * REPLACE (
     lower(trim(event_type)) AS event_type,
     lower(trim(coalesce(category, 'uncategorized'))) AS category,
@@ -50,8 +49,8 @@ def _ctes(*extra: str) -> str:
     lower(trim(country)) AS country,
     lower(trim(city)) AS city,
     CASE WHEN referrer IS NULL THEN 'direct' ELSE lower(trim(referrer)) END AS referrer)
-  FROM nulls)""",
-        """derived AS (
+  FROM {p}nulls)""",
+        f"""{p}derived AS (
   SELECT *, price * quantity AS total_amount,
     CASE WHEN utm_source = 'direct' THEN 'Direct'
          WHEN utm_medium IN ('cpc', 'ppc', 'paid') THEN 'Paid Search'
@@ -60,8 +59,8 @@ def _ctes(*extra: str) -> str:
          WHEN utm_medium = 'email' THEN 'Email'
          WHEN utm_medium = 'referral' THEN 'Referral'
          ELSE 'Other' END AS channel_group
-  FROM std)""",
-        """scored AS (
+  FROM {p}std)""",
+        f"""{p}scored AS (
   SELECT *,
     ((CASE WHEN event_id IS NOT NULL AND event_id NOT IN ('unknown', '') THEN 1 ELSE 0 END)
    + (CASE WHEN event_type IS NOT NULL AND event_type NOT IN ('unknown', '') THEN 1 ELSE 0 END)
@@ -79,16 +78,25 @@ def _ctes(*extra: str) -> str:
       CASE WHEN price <= 0 THEN 'zero_price' END,
       CASE WHEN product_id IS NULL THEN 'missing_product' END) AS quality_flags,
     batch_id AS bronze_batch_id
-  FROM derived)""",
-        """clean AS (
+  FROM {p}derived)""",
+        f"""{p}clean AS (
   SELECT event_id, event_type, user_id, session_id, event_timestamp, product_id,
          product_name, category, price, quantity, total_amount, currency, device_type,
          browser, os, country, city, referrer, utm_source, utm_medium, utm_campaign,
          channel_group, row_hash, bronze_batch_id, data_quality_score, quality_flags,
-         event_date, event_hour, kafka_timestamp, kafka_offset
-  FROM scored)""",
+         event_date, event_hour, kafka_timestamp, kafka_offset, ip_address
+  FROM {p}scored)""",
     ]
-    return "WITH " + ",\n".join(base + list(extra)) + "\n"
+
+
+def _ctes(*extra: str, chains: tuple[tuple[str, str], ...] = ()) -> str:
+    """WITH raw, the main chain, optional extra chains (prefix, raw-where), extra CTEs."""
+    parts = [f"raw AS (SELECT * FROM {FX.raw_events_sql()} r)"]
+    parts += _chain("", "raw")
+    for prefix, where in chains:
+        parts.append(f"{prefix}raw AS (SELECT * FROM raw WHERE {where})")
+        parts += _chain(prefix, f"{prefix}raw")
+    return "WITH " + ",\n".join(parts + list(extra)) + "\n"
 
 
 CLEAN_COLS = (
@@ -159,10 +167,15 @@ PRODUCT_AGG = """
     cast(sum(price) FILTER (WHERE event_type = 'purchase') AS double)
       / nullif(count(price) FILTER (WHERE event_type = 'purchase'), 0) AS avg_selling_price,
     count(DISTINCT user_id) AS unique_users
-  FROM clean WHERE product_id IS NOT NULL
+  FROM {src} WHERE product_id IS NOT NULL
   GROUP BY product_id, product_name, category, event_date"""
 
-PRODUCT = _ctes(f"pagg AS ({PRODUCT_AGG})") + """
+PRODUCT_RATES = """
+  round(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END, 4) AS view_to_cart_rate,
+  round(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END, 4) AS cart_to_purchase_rate,
+  round(CASE WHEN views > 0 THEN purchases / views ELSE 0 END, 4) AS view_to_purchase_rate"""
+
+PRODUCT = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + """
 SELECT *,
   round(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END, 4) AS view_to_cart_rate,
   round(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END, 4) AS cart_to_purchase_rate,
@@ -255,6 +268,169 @@ REPLAY = _parsed_ctes() + f"""SELECT * EXCLUDE (corrupt_record) FROM parsed
 WHERE kafka_offset >= {FX.DUP_OFFSET_SHIFT}"""
 
 
+# ---------------------------------------------------------------- change log
+
+SHIFT = FX.DUP_OFFSET_SHIFT
+BATCH = FX.BATCH_ID_SQL
+COMMITTED = FX.COMMITTED_AT_SQL
+CLEAN_KEYED = CLEAN_COLS + ", kafka_timestamp, kafka_offset"
+
+# Upsert of re-deliveries (source) into originals (target): both forms must
+# equal the latest row per key over all deliveries.
+UPSERT_WINDOW = _ctes(chains=(("t_", f"kafka_offset < {SHIFT}"), ("s_", f"kafka_offset >= {SHIFT}"))) + f"""
+SELECT {CLEAN_KEYED} FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id
+                               ORDER BY kafka_timestamp DESC, kafka_offset DESC) AS rn
+  FROM (SELECT * FROM t_clean UNION ALL SELECT * FROM s_clean)) WHERE rn = 1
+"""
+UPSERT_JOIN = _ctes(chains=(("t_", f"kafka_offset < {SHIFT}"), ("s_", f"kafka_offset >= {SHIFT}"))) + f"""
+SELECT {CLEAN_KEYED} FROM t_clean t WHERE NOT EXISTS (SELECT 1 FROM s_clean s WHERE s.event_id = t.event_id)
+UNION ALL
+SELECT {CLEAN_KEYED} FROM s_clean
+"""
+AS_OF_VERSION_V = 14
+AS_OF_TS = "2024-01-10 00:00:00"
+AS_OF_VERSION = _ctes(chains=(("v_", f"{BATCH} <= {AS_OF_VERSION_V}"),)) + \
+    f"SELECT {CLEAN_KEYED} FROM v_clean"
+AS_OF_TIMESTAMP = _ctes(chains=(("v_", f"{COMMITTED} <= TIMESTAMP '{AS_OF_TS}'"),)) + \
+    f"SELECT {CLEAN_KEYED} FROM v_clean"
+HISTORY = f"""
+SELECT {BATCH} AS batch_id, max({COMMITTED}) AS committed_at, 'MERGE' AS operation,
+  cast(0 AS integer) AS generation, count(*) AS num_rows, cast(0 AS bigint) AS num_deleted,
+  min(kafka_timestamp) AS first_event_time, max(kafka_timestamp) AS last_event_time
+FROM {FX.raw_events_sql()} r
+GROUP BY 1 ORDER BY batch_id DESC LIMIT 20
+"""
+ROLLBACK = AS_OF_VERSION
+REPLACE_FROM = "2024-01-21"
+REPLACE_FROM_MIN = _ctes(
+    f"old AS ({PRODUCT_AGG.format(src='o_clean')})",
+    f"new AS ({PRODUCT_AGG.format(src='clean')})",
+    chains=(("o_", f"kafka_offset < {SHIFT}"),)) + f"""
+SELECT *, {PRODUCT_RATES} FROM old WHERE event_date < '{REPLACE_FROM}'
+UNION ALL
+SELECT *, {PRODUCT_RATES} FROM new WHERE event_date >= '{REPLACE_FROM}'
+"""
+EVOLVE_APPEND = _ctes() + f"""
+SELECT {CLEAN_COLS}, CASE WHEN {BATCH} >= 15 THEN ip_address END AS ip_address FROM clean
+"""
+
+TABLE_STATS = _ctes() + """
+SELECT count(*) AS total_records, count(DISTINCT event_date) AS partitions,
+  string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types,
+  min(event_date) AS min_date, max(event_date) AS max_date
+FROM bronze
+"""
+
+# ---------------------------------------------------------------- quality
+
+
+def _rule(name, level, threshold, passing, table):
+    rate = f"(CASE WHEN count(*) = 0 THEN 1.0 ELSE ({passing}) / count(*) END)"
+    return (f"SELECT '{name}' AS \"check\", '{level}' AS level, cast({threshold} AS double) AS threshold, "
+            f"round({rate}, 4) AS actual, {rate} >= {threshold} AS passed, "
+            f"cast(NULL AS varchar) AS error, count(*) AS total_records FROM {table}")
+
+
+def _nn(c):
+    return f"count(*) FILTER (WHERE {c} IS NOT NULL)"
+
+
+def _uq(c):
+    return f"count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0)"
+
+
+DQ_BRONZE_RULES = [
+    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id")),
+    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type")),
+    ("not_null_timestamp", "CRITICAL", 0.99, _nn('"timestamp"')),
+    ("unique_event_id", "WARNING", 0.95, _uq("event_id")),
+]
+DQ_SILVER_RULES = [
+    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id")),
+    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type")),
+    ("not_null_event_timestamp", "CRITICAL", 1.0, _nn("event_timestamp")),
+    ("unique_event_id", "CRITICAL", 0.999, _uq("event_id")),
+    ("range_price", "WARNING", 0.99, "count(*) FILTER (WHERE price BETWEEN 0 AND 100000)"),
+    ("range_quantity", "WARNING", 0.99, "count(*) FILTER (WHERE quantity BETWEEN 1 AND 1000)"),
+    ("allowed_values_event_type", "WARNING", 0.95,
+     "count(*) FILTER (WHERE event_type IN ('page_view', 'add_to_cart', 'remove_from_cart', "
+     "'checkout', 'purchase', 'search'))"),
+]
+DQ_BRONZE = _ctes() + "\nUNION ALL\n".join(_rule(*r, "bronze") for r in DQ_BRONZE_RULES)
+DQ_SILVER = _ctes() + "\nUNION ALL\n".join(_rule(*r, "clean") for r in DQ_SILVER_RULES)
+DQ_SUMMARY = _ctes("rep AS (" + " UNION ALL ".join(_rule(*r, "clean") for r in DQ_SILVER_RULES) + ")") + """
+SELECT max(total_records) AS total_records,
+  count(*) FILTER (WHERE passed) AS checks_passed,
+  count(*) FILTER (WHERE NOT passed AND level = 'CRITICAL') AS checks_failed,
+  count(*) FILTER (WHERE NOT passed AND level <> 'CRITICAL' AND error IS NULL) AS checks_warned,
+  count(*) FILTER (WHERE NOT passed AND level = 'CRITICAL') = 0 AS overall_pass
+FROM rep
+"""
+
+COMPLETENESS = _ctes() + """
+SELECT event_id, data_quality_score,
+  concat_ws(',', CASE WHEN event_id IS NULL THEN 'missing_event_id' END,
+    CASE WHEN event_type IS NULL THEN 'missing_event_type' END,
+    CASE WHEN event_timestamp IS NULL THEN 'missing_event_timestamp' END,
+    CASE WHEN data_quality_score < 0.8 THEN 'low_completeness' END) AS error_reason
+FROM clean
+"""
+CONFORM_V1 = _ctes() + "SELECT " + CLEAN_COLS.replace(
+    "utm_campaign,", "cast(NULL AS varchar) AS utm_campaign,") + " FROM clean"
+
+# ---------------------------------------------------------------- serving
+
+FULL_RANGE = ("2024-01-01", "2024-12-31")
+REVENUE_QUERY = _ctes() + f"""
+SELECT strftime(date_trunc('week', event_timestamp), '%Y-%m-%d') AS event_date,
+  cast(NULL AS integer) AS event_hour, 'all' AS category, 'all' AS channel_group, 'all' AS country,
+  cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
+  count(DISTINCT user_id) AS unique_buyers,
+  cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
+  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer
+FROM clean
+WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
+GROUP BY 1 ORDER BY 1 LIMIT 100
+"""
+SESSION_SUMMARY = SESSION.replace("\nSELECT c.session_id", ", sm AS (SELECT c.session_id", 1).rstrip() + f""")
+SELECT event_date, count(DISTINCT session_id) AS total_sessions,
+  round(avg(session_duration_seconds), 2) AS avg_session_duration,
+  round(avg(page_views), 2) AS avg_page_views,
+  round(avg(CASE WHEN is_bounce THEN 1 ELSE 0 END), 4) AS bounce_rate,
+  round(avg(CASE WHEN has_conversion THEN 1 ELSE 0 END), 4) AS conversion_rate,
+  round(sum(session_revenue), 2) AS total_revenue
+FROM sm WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' AND device_type = 'mobile'
+GROUP BY event_date
+"""
+TOP_PRODUCTS = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + f"""
+SELECT product_id, product_name, category, cast(sum(views) AS bigint) AS views,
+  cast(sum(purchases) AS bigint) AS purchases, round(sum(total_revenue), 2) AS total_revenue,
+  round(CASE WHEN sum(views) > 0 THEN sum(purchases) / sum(views) ELSE 0 END, 4) AS view_to_purchase_rate
+FROM pagg WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
+GROUP BY product_id, product_name, category
+ORDER BY total_revenue DESC, product_id, category, product_name LIMIT 20
+"""
+FUNNEL_QUERY = _ctes("f AS (" + _funnel("event_date",
+    f"WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'") + ")") + \
+    f"SELECT event_date, 'all' AS channel_group, stage_1_viewers, stage_2_cart_adders, " \
+    f"stage_3_checkout, stage_4_purchasers, {FUNNEL_RATES} FROM f"
+LATEST_KPIS = _ctes("""w AS (SELECT * FROM clean
+  WHERE event_timestamp > (SELECT max(event_timestamp) FROM clean) - INTERVAL 5 MINUTE
+    AND event_timestamp <= (SELECT max(event_timestamp) FROM clean))""") + """
+SELECT count(DISTINCT user_id) AS active_users,
+  count(*) / cast(300 AS double) AS events_per_second,
+  cast(sum(CASE WHEN event_type = 'purchase' THEN total_amount END) AS double) AS revenue_last_window,
+  count(*) FILTER (WHERE event_type = 'purchase') AS orders_last_window,
+  (SELECT event_type FROM w GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 1) AS top_event_type
+FROM w
+"""
+LAYER_COUNTS = _ctes() + """
+SELECT (SELECT count(*) FROM bronze) AS bronze_records, (SELECT count(*) FROM clean) AS silver_records,
+  4 AS gold_tables
+"""
+
+
 def queries() -> dict[str, str]:
     return {
         "enrich_raw": ENRICH_RAW,
@@ -273,4 +449,24 @@ def queries() -> dict[str, str]:
         "product_mart": PRODUCT,
         "funnel_mart": FUNNEL,
         "kpi_windows": KPI_WINDOWS,
+        "upsert_window_form": UPSERT_WINDOW,
+        "upsert_join_form": UPSERT_JOIN,
+        "as_of_version": AS_OF_VERSION,
+        "as_of_timestamp": AS_OF_TIMESTAMP,
+        "history": HISTORY,
+        "rollback": ROLLBACK,
+        "replace_from_min": REPLACE_FROM_MIN,
+        "evolve_append": EVOLVE_APPEND,
+        "table_stats": TABLE_STATS,
+        "dq_bronze": DQ_BRONZE,
+        "dq_silver": DQ_SILVER,
+        "dq_summary": DQ_SUMMARY,
+        "completeness_gate": COMPLETENESS,
+        "conform_v1": CONFORM_V1,
+        "revenue_query": REVENUE_QUERY,
+        "session_summary": SESSION_SUMMARY,
+        "top_products": TOP_PRODUCTS,
+        "funnel_query": FUNNEL_QUERY,
+        "latest_kpis": LATEST_KPIS,
+        "layer_counts": LAYER_COUNTS,
     }
