@@ -1,0 +1,227 @@
+"""Structured Streaming: raw → clean → KPI.
+
+Three queries linked only by tables, as in the reference, each with its own
+checkpoint:
+
+1. ``bronze_stream``: parse Kafka-shaped records, add bronze metadata, append
+   to a Parquet table partitioned by (event_date, event_hour). The file sink
+   is exactly-once through its commit log.
+2. ``clean_stream``: ``foreachBatch`` over the bronze table: split dead
+   letters, ``refine``, and write the batch to ``log/batch_id=<epoch>`` by
+   overwriting that directory, so a retried epoch is idempotent. Stage
+   counters come from ``Observation``s on the writes themselves (no extra
+   pass) and go to a run-metrics table.
+3. ``kpi_stream``: sliding-window KPIs over the change log with a
+   watermark; distinct users are exact through two chained aggregations
+   (window, type, user) → (window, type), in append mode (D1, D2).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tidepool.operators import changelog, refine
+from tidepool.sources import ingest
+
+DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+KPI_TRIGGER = {"processingTime": "30 seconds"}
+WATERMARK = "10 minutes"
+
+
+def _with_trigger(writer, trigger: dict | None):
+    return writer.trigger(**(trigger or DEFAULT_TRIGGER))
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    # files read back are nullable whatever the writer's plan said
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def bronze_schema(spark: SparkSession) -> T.StructType:
+    """Schema of the bronze table the stream writes (payload + envelope + metadata)."""
+    empty = spark.createDataFrame([], ingest.RECORD_SCHEMA)
+    return _nullable(ingest.enrich_raw(ingest.parse_records(empty), "x").schema)
+
+
+def log_schema(spark: SparkSession) -> T.StructType:
+    """Schema of the change log as read back (``batch_id`` from the directory)."""
+    empty = spark.createDataFrame([], bronze_schema(spark))
+    rows = refine.refine(empty.drop(ingest.CORRUPT_COLUMN), keep_order=True)
+    logged = changelog.as_log(rows, 0, F.current_timestamp().cast("timestamp_ntz"))
+    return _nullable(logged.schema)
+
+
+# ------------------------------------------------------------------ 1. bronze
+
+def bronze_stream(records: DataFrame, path: str, checkpoint: str,
+                  trigger: dict | None = None, batch_id: str | None = None,
+                  source_system: str = ingest.DEFAULT_SOURCE_SYSTEM,
+                  query_name: str = "bronze") -> StreamingQuery:
+    """K1: append parsed records to the raw table.
+
+    ``batch_id`` is one id per run (the reference's D8 behaviour); the clean
+    log uses the engine's epoch number instead.
+    """
+    enriched = ingest.enrich_raw(ingest.parse_records(records),
+                                 batch_id or ingest.new_batch_id(), source_system)
+    w = (enriched.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint)
+         .partitionBy("event_date", "event_hour").queryName(query_name))
+    return _with_trigger(w, trigger).start(path)
+
+
+# ------------------------------------------------------------------ 2. clean
+
+def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
+                metrics_path: str | None = None, generation: int = 0) -> dict:
+    """K3 body: one micro-batch → log partition + DLQ partition + metrics row.
+
+    Re-running the same ``epoch_id`` rewrites the same directories, so the
+    result is the same (exactly-once in effect).
+    """
+    spark = df.sparkSession
+    df = df.persist()
+    try:
+        good, bad = ingest.split_dead_letters(df)
+        o_good, o_out, o_bad = (Observation(f"good_{epoch_id}"), Observation(f"out_{epoch_id}"),
+                                Observation(f"bad_{epoch_id}"))
+        good = good.observe(o_good, F.count(F.lit(1)).alias("n"))
+        clean = refine.refine(good, keep_order=True).observe(o_out, F.count(F.lit(1)).alias("n"))
+        logged = changelog.as_log(clean, epoch_id, F.current_timestamp().cast("timestamp_ntz"),
+                                  generation).drop("batch_id")
+        logged.write.mode("overwrite").parquet(f"{log_path}/batch_id={epoch_id}")
+        dead = ingest.to_dead_letter(bad.observe(o_bad, F.count(F.lit(1)).alias("n")))
+        dead.write.mode("overwrite").parquet(f"{dlq_path}/batch_id={epoch_id}")
+        m = {
+            "batch_id": int(epoch_id),
+            "rows_in": int(o_good.get["n"]) + int(o_bad.get["n"]),
+            "rows_dead_letter": int(o_bad.get["n"]),
+            "rows_clean": int(o_out.get["n"]),
+            "duplicates_removed": int(o_good.get["n"]) - int(o_out.get["n"]),
+        }
+        if metrics_path:
+            spark.createDataFrame([m]).drop("batch_id").write.mode("overwrite") \
+                .parquet(f"{metrics_path}/batch_id={epoch_id}")
+        return m
+    finally:
+        df.unpersist()
+
+
+def clean_stream(spark: SparkSession, bronze_path: str, log_path: str, dlq_path: str,
+                 checkpoint: str, metrics_path: str | None = None, trigger: dict | None = None,
+                 max_files_per_trigger: int | None = None, generation: int = 0,
+                 query_name: str = "clean") -> StreamingQuery:
+    """K3 + S4: stream the bronze table into the clean change log."""
+    reader = spark.readStream.schema(bronze_schema(spark))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    src = reader.parquet(bronze_path)
+
+    def run(df: DataFrame, epoch_id: int) -> None:
+        clean_batch(df, epoch_id, log_path, dlq_path, metrics_path, generation)
+
+    w = (src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+         .queryName(query_name))
+    return _with_trigger(w, trigger).start()
+
+
+# ------------------------------------------------------------------ 3. KPIs
+
+def kpi_frame(events: DataFrame, watermark: str = WATERMARK, length: str = "5 minutes",
+              slide: str = "1 minute", exact: bool = True) -> DataFrame:
+    """A5 as a streaming plan (T2, T3). ``exact=False`` uses one HLL aggregate.
+
+    Re-delivered events (same ``event_id``) are counted once, within the
+    watermark: the log holds every delivery, the batch KPIs the latest one.
+    """
+    # watermarks need TIMESTAMP; event time is UTC wall clock (NTZ) in the tables
+    ev = (events.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
+          .withWatermark("_event_time", watermark)
+          .dropDuplicatesWithinWatermark(["event_id"]))
+    win = F.window("_event_time", length, slide).alias("window")
+    purchase_amt = F.when(F.col("event_type") == "purchase", F.col("total_amount")).otherwise(F.lit(0))
+    if exact:
+        per_user = ev.groupBy(win, "event_type", "user_id").agg(
+            F.count("event_id").alias("n"), F.sum(purchase_amt).alias("rev"))
+        agg = per_user.groupBy("window", "event_type").agg(
+            F.sum("n").alias("event_count"),
+            F.count("user_id").alias("active_users"),
+            F.sum("rev").cast("double").alias("window_revenue"))
+    else:
+        agg = ev.groupBy(win, "event_type").agg(
+            F.count("event_id").alias("event_count"),
+            F.approx_count_distinct("user_id").alias("active_users"),
+            F.sum(purchase_amt).cast("double").alias("window_revenue"))
+    return agg.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+                      "event_type", "event_count", "active_users", "window_revenue")
+
+
+def kpi_stream(spark: SparkSession, log_path: str, path: str, checkpoint: str,
+               trigger: dict | None = None, exact: bool = True,
+               query_name: str = "kpis") -> StreamingQuery:
+    """K7: KPI rows appended once their window closes behind the watermark (T4)."""
+    src = spark.readStream.schema(log_schema(spark)).parquet(log_path)
+    live = src.filter(~F.col("is_deleted"))
+    w = (kpi_frame(live, exact=exact).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).queryName(query_name))
+    return _with_trigger(w, trigger or KPI_TRIGGER).start(path)
+
+
+# ------------------------------------------------------------------ T8, T9
+
+def start_pipeline(spark: SparkSession, records_path: str, root: str, checkpoint_root: str,
+                   trigger: dict | None = None, records_format: str = "parquet",
+                   max_files_per_trigger: int | None = 500) -> list[StreamingQuery]:
+    """The three chained queries. The caller waits with
+    ``spark.streams.awaitAnyTermination()`` and stops with ``q.stop()`` (D19).
+    """
+    from tidepool.operators import schemas
+    bronze = f"{root}/bronze"
+    schemas.initialize_table(spark, bronze, bronze_schema(spark), ["event_date", "event_hour"])
+    recs = ingest.file_record_stream(spark, records_path, records_format, max_files_per_trigger)
+    q1 = bronze_stream(recs, bronze, f"{checkpoint_root}/bronze", trigger)
+    q2 = clean_stream(spark, bronze, f"{root}/clean_log", f"{root}/dead_letter",
+                      f"{checkpoint_root}/clean", f"{root}/run_metrics", trigger)
+    initial = spark.createDataFrame([], log_schema(spark))
+    initial.write.mode("ignore").partitionBy("batch_id").parquet(f"{root}/clean_log")
+    q3 = kpi_stream(spark, f"{root}/clean_log", f"{root}/kpis", f"{checkpoint_root}/kpis", trigger)
+    return [q1, q2, q3]
+
+
+PROGRESS_SCHEMA = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("id", T.StringType()),
+    T.StructField("run_id", T.StringType()), T.StructField("is_active", T.BooleanType()),
+    T.StructField("batch_id", T.LongType()), T.StructField("num_input_rows", T.LongType()),
+    T.StructField("input_rows_per_second", T.DoubleType()),
+    T.StructField("processed_rows_per_second", T.DoubleType()),
+    T.StructField("trigger_ms", T.LongType()), T.StructField("watermark", T.StringType()),
+    T.StructField("state_rows", T.LongType()), T.StructField("late_rows_dropped", T.LongType()),
+])
+
+
+def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
+    """Status and recent progress of each query as rows of a run-metrics table.
+
+    ``late_rows_dropped`` sums the state operators' rows dropped by the
+    watermark (T4).
+    """
+    rows = []
+    for q in queries:
+        for p in q.recentProgress:
+            ops = p.get("stateOperators", []) if isinstance(p, dict) else []
+            rows.append((
+                q.name, str(q.id), str(q.runId), bool(q.isActive), int(p.get("batchId", -1)),
+                int(p.get("numInputRows", 0)), float(p.get("inputRowsPerSecond", 0.0) or 0.0),
+                float(p.get("processedRowsPerSecond", 0.0) or 0.0),
+                int(p.get("durationMs", {}).get("triggerExecution", 0)),
+                p.get("eventTime", {}).get("watermark"),
+                sum(int(o.get("numRowsTotal", 0)) for o in ops),
+                sum(int(o.get("numRowsDroppedByWatermark", 0)) for o in ops),
+            ))
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
