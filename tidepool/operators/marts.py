@@ -130,8 +130,10 @@ def funnel_counts(clean: DataFrame, keys: list[str]) -> DataFrame:
     aggregation shrinks every map output to one row per user and key.
     Step 2 sums the flags. Same numbers as four ``count(distinct when …)``.
     """
-    flags = [F.max(F.when(_is(t), 1).otherwise(0)).alias(name) for name, t in FUNNEL_STAGES]
-    per_user = clean.filter(F.col("user_id").isNotNull()).groupBy(*keys, "user_id").agg(*flags)
+    # a NULL user is never counted, but its group still gets a row (of zeros)
+    known = F.col("user_id").isNotNull()
+    flags = [F.max(F.when(_is(t) & known, 1).otherwise(0)).alias(name) for name, t in FUNNEL_STAGES]
+    per_user = clean.groupBy(*keys, "user_id").agg(*flags)
     return per_user.groupBy(*keys).agg(
         *[F.sum(name).cast("long").alias(name) for name, _ in FUNNEL_STAGES])
 
