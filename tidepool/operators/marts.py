@@ -72,10 +72,18 @@ def session_bounds(clean: DataFrame) -> DataFrame:
 
 
 def session_mart(clean: DataFrame) -> DataFrame:
-    """A2: one row per (session, user, device, channel, country, date) (D13 kept)."""
+    """A2: one row per (session, user, device, channel, country, date) (D13 kept).
+
+    One pass over the clean rows: each group also keeps its own first/last
+    event time; the session bounds (W2) are then an aggregate over those
+    group rows, joined back on ``session_id`` (the group rows' exchange is
+    reused; AQE splits a skewed session or broadcasts small bounds).
+    """
     ev = F.struct(F.col("event_timestamp").alias("t"), F.col("event_id").alias("i"),
                   F.col("event_type").alias("e"))
     per_row = clean.groupBy(*SESSION_KEYS).agg(
+        F.min("event_timestamp").alias("_first"),
+        F.max("event_timestamp").alias("_last"),
         F.count("event_id").alias("total_events"),
         F.count_distinct("event_type").alias("distinct_event_types"),
         F.count_if(_is("page_view")).alias("page_views"),
@@ -86,8 +94,10 @@ def session_mart(clean: DataFrame) -> DataFrame:
         # ordered by (time, id): collect_list order is undefined after a shuffle
         F.transform(F.array_sort(F.collect_list(ev)), lambda x: x["e"]).alias("event_sequence"),
     )
+    bounds = per_row.groupBy("session_id").agg(
+        F.min("_first").alias("session_start"), F.max("_last").alias("session_end"))
     return (
-        per_row.join(session_bounds(clean), "session_id")
+        per_row.join(bounds, "session_id")
         .withColumns({
             "session_duration_seconds": X.epoch_seconds("session_end") - X.epoch_seconds("session_start"),
             "is_bounce": F.col("total_events") == 1,
