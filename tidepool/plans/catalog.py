@@ -257,7 +257,17 @@ def q_layer_counts(spark, sf_dir):
     return serve.layer_counts(bronze(spark, sf_dir), clean(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Pin the session time zone the operators assume (UTC, D21) before planning."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_raw": q_enrich_raw,
     "date_range_read": q_date_range_read,
     "parse_json": q_parse_json,
@@ -295,3 +305,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_kpis": q_latest_kpis,
     "layer_counts": q_layer_counts,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}
