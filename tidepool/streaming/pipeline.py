@@ -163,14 +163,43 @@ def kpi_frame(events: DataFrame, watermark: str = WATERMARK, length: str = "5 mi
 
 
 def kpi_stream(spark: SparkSession, log_path: str, path: str, checkpoint: str,
-               trigger: dict | None = None, exact: bool = True,
+               trigger: dict | None = None, exact: bool = True, output_mode: str = "append",
                query_name: str = "kpis") -> StreamingQuery:
-    """K7: KPI rows appended once their window closes behind the watermark (T4)."""
+    """K7: KPI rows from the change log.
+
+    ``append``: a window's row is written once, when the watermark passes
+    its end. ``update``: every trigger writes the windows it changed to
+    ``path/epoch=<n>`` (overwriting that directory, so retries are
+    idempotent); ``kpi_current`` reads the latest row per window. Spark
+    allows several stateful operators only in append mode, so ``update``
+    counts users with one HLL aggregate (``exact=False``).
+    """
     src = spark.readStream.schema(log_schema(spark)).parquet(log_path)
     live = src.filter(~F.col("is_deleted"))
-    w = (kpi_frame(live, exact=exact).writeStream.format("parquet").outputMode("append")
+    if output_mode == "append":
+        w = (kpi_frame(live, exact=exact).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).queryName(query_name))
+        return _with_trigger(w, trigger or KPI_TRIGGER).start(path)
+    if output_mode != "update":
+        raise ValueError(f"output_mode must be append or update, got {output_mode}")
+    if exact:
+        raise ValueError("update mode allows one stateful aggregate: use exact=False")
+
+    def write(df: DataFrame, epoch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+
+    w = (kpi_frame(live, exact=False).writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint).queryName(query_name))
-    return _with_trigger(w, trigger or KPI_TRIGGER).start(path)
+    return _with_trigger(w, trigger or KPI_TRIGGER).start()
+
+
+def kpi_current(spark: SparkSession, path: str) -> DataFrame:
+    """Latest row per (window, event type) across the update-mode epochs."""
+    rows = spark.read.parquet(path)
+    best = F.max_by(F.struct(*[c for c in rows.columns if c not in ("window_start", "event_type")]),
+                    F.col("epoch")).alias("_b")
+    return (rows.groupBy("window_start", "event_type").agg(best)
+            .select("window_start", "event_type", "_b.*").drop("epoch"))
 
 
 # ------------------------------------------------------------------ T8, T9
