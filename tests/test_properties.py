@@ -101,3 +101,14 @@ def test_session_bounds_equal_window_form(spark, rows):
     win = df.select("session_id", F.first("event_timestamp").over(w).alias("session_start"),
                     F.last("event_timestamp").over(w).alias("session_end")).distinct()
     assert _bag(marts.session_bounds(df)) == _bag(win)
+
+
+@SETTINGS
+@given(events, st.integers(0, 9), st.integers(0, 9))
+def test_rollback_twice_restates_tombstoned_keys(spark, rows, v1, v2):
+    log = _frame(spark, rows)
+    at = F.lit(T0).cast("timestamp_ntz")
+    once = changelog.rollback(log, v1, committed_at=at)
+    twice = changelog.rollback(once, v2, committed_at=at)
+    # batch numbers of the first rollback lie after every original batch
+    assert _bag(changelog.current(twice)) == _bag(changelog.as_of_version(log, v2))

@@ -84,25 +84,34 @@ def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = N
                    key: str = KEY) -> DataFrame:
     """The compensating batch to append so that current == as-of(version).
 
-    Its batch number and generation come from scalar subqueries over the
-    log (no collect). Keys live now but absent at ``version`` get tombstones.
+    One aggregation over the log gives, per key, both the latest row now and
+    the latest row at ``version`` (``max_by`` skips rows whose ordering is
+    NULL, i.e. rows after ``version``). Keys live at ``version`` are
+    restated; keys live now but not then get tombstones. Its batch number
+    and generation are scalar subqueries over the log (no collect).
     """
     next_batch = log.select(F.max("batch_id") + 1).scalar()
     next_gen = log.select(F.max("generation") + 1).scalar()
     when = committed_at if committed_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    then = as_of_version(log, version, key)
-    live = current(log, key)
-    gone = live.join(then.select(key), key, "left_anti")
-    restate = then
-    tomb = gone
-    out = restate.unionByName(tomb.withColumn("_dead", F.lit(True)), allowMissingColumns=True)
-    return out.withColumns({
-        "batch_id": next_batch.cast("int"),
-        "committed_at": when,
-        "generation": next_gen.cast("int"),
-        "is_deleted": F.coalesce(F.col("_dead"), F.lit(False)),
-        "operation": F.lit("ROLLBACK"),
-    }).drop("_dead")
+    others = [c for c in log.columns if c != key]
+    row, rec = F.struct(*others), F.struct(*RECENCY)
+    picks = log.groupBy(key).agg(
+        F.max_by(row, rec).alias("_now"),
+        F.max_by(row, F.when(F.col("batch_id") <= F.lit(version), rec)).alias("_then"),
+    )
+    then_live = F.col("_then").isNotNull() & ~F.col("_then.is_deleted")
+    now_live = F.col("_now").isNotNull() & ~F.col("_now.is_deleted")
+    chosen = (picks.filter(then_live | now_live)
+              .withColumn("_dead", ~then_live)
+              .withColumn("_r", F.when(then_live, F.col("_then")).otherwise(F.col("_now"))))
+    return chosen.select(key, *[F.col("_r").getField(c).alias(c) for c in others], "_dead") \
+        .withColumns({
+            "batch_id": next_batch.cast("int"),
+            "committed_at": when,
+            "generation": next_gen.cast("int"),
+            "is_deleted": F.col("_dead"),
+            "operation": F.lit("ROLLBACK"),
+        }).drop("_dead").select(*log.columns)
 
 
 def rollback(log: DataFrame, version: int, committed_at: Column | None = None,
