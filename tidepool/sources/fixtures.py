@@ -77,7 +77,18 @@ def _q(name: str, dialect: str) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The driver's ``events`` table.
+
+    A scan that yields fewer splits than the cluster has cores (one large
+    row group, say) would run every per-row step before the first shuffle
+    in that many tasks; such a scan is spread round-robin first. On a large
+    table (many files and row groups) this is a no-op.
+    """
+    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:
