@@ -253,6 +253,25 @@ def q_latest_kpis(spark, sf_dir):
     return serve.latest_kpis(clean(spark, sf_dir))
 
 
+def q_revenue_query_hourly(spark, sf_dir):
+    return serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="hourly",
+                               category="electronics", channel="Paid Search", limit=100)
+
+
+def q_revenue_query_monthly(spark, sf_dir):
+    return serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="monthly",
+                               country="us")
+
+
+def q_top_products_category(spark, sf_dir):
+    return serve.top_products(marts.product_mart(clean(spark, sf_dir)), *FULL_RANGE,
+                              category="clothing", top_n=3)
+
+
+def q_funnel_query_channel(spark, sf_dir):
+    return serve.funnel_query(clean(spark, sf_dir), *FULL_RANGE, channel="Organic Search")
+
+
 def q_layer_counts(spark, sf_dir):
     return serve.layer_counts(bronze(spark, sf_dir), clean(spark, sf_dir))
 
@@ -304,6 +323,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "funnel_query": q_funnel_query,
     "latest_kpis": q_latest_kpis,
     "layer_counts": q_layer_counts,
+    "revenue_query_hourly": q_revenue_query_hourly,
+    "revenue_query_monthly": q_revenue_query_monthly,
+    "top_products_category": q_top_products_category,
+    "funnel_query_channel": q_funnel_query_channel,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}

@@ -431,6 +431,46 @@ SELECT (SELECT count(*) FROM bronze) AS bronze_records, (SELECT count(*) FROM cl
 """
 
 
+REVENUE_QUERY_HOURLY = _ctes() + f"""
+SELECT strftime(date_trunc('hour', event_timestamp), '%Y-%m-%d') AS event_date,
+  cast(hour(date_trunc('hour', event_timestamp)) AS integer) AS event_hour,
+  'electronics' AS category, 'Paid Search' AS channel_group, 'all' AS country,
+  cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
+  count(DISTINCT user_id) AS unique_buyers,
+  cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
+  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer
+FROM clean
+WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
+  AND category = 'electronics' AND channel_group = 'Paid Search'
+GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100
+"""
+REVENUE_QUERY_MONTHLY = _ctes() + f"""
+SELECT strftime(date_trunc('month', event_timestamp), '%Y-%m-%d') AS event_date,
+  cast(NULL AS integer) AS event_hour, 'all' AS category, 'all' AS channel_group, 'us' AS country,
+  cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
+  count(DISTINCT user_id) AS unique_buyers,
+  cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
+  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer
+FROM clean
+WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
+  AND country = 'us'
+GROUP BY 1 ORDER BY 1 LIMIT 100
+"""
+TOP_PRODUCTS_CATEGORY = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + f"""
+SELECT product_id, product_name, category, cast(sum(views) AS bigint) AS views,
+  cast(sum(purchases) AS bigint) AS purchases, round(sum(total_revenue), 2) AS total_revenue,
+  round(CASE WHEN sum(views) > 0 THEN sum(purchases) / sum(views) ELSE 0 END, 4) AS view_to_purchase_rate
+FROM pagg WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' AND category = 'clothing'
+GROUP BY product_id, product_name, category
+ORDER BY total_revenue DESC, product_id, category, product_name LIMIT 3
+"""
+FUNNEL_QUERY_CHANNEL = _ctes("f AS (" + _funnel("event_date",
+    f"WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' "
+    "AND channel_group = 'Organic Search'") + ")") + \
+    f"SELECT event_date, 'Organic Search' AS channel_group, stage_1_viewers, stage_2_cart_adders, " \
+    f"stage_3_checkout, stage_4_purchasers, {FUNNEL_RATES} FROM f"
+
+
 def queries() -> dict[str, str]:
     return {
         "enrich_raw": ENRICH_RAW,
@@ -469,4 +509,8 @@ def queries() -> dict[str, str]:
         "funnel_query": FUNNEL_QUERY,
         "latest_kpis": LATEST_KPIS,
         "layer_counts": LAYER_COUNTS,
+        "revenue_query_hourly": REVENUE_QUERY_HOURLY,
+        "revenue_query_monthly": REVENUE_QUERY_MONTHLY,
+        "top_products_category": TOP_PRODUCTS_CATEGORY,
+        "funnel_query_channel": FUNNEL_QUERY_CHANNEL,
     }

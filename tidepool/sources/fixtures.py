@@ -85,10 +85,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     table (many files and row groups) this is a no-op.
     """
     df = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:
