@@ -35,9 +35,15 @@ def stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("computed_at", F.current_timestamp())
 
 
-def revenue_mart(clean: DataFrame) -> DataFrame:
-    """A1: hourly revenue by seven dimensions, purchases only."""
+def revenue_mart(clean: DataFrame, buyers_sketch: bool = False) -> DataFrame:
+    """A1: hourly revenue by seven dimensions, purchases only.
+
+    ``buyers_sketch`` adds a mergeable HLL sketch of the buyers, so coarser
+    periods and dimension roll-ups (V1) can be served from the mart: distinct
+    buyers do not add up across rows, sketches do.
+    """
     amt = F.col("total_amount")
+    extra = [F.hll_sketch_agg("user_id").alias("buyers_sketch")] if buyers_sketch else []
     return (
         clean.filter(_is("purchase"))
         .groupBy(*REVENUE_KEYS)
@@ -50,6 +56,7 @@ def revenue_mart(clean: DataFrame) -> DataFrame:
             F.min(amt).cast("double").alias("min_order_value"),
             F.max(amt).cast("double").alias("max_order_value"),
             F.percentile_approx(amt, 0.5).cast("double").alias("median_order_value"),
+            *extra,
         )
         .withColumn("total_revenue", F.col("_rev").cast("double"))
         .withColumn("revenue_per_buyer", X.null_ratio(F.col("_rev"), F.col("unique_buyers"), 2))

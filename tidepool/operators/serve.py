@@ -2,7 +2,8 @@
 
 No server: each query is a function returning a DataFrame. Non-additive
 measures (distinct buyers, medians) are recomputed from clean rows, not
-summed from marts. Optional dimension filters default to ``"all"``.
+summed from marts, except in ``revenue_rollup``, which merges HLL sketches
+kept in the revenue mart. Optional dimension filters default to ``"all"``.
 """
 
 from __future__ import annotations
@@ -64,6 +65,44 @@ def revenue_query(clean: DataFrame, start_date: str, end_date: str, granularity:
     )
 
 
+def revenue_rollup(revenue: DataFrame, start_date: str, end_date: str,
+                   granularity: str = "daily", category: str | None = None,
+                   channel: str | None = None, country: str | None = None,
+                   limit: int = 100) -> DataFrame:
+    """V1 served from the hourly revenue mart (built with ``buyers_sketch``).
+
+    Revenue and orders add up; distinct buyers come from the union of the
+    rows' HLL sketches (approximate; exact for small sets). Reads the mart,
+    not the clean purchases, so the work scales with mart rows.
+    """
+    unit = GRANULARITIES[granularity]
+    limit = _check_range("limit", limit, 1, 1000)
+    df = revenue.filter(F.col("event_date").between(start_date, end_date))
+    df, cat = _dim(df, "category", category)
+    df, ch = _dim(df, "channel_group", channel)
+    df, co = _dim(df, "country", country)
+    hour_ts = F.to_timestamp(F.col("event_date")) + F.make_interval(
+        hours=F.col("event_hour")) if unit == "hour" else F.to_timestamp(F.col("event_date"))
+    period = F.date_trunc(unit, hour_ts)
+    hour = F.hour(period) if unit == "hour" else F.lit(None).cast("int")
+    rev = F.round(F.sum("total_revenue"), 2)
+    buyers = F.hll_sketch_estimate(F.hll_union_agg("buyers_sketch"))
+    return (
+        df.groupBy(F.date_format(period, "yyyy-MM-dd").alias("event_date"), hour.alias("event_hour"))
+        .agg(rev.alias("total_revenue"), F.sum("order_count").alias("order_count"),
+             buyers.alias("unique_buyers"))
+        .select(
+            "event_date", "event_hour",
+            cat.alias("category"), ch.alias("channel_group"), co.alias("country"),
+            "total_revenue", "order_count", "unique_buyers",
+            (F.col("total_revenue") / F.col("order_count")).alias("avg_order_value"),
+            X.null_ratio(F.col("total_revenue"), F.col("unique_buyers"), 2).alias("revenue_per_buyer"),
+        )
+        .orderBy("event_date", "event_hour")
+        .limit(limit)
+    )
+
+
 def session_summary(sessions: DataFrame, start_date: str, end_date: str,
                     device_type: str | None = None) -> DataFrame:
     """V2: per date over session-mart rows; sessions counted distinct."""

@@ -272,6 +272,11 @@ def q_funnel_query_channel(spark, sf_dir):
     return serve.funnel_query(clean(spark, sf_dir), *FULL_RANGE, channel="Organic Search")
 
 
+def q_revenue_rollup(spark, sf_dir):
+    mart = marts.revenue_mart(clean(spark, sf_dir), buyers_sketch=True)
+    return serve.revenue_rollup(mart, *FULL_RANGE, granularity="weekly")
+
+
 def q_layer_counts(spark, sf_dir):
     return serve.layer_counts(bronze(spark, sf_dir), clean(spark, sf_dir))
 
@@ -327,6 +332,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_query_monthly": q_revenue_query_monthly,
     "top_products_category": q_top_products_category,
     "funnel_query_channel": q_funnel_query_channel,
+    "revenue_rollup": q_revenue_rollup,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}

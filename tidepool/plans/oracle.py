@@ -513,4 +513,6 @@ def queries() -> dict[str, str]:
         "revenue_query_monthly": REVENUE_QUERY_MONTHLY,
         "top_products_category": TOP_PRODUCTS_CATEGORY,
         "funnel_query_channel": FUNNEL_QUERY_CHANNEL,
+        # exact distinct buyers: the sketch estimate is exact at this cardinality
+        "revenue_rollup": REVENUE_QUERY,
     }
