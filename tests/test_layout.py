@@ -85,3 +85,13 @@ def test_replace_only_present_dates(spark):
     assert got.filter(F.col("views") == -1).count() == new.count()
     # default keeps the reference meaning: every later date is replaced too
     assert changelog.replace_from_min(old, new).filter(F.col("event_date") > "2024-01-05").count() == 0
+
+
+def test_zorder_splits_a_hot_key(spark, tmp_path):
+    # a third of the rows share one value in both clustering columns
+    df = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS a",
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS b")
+    out = layout.zorder(df, ["a", "b"], num_files=6)
+    sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) <= 2 * 3000 / 6 and sum(sizes) == 3000

@@ -66,9 +66,17 @@ def compact(spark: SparkSession, path: str, out_path: str, partition_cols: Seque
     (and split skewed partition values) instead of a guessed file count.
     """
     df = _select(spark, path, where)
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_file_bytes)))
-    out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
-    out.write.mode("overwrite").partitionBy(*partition_cols).parquet(out_path)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key, None)
+    spark.conf.set(key, str(int(target_file_bytes)))
+    try:
+        out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
+        out.write.mode("overwrite").partitionBy(*partition_cols).parquet(out_path)
+    finally:
+        if prev is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, prev)
 
 
 # ------------------------------------------------------------------ Z-order
@@ -83,14 +91,14 @@ def _tree(c: Column, cuts: list, lo: int, hi: int) -> Column:
 
 
 def quantile_cuts(df: DataFrame, column: str, buckets: int, sample_rows: int = 200_000,
-                  seed: int = 7) -> list:
+                  seed: int = 7, n: int | None = None) -> list:
     """Sorted cut points giving ~equal-count buckets of ``column``.
 
     Works for any orderable type. Only a bounded sample (about
-    ``sample_rows`` values) reaches the driver, sized from the row count,
-    the same way Spark's range partitioner samples its bounds.
+    ``sample_rows`` values) reaches the driver, sized from the row count
+    ``n``, the same way Spark's range partitioner samples its bounds.
     """
-    n = df.count()
+    n = df.count() if n is None else n
     if n == 0:
         return []
     frac = min(1.0, sample_rows / n)
@@ -106,9 +114,10 @@ def quantile_cuts(df: DataFrame, column: str, buckets: int, sample_rows: int = 2
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     """Interleaved-bit (Morton) key over per-column quantile buckets."""
     buckets = 1 << bits
+    n = df.count()
     ids = []
     for c in columns:
-        cuts = quantile_cuts(df, c, buckets)
+        cuts = quantile_cuts(df, c, buckets, n=n)
         b = _tree(F.col(c), cuts, 0, len(cuts)) if cuts else F.lit(0)
         ids.append(F.coalesce(b, F.lit(0)).cast("long"))
     k = len(columns)
@@ -120,11 +129,17 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
 
 
 def zorder(df: DataFrame, columns: Sequence[str], num_files: int, bits: int = 6) -> DataFrame:
-    """Rows range-partitioned and sorted on the Z-key (then dropped)."""
-    return (df.withColumn("_z", zorder_key(df, columns, bits))
-            .repartitionByRange(num_files, "_z")
-            .sortWithinPartitions("_z")
-            .drop("_z"))
+    """Rows range-partitioned and sorted on the Z-key (then dropped).
+
+    A hash of the whole row breaks ties in the range key, so rows sharing
+    one Z-value (a hot key) still spread over several files; the hash is
+    deterministic, so a retried task writes the same rows.
+    """
+    cols = [F.col(c) for c in df.columns]
+    return (df.withColumns({"_z": zorder_key(df, columns, bits), "_h": F.xxhash64(*cols)})
+            .repartitionByRange(num_files, "_z", "_h")
+            .sortWithinPartitions("_z", "_h")
+            .drop("_z", "_h"))
 
 
 def optimize(spark: SparkSession, path: str, out_path: str, zorder_columns: Sequence[str] | None = None,
