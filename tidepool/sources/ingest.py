@@ -208,3 +208,16 @@ def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "e
 def kafka_stream(spark: SparkSession, options: dict) -> DataFrame:
     """Parsed event stream from Kafka (needs the Kafka connector on the cluster)."""
     return parse_records(spark.readStream.format("kafka").options(**options).load())
+
+
+def kafka_batch(spark: SparkSession, options: dict) -> DataFrame:
+    """S2 on Kafka: bounded replay between ``startingOffsets`` and ``endingOffsets``
+    (pass ``ending_offsets`` to ``kafka_options``); needs the Kafka connector."""
+    opts = {k: v for k, v in options.items() if k != "maxOffsetsPerTrigger"}
+    return parse_records(spark.read.format("kafka").options(**opts).load())
+
+
+def write_dead_letters_kafka(dead: DataFrame, bootstrap_servers: str, topic: str) -> None:
+    """K8 to a Kafka topic (key, value), as the reference's DLQ handler; needs the connector."""
+    (dead.select("key", "value").write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
