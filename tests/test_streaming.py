@@ -29,6 +29,10 @@ def test_pipeline_end_to_end(spark, tmp_path):
     raw = FX.raw_events(spark, SF_SMALL)
     bronze = spark.read.parquet(f"{root}/bronze")
     assert bronze.count() == raw.count()
+    assert bronze.select("batch_id").distinct().count() == 4      # one directory per epoch
+    # one writer per hour partition here: at most one file per (batch, date, hour)
+    n_parts = bronze.select("batch_id", "event_date", "event_hour").distinct().count()
+    assert bronze.select("_metadata.file_path").distinct().count() == n_parts
 
     n_files = bronze.select("_metadata.file_path").distinct().count()
     q2 = _run(P.clean_stream(spark, f"{root}/bronze", f"{root}/log", f"{root}/dlq", f"{ck}/clean",
@@ -141,3 +145,24 @@ def test_start_pipeline_runs_three_chained_queries(spark, tmp_path):
     assert live.count() == refine.refine(good).count()
     assert spark.read.parquet(f"{root}/kpis").count() > 0
     assert spark.read.parquet(f"{root}/dead_letter").count() > 0
+
+
+def test_bronze_batch_writers_follow_the_hot_hour(spark, tmp_path):
+    recs = FX.raw_json(spark, SF_SMALL)
+    enriched = ingest.enrich_raw(ingest.parse_records(recs), "b7")
+    path = str(tmp_path / "bronze")
+    # in a batch context AQE would merge these tiny shuffle partitions (streams run without AQE)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        n = P.write_bronze_batch(enriched, "b7", path, target_rows_per_file=2)
+    finally:
+        spark.conf.set(key, "true")
+    t = spark.read.parquet(path)
+    assert n == t.count() == recs.count()
+    per_hour = t.groupBy("event_date", "event_hour").agg(
+        F.countDistinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("rows"))
+    # the busiest hour is split over several files
+    assert per_hour.orderBy(F.desc("rows")).first()["files"] > 1
+    again = P.write_bronze_batch(enriched, "b7", path, target_rows_per_file=2)   # retried batch
+    assert again == n and spark.read.parquet(path).count() == n

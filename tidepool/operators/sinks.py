@@ -30,7 +30,11 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] = ("event_date", "event_hour")
                  ) -> int:
-    """K2: append a batch to a partitioned table; returns the rows written."""
+    """K2: append a batch to a partitioned table; returns the rows written.
+
+    (The bronze stream writes batch directories instead, see
+    ``streaming.pipeline.write_bronze_batch``, which is retry-safe.)
+    """
     counted, obs = _counted(df, "append_batch")
     counted.write.mode("append").partitionBy(*partition_by).parquet(path)
     return int(obs.get["rows"])

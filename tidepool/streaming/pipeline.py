@@ -3,9 +3,13 @@
 Three queries linked only by tables, as in the reference, each with its own
 checkpoint:
 
-1. ``bronze_stream``: parse Kafka-shaped records, add bronze metadata, append
-   to a Parquet table partitioned by (event_date, event_hour). The file sink
-   is exactly-once through its commit log.
+1. ``bronze_stream``: ``foreachBatch`` that parses Kafka-shaped records, adds
+   bronze metadata and writes the epoch to
+   ``bronze/batch_id=<epoch>/event_date=…/event_hour=…`` by overwriting that
+   batch directory (retry-safe; the epoch number is the batch id, D8). The
+   number of writers per hour partition follows the batch's largest hour, so
+   files stay near a target size: few files for a backfill spread over many
+   hours, many parallel writers when the whole batch is in the current hour.
 2. ``clean_stream``: ``foreachBatch`` over the bronze table: split dead
    letters, ``refine``, and write the batch to ``log/batch_id=<epoch>`` by
    overwriting that directory, so a retried epoch is idempotent. Stage
@@ -42,8 +46,13 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+BRONZE_PARTITIONS = ["event_date", "event_hour"]
+TARGET_ROWS_PER_FILE = 1_000_000
+
+
 def bronze_schema(spark: SparkSession) -> T.StructType:
-    """Schema of the bronze table the stream writes (payload + envelope + metadata)."""
+    """Schema of the bronze table (payload + envelope + metadata; ``batch_id``,
+    ``event_date`` and ``event_hour`` come from the directories)."""
     empty = spark.createDataFrame([], ingest.RECORD_SCHEMA)
     return _nullable(ingest.enrich_raw(ingest.parse_records(empty), "x").schema)
 
@@ -58,21 +67,43 @@ def log_schema(spark: SparkSession) -> T.StructType:
 
 # ------------------------------------------------------------------ 1. bronze
 
+def write_bronze_batch(enriched: DataFrame, batch_id: str, path: str,
+                       target_rows_per_file: int = TARGET_ROWS_PER_FILE) -> int:
+    """Write one batch of bronze rows to ``path/batch_id=<batch_id>``; returns rows written.
+
+    Overwriting the batch directory makes a retried batch idempotent. Rows
+    are shuffled by (event_date, event_hour, salt): the salt (a hash of the
+    Kafka coordinates) has as many values as the largest hour needs files,
+    so a hot hour is written by several tasks and a quiet hour by one.
+    """
+    enriched = enriched.persist()
+    try:
+        biggest = enriched.groupBy(*BRONZE_PARTITIONS).count().agg(F.max("count")).first()[0] or 0
+        writers = max(1, -(-int(biggest) // int(target_rows_per_file)))
+        salt = F.pmod(F.xxhash64("kafka_topic", "kafka_partition", "kafka_offset"), F.lit(writers))
+        obs = Observation(f"bronze_{batch_id}")
+        out = (enriched.drop("batch_id")
+               .repartition(*[F.col(c) for c in BRONZE_PARTITIONS], salt)
+               .observe(obs, F.count(F.lit(1)).alias("n")))
+        out.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(f"{path}/batch_id={batch_id}")
+        return int(obs.get["n"])
+    finally:
+        enriched.unpersist()
+
+
 def bronze_stream(records: DataFrame, path: str, checkpoint: str,
-                  trigger: dict | None = None, batch_id: str | None = None,
-                  source_system: str = ingest.DEFAULT_SOURCE_SYSTEM,
+                  trigger: dict | None = None, source_system: str = ingest.DEFAULT_SOURCE_SYSTEM,
+                  target_rows_per_file: int = TARGET_ROWS_PER_FILE,
                   query_name: str = "bronze") -> StreamingQuery:
-    """K1: append parsed records to the raw table.
+    """K1: parse records and write each epoch to the raw table."""
+    def run(df: DataFrame, epoch_id: int) -> None:
+        bid = f"bronze_{epoch_id}"
+        enriched = ingest.enrich_raw(ingest.parse_records(df), bid, source_system)
+        write_bronze_batch(enriched, bid, path, target_rows_per_file)
 
-    ``batch_id`` is one id per run (the reference's D8 behaviour); the clean
-    log uses the engine's epoch number instead.
-    """
-    enriched = ingest.enrich_raw(ingest.parse_records(records),
-                                 batch_id or ingest.new_batch_id(), source_system)
-    w = (enriched.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .partitionBy("event_date", "event_hour").queryName(query_name))
-    return _with_trigger(w, trigger).start(path)
+    w = (records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+         .queryName(query_name))
+    return _with_trigger(w, trigger).start()
 
 
 # ------------------------------------------------------------------ 2. clean
@@ -212,7 +243,7 @@ def start_pipeline(spark: SparkSession, records_path: str, root: str, checkpoint
     """
     from tidepool.operators import schemas
     bronze = f"{root}/bronze"
-    schemas.initialize_table(spark, bronze, bronze_schema(spark), ["event_date", "event_hour"])
+    schemas.initialize_table(spark, bronze, bronze_schema(spark), ["batch_id", *BRONZE_PARTITIONS])
     recs = ingest.file_record_stream(spark, records_path, records_format, max_files_per_trigger)
     q1 = bronze_stream(recs, bronze, f"{checkpoint_root}/bronze", trigger)
     q2 = clean_stream(spark, bronze, f"{root}/clean_log", f"{root}/dead_letter",
