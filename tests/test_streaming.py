@@ -69,7 +69,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
 
 def test_clean_batch_is_idempotent(spark, tmp_path):
     recs = FX.raw_json(spark, SF_SMALL)
-    df = P.bronze_schema(spark) and ingest.enrich_raw(ingest.parse_records(recs), "b1")
+    df = ingest.enrich_raw(ingest.parse_records(recs), "b1")
     out = {k: str(tmp_path / k) for k in ("log", "dlq", "m")}
     m1 = P.clean_batch(df, 7, out["log"], out["dlq"], out["m"])
     first = spark.read.parquet(out["log"]).drop("committed_at", "silver_processed_at").collect()
@@ -106,8 +106,6 @@ def test_kpi_late_rows_dropped_and_restart(spark, tmp_path):
     q = _run(P.kpi_stream(spark, src, out, ck, ONCE))
     got = spark.read.parquet(out)
     assert got.count() > n1
-    assert got.filter(F.col("window_start") < F.lit(t0)).filter(F.col("active_users") > 0) \
-        .join(spark.createDataFrame([("late",)], "u string"), F.lit(True), "left_semi").count() >= 0
     late = got.filter(F.col("window_end") <= F.lit(t0 - dt.timedelta(minutes=20)))
     assert late.count() == 0                  # the late row opened no window
     dropped = P.progress_frame(spark, [q]).agg(F.sum("late_rows_dropped")).first()[0]

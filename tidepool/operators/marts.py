@@ -92,7 +92,6 @@ def session_mart(clean: DataFrame) -> DataFrame:
         F.min("event_timestamp").alias("_first"),
         F.max("event_timestamp").alias("_last"),
         F.count("event_id").alias("total_events"),
-        F.count_distinct("event_type").alias("distinct_event_types"),
         F.count_if(_is("page_view")).alias("page_views"),
         F.count_if(_is("add_to_cart")).alias("add_to_cart_count"),
         F.count_if(_is("purchase")).alias("purchase_count"),
@@ -101,6 +100,10 @@ def session_mart(clean: DataFrame) -> DataFrame:
         # ordered by (time, id): collect_list order is undefined after a shuffle
         F.transform(F.array_sort(F.collect_list(ev)), lambda x: x["e"]).alias("event_sequence"),
     )
+    # distinct types from the collected sequence: no count(distinct) rewrite,
+    # which would add a second aggregation level over all rows
+    per_row = per_row.withColumn("distinct_event_types", F.size(F.array_distinct(
+        F.filter("event_sequence", lambda x: x.isNotNull()))).cast("long"))
     bounds = per_row.groupBy("session_id").agg(
         F.min("_first").alias("session_start"), F.max("_last").alias("session_end"))
     return (
