@@ -112,3 +112,14 @@ def test_rollback_twice_restates_tombstoned_keys(spark, rows, v1, v2):
     twice = changelog.rollback(once, v2, committed_at=at)
     # batch numbers of the first rollback lie after every original batch
     assert _bag(changelog.current(twice)) == _bag(changelog.as_of_version(log, v2))
+
+
+@SETTINGS
+@given(events)
+def test_session_sequence_positions_equal_row_number(spark, rows):
+    df = _frame(spark, rows).withColumn("country", F.lit("us"))
+    got = marts.session_sequences(df)
+    w = Window.partitionBy(*marts.SESSION_KEYS).orderBy("event_timestamp", "event_id")
+    want = df.select(*marts.SESSION_KEYS, F.row_number().over(w).cast("long").alias("position"),
+                     "event_timestamp", "event_id", "event_type")
+    assert _bag(got) == _bag(want)

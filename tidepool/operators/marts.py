@@ -7,7 +7,7 @@ not here, so mart results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
@@ -120,6 +120,27 @@ def session_mart(clean: DataFrame) -> DataFrame:
     )
 
 
+def session_sequences(clean: DataFrame, keys: list[str] = SESSION_KEYS) -> DataFrame:
+    """A16 in long form: each event's 1-based position in its session row.
+
+    Same order as ``event_sequence`` (event time, then event id), but no
+    group is ever held by one task: events are counted per (group, second)
+    with partial aggregation, a running sum over the group's seconds gives
+    each second's offset (a window over at most 86,400 rows per group, as
+    ``event_date`` is a key), and positions are numbered within each
+    (group, second). A hot group is therefore spread over its seconds.
+    """
+    sec = F.date_trunc("second", F.col("event_timestamp")).alias("_sec")
+    events = clean.select(*keys, "event_timestamp", "event_id", "event_type", sec)
+    per_sec = events.groupBy(*keys, "_sec").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_sec.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    within = Window.partitionBy(*keys, "_sec").orderBy("event_timestamp", "event_id")
+    return (events.join(offsets.drop("_n"), [*keys, "_sec"])
+            .withColumn("position", (F.col("_offset") + F.row_number().over(within)).cast("long"))
+            .select(*keys, "position", "event_timestamp", "event_id", "event_type"))
+
+
 def product_mart(clean: DataFrame) -> DataFrame:
     """A3: per product and date; three guarded rates to 4 decimals."""
     purchase = _is("purchase")

@@ -122,6 +122,10 @@ def q_session_mart(spark, sf_dir):
     return m.withColumn("event_sequence", F.array_join("event_sequence", ","))
 
 
+def q_session_sequences(spark, sf_dir):
+    return marts.session_sequences(clean(spark, sf_dir))
+
+
 def q_product_mart(spark, sf_dir):
     return marts.product_mart(clean(spark, sf_dir))
 
@@ -305,6 +309,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_all": q_clean_all,
     "revenue_mart": q_revenue_mart,
     "session_mart": q_session_mart,
+    "session_sequences": q_session_sequences,
     "product_mart": q_product_mart,
     "funnel_mart": q_funnel_mart,
     "kpi_windows": q_kpi_windows,

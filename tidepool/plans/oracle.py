@@ -471,6 +471,15 @@ FUNNEL_QUERY_CHANNEL = _ctes("f AS (" + _funnel("event_date",
     f"stage_3_checkout, stage_4_purchasers, {FUNNEL_RATES} FROM f"
 
 
+SESSION_SEQUENCES = _ctes() + """
+SELECT session_id, user_id, device_type, channel_group, country, event_date,
+  row_number() OVER (PARTITION BY session_id, user_id, device_type, channel_group, country, event_date
+                     ORDER BY event_timestamp, event_id) AS position,
+  event_timestamp, event_id, event_type
+FROM clean
+"""
+
+
 def queries() -> dict[str, str]:
     return {
         "enrich_raw": ENRICH_RAW,
@@ -486,6 +495,7 @@ def queries() -> dict[str, str]:
         "clean_all": CLEAN_ALL,
         "revenue_mart": REVENUE,
         "session_mart": SESSION,
+        "session_sequences": SESSION_SEQUENCES,
         "product_mart": PRODUCT,
         "funnel_mart": FUNNEL,
         "kpi_windows": KPI_WINDOWS,
