@@ -136,7 +136,11 @@ def session_sequences(clean: DataFrame, keys: list[str] = SESSION_KEYS) -> DataF
     before = Window.partitionBy(*keys).orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_sec.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     within = Window.partitionBy(*keys, "_sec").orderBy("event_timestamp", "event_id")
-    return (events.join(offsets.drop("_n"), [*keys, "_sec"])
+    e, o = events.alias("e"), offsets.drop("_n").alias("o")
+    # null-safe: a NULL key value is a group like any other (as in groupBy)
+    on = [F.col(f"e.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*keys, "_sec"]]
+    return (e.join(o, on)
+            .select("e.*", "o._offset")
             .withColumn("position", (F.col("_offset") + F.row_number().over(within)).cast("long"))
             .select(*keys, "position", "event_timestamp", "event_id", "event_type"))
 
