@@ -35,21 +35,26 @@ def clean(spark: SparkSession, sf_dir: str, keep_order: bool = True) -> DataFram
     return refine.refine(bronze(spark, sf_dir), keep_order=keep_order)
 
 
-def _out(df: DataFrame) -> DataFrame:
-    """Compared form of a clean-shaped frame: no load time, money as double."""
+def _out(df: DataFrame, nullable_ints: tuple[str, ...] = ()) -> DataFrame:
+    """Compared form of a clean-shaped frame: no load time, money as double.
+
+    Integer columns that hold NULLs are compared as double too: engines
+    hand such columns to pandas in different dtypes (float64 vs Int32).
+    """
     df = df.drop("silver_processed_at", "ingestion_timestamp", "computed_at")
-    casts = {c: F.col(c).cast("double") for c in ("price", "total_amount") if c in df.columns}
+    names = ("price", "total_amount") + tuple(nullable_ints)
+    casts = {c: F.col(c).cast("double") for c in names if c in df.columns}
     return df.withColumns(casts) if casts else df
 
 
 # ------------------------------------------------------------------ ingest
 
 def q_enrich_raw(spark, sf_dir):
-    return _out(bronze(spark, sf_dir))
+    return _out(bronze(spark, sf_dir), ("quantity",))
 
 
 def q_date_range_read(spark, sf_dir):
-    return _out(ingest.date_range(bronze(spark, sf_dir), "2024-01-08", "2024-01-21"))
+    return _out(ingest.date_range(bronze(spark, sf_dir), "2024-01-08", "2024-01-21"), ("quantity",))
 
 
 def _parsed(spark, sf_dir, start_offset=None):
@@ -60,7 +65,8 @@ def _parsed(spark, sf_dir, start_offset=None):
 def _parsed_out(df: DataFrame) -> DataFrame:
     return (df.withColumn("is_corrupt", F.col(ingest.CORRUPT_COLUMN).isNotNull())
             .drop(ingest.CORRUPT_COLUMN, "properties")
-            .withColumn("price", F.col("price").cast("double")))
+            .withColumns({"price": F.col("price").cast("double"),
+                          "quantity": F.col("quantity").cast("double")}))
 
 
 def q_parse_json(spark, sf_dir):
@@ -84,7 +90,7 @@ def _deduped(spark, sf_dir):
 
 
 def q_dedup_latest(spark, sf_dir):
-    return _out(_deduped(spark, sf_dir))
+    return _out(_deduped(spark, sf_dir), ("quantity",))
 
 
 def q_null_defaults(spark, sf_dir):
@@ -236,8 +242,13 @@ def q_conform_v1(spark, sf_dir):
 
 # ------------------------------------------------------------------ serving
 
+def _v1_out(df: DataFrame) -> DataFrame:
+    # event_hour is NULL unless hourly (see _out on nullable integers)
+    return df.withColumn("event_hour", F.col("event_hour").cast("double"))
+
+
 def q_revenue_query(spark, sf_dir):
-    return serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="weekly")
+    return _v1_out(serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="weekly"))
 
 
 def q_session_summary(spark, sf_dir):
@@ -258,13 +269,13 @@ def q_latest_kpis(spark, sf_dir):
 
 
 def q_revenue_query_hourly(spark, sf_dir):
-    return serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="hourly",
-                               category="electronics", channel="Paid Search", limit=100)
+    return _v1_out(serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="hourly",
+                                       category="electronics", channel="Paid Search", limit=100))
 
 
 def q_revenue_query_monthly(spark, sf_dir):
-    return serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="monthly",
-                               country="us")
+    return _v1_out(serve.revenue_query(clean(spark, sf_dir), *FULL_RANGE, granularity="monthly",
+                                       country="us"))
 
 
 def q_top_products_category(spark, sf_dir):
@@ -278,7 +289,7 @@ def q_funnel_query_channel(spark, sf_dir):
 
 def q_revenue_rollup(spark, sf_dir):
     mart = marts.revenue_mart(clean(spark, sf_dir), buyers_sketch=True)
-    return serve.revenue_rollup(mart, *FULL_RANGE, granularity="weekly")
+    return _v1_out(serve.revenue_rollup(mart, *FULL_RANGE, granularity="weekly"))
 
 
 def q_layer_counts(spark, sf_dir):

@@ -127,10 +127,12 @@ GROUP BY event_date, event_hour, category, channel_group, device_type, country,
 MONEY_OUT = "* REPLACE (cast(price AS double) AS price)"
 MONEY_OUT2 = "* REPLACE (cast(price AS double) AS price, cast(total_amount AS double) AS total_amount)"
 
-ENRICH_RAW = _ctes() + f"SELECT {MONEY_OUT} FROM bronze"
-DATE_RANGE = _ctes() + (f"SELECT {MONEY_OUT} FROM bronze "
+# integer columns holding NULLs are compared as double (pandas dtypes differ by engine)
+RAW_OUT = "* REPLACE (cast(price AS double) AS price, cast(quantity AS double) AS quantity)"
+ENRICH_RAW = _ctes() + f"SELECT {RAW_OUT} FROM bronze"
+DATE_RANGE = _ctes() + (f"SELECT {RAW_OUT} FROM bronze "
                         "WHERE event_date >= '2024-01-08' AND event_date <= '2024-01-21'")
-DEDUP = _ctes() + f"SELECT {MONEY_OUT} FROM dedup"
+DEDUP = _ctes() + f"SELECT {RAW_OUT} FROM dedup"
 NULLS = _ctes() + f"SELECT {MONEY_OUT} FROM nulls"
 STANDARDIZE = _ctes() + f"SELECT {MONEY_OUT} FROM std"
 DERIVE = _ctes() + f"SELECT {MONEY_OUT2} FROM derived"
@@ -230,8 +232,8 @@ def _parsed_sql() -> str:
               for f in _PAYLOAD_STR]
     fields.append(f"CASE WHEN {ok} THEN cast(cast(json_extract_string(value, '$.price') "
                   "AS decimal(18,2)) AS double) END AS price")
-    fields.append(f"CASE WHEN {ok} THEN cast(json_extract_string(value, '$.quantity') AS integer) "
-                  "END AS quantity")
+    fields.append(f"CASE WHEN {ok} THEN cast(cast(json_extract_string(value, '$.quantity') AS integer) "
+                  "AS double) END AS quantity")
     body = ",\n    ".join(fields)
     return f"""(SELECT key AS kafka_key, topic AS kafka_topic, "partition" AS kafka_partition,
     "offset" AS kafka_offset, "timestamp" AS kafka_timestamp,
@@ -384,7 +386,7 @@ CONFORM_V1 = _ctes() + "SELECT " + CLEAN_COLS.replace(
 FULL_RANGE = ("2024-01-01", "2024-12-31")
 REVENUE_QUERY = _ctes() + f"""
 SELECT strftime(date_trunc('week', event_timestamp), '%Y-%m-%d') AS event_date,
-  cast(NULL AS integer) AS event_hour, 'all' AS category, 'all' AS channel_group, 'all' AS country,
+  cast(NULL AS double) AS event_hour, 'all' AS category, 'all' AS channel_group, 'all' AS country,
   cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
   count(DISTINCT user_id) AS unique_buyers,
   cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
@@ -433,7 +435,7 @@ SELECT (SELECT count(*) FROM bronze) AS bronze_records, (SELECT count(*) FROM cl
 
 REVENUE_QUERY_HOURLY = _ctes() + f"""
 SELECT strftime(date_trunc('hour', event_timestamp), '%Y-%m-%d') AS event_date,
-  cast(hour(date_trunc('hour', event_timestamp)) AS integer) AS event_hour,
+  cast(hour(date_trunc('hour', event_timestamp)) AS double) AS event_hour,
   'electronics' AS category, 'Paid Search' AS channel_group, 'all' AS country,
   cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
   count(DISTINCT user_id) AS unique_buyers,
@@ -446,7 +448,7 @@ GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100
 """
 REVENUE_QUERY_MONTHLY = _ctes() + f"""
 SELECT strftime(date_trunc('month', event_timestamp), '%Y-%m-%d') AS event_date,
-  cast(NULL AS integer) AS event_hour, 'all' AS category, 'all' AS channel_group, 'us' AS country,
+  cast(NULL AS double) AS event_hour, 'all' AS category, 'all' AS channel_group, 'us' AS country,
   cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
   count(DISTINCT user_id) AS unique_buyers,
   cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
