@@ -110,8 +110,8 @@ def test_rollback_twice_restates_tombstoned_keys(spark, rows, v1, v2):
     at = F.lit(T0).cast("timestamp_ntz")
     once = changelog.rollback(log, v1, committed_at=at)
     twice = changelog.rollback(once, v2, committed_at=at)
-    # batch numbers of the first rollback lie after every original batch
-    assert _bag(changelog.current(twice)) == _bag(changelog.as_of_version(log, v2))
+    # the invariant on a log that already holds a rollback batch (with tombstones)
+    assert _bag(changelog.current(twice)) == _bag(changelog.as_of_version(once, v2))
 
 
 @SETTINGS
