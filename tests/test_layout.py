@@ -95,3 +95,30 @@ def test_zorder_splits_a_hot_key(spark, tmp_path):
     out = layout.zorder(df, ["a", "b"], num_files=6)
     sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert max(sizes) <= 2 * 3000 / 6 and sum(sizes) == 3000
+
+
+def test_change_log_on_disk_rollback_chain(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = catalog.change_log(spark, SF_SMALL)
+    for b in range(0, 30, 10):                      # three writes of ten batches each
+        part = log.filter((F.col("batch_id") >= b) & (F.col("batch_id") < b + 10))
+        for bid in range(b, b + 10):
+            changelog.write_batch(part.filter(F.col("batch_id") == bid), path, bid)
+    stored = changelog.read_log(spark, path)
+
+    def live(df):
+        return _bag(df.drop("silver_processed_at"))
+    assert live(changelog.current(stored)) == live(changelog.current(log))
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    first = changelog.commit_rollback(spark, path, 14, committed_at=at)
+    second = changelog.commit_rollback(spark, path, 5, committed_at=at)
+    assert (first, second) == (30, 31)
+    stored = changelog.read_log(spark, path)
+    assert live(changelog.current(stored)) == live(changelog.as_of_version(log, 5))
+    # history keeps every batch, newest first, rollbacks marked
+    h = changelog.history(stored, 3).collect()
+    assert [r["batch_id"] for r in h] == [31, 30, 29] and h[0]["operation"] == "ROLLBACK"
+    # retrying a batch write changes nothing
+    before = changelog.read_log(spark, path).count()
+    changelog.write_batch(log.filter(F.col("batch_id") == 3), path, 3)
+    assert changelog.read_log(spark, path).count() == before

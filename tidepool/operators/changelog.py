@@ -22,8 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.operators.refine import dedup_latest
 
@@ -39,7 +40,8 @@ def as_log(rows: DataFrame, batch_id: Column | int, committed_at: Column,
         return v if isinstance(v, Column) else F.lit(v)
     return rows.withColumns({
         "batch_id": lit(batch_id).cast("int"),
-        "committed_at": committed_at,
+        # one type for every batch, so batches written apart still merge
+        "committed_at": committed_at.cast("timestamp_ntz"),
         "generation": lit(generation).cast("int"),
         "is_deleted": F.lit(False),
         "operation": F.lit(operation),
@@ -107,7 +109,7 @@ def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = N
     return chosen.select(key, *[F.col("_r").getField(c).alias(c) for c in others], "_dead") \
         .withColumns({
             "batch_id": next_batch.cast("int"),
-            "committed_at": when,
+            "committed_at": when.cast("timestamp_ntz"),
             "generation": next_gen.cast("int"),
             "is_deleted": F.col("_dead"),
             "operation": F.lit("ROLLBACK"),
@@ -152,3 +154,39 @@ def replace_from_min(old: DataFrame, new: DataFrame, column: str = "event_date",
 def evolve_append(table: DataFrame, batch: DataFrame) -> DataFrame:
     """K9: additive schema evolution; rows of the older schema read NULL."""
     return table.unionByName(batch, allowMissingColumns=True)
+
+
+# ------------------------------------------------------------------ on disk
+
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write one log batch to ``path/batch_id=<n>``, overwriting that directory only.
+
+    Retrying the same batch gives the same log (idempotent). The rows carry
+    every log column except ``batch_id``, which the directory holds.
+    """
+    rows.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The log table; ``batch_id`` comes from the directories (partition pruning
+    applies to as-of reads)."""
+    reader = spark.read.option("mergeSchema", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.parquet(path)
+    return df.withColumn("batch_id", F.col("batch_id").cast("int"))
+
+
+def commit_rollback(spark: SparkSession, path: str, version: int,
+                    committed_at: Column | None = None, key: str = KEY) -> int:
+    """K10 on disk: compute the rollback batch from the stored log and write it
+    as the next batch; returns its batch number.
+
+    The batch is written before anything else reads it, so a chain of
+    rollbacks never grows one lineage (each starts from the files).
+    """
+    log = read_log(spark, path)
+    batch = rollback_batch(log, version, committed_at, key)
+    next_id = log.agg(F.max("batch_id")).first()[0] + 1   # one scalar, to name the directory
+    write_batch(batch, path, next_id)
+    return int(next_id)

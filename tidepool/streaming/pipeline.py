@@ -235,13 +235,19 @@ def kpi_current(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ T8, T9
 
-def start_pipeline(spark: SparkSession, records_path: str, root: str, checkpoint_root: str,
+def start_pipeline(spark: SparkSession, records_path: str, root: str,
+                   checkpoint_root: str | None = None,
                    trigger: dict | None = None, records_format: str = "parquet",
                    max_files_per_trigger: int | None = 500) -> list[StreamingQuery]:
     """The three chained queries. The caller waits with
     ``spark.streams.awaitAnyTermination()`` and stops with ``q.stop()`` (D19).
+
+    Checkpoints default to the cluster's shared ``spark.checkpoint.dir``.
     """
     from tidepool.operators import schemas
+    from tidepool.session import checkpoint_dir
+    if checkpoint_root is None:
+        checkpoint_root = f"{checkpoint_dir(spark).rstrip('/')}/tidepool-pipeline"
     bronze = f"{root}/bronze"
     schemas.initialize_table(spark, bronze, bronze_schema(spark), ["batch_id", *BRONZE_PARTITIONS])
     recs = ingest.file_record_stream(spark, records_path, records_format, max_files_per_trigger)
