@@ -32,11 +32,34 @@ from pyspark.sql.streaming import StreamingQuery
 from tidepool.operators import changelog, refine
 from tidepool.sources import ingest
 
+# State store settings for large keyed state (de-duplication by event id and
+# per-user window aggregates within the watermark): RocksDB keeps it off the
+# JVM heap; changelog checkpointing uploads only the changes of each batch.
+STREAMING_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 KPI_TRIGGER = {"processingTime": "30 seconds"}
 WATERMARK = "10 minutes"
 
 
+def configure_streaming(spark: SparkSession) -> dict:
+    """Apply ``STREAMING_CONF`` where the session has not chosen otherwise.
+
+    Must run before a query's first start: a checkpoint keeps the provider
+    it was created with. Returns the settings in force.
+    """
+    out = {}
+    for k, v in STREAMING_CONF.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+        out[k] = spark.conf.get(k)
+    return out
+
+
 def _with_trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or DEFAULT_TRIGGER))
 
@@ -248,6 +271,7 @@ def start_pipeline(spark: SparkSession, records_path: str, root: str,
     from tidepool.session import checkpoint_dir
     if checkpoint_root is None:
         checkpoint_root = f"{checkpoint_dir(spark).rstrip('/')}/tidepool-pipeline"
+    configure_streaming(spark)
     bronze = f"{root}/bronze"
     schemas.initialize_table(spark, bronze, bronze_schema(spark), ["batch_id", *BRONZE_PARTITIONS])
     recs = ingest.file_record_stream(spark, records_path, records_format, max_files_per_trigger)
