@@ -39,11 +39,17 @@ def not_null(column: str, level: str = CRITICAL, threshold: float = 0.99) -> Rul
                 f"Column '{column}' must be >= {threshold * 100}% non-null")
 
 
-def unique(column: str, level: str = CRITICAL, threshold: float = 0.99) -> Rule:
-    """Q2: distinct values / rows; NULL counts as one value."""
+def unique(column: str, level: str = CRITICAL, threshold: float = 0.99,
+           approx_rsd: float | None = None) -> Rule:
+    """Q2: distinct values / rows; NULL counts as one value.
+
+    ``approx_rsd`` (e.g. 0.01) counts distinct values with HyperLogLog++
+    instead of an exact distinct aggregation, for very large tables.
+    """
     def passing(df):
-        return (F.count_distinct(F.col(column))
-                + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0)))
+        distinct = (F.approx_count_distinct(F.col(column), approx_rsd) if approx_rsd
+                    else F.count_distinct(F.col(column)))
+        return distinct + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
     return Rule(f"unique_{column}", column, level, threshold, passing,
                 f"Column '{column}' must be >= {threshold * 100}% unique")
 
@@ -71,7 +77,8 @@ def allowed_values(column: str, allowed: Sequence[str], level: str = WARNING,
 def expect(name: str, predicate: Column, level: str = WARNING, threshold: float = 1.0,
            column: str = "") -> Rule:
     """A user rule: share of rows where ``predicate`` is true."""
-    return Rule(name, column, level, threshold, lambda df: F.count_if(predicate))
+    return Rule(name, column, level, threshold, lambda df: F.count_if(predicate),
+                f"Rule '{name}' must hold for >= {threshold * 100}% of rows")
 
 
 # Event types the silver rule set allows.
@@ -102,7 +109,8 @@ def silver_rules() -> list[Rule]:
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Q5: one row per rule: check, level, threshold, actual (4 dp), passed, error.
+    """Q5: one row per rule: check, description, level, threshold, actual (4 dp),
+    passed, error.
 
     ``actual`` is 1.0 on empty input. A rule whose column is missing does
     not fail the job: its row has ``passed = false`` and an ``error``.
@@ -125,6 +133,7 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             passed = F.lit(False)
         entries.append(F.struct(
             F.lit(r.name).alias("check"),
+            F.lit(r.description).alias("description"),
             F.lit(r.level).alias("level"),
             F.lit(float(r.threshold)).alias("threshold"),
             F.round(rate, 4).alias("actual"),

@@ -327,9 +327,11 @@ FROM bronze
 # ---------------------------------------------------------------- quality
 
 
-def _rule(name, level, threshold, passing, table):
+def _rule(name, level, threshold, passing, table, description):
     rate = f"(CASE WHEN count(*) = 0 THEN 1.0 ELSE ({passing}) / count(*) END)"
-    return (f"SELECT '{name}' AS \"check\", '{level}' AS level, cast({threshold} AS double) AS threshold, "
+    desc = description.replace("'", "''")
+    return (f"SELECT '{name}' AS \"check\", '{desc}' AS description, '{level}' AS level, "
+            f"cast({threshold} AS double) AS threshold, "
             f"round({rate}, 4) AS actual, {rate} >= {threshold} AS passed, "
             f"cast(NULL AS varchar) AS error, count(*) AS total_records FROM {table}")
 
@@ -342,26 +344,39 @@ def _uq(c):
     return f"count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0)"
 
 
+def _d_nn(c, t):
+    return f"Column '{c}' must be >= {t * 100}% non-null"
+
+
+def _d_uq(c, t):
+    return f"Column '{c}' must be >= {t * 100}% unique"
+
+
 DQ_BRONZE_RULES = [
-    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id")),
-    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type")),
-    ("not_null_timestamp", "CRITICAL", 0.99, _nn('"timestamp"')),
-    ("unique_event_id", "WARNING", 0.95, _uq("event_id")),
+    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id"), _d_nn("event_id", 1.0)),
+    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type"), _d_nn("event_type", 1.0)),
+    ("not_null_timestamp", "CRITICAL", 0.99, _nn('"timestamp"'), _d_nn("timestamp", 0.99)),
+    ("unique_event_id", "WARNING", 0.95, _uq("event_id"), _d_uq("event_id", 0.95)),
 ]
+_ALLOWED = ["page_view", "add_to_cart", "remove_from_cart", "checkout", "purchase", "search"]
 DQ_SILVER_RULES = [
-    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id")),
-    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type")),
-    ("not_null_event_timestamp", "CRITICAL", 1.0, _nn("event_timestamp")),
-    ("unique_event_id", "CRITICAL", 0.999, _uq("event_id")),
-    ("range_price", "WARNING", 0.99, "count(*) FILTER (WHERE price BETWEEN 0 AND 100000)"),
-    ("range_quantity", "WARNING", 0.99, "count(*) FILTER (WHERE quantity BETWEEN 1 AND 1000)"),
+    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id"), _d_nn("event_id", 1.0)),
+    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type"), _d_nn("event_type", 1.0)),
+    ("not_null_event_timestamp", "CRITICAL", 1.0, _nn("event_timestamp"),
+     _d_nn("event_timestamp", 1.0)),
+    ("unique_event_id", "CRITICAL", 0.999, _uq("event_id"), _d_uq("event_id", 0.999)),
+    ("range_price", "WARNING", 0.99, "count(*) FILTER (WHERE price BETWEEN 0 AND 100000)",
+     "Column 'price' must be in [0, 100000]"),
+    ("range_quantity", "WARNING", 0.99, "count(*) FILTER (WHERE quantity BETWEEN 1 AND 1000)",
+     "Column 'quantity' must be in [1, 1000]"),
     ("allowed_values_event_type", "WARNING", 0.95,
      "count(*) FILTER (WHERE event_type IN ('page_view', 'add_to_cart', 'remove_from_cart', "
-     "'checkout', 'purchase', 'search'))"),
+     "'checkout', 'purchase', 'search'))", f"Column 'event_type' must be in {_ALLOWED}"),
 ]
-DQ_BRONZE = _ctes() + "\nUNION ALL\n".join(_rule(*r, "bronze") for r in DQ_BRONZE_RULES)
-DQ_SILVER = _ctes() + "\nUNION ALL\n".join(_rule(*r, "clean") for r in DQ_SILVER_RULES)
-DQ_SUMMARY = _ctes("rep AS (" + " UNION ALL ".join(_rule(*r, "clean") for r in DQ_SILVER_RULES) + ")") + """
+DQ_BRONZE = _ctes() + "\nUNION ALL\n".join(_rule(*r[:4], "bronze", r[4]) for r in DQ_BRONZE_RULES)
+DQ_SILVER = _ctes() + "\nUNION ALL\n".join(_rule(*r[:4], "clean", r[4]) for r in DQ_SILVER_RULES)
+DQ_SUMMARY = _ctes("rep AS (" + " UNION ALL ".join(_rule(*r[:4], "clean", r[4])
+                                                   for r in DQ_SILVER_RULES) + ")") + """
 SELECT max(total_records) AS total_records,
   count(*) FILTER (WHERE passed) AS checks_passed,
   count(*) FILTER (WHERE NOT passed AND level = 'CRITICAL') AS checks_failed,
