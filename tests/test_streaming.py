@@ -9,7 +9,7 @@ from tidepool.operators import changelog, marts, refine
 from tidepool.plans import catalog
 from tidepool.sources import fixtures as FX
 from tidepool.sources import ingest
-from tidepool.streaming import pipeline as P
+from tidepool.streaming import streams as P
 
 ONCE = {"availableNow": True}
 
@@ -20,7 +20,7 @@ def _run(q):
     return q
 
 
-def test_pipeline_end_to_end(spark, tmp_path):
+def test_streams_end_to_end(spark, tmp_path):
     root, ck = str(tmp_path / "lake"), str(tmp_path / "ck")
     records = str(tmp_path / "records")
     FX.raw_json(spark, SF_SMALL).repartition(4, "offset").write.parquet(records)
@@ -130,13 +130,13 @@ def test_kpi_update_mode_converges_to_batch(spark, tmp_path):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
-def test_start_pipeline_runs_three_chained_queries(spark, tmp_path):
+def test_start_streams_runs_three_chained_queries(spark, tmp_path):
     records, root, ck = str(tmp_path / "rec"), str(tmp_path / "lake"), str(tmp_path / "ck")
     FX.raw_json(spark, SF_SMALL).repartition(2).write.parquet(records)
     # availableNow: each run handles what its input holds when it starts, so
     # the chain settles over repeated runs, restarting from the checkpoints
     for _ in range(3):
-        for q in P.start_pipeline(spark, records, root, ck, trigger=ONCE, max_files_per_trigger=None):
+        for q in P.start_streams(spark, records, root, ck, trigger=ONCE, max_files_per_trigger=None):
             _run(q)
     live = changelog.current(spark.read.parquet(f"{root}/clean_log"))
     good = catalog.bronze(spark, SF_SMALL).filter(F.col("kafka_offset") % FX.MALFORMED_EVERY != 0)

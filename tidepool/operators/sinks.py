@@ -33,7 +33,7 @@ def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] = ("event
     """K2: append a batch to a partitioned table; returns the rows written.
 
     (The bronze stream writes batch directories instead, see
-    ``streaming.pipeline.write_bronze_batch``, which is retry-safe.)
+    ``streaming.streams.write_bronze_batch``, which is retry-safe.)
     """
     counted, obs = _counted(df, "append_batch")
     counted.write.mode("append").partitionBy(*partition_by).parquet(path)

@@ -258,7 +258,7 @@ def kpi_current(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ T8, T9
 
-def start_pipeline(spark: SparkSession, records_path: str, root: str,
+def start_streams(spark: SparkSession, records_path: str, root: str,
                    checkpoint_root: str | None = None,
                    trigger: dict | None = None, records_format: str = "parquet",
                    max_files_per_trigger: int | None = 500) -> list[StreamingQuery]:
@@ -270,7 +270,7 @@ def start_pipeline(spark: SparkSession, records_path: str, root: str,
     from tidepool.operators import schemas
     from tidepool.session import checkpoint_dir
     if checkpoint_root is None:
-        checkpoint_root = f"{checkpoint_dir(spark).rstrip('/')}/tidepool-pipeline"
+        checkpoint_root = f"{checkpoint_dir(spark).rstrip('/')}/tidepool-streams"
     configure_streaming(spark)
     bronze = f"{root}/bronze"
     schemas.initialize_table(spark, bronze, bronze_schema(spark), ["batch_id", *BRONZE_PARTITIONS])

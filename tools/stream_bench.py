@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tidepool.session import local_session  # noqa: E402
 from tidepool.sources import fixtures as FX  # noqa: E402
 from tidepool.sources import ingest  # noqa: E402
-from tidepool.streaming import pipeline as P  # noqa: E402
+from tidepool.streaming import streams as P  # noqa: E402
 
 
 def main() -> None:
