@@ -187,8 +187,13 @@ def file_record_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
                   max_offsets_per_trigger: int | None = 10000,
-                  ending_offsets: str | None = None, group_id: str | None = None) -> dict:
-    """Kafka source options (S1/S2), for clusters where the connector is deployed."""
+                  ending_offsets: str | None = None, group_id: str | None = None,
+                  include_headers: bool = False) -> dict:
+    """Kafka source options (S1/S2), for clusters where the connector is deployed.
+
+    ``include_headers`` adds the record headers column (the reference accepted
+    the flag and ignored it).
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
@@ -202,6 +207,8 @@ def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "e
         opts["endingOffsets"] = ending_offsets
     if group_id:
         opts["kafka.group.id"] = group_id
+    if include_headers:
+        opts["includeHeaders"] = "true"
     return opts
 
 

@@ -287,6 +287,7 @@ def start_streams(spark: SparkSession, records_path: str, root: str,
 PROGRESS_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("id", T.StringType()),
     T.StructField("run_id", T.StringType()), T.StructField("is_active", T.BooleanType()),
+    T.StructField("status", T.StringType()),
     T.StructField("batch_id", T.LongType()), T.StructField("num_input_rows", T.LongType()),
     T.StructField("input_rows_per_second", T.DoubleType()),
     T.StructField("processed_rows_per_second", T.DoubleType()),
@@ -303,10 +304,12 @@ def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> Da
     """
     rows = []
     for q in queries:
+        status = (q.status or {}).get("message")
         for p in q.recentProgress:
             ops = p.get("stateOperators", []) if isinstance(p, dict) else []
             rows.append((
-                q.name, str(q.id), str(q.runId), bool(q.isActive), int(p.get("batchId", -1)),
+                q.name, str(q.id), str(q.runId), bool(q.isActive), status,
+                int(p.get("batchId", -1)),
                 int(p.get("numInputRows", 0)), float(p.get("inputRowsPerSecond", 0.0) or 0.0),
                 float(p.get("processedRowsPerSecond", 0.0) or 0.0),
                 int(p.get("durationMs", {}).get("triggerExecution", 0)),
