@@ -164,3 +164,28 @@ def test_bronze_batch_writers_follow_the_hot_hour(spark, tmp_path):
     assert per_hour.orderBy(F.desc("rows")).first()["files"] > 1
     again = P.write_bronze_batch(enriched, "b7", path, target_rows_per_file=2)   # retried batch
     assert again == n and spark.read.parquet(path).count() == n
+
+
+def test_writes_after_a_rollback_win_over_restated_rows(spark, tmp_path):
+    recs = FX.raw_json(spark, SF_SMALL)
+    bronze = ingest.enrich_raw(ingest.parse_records(recs), "b").persist()
+    first = bronze.filter(F.col("kafka_offset") < FX.DUP_OFFSET_SHIFT)
+    later = bronze.filter(F.col("kafka_offset") >= FX.DUP_OFFSET_SHIFT)
+    n_later = later.filter(F.col("_corrupt").isNull()).count()
+    at = F.lit("2024-03-01").cast("timestamp_ntz")
+
+    def live_later(log_path, generation):
+        dlq = log_path + "_dlq"
+        P.clean_batch(first, 0, log_path, dlq)
+        P.clean_batch(first, 1, log_path, dlq)
+        changelog.commit_rollback(spark, log_path, 0, committed_at=at)
+        # the re-deliveries arrive after the rollback and are newer
+        P.clean_batch(later, 3, log_path, dlq, generation=generation)
+        live = changelog.current(changelog.read_log(spark, log_path))
+        return live.join(later.select("event_id", "kafka_offset"),
+                         ["event_id", "kafka_offset"], "left_semi").count()
+
+    assert live_later(str(tmp_path / "a"), None) == n_later        # current generation: they win
+    assert live_later(str(tmp_path / "b"), 0) < n_later            # a stale generation would lose
+    assert changelog.current_generation(spark, str(tmp_path / "a")) == 1
+    bronze.unpersist()

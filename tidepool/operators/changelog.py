@@ -83,7 +83,7 @@ def history(log: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = None,
-                   key: str = KEY) -> DataFrame:
+                   key: str = KEY, generation: int | None = None) -> DataFrame:
     """The compensating batch to append so that current == as-of(version).
 
     One aggregation over the log gives, per key, both the latest row now and
@@ -93,7 +93,8 @@ def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = N
     and generation are scalar subqueries over the log (no collect).
     """
     next_batch = log.select(F.max("batch_id") + 1).scalar()
-    next_gen = log.select(F.max("generation") + 1).scalar()
+    next_gen = (F.lit(generation) if generation is not None
+                else log.select(F.max("generation") + 1).scalar())
     when = committed_at if committed_at is not None else F.current_timestamp().cast("timestamp_ntz")
     others = [c for c in log.columns if c != key]
     row, rec = F.struct(*others), F.struct(*RECENCY)
@@ -177,16 +178,38 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return df.withColumn("batch_id", F.col("batch_id").cast("int"))
 
 
+GENERATIONS = "_generations"   # hidden from data reads by the leading underscore
+
+
+def current_generation(spark: SparkSession, path: str) -> int:
+    """The log's generation: raised by each committed rollback (0 before any).
+
+    Writers tag new batches with it, so rows written after a rollback win
+    over the rows the rollback restated. Read from a one-row-per-rollback
+    marker table, not from the log.
+    """
+    try:
+        g = spark.read.parquet(f"{path}/{GENERATIONS}").agg(F.max("generation")).first()[0]
+    except Exception:  # noqa: BLE001 - no rollback committed yet
+        return 0
+    return int(g or 0)
+
+
 def commit_rollback(spark: SparkSession, path: str, version: int,
                     committed_at: Column | None = None, key: str = KEY) -> int:
     """K10 on disk: compute the rollback batch from the stored log and write it
-    as the next batch; returns its batch number.
+    as the next batch, then record its generation; returns its batch number.
 
     The batch is written before anything else reads it, so a chain of
-    rollbacks never grows one lineage (each starts from the files).
+    rollbacks never grows one lineage (each starts from the files). Run it
+    while the clean stream is paused: without a transaction log, a batch
+    written concurrently under the old generation would lose to the rollback.
     """
     log = read_log(spark, path)
-    batch = rollback_batch(log, version, committed_at, key)
-    next_id = log.agg(F.max("batch_id")).first()[0] + 1   # one scalar, to name the directory
-    write_batch(batch, path, next_id)
-    return int(next_id)
+    top = log.agg(F.max("batch_id"), F.max("generation")).first()   # two scalars
+    gen = max(int(top[1] or 0), current_generation(spark, path)) + 1
+    next_id = int(top[0]) + 1
+    write_batch(rollback_batch(log, version, committed_at, key, generation=gen), path, next_id)
+    spark.createDataFrame([(gen, next_id)], "generation int, batch_id int").write.mode("overwrite") \
+        .parquet(f"{path}/{GENERATIONS}/generation={gen}")
+    return next_id

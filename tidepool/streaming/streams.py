@@ -132,13 +132,17 @@ def bronze_stream(records: DataFrame, path: str, checkpoint: str,
 # ------------------------------------------------------------------ 2. clean
 
 def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
-                metrics_path: str | None = None, generation: int = 0) -> dict:
+                metrics_path: str | None = None, generation: int | None = None) -> dict:
     """K3 body: one micro-batch → log partition + DLQ partition + metrics row.
 
     Re-running the same ``epoch_id`` rewrites the same directories, so the
-    result is the same (exactly-once in effect).
+    result is the same (exactly-once in effect). Rows carry the log's current
+    generation (read per batch unless given), so they win over rows restated
+    by an earlier rollback.
     """
     spark = df.sparkSession
+    if generation is None:
+        generation = changelog.current_generation(spark, log_path)
     df = df.persist()
     try:
         good, bad = ingest.split_dead_letters(df)
@@ -168,7 +172,7 @@ def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
 
 def clean_stream(spark: SparkSession, bronze_path: str, log_path: str, dlq_path: str,
                  checkpoint: str, metrics_path: str | None = None, trigger: dict | None = None,
-                 max_files_per_trigger: int | None = None, generation: int = 0,
+                 max_files_per_trigger: int | None = None, generation: int | None = None,
                  query_name: str = "clean") -> StreamingQuery:
     """K3 + S4: stream the bronze table into the clean change log."""
     reader = spark.readStream.schema(bronze_schema(spark))
