@@ -139,6 +139,12 @@ def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
     result is the same (exactly-once in effect). Rows carry the log's current
     generation (read per batch unless given), so they win over rows restated
     by an earlier rollback.
+
+    The metrics are monitoring counters: ``rows_clean`` and
+    ``rows_dead_letter`` are observed in the writing (result) stages and are
+    exact; the pre-dedup count sits in a shuffle-map stage, which Spark may
+    re-run after an executor loss, so ``duplicates_removed`` can then be
+    over-stated. The tables themselves are unaffected.
     """
     spark = df.sparkSession
     if generation is None:
