@@ -93,6 +93,11 @@ def q_dedup_latest(spark, sf_dir):
     return _out(_deduped(spark, sf_dir), ("quantity",))
 
 
+def q_dedup_window_form(spark, sf_dir):
+    """W1/L1 as the row_number window (the default is the aggregate form)."""
+    return _out(refine.dedup_latest(bronze(spark, sf_dir), method="window"), ("quantity",))
+
+
 def q_null_defaults(spark, sf_dir):
     return _out(refine.handle_nulls(_deduped(spark, sf_dir)))
 
@@ -313,6 +318,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dead_letter_split": q_dead_letter_split,
     "replay_range": q_replay_range,
     "dedup_latest": q_dedup_latest,
+    "dedup_window_form": q_dedup_window_form,
     "null_defaults": q_null_defaults,
     "standardize": q_standardize,
     "derive": q_derive,

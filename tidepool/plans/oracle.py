@@ -505,6 +505,7 @@ def queries() -> dict[str, str]:
         "dead_letter_split": DEAD_LETTER,
         "replay_range": REPLAY,
         "dedup_latest": DEDUP,
+        "dedup_window_form": DEDUP,
         "null_defaults": NULLS,
         "standardize": STANDARDIZE,
         "derive": DERIVE,
