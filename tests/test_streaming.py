@@ -189,3 +189,18 @@ def test_writes_after_a_rollback_win_over_restated_rows(spark, tmp_path):
     assert live_later(str(tmp_path / "b"), 0) < n_later            # a stale generation would lose
     assert changelog.current_generation(spark, str(tmp_path / "a")) == 1
     bronze.unpersist()
+
+
+def test_backfill_a_date_range(spark, tmp_path):
+    recs = FX.raw_json(spark, SF_SMALL)
+    bronze = str(tmp_path / "bronze")
+    P.write_bronze_batch(ingest.enrich_raw(ingest.parse_records(recs), "b0"), "b0", bronze)
+    log = str(tmp_path / "log")
+    m = P.backfill_clean(spark, bronze, log, str(tmp_path / "dlq"), 0, "2024-01-05", "2024-01-09")
+    got = spark.read.parquet(log)
+    dates = {r[0] for r in got.select("event_date").distinct().collect()}
+    assert dates == {f"2024-01-0{d}" for d in range(5, 10)} and m["rows_clean"] == got.count()
+    # the date bounds reach the scan as partition filters
+    plan = spark.read.schema(P.bronze_schema(spark)).parquet(bronze) \
+        .filter("event_date >= '2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
