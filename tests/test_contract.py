@@ -1,7 +1,6 @@
 """Driver contract: stable, unique column names; oracle keys match queries."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
