@@ -204,3 +204,14 @@ def test_backfill_a_date_range(spark, tmp_path):
     plan = spark.read.schema(P.bronze_schema(spark)).parquet(bronze) \
         .filter("event_date >= '2024-01-05'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_json_lines_records_stream(spark, tmp_path):
+    src, out = str(tmp_path / "json"), str(tmp_path / "bronze")
+    FX.raw_json(spark, SF_SMALL).write.json(src)
+    recs = ingest.file_record_stream(spark, src, fmt="json")
+    _run(P.bronze_stream(recs, out, str(tmp_path / "ck"), ONCE))
+    got = spark.read.parquet(out)
+    assert got.count() == FX.raw_events(spark, SF_SMALL).count()
+    assert got.filter(F.col("_corrupt").isNotNull()).count() == \
+        FX.raw_events(spark, SF_SMALL).filter(F.col("kafka_offset") % FX.MALFORMED_EVERY == 0).count()
