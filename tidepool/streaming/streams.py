@@ -195,8 +195,13 @@ def clean_stream(spark: SparkSession, bronze_path: str, log_path: str, dlq_path:
                  checkpoint: str, metrics_path: str | None = None, trigger: dict | None = None,
                  max_files_per_trigger: int | None = None, generation: int | None = None,
                  query_name: str = "clean") -> StreamingQuery:
-    """K3 + S4: stream the bronze table into the clean change log."""
-    reader = spark.readStream.schema(bronze_schema(spark))
+    """K3 + S4: stream the bronze table into the clean change log.
+
+    A retried bronze epoch overwrites its directory; files listed before the
+    retry may then be gone, so missing files are skipped (the rewritten ones
+    arrive as new files; duplicates resolve by latest-per-key).
+    """
+    reader = spark.readStream.schema(bronze_schema(spark)).option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     src = reader.parquet(bronze_path)
@@ -253,7 +258,8 @@ def kpi_stream(spark: SparkSession, log_path: str, path: str, checkpoint: str,
     allows several stateful operators only in append mode, so ``update``
     counts users with one HLL aggregate (``exact=False``).
     """
-    src = spark.readStream.schema(log_schema(spark)).parquet(log_path)
+    src = (spark.readStream.schema(log_schema(spark)).option("ignoreMissingFiles", "true")
+           .parquet(log_path))   # a retried clean epoch rewrites its directory
     live = src.filter(~F.col("is_deleted"))
     if output_mode == "append":
         w = (kpi_frame(live, exact=exact).writeStream.format("parquet").outputMode("append")
