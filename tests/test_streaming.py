@@ -37,7 +37,7 @@ def test_streams_end_to_end(spark, tmp_path):
     n_files = bronze.select("_metadata.file_path").distinct().count()
     q2 = _run(P.clean_stream(spark, f"{root}/bronze", f"{root}/log", f"{root}/dlq", f"{ck}/clean",
                              f"{root}/metrics", ONCE, max_files_per_trigger=n_files // 3 + 1))
-    log = spark.read.parquet(f"{root}/log")
+    log = changelog.read_log(spark, f"{root}/log")
     assert log.select("batch_id").distinct().count() >= 2          # several epochs
     live = changelog.current(log)
     n_bad = raw.filter(F.col("kafka_offset") % FX.MALFORMED_EVERY == 0).count()
@@ -138,7 +138,7 @@ def test_start_streams_runs_three_chained_queries(spark, tmp_path):
     for _ in range(3):
         for q in P.start_streams(spark, records, root, ck, trigger=ONCE, max_files_per_trigger=None):
             _run(q)
-    live = changelog.current(spark.read.parquet(f"{root}/clean_log"))
+    live = changelog.current(changelog.read_log(spark, f"{root}/clean_log"))
     good = catalog.bronze(spark, SF_SMALL).filter(F.col("kafka_offset") % FX.MALFORMED_EVERY != 0)
     assert live.count() == refine.refine(good).count()
     assert spark.read.parquet(f"{root}/kpis").count() > 0
@@ -197,7 +197,7 @@ def test_backfill_a_date_range(spark, tmp_path):
     P.write_bronze_batch(ingest.enrich_raw(ingest.parse_records(recs), "b0"), "b0", bronze)
     log = str(tmp_path / "log")
     m = P.backfill_clean(spark, bronze, log, str(tmp_path / "dlq"), 0, "2024-01-05", "2024-01-09")
-    got = spark.read.parquet(log)
+    got = changelog.read_log(spark, log)
     dates = {r[0] for r in got.select("event_date").distinct().collect()}
     assert dates == {f"2024-01-0{d}" for d in range(5, 10)} and m["rows_clean"] == got.count()
     # the date bounds reach the scan as partition filters

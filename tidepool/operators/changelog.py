@@ -159,22 +159,32 @@ def evolve_append(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ on disk
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one log batch to ``path/batch_id=<n>``, overwriting that directory only.
+PARTITION_BY = ("event_date",)
 
-    Retrying the same batch gives the same log (idempotent). The rows carry
-    every log column except ``batch_id``, which the directory holds.
+
+def write_batch(rows: DataFrame, path: str, batch_id: int,
+                partition_by: Sequence[str] = PARTITION_BY) -> None:
+    """Write one log batch to ``path/batch_id=<n>/event_date=<d>/``, overwriting
+    that batch directory only.
+
+    Retrying the same batch gives the same log (idempotent). Date partitions
+    inside every batch let date-range reads prune files in all batches; as-of
+    reads prune on ``batch_id``. The directories hold ``batch_id`` and the
+    partition columns.
     """
-    rows.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    (rows.drop("batch_id").write.mode("overwrite").partitionBy(*partition_by)
+     .parquet(f"{path}/batch_id={int(batch_id)}"))
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The log table; ``batch_id`` comes from the directories (partition pruning
-    applies to as-of reads)."""
+    """The log table, with ``batch_id`` and ``event_date`` from the directories."""
     reader = spark.read.option("mergeSchema", "true")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(path)
+    if isinstance(df.schema["event_date"].dataType, T.DateType):
+        # partition discovery reads yyyy-MM-dd as DATE; the tables use the string
+        df = df.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
     return df.withColumn("batch_id", F.col("batch_id").cast("int"))
 
 

@@ -157,8 +157,8 @@ def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
         good = good.observe(o_good, F.count(F.lit(1)).alias("n"))
         clean = refine.refine(good, keep_order=True).observe(o_out, F.count(F.lit(1)).alias("n"))
         logged = changelog.as_log(clean, epoch_id, F.current_timestamp().cast("timestamp_ntz"),
-                                  generation).drop("batch_id")
-        logged.write.mode("overwrite").parquet(f"{log_path}/batch_id={epoch_id}")
+                                  generation)
+        changelog.write_batch(logged, log_path, epoch_id)
         dead = ingest.to_dead_letter(bad.observe(o_bad, F.count(F.lit(1)).alias("n")))
         dead.write.mode("overwrite").parquet(f"{dlq_path}/batch_id={epoch_id}")
         m = {
