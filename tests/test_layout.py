@@ -153,3 +153,14 @@ def test_snapshot_merge_on_read_equals_current(spark, tmp_path):
     got = changelog.read_current(spark, log_path, snap)
     assert cols(got) == cols(want)
     assert cols(want) == cols(changelog.as_of_version(log, 24))
+
+
+def test_history_from_batch_summaries_equals_history_of_the_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = catalog.change_log(spark, SF_SMALL)
+    for bid in range(30):
+        changelog.write_batch(log.filter(F.col("batch_id") == bid), path, bid)
+    changelog.commit_rollback(spark, path, 10, committed_at=F.lit("2024-02-01").cast("timestamp_ntz"))
+    fast = changelog.read_history(spark, path, 25)
+    slow = changelog.history(changelog.read_log(spark, path), 25).select(*fast.columns)
+    assert _bag(fast) == _bag(slow) and fast.first()["operation"] == "ROLLBACK"

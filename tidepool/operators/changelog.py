@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,6 +160,23 @@ def evolve_append(table: DataFrame, batch: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ on disk
 
 PARTITION_BY = ("event_date",)
+BATCHES = "_batches"          # per-batch summaries, hidden from data reads
+HISTORY_SCHEMA = T.StructType([
+    T.StructField("committed_at", T.TimestampNTZType()),
+    T.StructField("operation", T.StringType()),
+    T.StructField("generation", T.IntegerType()),
+    T.StructField("num_rows", T.LongType()),
+    T.StructField("num_deleted", T.LongType()),
+    T.StructField("first_event_time", T.TimestampNTZType()),
+    T.StructField("last_event_time", T.TimestampNTZType()),
+])
+
+
+def read_history(spark: SparkSession, path: str, limit: int = 20) -> DataFrame:
+    """S8 for a stored log: the batch summaries written with each batch,
+    newest first; reads one small row per batch, not the log."""
+    h = spark.read.parquet(f"{path}/{BATCHES}").withColumn("batch_id", F.col("batch_id").cast("int"))
+    return h.select("batch_id", *HISTORY_SCHEMA.fieldNames()).orderBy(F.col("batch_id").desc()).limit(limit)
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int,
@@ -172,8 +189,24 @@ def write_batch(rows: DataFrame, path: str, batch_id: int,
     reads prune on ``batch_id``. The directories hold ``batch_id`` and the
     partition columns.
     """
-    (rows.drop("batch_id").write.mode("overwrite").partitionBy(*partition_by)
+    obs = Observation(f"log_batch_{int(batch_id)}")
+    observed = rows.drop("batch_id").observe(
+        obs,
+        F.max("committed_at").alias("committed_at"),
+        F.max("operation").alias("operation"),
+        F.max("generation").alias("generation"),
+        F.count(F.lit(1)).alias("num_rows"),
+        F.count_if(F.col("is_deleted")).alias("num_deleted"),
+        F.min("kafka_timestamp").alias("first_event_time"),
+        F.max("kafka_timestamp").alias("last_event_time"),
+    )
+    (observed.write.mode("overwrite").partitionBy(*partition_by)
      .parquet(f"{path}/batch_id={int(batch_id)}"))
+    # one summary row per batch, from the write itself (result stage: exact)
+    summary = obs.get
+    spark = rows.sparkSession
+    spark.createDataFrame([summary], HISTORY_SCHEMA).write.mode("overwrite") \
+        .parquet(f"{path}/{BATCHES}/batch_id={int(batch_id)}")
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
