@@ -228,3 +228,24 @@ def test_downstream_survives_a_rewritten_upstream_batch(spark, tmp_path):
     live = changelog.current(changelog.read_log(spark, log))
     good = catalog.bronze(spark, SF_SMALL).filter(F.col("kafka_offset") % FX.MALFORMED_EVERY != 0)
     assert live.count() == refine.refine(good).count()              # duplicates resolved
+
+
+def test_readme_usage_flow(spark, tmp_path):
+    from tidepool.operators import layout, quality, serve, sinks
+    root = str(tmp_path / "lake")
+    FX.raw_json(spark, SF_SMALL).write.parquet(f"{root}/records")
+    for _ in range(3):                                   # availableNow runs settle the chain
+        for q in P.start_streams(spark, f"{root}/records", root, str(tmp_path / "ck"),
+                                 trigger=ONCE, max_files_per_trigger=None):
+            _run(q)
+    last = changelog.read_history(spark, f"{root}/clean_log", 1).first()["batch_id"]
+    changelog.write_snapshot(spark, f"{root}/clean_log", f"{root}/clean_snap", upto_batch=last)
+    clean = changelog.read_current(spark, f"{root}/clean_log", f"{root}/clean_snap")
+    counts = sinks.write_marts(clean, f"{root}/gold")
+    assert all(n > 0 for n in counts.values())
+    assert quality.summarize(quality.validate(clean, quality.silver_rules())).first()["total_records"] \
+        == clean.count()
+    assert serve.revenue_query(clean, "2024-01-01", "2024-03-31", granularity="weekly").count() > 0
+    changelog.commit_rollback(spark, f"{root}/clean_log", version=0)
+    res = layout.optimize_all(spark, {"silver": f"{root}/clean_snap"}, f"{root}/optimized").first()
+    assert res["status"] == "ok"
