@@ -25,7 +25,7 @@ event = st.tuples(
     st.integers(0, 10_000),                  # amount (cents)
 )
 events = st.lists(event, min_size=0, max_size=40)
-SETTINGS = settings(max_examples=15, deadline=None,
+SETTINGS = settings(max_examples=10, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -123,3 +123,13 @@ def test_session_sequence_positions_equal_row_number(spark, rows):
     want = df.select(*marts.SESSION_KEYS, F.row_number().over(w).cast("long").alias("position"),
                      "event_timestamp", "event_id", "event_type")
     assert _bag(got) == _bag(want)
+
+
+
+@SETTINGS
+@given(events)
+def test_session_mart_without_sequence_matches(spark, rows):
+    df = _frame(spark, rows).withColumn("country", F.lit("us")).withColumn("page", F.lit(1))
+    full = marts.session_mart(df).drop("event_sequence")
+    lean = marts.session_mart(df, with_sequence=False)
+    assert _bag(full) == _bag(lean.select(*full.columns))

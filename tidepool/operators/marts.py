@@ -80,9 +80,14 @@ def session_bounds(clean: DataFrame) -> DataFrame:
     )
 
 
-def session_mart(clean: DataFrame) -> DataFrame:
+def session_mart(clean: DataFrame, with_sequence: bool = True) -> DataFrame:
     """A2: one row per (session, user, device, channel, country, date) (D13 kept).
 
+    ``with_sequence=False`` leaves out ``event_sequence`` (one array per row,
+    built in one task per row); ``session_sequences`` gives the same order in
+    long form without that limit. Distinct types then come from a set bounded
+    by the event-type domain.
+
     One pass over the clean rows: each group also keeps its own first/last
     event time; the session bounds (W2) are then an aggregate over those
     group rows, joined back on ``session_id`` (the group rows' exchange is
@@ -100,12 +105,14 @@ def session_mart(clean: DataFrame) -> DataFrame:
         F.sum(F.when(_is("purchase"), F.col("total_amount")).otherwise(F.lit(0)))
          .cast("double").alias("session_revenue"),
         # ordered by (time, id): collect_list order is undefined after a shuffle
-        F.transform(F.array_sort(F.collect_list(ev)), lambda x: x["e"]).alias("event_sequence"),
+        *([F.transform(F.array_sort(F.collect_list(ev)), lambda x: x["e"]).alias("event_sequence")]
+          if with_sequence else [F.collect_set("event_type").alias("_types")]),
     )
-    # distinct types from the collected sequence: no count(distinct) rewrite,
+    # distinct types from the collected values: no count(distinct) rewrite,
     # which would add a second aggregation level over all rows
+    types = F.col("event_sequence") if with_sequence else F.col("_types")
     per_row = per_row.withColumn("distinct_event_types", F.size(F.array_distinct(
-        F.filter("event_sequence", lambda x: x.isNotNull()))).cast("long"))
+        F.filter(types, lambda x: x.isNotNull()))).cast("long")).drop("_types")
     bounds = per_row.groupBy("session_id").agg(
         F.min("_first").alias("session_start"), F.max("_last").alias("session_end"))
     return (
@@ -117,8 +124,8 @@ def session_mart(clean: DataFrame) -> DataFrame:
         })
         .select(*SESSION_KEYS, "session_start", "session_end", "total_events",
                 "distinct_event_types", "page_views", "add_to_cart_count", "purchase_count",
-                "session_revenue", "event_sequence", "session_duration_seconds",
-                "is_bounce", "has_conversion")
+                "session_revenue", *(["event_sequence"] if with_sequence else []),
+                "session_duration_seconds", "is_bounce", "has_conversion")
     )
 
 
