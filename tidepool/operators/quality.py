@@ -144,15 +144,18 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def summarize(report: DataFrame) -> DataFrame:
+def summarize(report: DataFrame, layer: str | None = None) -> DataFrame:
     """The report's header row: passed / failed / warned counts, overall pass.
 
     A failed CRITICAL rule (erroring or not) counts as failed; other failures
-    count as warnings unless they errored (as in Q5).
+    count as warnings unless they errored (as in Q5). With ``layer``, the row
+    also names the layer and the report time.
     """
     failed = (~F.col("passed")) & (F.col("level") == CRITICAL)
     warned = (~F.col("passed")) & (F.col("level") != CRITICAL) & F.col("error").isNull()
+    header = [F.lit(layer).alias("layer"), F.current_timestamp().alias("timestamp")] if layer else []
     return report.agg(
+        *header,
         F.max("total_records").alias("total_records"),
         F.count_if(F.col("passed")).alias("checks_passed"),
         F.count_if(failed).alias("checks_failed"),
