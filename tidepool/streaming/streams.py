@@ -132,7 +132,8 @@ def bronze_stream(records: DataFrame, path: str, checkpoint: str,
 # ------------------------------------------------------------------ 2. clean
 
 def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
-                metrics_path: str | None = None, generation: int | None = None) -> dict:
+                metrics_path: str | None = None, generation: int | None = None,
+                target_rows_per_file: int = TARGET_ROWS_PER_FILE) -> dict:
     """K3 body: one micro-batch → log partition + DLQ partition + metrics row.
 
     Re-running the same ``epoch_id`` rewrites the same directories, so the
@@ -140,33 +141,35 @@ def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
     generation (read per batch unless given), so they win over rows restated
     by an earlier rollback.
 
-    The metrics are monitoring counters: ``rows_clean`` and
-    ``rows_dead_letter`` are observed in the writing (result) stages and are
-    exact; the pre-dedup count sits in a shuffle-map stage, which Spark may
-    re-run after an executor loss, so ``duplicates_removed`` can then be
-    over-stated. The tables themselves are unaffected.
+    Streams run without AQE, so the log write is sized here: the batch's row
+    count (taken from the cached batch) sets how many writers remain after
+    the dedup shuffle (``coalesce``: no further shuffle), so a batch writes
+    about one file per date per ``target_rows_per_file`` rows instead of one
+    per shuffle partition per date. All counters are exact: the row count and
+    the two written outputs are measured, duplicates follow from them.
     """
     spark = df.sparkSession
     if generation is None:
         generation = changelog.current_generation(spark, log_path)
     df = df.persist()
     try:
+        rows_in = df.count()
+        writers = max(1, -(-rows_in // int(target_rows_per_file)))
         good, bad = ingest.split_dead_letters(df)
-        o_good, o_out, o_bad = (Observation(f"good_{epoch_id}"), Observation(f"out_{epoch_id}"),
-                                Observation(f"bad_{epoch_id}"))
-        good = good.observe(o_good, F.count(F.lit(1)).alias("n"))
+        o_out, o_bad = Observation(f"out_{epoch_id}"), Observation(f"bad_{epoch_id}")
         clean = refine.refine(good, keep_order=True).observe(o_out, F.count(F.lit(1)).alias("n"))
         logged = changelog.as_log(clean, epoch_id, F.current_timestamp().cast("timestamp_ntz"),
-                                  generation)
+                                  generation).coalesce(writers)
         changelog.write_batch(logged, log_path, epoch_id)
         dead = ingest.to_dead_letter(bad.observe(o_bad, F.count(F.lit(1)).alias("n")))
-        dead.write.mode("overwrite").parquet(f"{dlq_path}/batch_id={epoch_id}")
+        dead.coalesce(writers).write.mode("overwrite").parquet(f"{dlq_path}/batch_id={epoch_id}")
+        n_bad, n_out = int(o_bad.get["n"]), int(o_out.get["n"])
         m = {
             "batch_id": int(epoch_id),
-            "rows_in": int(o_good.get["n"]) + int(o_bad.get["n"]),
-            "rows_dead_letter": int(o_bad.get["n"]),
-            "rows_clean": int(o_out.get["n"]),
-            "duplicates_removed": int(o_good.get["n"]) - int(o_out.get["n"]),
+            "rows_in": int(rows_in),
+            "rows_dead_letter": n_bad,
+            "rows_clean": n_out,
+            "duplicates_removed": int(rows_in) - n_bad - n_out,
         }
         if metrics_path:
             spark.createDataFrame([m]).drop("batch_id").write.mode("overwrite") \
