@@ -312,49 +312,49 @@ def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "enrich_raw": q_enrich_raw,
-    "date_range_read": q_date_range_read,
-    "parse_json": q_parse_json,
-    "dead_letter_split": q_dead_letter_split,
-    "replay_range": q_replay_range,
-    "dedup_latest": q_dedup_latest,
-    "dedup_window_form": q_dedup_window_form,
-    "null_defaults": q_null_defaults,
-    "standardize": q_standardize,
-    "derive": q_derive,
-    "quality_score": q_quality_score,
-    "clean_all": q_clean_all,
-    "revenue_mart": q_revenue_mart,
-    "session_mart": q_session_mart,
-    "session_sequences": q_session_sequences,
-    "product_mart": q_product_mart,
-    "funnel_mart": q_funnel_mart,
-    "kpi_windows": q_kpi_windows,
-    "upsert_window_form": q_upsert_window_form,
-    "upsert_join_form": q_upsert_join_form,
-    "as_of_version": q_as_of_version,
-    "as_of_timestamp": q_as_of_timestamp,
-    "history": q_history,
-    "rollback": q_rollback,
-    "replace_from_min": q_replace_from_min,
-    "evolve_append": q_evolve_append,
-    "table_stats": q_table_stats,
-    "dq_bronze": q_dq_bronze,
-    "dq_silver": q_dq_silver,
-    "dq_summary": q_dq_summary,
-    "completeness_gate": q_completeness_gate,
-    "conform_v1": q_conform_v1,
-    "revenue_query": q_revenue_query,
-    "session_summary": q_session_summary,
-    "top_products": q_top_products,
-    "funnel_query": q_funnel_query,
-    "latest_kpis": q_latest_kpis,
-    "layer_counts": q_layer_counts,
-    "revenue_query_hourly": q_revenue_query_hourly,
-    "revenue_query_monthly": q_revenue_query_monthly,
-    "top_products_category": q_top_products_category,
-    "funnel_query_channel": q_funnel_query_channel,
-    "revenue_rollup": q_revenue_rollup,
+    "enrich_raw": q_enrich_raw,                       # P4, P9, P10, C9-C11
+    "date_range_read": q_date_range_read,             # S3, S5, F3
+    "parse_json": q_parse_json,                       # P1-P3, C10, C14
+    "dead_letter_split": q_dead_letter_split,         # K8, P6, D10
+    "replay_range": q_replay_range,                   # S2, D11
+    "dedup_latest": q_dedup_latest,                   # W1, F6, P5, D9
+    "dedup_window_form": q_dedup_window_form,         # W1, L1
+    "null_defaults": q_null_defaults,                 # C1
+    "standardize": q_standardize,                     # C2
+    "derive": q_derive,                               # C3, C4
+    "quality_score": q_quality_score,                 # C7, C8, D5
+    "clean_all": q_clean_all,                         # P7, P12, T11
+    "revenue_mart": q_revenue_mart,                   # A1, A7-A10, C5, F1, D6
+    "session_mart": q_session_mart,                   # A2, A15, A16, W2, C13, C16
+    "session_sequences": q_session_sequences,         # A16 (long form)
+    "product_mart": q_product_mart,                   # A3, A11-A13, C6, F2
+    "funnel_mart": q_funnel_mart,                     # A4, A14
+    "kpi_windows": q_kpi_windows,                     # A5, T3, P8
+    "upsert_window_form": q_upsert_window_form,       # K4
+    "upsert_join_form": q_upsert_join_form,           # J1
+    "as_of_version": q_as_of_version,                 # S6
+    "as_of_timestamp": q_as_of_timestamp,             # S7
+    "history": q_history,                             # S8, L2
+    "rollback": q_rollback,                           # K10
+    "replace_from_min": q_replace_from_min,           # K6, D12
+    "evolve_append": q_evolve_append,                 # K9
+    "table_stats": q_table_stats,                     # K16, A17, A18
+    "dq_bronze": q_dq_bronze,                         # Q1, Q2, Q6, Q8
+    "dq_silver": q_dq_silver,                         # Q1-Q4, Q7, F4, F5, F8
+    "dq_summary": q_dq_summary,                       # Q5
+    "completeness_gate": q_completeness_gate,         # Q9
+    "conform_v1": q_conform_v1,                       # G6
+    "revenue_query": q_revenue_query,                 # V1, L3
+    "session_summary": q_session_summary,             # V2, F7, D13
+    "top_products": q_top_products,                   # V3, L4
+    "funnel_query": q_funnel_query,                   # V4
+    "latest_kpis": q_latest_kpis,                     # V5
+    "layer_counts": q_layer_counts,                   # V6
+    "revenue_query_hourly": q_revenue_query_hourly,   # V1, F7, L3
+    "revenue_query_monthly": q_revenue_query_monthly,  # V1, F7
+    "top_products_category": q_top_products_category,  # V3, F7, L4
+    "funnel_query_channel": q_funnel_query_channel,   # V4, F7
+    "revenue_rollup": q_revenue_rollup,               # V1 (from the mart, HLL sketches)
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}
