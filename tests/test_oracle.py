@@ -45,11 +45,12 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+def test_every_exact_query_has_an_oracle():
+    from tidepool.plans import catalog
+    assert set(E.oracle_sql()) == set(E.queries()) - set(catalog.APPROXIMATE)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -80,7 +81,7 @@ def _as_text(df):
     return collections.Counter(tuple(txt(v) for v in r) for r in df.itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_pandas_representation_matches_oracle(spark, duck, name):
     # the same values reach pandas the same way from both engines (dtype-level parity)
     got = E.queries()[name](spark, SF_SMALL).toPandas()

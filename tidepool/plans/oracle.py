@@ -117,8 +117,8 @@ SELECT event_date, event_hour, category, channel_group, device_type, country, cu
   cast(min(total_amount) AS double) AS min_order_value,
   cast(max(total_amount) AS double) AS max_order_value,
   cast(quantile_disc(total_amount, 0.5) AS double) AS median_order_value,
-  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer,
-  round(cast(sum(quantity) AS double) / nullif(count(event_id), 0), 2) AS items_per_order
+  cast(round(cast(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0) AS decimal(38,10)), 2) AS double) AS revenue_per_buyer,
+  cast(round(cast(cast(sum(quantity) AS double) / nullif(count(event_id), 0) AS decimal(38,10)), 2) AS double) AS items_per_order
 FROM clean WHERE event_type = 'purchase'
 GROUP BY event_date, event_hour, category, channel_group, device_type, country, currency
 """
@@ -173,15 +173,15 @@ PRODUCT_AGG = """
   GROUP BY product_id, product_name, category, event_date"""
 
 PRODUCT_RATES = """
-  round(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END, 4) AS view_to_cart_rate,
-  round(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END, 4) AS cart_to_purchase_rate,
-  round(CASE WHEN views > 0 THEN purchases / views ELSE 0 END, 4) AS view_to_purchase_rate"""
+  cast(round(cast(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END AS decimal(38,10)), 4) AS double) AS view_to_cart_rate,
+  cast(round(cast(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END AS decimal(38,10)), 4) AS double) AS cart_to_purchase_rate,
+  cast(round(cast(CASE WHEN views > 0 THEN purchases / views ELSE 0 END AS decimal(38,10)), 4) AS double) AS view_to_purchase_rate"""
 
 PRODUCT = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + """
 SELECT *,
-  round(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END, 4) AS view_to_cart_rate,
-  round(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END, 4) AS cart_to_purchase_rate,
-  round(CASE WHEN views > 0 THEN purchases / views ELSE 0 END, 4) AS view_to_purchase_rate
+  cast(round(cast(CASE WHEN views > 0 THEN adds_to_cart / views ELSE 0 END AS decimal(38,10)), 4) AS double) AS view_to_cart_rate,
+  cast(round(cast(CASE WHEN adds_to_cart > 0 THEN purchases / adds_to_cart ELSE 0 END AS decimal(38,10)), 4) AS double) AS cart_to_purchase_rate,
+  cast(round(cast(CASE WHEN views > 0 THEN purchases / views ELSE 0 END AS decimal(38,10)), 4) AS double) AS view_to_purchase_rate
 FROM pagg
 """
 
@@ -197,12 +197,12 @@ def _funnel(keys: str, where: str = "") -> str:
 
 
 FUNNEL_RATES = """
-  round(stage_2_cart_adders / nullif(stage_1_viewers, 0), 4) AS view_to_cart_rate,
-  round(CASE WHEN stage_2_cart_adders > 0 THEN stage_3_checkout / stage_2_cart_adders ELSE 0 END, 4)
+  cast(round(cast(stage_2_cart_adders / nullif(stage_1_viewers, 0) AS decimal(38,10)), 4) AS double) AS view_to_cart_rate,
+  cast(round(cast(CASE WHEN stage_2_cart_adders > 0 THEN stage_3_checkout / stage_2_cart_adders ELSE 0 END AS decimal(38,10)), 4) AS double)
     AS cart_to_checkout_rate,
-  round(CASE WHEN stage_3_checkout > 0 THEN stage_4_purchasers / stage_3_checkout ELSE 0 END, 4)
+  cast(round(cast(CASE WHEN stage_3_checkout > 0 THEN stage_4_purchasers / stage_3_checkout ELSE 0 END AS decimal(38,10)), 4) AS double)
     AS checkout_to_purchase_rate,
-  round(CASE WHEN stage_1_viewers > 0 THEN stage_4_purchasers / stage_1_viewers ELSE 0 END, 4)
+  cast(round(cast(CASE WHEN stage_1_viewers > 0 THEN stage_4_purchasers / stage_1_viewers ELSE 0 END AS decimal(38,10)), 4) AS double)
     AS overall_conversion_rate"""
 
 FUNNEL = _ctes(f"f AS ({_funnel('event_date, channel_group, device_type')})") + \
@@ -332,7 +332,7 @@ def _rule(name, level, threshold, passing, table, description):
     desc = description.replace("'", "''")
     return (f"SELECT '{name}' AS \"check\", '{desc}' AS description, '{level}' AS level, "
             f"cast({threshold} AS double) AS threshold, "
-            f"round({rate}, 4) AS actual, {rate} >= {threshold} AS passed, "
+            f"cast(round(cast({rate} AS decimal(38,10)), 4) AS double) AS actual, {rate} >= {threshold} AS passed, "
             f"cast(NULL AS varchar) AS error, count(*) AS total_records FROM {table}")
 
 
@@ -405,25 +405,25 @@ SELECT strftime(date_trunc('week', event_timestamp), '%Y-%m-%d') AS event_date,
   cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
   count(DISTINCT user_id) AS unique_buyers,
   cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
-  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer
+  cast(round(cast(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0) AS decimal(38,10)), 2) AS double) AS revenue_per_buyer
 FROM clean
 WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
 GROUP BY 1 ORDER BY 1 LIMIT 100
 """
 SESSION_SUMMARY = SESSION.replace("\nSELECT c.session_id", ", sm AS (SELECT c.session_id", 1).rstrip() + f""")
 SELECT event_date, count(DISTINCT session_id) AS total_sessions,
-  round(avg(session_duration_seconds), 2) AS avg_session_duration,
-  round(avg(page_views), 2) AS avg_page_views,
-  round(avg(CASE WHEN is_bounce THEN 1 ELSE 0 END), 4) AS bounce_rate,
-  round(avg(CASE WHEN has_conversion THEN 1 ELSE 0 END), 4) AS conversion_rate,
-  round(sum(session_revenue), 2) AS total_revenue
+  cast(round(cast(avg(session_duration_seconds) AS decimal(38,10)), 2) AS double) AS avg_session_duration,
+  cast(round(cast(avg(page_views) AS decimal(38,10)), 2) AS double) AS avg_page_views,
+  cast(round(cast(avg(CASE WHEN is_bounce THEN 1 ELSE 0 END) AS decimal(38,10)), 4) AS double) AS bounce_rate,
+  cast(round(cast(avg(CASE WHEN has_conversion THEN 1 ELSE 0 END) AS decimal(38,10)), 4) AS double) AS conversion_rate,
+  cast(round(cast(sum(session_revenue) AS decimal(38,10)), 2) AS double) AS total_revenue
 FROM sm WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' AND device_type = 'mobile'
 GROUP BY event_date
 """
 TOP_PRODUCTS = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + f"""
 SELECT product_id, product_name, category, cast(sum(views) AS bigint) AS views,
-  cast(sum(purchases) AS bigint) AS purchases, round(sum(total_revenue), 2) AS total_revenue,
-  round(CASE WHEN sum(views) > 0 THEN sum(purchases) / sum(views) ELSE 0 END, 4) AS view_to_purchase_rate
+  cast(sum(purchases) AS bigint) AS purchases, cast(round(cast(sum(total_revenue) AS decimal(38,10)), 2) AS double) AS total_revenue,
+  cast(round(cast(CASE WHEN sum(views) > 0 THEN sum(purchases) / sum(views) ELSE 0 END AS decimal(38,10)), 4) AS double) AS view_to_purchase_rate
 FROM pagg WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
 GROUP BY product_id, product_name, category
 ORDER BY total_revenue DESC, product_id, category, product_name LIMIT 20
@@ -455,7 +455,7 @@ SELECT strftime(date_trunc('hour', event_timestamp), '%Y-%m-%d') AS event_date,
   cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
   count(DISTINCT user_id) AS unique_buyers,
   cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
-  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer
+  cast(round(cast(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0) AS decimal(38,10)), 2) AS double) AS revenue_per_buyer
 FROM clean
 WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
   AND category = 'electronics' AND channel_group = 'Paid Search'
@@ -467,7 +467,7 @@ SELECT strftime(date_trunc('month', event_timestamp), '%Y-%m-%d') AS event_date,
   cast(sum(total_amount) AS double) AS total_revenue, count(event_id) AS order_count,
   count(DISTINCT user_id) AS unique_buyers,
   cast(sum(total_amount) AS double) / count(total_amount) AS avg_order_value,
-  round(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0), 2) AS revenue_per_buyer
+  cast(round(cast(cast(sum(total_amount) AS double) / nullif(count(DISTINCT user_id), 0) AS decimal(38,10)), 2) AS double) AS revenue_per_buyer
 FROM clean
 WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
   AND country = 'us'
@@ -475,8 +475,8 @@ GROUP BY 1 ORDER BY 1 LIMIT 100
 """
 TOP_PRODUCTS_CATEGORY = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + f"""
 SELECT product_id, product_name, category, cast(sum(views) AS bigint) AS views,
-  cast(sum(purchases) AS bigint) AS purchases, round(sum(total_revenue), 2) AS total_revenue,
-  round(CASE WHEN sum(views) > 0 THEN sum(purchases) / sum(views) ELSE 0 END, 4) AS view_to_purchase_rate
+  cast(sum(purchases) AS bigint) AS purchases, cast(round(cast(sum(total_revenue) AS decimal(38,10)), 2) AS double) AS total_revenue,
+  cast(round(cast(CASE WHEN sum(views) > 0 THEN sum(purchases) / sum(views) ELSE 0 END AS decimal(38,10)), 4) AS double) AS view_to_purchase_rate
 FROM pagg WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' AND category = 'clothing'
 GROUP BY product_id, product_name, category
 ORDER BY total_revenue DESC, product_id, category, product_name LIMIT 3
@@ -541,6 +541,4 @@ def queries() -> dict[str, str]:
         "revenue_query_monthly": REVENUE_QUERY_MONTHLY,
         "top_products_category": TOP_PRODUCTS_CATEGORY,
         "funnel_query_channel": FUNNEL_QUERY_CHANNEL,
-        # exact distinct buyers: the sketch estimate is exact at this cardinality
-        "revenue_rollup": REVENUE_QUERY,
     }
