@@ -13,6 +13,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidepool.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -46,11 +47,10 @@ def duck():
 
 
 def test_every_exact_query_has_an_oracle():
-    from tidepool.plans import catalog
-    assert set(E.oracle_sql()) == set(E.queries()) - set(catalog.APPROXIMATE)
+    assert set(oracle.queries()) == set(catalog.QUERIES) - set(catalog.APPROXIMATE)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -81,7 +81,7 @@ def _as_text(df):
     return collections.Counter(tuple(txt(v) for v in r) for r in df.itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.queries()))
 def test_pandas_representation_matches_oracle(spark, duck, name):
     # the same values reach pandas the same way from both engines (dtype-level parity)
     got = E.queries()[name](spark, SF_SMALL).toPandas()

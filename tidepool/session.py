@@ -10,6 +10,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 # Settings the operators rely on for deterministic results.
 REQUIRED_CONF = {
     # event_date / event_hour are derived from timestamps.
@@ -32,6 +34,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TIDEPOOL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python workers import this package by name
+        .config("spark.executorEnv.PYTHONPATH", PACKAGE_ROOT)
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
