@@ -72,6 +72,24 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+class Rolling:
+    """64-bit hashes of ranges of a sequence of small numbers; equal for equal ranges wherever they stand."""
+
+    def __init__(self, values: np.ndarray):
+        self.size = len(values)
+        weighted = (values.astype(np.uint64) + np.uint64(1)) * powers(_BASE, self.size)[:self.size]
+        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighted)])
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (self.prefix[end] - self.prefix[start]) * powers(_INVERSE, self.size)[start]
+        return mix(h + (end - start).astype(np.uint64) * _M2)
+
+    def windows(self, k: int) -> np.ndarray:
+        """Hash of the ``k`` values from each place on."""
+        n = max(0, self.size - k + 1)
+        return mix((self.prefix[k:k + n] - self.prefix[:n]) * powers(_INVERSE, self.size)[:n])
+
+
 class Block:
     """Words of several texts at once: byte ranges, owners and 64-bit hashes, as flat arrays."""
 
@@ -88,15 +106,8 @@ class Block:
         self.first = np.searchsorted(self.start, self.doc_start)   # words before each text
         self.n_words = np.diff(self.first)
         self.owner = np.repeat(np.arange(self.n), self.n_words)
-        weighted = (self.bytes.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(raw))[:len(raw)]
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighted)])
-        self.words = self.range_hash(self.start, self.end)
-
-    def range_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of each byte range; equal for equal bytes wherever they stand."""
-        inv = powers(_INVERSE, len(self.bytes))
-        h = (self.prefix[end] - self.prefix[start]) * inv[start]
-        return mix(h + (end - start).astype(np.uint64) * _M2)
+        self.rolling = Rolling(self.bytes)
+        self.words = self.rolling.ranges(self.start, self.end)
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of every run of k words inside one text."""
@@ -132,6 +143,64 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+# ------------------------------------------------------------------ groups
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The groups of consecutive rows with equal first ``keys`` columns, across batch ends (null keys are equal)."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = list(zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True))
+        lo = 0
+        for i, row in enumerate(rows):
+            if row != last:
+                if i > lo:
+                    held.append(pa.Table.from_batches([batch.slice(lo, i - lo)]))
+                if held:
+                    yield pa.concat_tables(held)
+                held, lo, last = [], i, row
+        held.append(pa.Table.from_batches([batch.slice(lo)]))
+    if held:
+        yield pa.concat_tables(held)
+
+
+def block_pairs(rows: DataFrame, key: str, member: str, limit: int) -> DataFrame:
+    """Deal groups so that every two members of a group meet in one cell of at most about ``2 * limit`` rows.
+
+    A group of up to ``limit`` rows is one cell. A larger one is split by the member's hash into blocks, and a
+    row goes to the cells of its block with every block. Adds ``lo``, ``hi`` (the cell) and ``block``.
+    """
+    sizes = rows.groupBy(F.col(key).alias("__key")).agg(F.ceil(F.count("*") / limit).cast("int").alias("__blocks"))
+    dealt = rows.join(sizes, F.col(key) == F.col("__key")).withColumn(
+        "block", F.pmod(F.xxhash64(member), F.col("__blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
+    return (dealt.withColumn("__other", other)
+            .withColumns({"lo": F.least("block", "__other"), "hi": F.greatest("block", "__other")})
+            .drop("__key", "__blocks", "__other"))
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int = 27) -> np.ndarray:
+    """A bitmap of the low ``bits`` bits of every hash, as bytes: a filter of fixed size, whatever the input's.
+
+    Built by Spark in pieces of 4 KB; only the pieces (2**bits bits in all) reach the driver.
+    """
+    place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    pieces = hashes.groupBy(F.shiftright(place, 15).alias("k")).agg(
+        F.bitmap_construct_agg(place.bitwiseAND(F.lit(32767))).alias("m")).collect()
+    out = np.zeros(max(4096, (1 << bits) // 8), np.uint8)
+    for row in pieces:
+        out[row["k"] * 4096:(row["k"] + 1) * 4096] = np.frombuffer(row["m"], np.uint8)
+    return out
+
+
+def in_bitmap(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the bitmap (never misses one that is)."""
+    place = hashes & np.uint64(len(found) * 8 - 1)
+    return (found[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
 # ------------------------------------------------------------------ components
 
 def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,19 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidepool.llm import quality_rules
+from tidepool.llm import line_dedup, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_removed (lines taken out) and the text that stays, of every document."""
+    out = line_dedup.rewrite(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__removed").cast("long").alias("n_removed"), "text")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("mark")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_dedup": op4_line_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
