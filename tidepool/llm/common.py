@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -145,29 +146,15 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ groups
 
-def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The groups of consecutive rows with equal first ``keys`` columns, across batch ends (null keys are equal)."""
-    held: list[pa.Table] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = list(zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True))
-        lo = 0
-        for i, row in enumerate(rows):
-            if row != last:
-                if i > lo:
-                    held.append(pa.Table.from_batches([batch.slice(lo, i - lo)]))
-                if held:
-                    yield pa.concat_tables(held)
-                held, lo, last = [], i, row
-        held.append(pa.Table.from_batches([batch.slice(lo)]))
-    if held:
-        yield pa.concat_tables(held)
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(key, rows) of consecutive rows with equal first ``keys`` columns, across batch ends; one group is held."""
+    stream = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for key, rows in itertools.groupby(stream, key=lambda r: r[:keys]):
+        yield key, list(rows)
 
 
 def block_pairs(rows: DataFrame, key: str, member: str, limit: int) -> DataFrame:
-    """Deal groups so that every two members of a group meet in one cell of at most about ``2 * limit`` rows.
+    """Deal groups so that every two members of a group meet in one cell of about ``2 * limit`` rows at most.
 
     A group of up to ``limit`` rows is one cell. A larger one is split by the member's hash into blocks, and a
     row goes to the cells of its block with every block. Adds ``lo``, ``hi`` (the cell) and ``block``.
@@ -181,6 +168,36 @@ def block_pairs(rows: DataFrame, key: str, member: str, limit: int) -> DataFrame
             .drop("__key", "__blocks", "__other"))
 
 
+def unpack(values: np.ndarray, width: int) -> np.ndarray:
+    """Bucket below ``width`` of each 64-bit hash, rising with the hash."""
+    return (values >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)
+
+
+def packed(pairs: np.ndarray, width: int, key: str) -> pa.RecordBatch:
+    """Distinct records, sorted, as one binary value for each bucket of their ``key``."""
+    pairs = np.unique(pairs)
+    cut = np.searchsorted(unpack(pairs[key], width), np.arange(width + 1, dtype=np.uint64))
+    some = np.flatnonzero(np.diff(cut))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int32()), pa.array([pairs[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary())],
+        names=["bucket", "pairs"])
+
+
+def shared(batches: Iterator[pa.RecordBatch], kind: np.dtype, key: str, member: str) -> Iterator[np.ndarray]:
+    """Records of a partition's packed values whose ``key`` two or more members have, with the run's first."""
+    held = [np.frombuffer(p, kind) for b in batches for p in b.column("pairs").to_pylist()]
+    if not held:
+        return
+    pairs = np.unique(np.concatenate(held))
+    held.clear()
+    start = np.concatenate([[True], pairs[key][1:] != pairs[key][:-1]])
+    run = np.cumsum(start) - 1
+    many = np.bincount(run)[run] > 1
+    pairs, first = pairs[many], pairs[member][start][run][many]
+    for lo in range(0, len(pairs), 1 << 16):
+        yield pairs[lo:lo + (1 << 16)], first[lo:lo + (1 << 16)]
+
+
 def bitmap(hashes: DataFrame, column: str, bits: int = 27) -> np.ndarray:
     """A bitmap of the low ``bits`` bits of every hash, as bytes: a filter of fixed size, whatever the input's.
 

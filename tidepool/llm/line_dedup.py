@@ -112,15 +112,6 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate(held))
-            bucket = (pairs["key"] >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)   # keys are sorted, so buckets are
-            cut = np.searchsorted(bucket, np.arange(width + 1, dtype=np.uint64))
-            some = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([pairs[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary())],
-                names=["bucket", "pairs"])
-
         held, size = [], 0
         for batch in batches:
             for _, _, texts in C.chunks(batch):
@@ -133,29 +124,18 @@ def _packed(width: int):
                 held.append(pairs)
                 size += len(pairs)
                 if size >= FLUSH:
-                    yield flush(held)
+                    yield C.packed(np.concatenate(held), width, "key")
                     held, size = [], 0
         if held:
-            yield flush(held)
+            yield C.packed(np.concatenate(held), width, "key")
     return run
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, line, least) of the keys that two or more classes have; a partition holds whole keys."""
-    held = [np.frombuffer(p, PAIR) for b in batches for p in b.column("pairs").to_pylist()]
-    if not held:
-        return
-    pairs = np.unique(np.concatenate(held))
-    held.clear()
-    first = np.concatenate([[True], pairs["key"][1:] != pairs["key"][:-1]])
-    run = np.cumsum(first) - 1
-    least = pairs["line"][first][run]
-    many = np.bincount(run)[run] > 1
-    for lo in range(0, len(pairs), 1 << 16):
-        keep = slice(lo, lo + (1 << 16))
-        m = many[keep]
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep][m].view(np.int64)) for x in (
-            np.ascontiguousarray(pairs["key"]), np.ascontiguousarray(pairs["line"]), least)], names=["key", "line", "least"])
+    for pairs, least in C.shared(batches, PAIR, "key", "line"):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (
+            pairs["key"], pairs["line"], least)], names=["key", "line", "least"])
 
 
 def _wanted_texts(found: np.ndarray):
@@ -186,12 +166,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each cell between members of different components, all pairs that need it."""
-    for cell in C.runs(batches, 3):
-        lines, block, content = (cell.column(c).to_pylist() for c in ("line", "block", "content"))
-        root = dict(zip(lines, cell.column("component").to_pylist(), strict=True))
-        lo, hi = cell.column("lo")[0].as_py(), cell.column("hi")[0].as_py()
-        parent = {c: c for c in root.values()}
+    """Links of each cell (key, lo, hi) between members of different components, all pairs that need it."""
+    for (_, lo, hi), rows in C.groups(batches, 3):
+        lines, block, component, content = zip(*(r[3:] for r in rows), strict=True)
+        parent = {c: c for c in component}
 
         def find(c: int) -> int:
             while parent[c] != c:
@@ -202,7 +180,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = []
         for i in range(len(lines)):
             for j in range(i):
-                if (lo == hi or block[i] != block[j]) and (a := find(root[lines[i]])) != (b := find(root[lines[j]])) and alike(sets[i], sets[j]):
+                if (lo == hi or block[i] != block[j]) and (a := find(component[i])) != (b := find(component[j])) and alike(sets[i], sets[j]):
                     parent[a] = b
                     links.append((lines[i], lines[j]))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
