@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import line_dedup, quality_rules
+from tidepool.llm import line_dedup, ngram_join, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_equal(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_removed (lines taken out) and the text that stays, of every document."""
     out = line_dedup.rewrite(table(spark, sf_dir, "documents"))
@@ -25,6 +29,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
