@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import line_dedup, ngram_join, packing, quality_rules
+from tidepool.llm import line_dedup, mixing, ngram_join, packing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__removed").cast("long").alias("n_removed"), "text")
 
 
+def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block and slots: source, block (within source and epoch), epoch, slot, release, deadline."""
+    plan = mixing.schedule(table(spark, sf_dir, "documents"))
+    return plan.select(
+        F.col("__id").alias("doc_id"), F.expr("if(__source = '', null, substring(__source, 2))").alias("source"),
+        F.col("__block").alias("block"), F.col("__epoch").alias("epoch"), F.col("__slot").alias("slot"),
+        F.col("__release").alias("release"), F.col("__deadline").alias("deadline"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -36,6 +45,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
+    "op6_pfair_mixing": op6_pfair_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
