@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidepool.llm import common, quality_rules
+from tidepool.llm import common, line_dedup, mixing, ngram_join, packing, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +16,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_documents(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that stand, nearly equal, earlier in the corpus; documents with no line left go."""
+    return line_dedup.dedup_lines(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies (five-word shingles, Jaccard 0.8); rows with one doc_id are one document."""
+    groups = ngram_join.near_equal(docs, ngram_join.Join(words=5, num=4, den=5))
+    gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order of the Pfair schedule; those of sources with a share above their size come again."""
+    return mixing.mix(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenised documents with their sequence and offset."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing sources to target weights", mixed),
+    ("best-fit packing", packed),
 ]
 
 #: Tokenizers, covariance estimates and minimum hashes are beyond SQL; tests hold run() against brute force.
