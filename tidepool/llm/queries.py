@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import line_dedup, mixing, ngram_join, packing, quality_rules
+from tidepool.llm import common, line_dedup, mixing, ngram_join, packing, quality_rules, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__removed").cast("long").alias("n_removed"), "text")
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = common.shared_folder(spark)
+    shards = token_store.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return token_store.digest(spark, folder, shards)
+
+
 def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block and slots: source, block (within source and epoch), epoch, slot, release, deadline."""
     plan = mixing.schedule(table(spark, sf_dir, "documents"))
@@ -45,6 +51,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_store": op5_token_store,
     "op6_pfair_mixing": op6_pfair_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
