@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import common, line_dedup, mixing, ngram_join, packing, quality_rules, token_store
+from tidepool.llm import common, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__release").alias("release"), F.col("__deadline").alias("deadline"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_token_store": op5_token_store,
     "op6_pfair_mixing": op6_pfair_mixing,
+    "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
