@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import common, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, token_store
+from tidepool.llm import ann, common, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_balanced_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_equal(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_balanced_posting_lists": op2_balanced_posting_lists,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_store": op5_token_store,
