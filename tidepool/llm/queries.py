@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import ann, common, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, token_store
+from tidepool.llm import ann, common, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"))
+
+
 def op2_balanced_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -61,6 +65,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_balanced_posting_lists": op2_balanced_posting_lists,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
