@@ -144,11 +144,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
 
     Rows are range-partitioned and sorted by slot, so the files that are written hold consecutive slots.
     """
-    plan = schedule(docs, weights, seed).select(
-        F.col("__id").alias("__pid"), F.col("__whole").alias("__pwhole"), "__slot", "__epoch", F.col("__order").alias("__porder"))
-    once = plan.distinct()      # repeated rows are one plan row; the join gives each of them its place
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    joined = docs.withColumn("__whole", whole).join(
-        once, F.col("doc_id").cast("long").eqNullSafe(F.col("__pid")) & (F.col("__whole") == F.col("__pwhole")))
-    return (joined.repartitionByRange("__slot", "__porder").sortWithinPartitions("__slot", "__porder")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    # repeated rows are one plan row an epoch; the join gives each of them its place
+    once = schedule(docs, weights, seed).groupBy(F.col("__id").alias("__pid"), F.col("__whole").alias("__pwhole"), "__epoch").agg(
+        F.min("__slot").alias("__slot"), F.min("__order").alias("__porder"))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*every).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(*every).alias("whole"))
+    joined = rows.join(once, F.col("id").eqNullSafe(F.col("__pid")) & (F.col("whole") == F.col("__pwhole")))
+    return joined.repartitionByRange("__slot", "__porder").sortWithinPartitions("__slot", "__porder").select("row.*")
