@@ -8,7 +8,7 @@ from tidepool.operators import quality as Q
 from tidepool.plans import catalog
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_schema_is_stable_and_names_unique(spark, name):
     a = E.queries()[name](spark, SF_SMALL).schema
     b = E.queries()[name](spark, SF_SMALL).schema

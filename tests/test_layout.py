@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tidepool.operators import changelog, layout, marts, schemas
 from tidepool.plans import catalog
+from tidepool.streaming import streams
 
 
 def _bag(df):
@@ -33,13 +34,18 @@ def test_compaction_keeps_rows_and_reduces_files(spark, tmp_path):
     assert _bag(spark.read.parquet(out)) == _bag(spark.read.parquet(src))
 
 
-def test_partition_filtered_optimize(spark, tmp_path):
-    src, out = str(tmp_path / "t"), str(tmp_path / "o")
-    catalog.bronze(spark, SF_SMALL).drop("ingestion_timestamp").write.partitionBy("event_date").parquet(src)
-    layout.optimize(spark, src, out, where="event_date >= '2024-01-20'", partition_cols=["event_date"])
-    got = spark.read.parquet(out)
-    assert str(got.agg(F.min("event_date")).first()[0]) >= "2024-01-20"
-    assert got.count() == spark.read.parquet(src).filter("event_date >= '2024-01-20'").count()
+def test_partition_filtered_optimize_in_place(spark, tmp_path):
+    src = str(tmp_path / "t")
+    bronze = catalog.bronze(spark, SF_SMALL).drop("ingestion_timestamp")
+    bronze.repartition(6).write.partitionBy("event_date").parquet(src)
+    rows = _bag(spark.read.parquet(src))
+    files = {r[0] for r in spark.read.parquet(src).select("_metadata.file_path").distinct().collect()}
+    details = layout.optimize_in_place(spark, src, str(tmp_path / "staged"), where="event_date >= '2024-01-20'").first()
+    spark.catalog.refreshByPath(src)
+    assert _bag(spark.read.parquet(src)) == rows and details["partitioning"] == ["event_date"]
+    now = {r[0] for r in spark.read.parquet(src).select("_metadata.file_path").distinct().collect()}
+    early = {f for f in files if f.split("event_date=")[1][:10] < "2024-01-20"}
+    assert early <= now and len(now) < len(files)            # other partitions keep their files
 
 
 def test_zorder_clusters_for_skipping(spark, tmp_path):
@@ -64,8 +70,16 @@ def test_optimize_all_reports_each_table(spark, tmp_path):
     res = {r["table"]: r for r in layout.optimize_all(
         spark, {"ok": ok, "missing": str(tmp_path / "nope")}, str(tmp_path / "out"),
         zorder_config={"ok": ["id"]}).collect()}
-    assert res["ok"]["status"] == "ok" and res["ok"]["row_count"] == 100
-    assert res["missing"]["status"].startswith("skipped")
+    assert res["ok"]["status"] == "optimized" and res["ok"]["row_count"] == 100
+    assert res["missing"]["status"] == "absent"
+
+
+def test_optimize_all_keeps_the_partitioning(spark, tmp_path):
+    src, out = str(tmp_path / "t"), str(tmp_path / "out")
+    spark.range(60).selectExpr("id", "id % 3 AS d", "id % 2 AS h").write.partitionBy("d", "h").parquet(src)
+    layout.optimize_all(spark, {"silver": src}, out, zorder_config={"silver": ["id"]})
+    assert layout.partitioning(spark, f"{out}/silver") == ["d", "h"]
+    assert spark.read.parquet(f"{out}/silver").count() == 60
 
 
 def test_table_details(spark, tmp_path):
@@ -97,70 +111,47 @@ def test_zorder_splits_a_hot_key(spark, tmp_path):
     assert max(sizes) <= 2 * 3000 / 6 and sum(sizes) == 3000
 
 
+def _stored(spark, path):
+    return changelog.read_log(spark, path, streams.log_schema(spark))
+
+
+def _live(df):
+    d = df.drop("silver_processed_at")
+    return _bag(d.select(*sorted(d.columns)))       # partition columns come back last
+
+
 def test_change_log_on_disk_rollback_chain(spark, tmp_path):
     path = str(tmp_path / "log")
     log = catalog.change_log(spark, SF_SMALL)
-    for b in range(0, 30, 10):                      # three writes of ten batches each
-        part = log.filter((F.col("batch_id") >= b) & (F.col("batch_id") < b + 10))
-        for bid in range(b, b + 10):
-            changelog.write_batch(part.filter(F.col("batch_id") == bid), path, bid)
-    stored = changelog.read_log(spark, path)
-
-    def live(df):
-        d = df.drop("silver_processed_at")
-        return _bag(d.select(*sorted(d.columns)))   # partition columns come back last
-    assert live(changelog.current(stored)) == live(changelog.current(log))
+    for bid in range(30):
+        changelog.write_batch(log.filter(F.col("batch_id") == bid), path, bid)
+    assert _live(changelog.current(_stored(spark, path))) == _live(changelog.current(log))
     at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    first = changelog.commit_rollback(spark, path, 14, committed_at=at)
-    second = changelog.commit_rollback(spark, path, 5, committed_at=at)
-    assert (first, second) == (30, 31)
-    stored = changelog.read_log(spark, path)
-    assert live(changelog.current(stored)) == live(changelog.as_of_version(log, 5))
-    # history keeps every batch, newest first, rollbacks marked
+    schema = streams.log_schema(spark)
+    generations = [changelog.write_rollback(spark, path, v, schema, committed_at=at) for v in (14, 5)]
+    assert generations == [1, 2]
+    stored = _stored(spark, path)
+    assert _live(changelog.current(stored)) == _live(changelog.as_of_version(log, 5))
+    # only keys that changed after the version are written again
+    changed = log.filter("batch_id > 14").select("event_id").distinct().count()
+    assert stored.filter("writer = 'rollback' and generation = 1").count() == changed
     h = changelog.history(stored, 3).collect()
     assert [r["batch_id"] for r in h] == [31, 30, 29] and h[0]["operation"] == "ROLLBACK"
-    # retrying a batch write changes nothing
-    before = changelog.read_log(spark, path).count()
-    changelog.write_batch(log.filter(F.col("batch_id") == 3), path, 3)
-    assert changelog.read_log(spark, path).count() == before
+    before = stored.count()
+    changelog.write_batch(log.filter(F.col("batch_id") == 3), path, 3)      # a retried batch
+    assert _stored(spark, path).count() == before
 
 
-def test_log_date_filters_prune_partitions(spark, tmp_path):
+def test_log_filters_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "log")
     log = catalog.change_log(spark, SF_SMALL)
     for bid in (0, 1, 2):
         changelog.write_batch(log.filter(F.col("batch_id") == bid), path, bid)
-    q = changelog.read_log(spark, path).filter(F.col("event_date") == "2024-01-02")
+    q = _stored(spark, path).filter(F.col("event_date") == "2024-01-02")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1][:200]
     assert q.count() == log.filter(F.col("event_date") == "2024-01-02").filter("batch_id <= 2").count()
-
-
-def test_snapshot_merge_on_read_equals_current(spark, tmp_path):
-    log_path, snap = str(tmp_path / "log"), str(tmp_path / "snap")
-    log = catalog.change_log(spark, SF_SMALL)
-    for bid in range(30):
-        changelog.write_batch(log.filter(F.col("batch_id") == bid), log_path, bid)
-    changelog.write_snapshot(spark, log_path, snap, 19)
-    # later writes: a rollback (tombstones, restated rows) after the snapshot
-    changelog.commit_rollback(spark, log_path, 24,
-                              committed_at=F.lit("2024-02-01").cast("timestamp_ntz"))
-
-    def cols(df):
-        d = df.drop("silver_processed_at")
-        return _bag(d.select(*sorted(d.columns)))
-    want = changelog.current(changelog.read_log(spark, log_path))
-    got = changelog.read_current(spark, log_path, snap)
-    assert cols(got) == cols(want)
-    assert cols(want) == cols(changelog.as_of_version(log, 24))
-
-
-def test_history_from_batch_summaries_equals_history_of_the_log(spark, tmp_path):
-    path = str(tmp_path / "log")
-    log = catalog.change_log(spark, SF_SMALL)
-    for bid in range(30):
-        changelog.write_batch(log.filter(F.col("batch_id") == bid), path, bid)
-    changelog.commit_rollback(spark, path, 10, committed_at=F.lit("2024-02-01").cast("timestamp_ntz"))
-    fast = changelog.read_history(spark, path, 25)
-    slow = changelog.history(changelog.read_log(spark, path), 25).select(*fast.columns)
-    assert _bag(fast) == _bag(slow) and fast.first()["operation"] == "ROLLBACK"
+    ts = log.filter("batch_id = 1").agg(F.max("committed_at").cast("string")).first()[0]
+    stored = _stored(spark, path)
+    by_time = changelog.as_of_time_batches(stored, changelog.history(log, 100), ts)
+    assert _live(by_time) == _live(changelog.as_of_timestamp(stored, ts))

@@ -1,8 +1,9 @@
 """Upsert, time travel and rollback on an append-only change log.
 
-The clean table is stored as an append-only log partitioned by ``batch_id``;
-each batch is written by overwriting its own partition, so a retried batch
-is idempotent. Every row carries its recency (``kafka_timestamp``,
+The clean table is stored as an append-only log under ``writer=<who>/batch_id=<n>/event_date=<d>``;
+each batch is written by overwriting its own directory, so a retried batch
+is idempotent, and streams, backfills and rollbacks number their batches
+apart. Every row carries its recency (``kafka_timestamp``,
 ``kafka_offset``), its ``batch_id``, ``committed_at``, the table
 ``generation`` (raised by each rollback), ``is_deleted`` and ``operation``.
 
@@ -10,19 +11,15 @@ is idempotent. Every row carries its recency (``kafka_timestamp``,
                  tombstones removed                              (K4, J1)
 * as-of v / ts = the same over ``batch_id <= v`` / ``committed_at <= ts``  (S6, S7)
 * history      = one row per batch, newest first                 (S8, L2)
-* rollback(v)  = append a batch that restates as-of(v) and tombstones keys
-                 that appeared after v                           (K10)
-
-"Latest per key" is the skew-safe aggregate form of ``dedup_latest``.
-Compaction that folds old batches into a snapshot gives up as-of reads
-before the snapshot.
+* rollback(v)  = append a batch that restates keys changed after v as they were at v
+                 and tombstones keys that appeared after v      (K10)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +27,7 @@ from tidepool.operators.refine import dedup_latest
 
 KEY = "event_id"
 RECENCY = ["generation", "kafka_timestamp", "kafka_offset", "batch_id"]
-LOG_META = ["batch_id", "committed_at", "generation", "is_deleted", "operation"]
+LOG_META = ["writer", "batch_id", "committed_at", "generation", "is_deleted", "operation"]
 
 
 def as_log(rows: DataFrame, batch_id: Column | int, committed_at: Column,
@@ -86,35 +83,27 @@ def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = N
                    key: str = KEY, generation: int | None = None) -> DataFrame:
     """The compensating batch to append so that current == as-of(version).
 
-    One aggregation over the log gives, per key, both the latest row now and
-    the latest row at ``version`` (``max_by`` skips rows whose ordering is
-    NULL, i.e. rows after ``version``). Keys live at ``version`` are
-    restated; keys live now but not then get tombstones. Its batch number
-    and generation are scalar subqueries over the log (no collect).
+    Only keys with a row after ``version`` can differ, so only those are
+    looked at (a semi-join on the later batches' keys). Their latest row at
+    ``version`` is restated; keys without one get a tombstone. The batch
+    number and generation come from one scalar subquery over the log.
     """
-    next_batch = log.select(F.max("batch_id") + 1).scalar()
-    next_gen = (F.lit(generation) if generation is not None
-                else log.select(F.max("generation") + 1).scalar())
+    top = log.select(F.struct((F.max("batch_id") + 1).alias("batch_id"),
+                              (F.max("generation") + 1).alias("generation"))).scalar()
+    next_gen = F.lit(generation) if generation is not None else top["generation"]
     when = committed_at if committed_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    others = [c for c in log.columns if c != key]
-    row, rec = F.struct(*others), F.struct(*RECENCY)
-    picks = log.groupBy(key).agg(
-        F.max_by(row, rec).alias("_now"),
-        F.max_by(row, F.when(F.col("batch_id") <= F.lit(version), rec)).alias("_then"),
-    )
-    then_live = F.col("_then").isNotNull() & ~F.col("_then.is_deleted")
-    now_live = F.col("_now").isNotNull() & ~F.col("_now.is_deleted")
-    chosen = (picks.filter(then_live | now_live)
-              .withColumn("_dead", ~then_live)
-              .withColumn("_r", F.when(then_live, F.col("_then")).otherwise(F.col("_now"))))
-    return chosen.select(key, *[F.col("_r").getField(c).alias(c) for c in others], "_dead") \
-        .withColumns({
-            "batch_id": next_batch.cast("int"),
-            "committed_at": when.cast("timestamp_ntz"),
-            "generation": next_gen.cast("int"),
-            "is_deleted": F.col("_dead"),
-            "operation": F.lit("ROLLBACK"),
-        }).drop("_dead").select(*log.columns)
+    changed = log.filter(F.col("batch_id") > version).select(key).distinct()
+    touched = log.join(changed, key, "left_semi")
+    now = dedup_latest(touched, key=key, order=RECENCY)
+    then = dedup_latest(touched.filter(F.col("batch_id") <= version), key=key, order=RECENCY)
+    back = then.filter(~F.col("is_deleted"))
+    dead = now.filter(~F.col("is_deleted")).join(back.select(key), key, "left_anti").withColumn("is_deleted", F.lit(True))
+    return back.unionByName(dead).withColumns({
+        "batch_id": top["batch_id"].cast("int"),
+        "committed_at": when.cast("timestamp_ntz"),
+        "generation": next_gen.cast("int"),
+        "operation": F.lit("ROLLBACK"),
+    }).select(*log.columns)
 
 
 def rollback(log: DataFrame, version: int, committed_at: Column | None = None,
@@ -139,15 +128,16 @@ def upsert_join(target: DataFrame, source: DataFrame, key: str = KEY) -> DataFra
 
 
 def replace_from_min(old: DataFrame, new: DataFrame, column: str = "event_date",
-                     only_present: bool = False) -> DataFrame:
+                     only_present: bool = False, since: Column | None = None) -> DataFrame:
     """K6: replace ``old`` from ``min(new[column])`` on (D12); or only the dates present.
 
-    The minimum is a scalar subquery, not a driver collect.
+    The minimum is a scalar subquery, not a driver collect; ``since`` gives it
+    when the caller can take it from something cheaper than ``new``.
     """
     if only_present:
         keep = old.join(new.select(column).distinct(), column, "left_anti")
     else:
-        lo = new.select(F.min(column)).scalar()
+        lo = since if since is not None else new.select(F.min(column)).scalar()
         keep = old.filter(F.col(column) < lo)
     return keep.unionByName(new)
 
@@ -160,137 +150,48 @@ def evolve_append(table: DataFrame, batch: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ on disk
 
 PARTITION_BY = ("event_date",)
-BATCHES = "_batches"          # per-batch summaries, hidden from data reads
-HISTORY_SCHEMA = T.StructType([
-    T.StructField("committed_at", T.TimestampNTZType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("generation", T.IntegerType()),
-    T.StructField("num_rows", T.LongType()),
-    T.StructField("num_deleted", T.LongType()),
-    T.StructField("first_event_time", T.TimestampNTZType()),
-    T.StructField("last_event_time", T.TimestampNTZType()),
-])
-
-
-def read_history(spark: SparkSession, path: str, limit: int = 20) -> DataFrame:
-    """S8 for a stored log: the batch summaries written with each batch,
-    newest first; reads one small row per batch, not the log."""
-    h = spark.read.parquet(f"{path}/{BATCHES}").withColumn("batch_id", F.col("batch_id").cast("int"))
-    return h.select("batch_id", *HISTORY_SCHEMA.fieldNames()).orderBy(F.col("batch_id").desc()).limit(limit)
-
-
-def write_batch(rows: DataFrame, path: str, batch_id: int,
-                partition_by: Sequence[str] = PARTITION_BY) -> None:
-    """Write one log batch to ``path/batch_id=<n>/event_date=<d>/``, overwriting
-    that batch directory only.
-
-    Retrying the same batch gives the same log (idempotent). Date partitions
-    inside every batch let date-range reads prune files in all batches; as-of
-    reads prune on ``batch_id``. The directories hold ``batch_id`` and the
-    partition columns.
-    """
-    obs = Observation(f"log_batch_{int(batch_id)}")
-    observed = rows.drop("batch_id").observe(
-        obs,
-        F.max("committed_at").alias("committed_at"),
-        F.max("operation").alias("operation"),
-        F.max("generation").alias("generation"),
-        F.count(F.lit(1)).alias("num_rows"),
-        F.count_if(F.col("is_deleted")).alias("num_deleted"),
-        F.min("kafka_timestamp").alias("first_event_time"),
-        F.max("kafka_timestamp").alias("last_event_time"),
-    )
-    (observed.write.mode("overwrite").partitionBy(*partition_by)
-     .parquet(f"{path}/batch_id={int(batch_id)}"))
-    # one summary row per batch, from the write itself (result stage: exact)
-    summary = obs.get
-    spark = rows.sparkSession
-    spark.createDataFrame([summary], HISTORY_SCHEMA).write.mode("overwrite") \
-        .parquet(f"{path}/{BATCHES}/batch_id={int(batch_id)}")
-
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The log table, with ``batch_id`` and ``event_date`` from the directories."""
-    reader = spark.read.option("mergeSchema", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
-    if isinstance(df.schema["event_date"].dataType, T.DateType):
-        # partition discovery reads yyyy-MM-dd as DATE; the tables use the string
-        df = df.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
-    return df.withColumn("batch_id", F.col("batch_id").cast("int"))
 
+def log_path(path: str, writer: str, batch_id: int) -> str:
+    """Directory of one batch of one writer (``stream``, ``backfill``, ``rollback``)."""
+    return f"{path}/writer={writer}/batch_id={int(batch_id)}"
 
-GENERATIONS = "_generations"   # hidden from data reads by the leading underscore
 
+def write_batch(rows: DataFrame, path: str, batch_id: int, writer: str = "stream",
+                partition_by: Sequence[str] = PARTITION_BY) -> None:
+    """Write one log batch to its directory, overwriting that directory only.
 
-def current_generation(spark: SparkSession, path: str) -> int:
-    """The log's generation: raised by each committed rollback (0 before any).
-
-    Writers tag new batches with it, so rows written after a rollback win
-    over the rows the rollback restated. Read from a one-row-per-rollback
-    marker table, not from the log.
-    """
-    try:
-        g = spark.read.parquet(f"{path}/{GENERATIONS}").agg(F.max("generation")).first()[0]
-    except Exception:  # noqa: BLE001 - no rollback committed yet
-        return 0
-    return int(g or 0)
-
-
-def commit_rollback(spark: SparkSession, path: str, version: int,
-                    committed_at: Column | None = None, key: str = KEY) -> int:
-    """K10 on disk: compute the rollback batch from the stored log and write it
-    as the next batch, then record its generation; returns its batch number.
-
-    The batch is written before anything else reads it, so a chain of
-    rollbacks never grows one lineage (each starts from the files). Run it
-    while the clean stream is paused: without a transaction log, a batch
-    written concurrently under the old generation would lose to the rollback.
+    Retrying the same batch gives the same log (idempotent). Date partitions
+    inside every batch let date-range reads prune files in all batches; as-of
+    reads prune on ``batch_id``. The directories hold ``writer``, ``batch_id``
+    and the partition columns.
     """
-    log = read_log(spark, path)
-    top = log.agg(F.max("batch_id"), F.max("generation")).first()   # two scalars
-    gen = max(int(top[1] or 0), current_generation(spark, path)) + 1
-    next_id = int(top[0]) + 1
-    write_batch(rollback_batch(log, version, committed_at, key, generation=gen), path, next_id)
-    spark.createDataFrame([(gen, next_id)], "generation int, batch_id int").write.mode("overwrite") \
-        .parquet(f"{path}/{GENERATIONS}/generation={gen}")
-    return next_id
-
+    rows.drop("batch_id").write.mode("overwrite").partitionBy(*partition_by).parquet(log_path(path, writer, batch_id))
 
-# ------------------------------------------------------------------ snapshots
 
-def write_snapshot(spark: SparkSession, log_path: str, snap_path: str, upto_batch: int) -> None:
-    """Fold batches ``<= upto_batch`` into a snapshot of the live rows, written
-    to ``snap_path/upto=<n>/event_date=…`` (overwrite: idempotent).
-
-    Log metadata is kept so later batches can be merged exactly. The log
-    itself is untouched, so as-of reads before the snapshot still work.
-    """
-    log = read_log(spark, log_path).filter(F.col("batch_id") <= upto_batch)
-    latest = current(log, keep_meta=True)
-    (latest.write.mode("overwrite").partitionBy(*PARTITION_BY)
-     .parquet(f"{snap_path}/upto={int(upto_batch)}"))
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The log table under its declared schema (no footer is opened to find it),
+    with ``writer``, ``batch_id`` and ``event_date`` from the directories."""
+    return spark.read.schema(schema).parquet(path)
 
 
-def read_current(spark: SparkSession, log_path: str, snap_path: str, key: str = KEY) -> DataFrame:
-    """Current table = latest snapshot merged with the batches written after it.
+def write_rollback(spark: SparkSession, path: str, version: int, schema: T.StructType,
+                   committed_at: Column | None = None, key: str = KEY) -> int:
+    """K10 on disk: write the rollback batch of the stored log; returns its generation.
 
-    Snapshot rows whose key has no newer batch row are taken as they are
-    (an anti-join against the recent keys: no shuffle of the snapshot when
-    the recent key set is measured small); only the recent keys are resolved
-    by latest-per-key, over their snapshot rows and recent rows. Equal to
-    ``current(read_log(...))``.
+    Run it between runs of the clean stream, and start the stream again with
+    the returned generation, so that its rows win over the restated ones.
     """
-    snaps = spark.read.parquet(snap_path)
-    if isinstance(snaps.schema["event_date"].dataType, T.DateType):
-        snaps = snaps.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
-    upto = snaps.select(F.max("upto")).scalar()
-    snap = snaps.filter(F.col("upto") == upto).drop("upto")
-    recent = read_log(spark, log_path).filter(F.col("batch_id") > upto)
-    recent = recent.select(*snap.columns)
-    keys = recent.select(key).distinct()
-    untouched = snap.join(keys, key, "left_anti")
-    contested = snap.join(keys, key, "left_semi").unionByName(recent)
-    merged = dedup_latest(contested, key=key, order=RECENCY).filter(~F.col("is_deleted"))
-    return untouched.unionByName(merged).drop(*LOG_META)
+    log = read_log(spark, path, schema)
+    top = log.agg(F.max("batch_id").alias("batch_id"), F.max("generation").alias("generation")).first()
+    generation = int(top["generation"] or 0) + 1
+    batch = rollback_batch(log, version, committed_at, key, generation)
+    write_batch(batch.drop("writer"), path, int(top["batch_id"]) + 1, "rollback")
+    return generation
+
+
+def as_of_time_batches(log: DataFrame, commits: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+    """S7 with batch pruning: ``commits`` (batch_id, committed_at; one row a batch, such as
+    ``history``'s) maps the time to batch ids, which prune the log's directories."""
+    upto = commits.filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz")).select(F.max("batch_id")).scalar()
+    return as_of_timestamp(log.filter(F.col("batch_id") <= upto), ts, key)

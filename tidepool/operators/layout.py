@@ -8,11 +8,14 @@ data for filters on any of them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidepool.operators.sinks import table_exists
 
 
 def table_stats(df: DataFrame, date_col: str = "event_date", type_col: str = "event_type") -> DataFrame:
@@ -128,32 +131,55 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     return z
 
 
-def zorder(df: DataFrame, columns: Sequence[str], num_files: int, bits: int = 6) -> DataFrame:
+def zorder(df: DataFrame, columns: Sequence[str], num_files: int | None = None, bits: int = 6) -> DataFrame:
     """Rows range-partitioned and sorted on the Z-key (then dropped).
 
-    A hash of the whole row breaks ties in the range key, so rows sharing
-    one Z-value (a hot key) still spread over several files; the hash is
-    deterministic, so a retried task writes the same rows.
+    Inside a Z-cell rows are ordered by the columns themselves, so cells that
+    hold many values still skip; a hash of the whole row breaks the last ties,
+    so rows sharing one value (a hot key) spread over several files, and a
+    retried task writes the same rows. Without ``num_files`` the session's
+    shuffle width and AQE's target size decide how many files there are.
     """
     cols = [F.col(c) for c in df.columns]
-    return (df.withColumns({"_z": zorder_key(df, columns, bits), "_h": F.xxhash64(*cols)})
-            .repartitionByRange(num_files, "_z", "_h")
-            .sortWithinPartitions("_z", "_h")
-            .drop("_z", "_h"))
+    keyed = df.withColumns({"_z": zorder_key(df, columns, bits), "_h": F.xxhash64(*cols)})
+    order = ["_z", *columns, "_h"]
+    dealt = keyed.repartitionByRange(num_files, *order) if num_files else keyed.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).drop("_z", "_h")
+
+
+def partitioning(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a stored table, read off one data file's folders."""
+    one = spark.read.parquet(path).select("_metadata.file_path").head()
+    known = spark.read.parquet(path).columns
+    return [c for c in re.findall(r"/([^/=]+)=", one[0]) if c in known] if one else []
 
 
 def optimize(spark: SparkSession, path: str, out_path: str, zorder_columns: Sequence[str] | None = None,
-             where: str | None = None, partition_cols: Sequence[str] = (),
+             where: str | None = None, partition_cols: Sequence[str] | None = None,
              num_files: int | None = None) -> DataFrame:
-    """Compact, or Z-order, a table into ``out_path``; returns its details."""
+    """Write (the partitions that ``where`` selects of) a table compacted or Z-ordered to
+    ``out_path``, partitioned as the table is unless told otherwise; returns its details."""
+    by = partitioning(spark, path) if partition_cols is None else list(partition_cols)
     if not zorder_columns:
-        compact(spark, path, out_path, partition_cols, where)
+        compact(spark, path, out_path, by, where)
     else:
-        df = _select(spark, path, where)
-        n = num_files or max(1, spark.sparkContext.defaultParallelism)
-        zorder(df, zorder_columns, n).write.mode("overwrite").partitionBy(*partition_cols) \
-            .parquet(out_path)
-    return table_details(spark, out_path, partition_cols)
+        zorder(_select(spark, path, where), zorder_columns, num_files).write.mode("overwrite").partitionBy(*by).parquet(out_path)
+    return table_details(spark, out_path, by)
+
+
+def optimize_in_place(spark: SparkSession, path: str, staging: str, zorder_columns: Sequence[str] | None = None,
+                      where: str | None = None) -> DataFrame:
+    """K11-K13 on a table in use: the selected partitions are rewritten, the others stay.
+
+    The new files are written to ``staging`` (a shared folder) and then replace
+    the partitions they belong to. Run again, both steps give the same table.
+    """
+    by = partitioning(spark, path)
+    optimize(spark, path, staging, zorder_columns, where, by)
+    ready = spark.read.schema(spark.read.parquet(path).schema).parquet(staging)
+    writer = ready.write.mode("overwrite").partitionBy(*by)
+    (writer.option("partitionOverwriteMode", "dynamic") if by else writer).parquet(path)
+    return table_details(spark, path, by)
 
 
 # Z-order columns per table; other tables are compacted.
@@ -162,33 +188,22 @@ DEFAULT_ZORDER = {
     "silver": ["event_date", "user_id"],
     "gold_revenue": ["event_date", "category"],
 }
+MAINTAINED = "table string, status string, num_files long, row_count long"
 
 
 def optimize_all(spark: SparkSession, tables: dict[str, str], out_root: str,
-                 zorder_config: dict[str, Sequence[str]] | None = None,
-                 partition_config: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Optimize every table; missing → ``skipped``, failure → ``error: …``; continue.
-
-    A loop over a handful of table names (metadata), one Spark job each.
-    ``zorder_config`` defaults to ``DEFAULT_ZORDER``.
-    """
-    zorder_config = DEFAULT_ZORDER if zorder_config is None else zorder_config
-    partition_config = partition_config or {}
-    rows = []
-    for name, path in tables.items():
+                 zorder_config: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """One row per table: ``optimized``, ``absent`` or ``failed`` with the reason; one table's
+    trouble does not keep the others waiting. Partitioning is kept."""
+    chosen = DEFAULT_ZORDER if zorder_config is None else zorder_config
+
+    def maintained(name: str, path: str) -> tuple:
+        if not table_exists(spark, path):
+            return name, "absent", None, None
         try:
-            try:
-                spark.read.parquet(path).schema  # noqa: B018 - existence check
-            except Exception:  # noqa: BLE001
-                rows.append((name, "skipped (table does not exist)", None, None))
-                continue
-            details = optimize(spark, path, f"{out_root}/{name}", zorder_config.get(name),
-                               partition_cols=partition_config.get(name, ())).first()
-            rows.append((name, "ok", int(details["num_files"]), int(details["row_count"])))
-        except Exception as e:  # noqa: BLE001
-            rows.append((name, f"error: {e}"[:500], None, None))
-    schema = T.StructType([
-        T.StructField("table", T.StringType()), T.StructField("status", T.StringType()),
-        T.StructField("num_files", T.LongType()), T.StructField("row_count", T.LongType()),
-    ])
-    return spark.createDataFrame(rows, schema)
+            row = optimize(spark, path, f"{out_root}/{name}", chosen.get(name)).first()
+        except PySparkException as e:
+            return name, f"failed: {e}", None, None
+        return name, "optimized", int(row["num_files"]), int(row["row_count"])
+
+    return spark.createDataFrame([maintained(*t) for t in tables.items()], MAINTAINED)

@@ -45,25 +45,27 @@ def revenue_mart(clean: DataFrame, buyers_sketch: bool = False,
     """
     amt = F.col("total_amount")
     extra = [F.hll_sketch_agg("user_id").alias("buyers_sketch")] if buyers_sketch else []
+    sold = clean.filter(_is("purchase"))
+    sums = sold.groupBy(*REVENUE_KEYS).agg(
+        F.sum(amt).alias("total_revenue"),
+        F.count("event_id").alias("order_count"),
+        X.exact_avg(amt).alias("avg_order_value"),
+        F.sum("quantity").cast("long").alias("total_items_sold"),
+        F.min(amt).alias("min_order_value"),
+        F.max(amt).alias("max_order_value"),
+        # exact while a group holds fewer values than the accuracy
+        F.percentile_approx(amt, 0.5, median_accuracy).alias("median_order_value"),
+        *extra,
+    )
+    # distinct buyers in a branch of their own: a distinct next to the other
+    # aggregates would carry percentile buffers keyed by user
+    buyers = sold.select(*REVENUE_KEYS, "user_id").distinct().groupBy(*REVENUE_KEYS).agg(
+        F.count("user_id").alias("unique_buyers"))
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"b.{k}")) for k in REVENUE_KEYS]
     return (
-        clean.filter(_is("purchase"))
-        .groupBy(*REVENUE_KEYS)
-        .agg(
-            F.sum(amt).alias("_rev"),
-            F.count("event_id").alias("order_count"),
-            F.count_distinct("user_id").alias("unique_buyers"),
-            X.exact_avg(amt).alias("avg_order_value"),
-            F.sum("quantity").cast("long").alias("total_items_sold"),
-            F.min(amt).cast("double").alias("min_order_value"),
-            F.max(amt).cast("double").alias("max_order_value"),
-            # exact while a group holds fewer values than the accuracy
-            F.percentile_approx(amt, 0.5, median_accuracy).cast("double").alias("median_order_value"),
-            *extra,
-        )
-        .withColumn("total_revenue", F.col("_rev").cast("double"))
-        .withColumn("revenue_per_buyer", X.null_ratio(F.col("_rev"), F.col("unique_buyers"), 2))
+        sums.alias("s").join(buyers.alias("b"), same).select("s.*", "b.unique_buyers")
+        .withColumn("revenue_per_buyer", X.null_ratio(F.col("total_revenue"), F.col("unique_buyers"), 2))
         .withColumn("items_per_order", X.null_ratio(F.col("total_items_sold"), F.col("order_count"), 2))
-        .drop("_rev")
     )
 
 
@@ -80,13 +82,13 @@ def session_bounds(clean: DataFrame) -> DataFrame:
     )
 
 
-def session_mart(clean: DataFrame, with_sequence: bool = True) -> DataFrame:
+def session_mart(clean: DataFrame, with_sequence: bool = False) -> DataFrame:
     """A2: one row per (session, user, device, channel, country, date) (D13 kept).
 
-    ``with_sequence=False`` leaves out ``event_sequence`` (one array per row,
-    built in one task per row); ``session_sequences`` gives the same order in
-    long form without that limit. Distinct types then come from a set bounded
-    by the event-type domain.
+    ``with_sequence`` adds ``event_sequence``: one array per row, built in one
+    task per row and as long as the row's events; ``session_sequences`` gives
+    the same order in long form without that limit. Without it distinct types
+    come from a set bounded by the event-type domain.
 
     One pass over the clean rows: each group also keeps its own first/last
     event time; the session bounds (W2) are then an aggregate over those
@@ -102,8 +104,7 @@ def session_mart(clean: DataFrame, with_sequence: bool = True) -> DataFrame:
         F.count_if(_is("page_view")).alias("page_views"),
         F.count_if(_is("add_to_cart")).alias("add_to_cart_count"),
         F.count_if(_is("purchase")).alias("purchase_count"),
-        F.sum(F.when(_is("purchase"), F.col("total_amount")).otherwise(F.lit(0)))
-         .cast("double").alias("session_revenue"),
+        F.sum(F.when(_is("purchase"), F.col("total_amount")).otherwise(F.lit(0))).alias("session_revenue"),
         # ordered by (time, id): collect_list order is undefined after a shuffle
         *([F.transform(F.array_sort(F.collect_list(ev)), lambda x: x["e"]).alias("event_sequence")]
           if with_sequence else [F.collect_set("event_type").alias("_types")]),
@@ -164,8 +165,7 @@ def product_mart(clean: DataFrame) -> DataFrame:
             F.count_if(_is("page_view")).alias("views"),
             F.count_if(_is("add_to_cart")).alias("adds_to_cart"),
             F.count_if(purchase).alias("purchases"),
-            F.sum(F.when(purchase, F.col("total_amount")).otherwise(F.lit(0)))
-             .cast("double").alias("total_revenue"),
+            F.sum(F.when(purchase, F.col("total_amount")).otherwise(F.lit(0))).alias("total_revenue"),
             X.exact_avg(F.when(purchase, F.col("price"))).alias("avg_selling_price"),
             F.count_distinct("user_id").alias("unique_users"),
         )

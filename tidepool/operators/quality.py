@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def not_null(column: str, level: str = CRITICAL, threshold: float = 0.99) -> Rul
     def passing(df):
         return F.count_if(F.col(column).isNotNull() & ~X.is_nan_safe(df, column))
     return Rule(f"not_null_{column}", column, level, threshold, passing,
-                f"Column '{column}' must be >= {threshold * 100}% non-null")
+                f"share of rows with a value in {column}, at least {threshold}")
 
 
 def unique(column: str, level: str = CRITICAL, threshold: float = 0.99,
@@ -51,16 +52,17 @@ def unique(column: str, level: str = CRITICAL, threshold: float = 0.99,
                     else F.count_distinct(F.col(column)))
         return distinct + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
     return Rule(f"unique_{column}", column, level, threshold, passing,
-                f"Column '{column}' must be >= {threshold * 100}% unique")
+                f"distinct values of {column} per row, at least {threshold}")
 
 
 def in_range(column: str, min_val: float, max_val: float, level: str = WARNING,
              threshold: float = 0.95) -> Rule:
     """Q3: inclusive range; NULL fails."""
     def passing(df):
-        return F.count_if(F.col(column).between(min_val, max_val))
+        # text that is no number fails the rule, not the job
+        return F.count_if(F.col(column).try_cast("double").between(min_val, max_val))
     return Rule(f"range_{column}", column, level, threshold, passing,
-                f"Column '{column}' must be in [{min_val}, {max_val}]")
+                f"share of rows whose {column} lies from {min_val} to {max_val}, at least {threshold}")
 
 
 def allowed_values(column: str, allowed: Sequence[str], level: str = WARNING,
@@ -71,20 +73,21 @@ def allowed_values(column: str, allowed: Sequence[str], level: str = WARNING,
     def passing(df):
         return F.count_if(F.col(column).isin(*allowed))
     return Rule(f"allowed_values_{column}", column, level, threshold, passing,
-                f"Column '{column}' must be in {allowed}")
+                f"share of rows whose {column} is one of {len(allowed)} known values, at least {threshold}")
 
 
 def expect(name: str, predicate: Column, level: str = WARNING, threshold: float = 1.0,
            column: str = "") -> Rule:
     """A user rule: share of rows where ``predicate`` is true."""
     return Rule(name, column, level, threshold, lambda df: F.count_if(predicate),
-                f"Rule '{name}' must hold for >= {threshold * 100}% of rows")
+                f"share of rows for which {name} holds, at least {threshold}")
 
 
 # Event types the silver rule set allows.
 EVENT_TYPES = ["page_view", "add_to_cart", "remove_from_cart", "checkout", "purchase", "search"]
 
 
+# The rule sets of SURVEY Q6 and Q7 (columns, levels, thresholds, bounds).
 def bronze_rules() -> list[Rule]:
     """Q6."""
     return [
@@ -108,39 +111,40 @@ def silver_rules() -> list[Rule]:
     ]
 
 
+def _problem(df: DataFrame, rule: Rule) -> str | None:
+    """Why a rule cannot be evaluated on ``df`` (its error condition), or None; no job runs."""
+    if rule.column and rule.column not in df.columns:
+        return f"column not found: {rule.column}"
+    try:
+        df.agg(rule.passing(df).cast("long")).schema  # noqa: B018 - analysis only
+    except AnalysisException as e:
+        return f"not evaluable: {(e.getCondition() or 'unknown').split('.')[0]}"
+    return None
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Q5: one row per rule: check, description, level, threshold, actual (4 dp),
     passed, error.
 
-    ``actual`` is 1.0 on empty input. A rule whose column is missing does
-    not fail the job: its row has ``passed = false`` and an ``error``.
+    ``actual`` is 1.0 on empty input. Every rule is analysed alone first: one
+    that cannot be evaluated (missing column, type error) does not stop the
+    report; its row has ``passed = false`` and an ``error``.
     """
-    ok = [r for r in rules if not r.column or r.column in df.columns]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [r.passing(df).cast("long").alias(f"_r{i}") for i, r in enumerate(ok)]
-    counts = df.agg(*aggs)
+    problems = [_problem(df, r) for r in rules]
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[
+        r.passing(df).cast("long").alias(f"_r{i}") for i, r in enumerate(rules) if problems[i] is None])
     n = F.col("_n")
     entries = []
-    idx = {id(r): i for i, r in enumerate(ok)}
-    for r in rules:
-        if id(r) in idx:
-            rate = F.when(n == 0, F.lit(1.0)).otherwise(F.col(f"_r{idx[id(r)]}") / n)
-            err = F.lit(None).cast("string")
+    for i, r in enumerate(rules):
+        if problems[i] is None:
+            rate = F.when(n == 0, F.lit(1.0)).otherwise(F.col(f"_r{i}") / n)
             passed = rate >= F.lit(float(r.threshold))
         else:
-            rate = F.lit(None).cast("double")
-            err = F.lit(f"column not found: {r.column}")
-            passed = F.lit(False)
+            rate, passed = F.lit(None).cast("double"), F.lit(False)
         entries.append(F.struct(
-            F.lit(r.name).alias("check"),
-            F.lit(r.description).alias("description"),
-            F.lit(r.level).alias("level"),
-            F.lit(float(r.threshold)).alias("threshold"),
-            F.round(rate, 4).alias("actual"),
-            passed.alias("passed"),
-            err.alias("error"),
-            n.alias("total_records"),
-        ))
+            F.lit(r.name).alias("check"), F.lit(r.description).alias("description"), F.lit(r.level).alias("level"),
+            F.lit(float(r.threshold)).alias("threshold"), F.round(rate, 4).alias("actual"), passed.alias("passed"),
+            F.lit(problems[i]).cast("string").alias("error"), n.alias("total_records")))
     return counts.select(F.inline(F.array(*entries)))
 
 

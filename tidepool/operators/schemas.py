@@ -1,15 +1,12 @@
 """Typed table schemas, compatibility checks and schema gates.
 
-The version list of a subject is small driver-side metadata; all row work
-(gating, conforming, routing rejects) stays in DataFrames.
+Schemas are compared as values; row work (gating, conforming, routing
+rejects) stays in DataFrames.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,124 +50,53 @@ SILVER_PARTITIONS = ["event_date"]
 
 MODES = ("BACKWARD", "FORWARD", "FULL", "NONE")
 
-
-class SchemaCompatibilityError(ValueError):
-    pass
-
-
-# Type changes that never lose values (our extension to the checks, G2).
+# Pairs of types whose every value survives the change.
 _WIDENING = {
-    ("integer", "long"), ("integer", "double"), ("long", "double"), ("float", "double"),
-    ("short", "integer"), ("short", "long"), ("byte", "short"), ("byte", "integer"),
-    ("byte", "long"), ("timestamp_ntz", "timestamp"),
+    ("byte", "short"), ("byte", "integer"), ("byte", "long"), ("short", "integer"), ("short", "long"),
+    ("integer", "long"), ("integer", "double"), ("float", "double"),
 }
 
 
 def _widens(old: T.DataType, new: T.DataType) -> bool:
-    if old == new:
-        return True
     if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
-        return (new.scale >= old.scale
-                and new.precision - new.scale >= old.precision - old.scale)
-    return (old.typeName(), new.typeName()) in _WIDENING
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return old == new or (old.typeName(), new.typeName()) in _WIDENING
 
 
 def compatibility_errors(old: T.StructType, new: T.StructType, mode: str = "BACKWARD",
-                         check_types: bool = False) -> list[str]:
-    """List of violations of ``new`` against ``old`` under ``mode``.
+                         check_types: bool = True) -> list[str]:
+    """What keeps rows of ``new`` from joining a table of ``old`` under ``mode``.
 
-    BACKWARD: a required field removed, or a required field added, fails.
-    FORWARD: a required field added fails. FULL: both. NONE: nothing.
-    ``check_types`` (off by default, as in the reference) also rejects
-    type changes that are not widenings.
+    A required field must not come (all modes) nor go (BACKWARD, FULL); a
+    field's type may only widen (``check_types``). NONE allows everything.
     """
     if mode not in MODES:
-        raise ValueError(f"unknown compatibility mode {mode}")
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode}")
     if mode == "NONE":
         return []
-    olds = {f.name: f for f in old.fields}
-    news = {f.name: f for f in new.fields}
-    errs = []
-    if mode in ("BACKWARD", "FULL"):
-        errs += [f"BACKWARD incompatible: Required field '{n}' removed"
-                 for n, f in olds.items() if n not in news and not f.nullable]
-        errs += [f"BACKWARD incompatible: New required field '{n}' without default"
-                 for n, f in news.items() if n not in olds and not f.nullable]
-    if mode in ("FORWARD", "FULL"):
-        errs += [f"FORWARD incompatible: New required field '{n}' added"
-                 for n, f in news.items() if n not in olds and not f.nullable]
-    if check_types:
-        errs += [f"type change on '{n}': {olds[n].dataType.simpleString()} -> "
-                 f"{f.dataType.simpleString()}"
-                 for n, f in news.items() if n in olds and not _widens(olds[n].dataType, f.dataType)]
-    return errs
-
-
-def fingerprint(schema: T.StructType) -> str:
-    return hashlib.sha256(json.dumps(schema.jsonValue(), sort_keys=True).encode()).hexdigest()
-
-
-@dataclass
-class SchemaVersion:
-    version: int
-    schema: T.StructType
-    compatibility: str
-    fingerprint: str
-
-
-@dataclass
-class SchemaLog:
-    """Versions of one subject (driver-side metadata, a few entries)."""
-    subject: str
-    versions: list[SchemaVersion] = field(default_factory=list)
-    check_types: bool = False
-
-    @property
-    def latest(self) -> SchemaVersion | None:
-        return self.versions[-1] if self.versions else None
-
-    def register(self, schema: T.StructType, compatibility: str = "BACKWARD") -> SchemaVersion:
-        """Unchanged schema → same version; else check (this call's mode), version + 1."""
-        fp = fingerprint(schema)
-        last = self.latest
-        if last is not None and last.fingerprint == fp:
-            return last
-        if last is not None:
-            errs = compatibility_errors(last.schema, schema, compatibility, self.check_types)
-            if errs:
-                raise SchemaCompatibilityError("; ".join(errs))
-        v = SchemaVersion((last.version if last else 0) + 1, schema, compatibility, fp)
-        self.versions.append(v)
-        return v
-
-    def get(self, version: int | None = None) -> T.StructType:
-        if version is None:
-            if self.latest is None:
-                raise KeyError(self.subject)
-            return self.latest.schema
-        for v in self.versions:
-            if v.version == version:
-                return v.schema
-        raise KeyError(f"{self.subject} v{version}")
-
-
-def gated_append(log: SchemaLog, table: DataFrame | None, batch: DataFrame,
-                 compatibility: str = "BACKWARD") -> tuple[DataFrame | None, DataFrame | None]:
-    """G1: (table ∪ batch with ``schema_version``, None) or (None, rejected rows).
-
-    A compatible batch registers its schema (or reuses the version) and is
-    appended with additive evolution (K9). An incompatible batch is not
-    appended: its rows come back tagged with the reason, for the DLQ.
+    before, after = ({f.name: f for f in x.fields} for x in (old, new))
+    gone = [n for n, f in before.items() if n not in after and not f.nullable] if mode != "FORWARD" else []
+    come = [n for n, f in after.items() if n not in before and not f.nullable]
+    changed = [n for n in before if n in after and not _widens(before[n].dataType, after[n].dataType)] if check_types else []
+    return ([f"{n}: required by the table, missing in the batch" for n in gone]
+            + [f"{n}: required in the batch, unknown to the table" for n in come]
+            + [f"{n}: {before[n].dataType.simpleString()} does not widen to {after[n].dataType.simpleString()}" for n in changed])
+
+
+def gated_append(table: DataFrame | None, batch: DataFrame, mode: str = "BACKWARD",
+                 declared: T.StructType | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """G1: (table with the batch appended, None), or (None, the batch's rows with ``error_reason``).
+
+    The batch is held against ``declared``, else the table's own schema (files
+    read back have only nullable fields, so required ones need declaring). A
+    batch that fits is appended with additive evolution (K9); one that does
+    not is never appended: its rows go to the dead letters.
     """
-    schema = T.StructType([f for f in batch.schema.fields if f.name != "schema_version"])
-    try:
-        v = log.register(schema, compatibility)
-    except SchemaCompatibilityError as e:
-        return None, batch.withColumn("error_reason", F.lit(str(e)))
-    tagged = batch.withColumn("schema_version", F.lit(v.version))
-    if table is None:
-        return tagged, None
-    return table.unionByName(tagged, allowMissingColumns=True), None
+    known = declared or (table.schema if table is not None else None)
+    errors = compatibility_errors(known, batch.schema, mode) if known is not None else []
+    if errors:
+        return None, batch.withColumn("error_reason", F.lit("; ".join(errors)))
+    return (batch if table is None else table.unionByName(batch, allowMissingColumns=True)), None
 
 
 def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:

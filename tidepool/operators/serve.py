@@ -85,7 +85,7 @@ def revenue_rollup(revenue: DataFrame, start_date: str, end_date: str,
         hours=F.col("event_hour")) if unit == "hour" else F.to_timestamp(F.col("event_date"))
     period = F.date_trunc(unit, hour_ts)
     hour = F.hour(period) if unit == "hour" else F.lit(None).cast("int")
-    rev = F.round(F.sum("total_revenue"), 2)
+    rev = F.round(F.sum("total_revenue"), 2).cast("double")
     buyers = F.hll_sketch_estimate(F.hll_union_agg("buyers_sketch"))
     return (
         df.groupBy(F.date_format(period, "yyyy-MM-dd").alias("event_date"), hour.alias("event_hour"))
@@ -105,17 +105,25 @@ def revenue_rollup(revenue: DataFrame, start_date: str, end_date: str,
 
 def session_summary(sessions: DataFrame, start_date: str, end_date: str,
                     device_type: str | None = None) -> DataFrame:
-    """V2: per date over session-mart rows; sessions counted distinct."""
+    """V2: per date over whole sessions: mart rows are parts of a session (D13), so they are
+    folded to one row per (session, date) before any rate is taken."""
     df = sessions.filter(F.col("event_date").between(start_date, end_date))
     if device_type is not None:
         df = df.filter(F.col("device_type") == device_type)
-    return df.groupBy("event_date").agg(
-        F.count_distinct("session_id").alias("total_sessions"),
-        F.round(F.avg("session_duration_seconds"), 2).alias("avg_session_duration"),
-        F.round(F.avg("page_views"), 2).alias("avg_page_views"),
-        F.round(F.avg(F.col("is_bounce").cast("int")), 4).alias("bounce_rate"),
-        F.round(F.avg(F.col("has_conversion").cast("int")), 4).alias("conversion_rate"),
-        F.round(F.sum("session_revenue"), 2).alias("total_revenue"),
+    whole = df.groupBy("session_id", "event_date").agg(
+        F.max("session_duration_seconds").alias("duration"),
+        F.sum("total_events").alias("events"),
+        F.sum("page_views").alias("views"),
+        F.sum("purchase_count").alias("purchases"),
+        F.sum("session_revenue").alias("revenue"),
+    )
+    return whole.groupBy("event_date").agg(
+        F.count("session_id").alias("total_sessions"),
+        F.round(F.avg("duration"), 2).alias("avg_session_duration"),
+        F.round(F.avg("views"), 2).alias("avg_page_views"),
+        F.round(F.avg((F.col("events") == 1).cast("int")), 4).alias("bounce_rate"),
+        F.round(F.avg((F.col("purchases") > 0).cast("int")), 4).alias("conversion_rate"),
+        F.round(F.sum("revenue"), 2).cast("double").alias("total_revenue"),
     )
 
 
@@ -136,7 +144,7 @@ def top_products(products: DataFrame, start_date: str, end_date: str,
         .agg(
             F.sum("views").alias("views"),
             F.sum("purchases").alias("purchases"),
-            F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
+            F.round(F.sum("total_revenue"), 2).cast("double").alias("total_revenue"),
         )
         .withColumn("view_to_purchase_rate", X.guarded_ratio("purchases", "views"))
         .orderBy(F.col("total_revenue").desc(), "product_id", "category", "product_name")

@@ -8,19 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators import marts
 
 
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table with data files."""
+    """True when ``path`` holds a Parquet table, False when there is none; any other failure is raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001 - missing path or no files
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in NO_TABLE:
+            return False
+        raise
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -46,22 +52,28 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("event_date",)) -> int:
-    """K5 first write (overwrite, partitioned), else K6 on disk for the partitions present.
+    """K5 first write (overwrite, partitioned), else K6 on disk: replace from the least date on.
 
-    Later writes use dynamic partition overwrite: exactly the partitions in
-    ``df`` are replaced, others are kept (the ``only_present`` form of K6).
-    Dropping later partitions that ``df`` lacks (the reference's
-    ``replaceWhere >= min``, D12) needs a table format's delete; as
-    DataFrames it is ``changelog.replace_from_min``.
+    The partitions of ``df`` are overwritten in place; partitions on or after
+    its least value of the first partition column that it does not have are
+    then removed, so a table with 1, 2 and 3 January refreshed with the 2nd
+    ends with the 1st and 2nd. An empty ``df`` changes nothing. Both steps may
+    be repeated after a failure.
     """
     spark = df.sparkSession
     counted, obs = _counted(df, "write_partitioned")
-    w = counted.write.partitionBy(*partition_by)
-    if table_exists(spark, path):
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        w = w.mode("overwrite")
-    w.parquet(path)
+    w = counted.write.partitionBy(*partition_by).mode("overwrite")
+    if not table_exists(spark, path):
+        w.parquet(path)
+        return int(obs.get["rows"])
+    by = partition_by[0]
+    before = {str(r[0]) for r in spark.read.parquet(path).select(by).distinct().collect()}   # partition values
+    w.option("partitionOverwriteMode", "dynamic").parquet(path)
+    kept = {str(r[0]) for r in df.select(by).distinct().collect()}
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    for value in sorted(v for v in before - kept if kept and v >= min(kept)):
+        gone = fs_path(f"{path}/{by}={value}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return int(obs.get["rows"])
 
 

@@ -79,6 +79,27 @@ def q_dead_letter_split(spark, sf_dir):
                       F.col(ingest.CORRUPT_COLUMN).alias("corrupt_record"))
 
 
+def q_dead_letter_json(spark, sf_dir):
+    """Fields read back from the JSON that a dead letter carries."""
+    _, bad = ingest.split_dead_letters(_parsed(spark, sf_dir))
+    dead = ingest.to_dead_letter(bad)
+
+    def field(name):
+        return F.get_json_object("value", f"$.{name}")
+    return dead.select("key", "error_reason", field("kafka_offset").cast("long").alias("kafka_offset"),
+                       field("kafka_key").alias("kafka_key"), field(ingest.CORRUPT_COLUMN).alias("corrupt_record"),
+                       field("error_reason").alias("reason_in_json"))
+
+
+def q_replay_bounded(spark, sf_dir):
+    recs = FX.raw_json(spark, sf_dir)
+    parsed = ingest.replay(recs, start_offset=REPLAY_FROM, end_offset=REPLAY_TO).drop("ingestion_timestamp")
+    return _parsed_out(parsed)
+
+
+REPLAY_FROM, REPLAY_TO = 100, 700
+
+
 def q_replay_range(spark, sf_dir):
     return _parsed_out(_parsed(spark, sf_dir, start_offset=FX.DUP_OFFSET_SHIFT))
 
@@ -94,10 +115,15 @@ def q_dedup_latest(spark, sf_dir):
 
 
 def q_dedup_window_form(spark, sf_dir):
-    """W1/L1 as the row_number window (the default is the aggregate form)."""
+    """W1/L1 as the row_number window (the default)."""
     return _out(refine.dedup_latest(bronze(spark, sf_dir), method="window"), ("quantity",))
 
 
+def q_dedup_aggregate_form(spark, sf_dir):
+    """W1 as an aggregate over whole rows."""
+    return _out(refine.dedup_latest(bronze(spark, sf_dir), method="aggregate"), ("quantity",))
+
+
 def q_null_defaults(spark, sf_dir):
     return _out(refine.handle_nulls(_deduped(spark, sf_dir)))
 
@@ -123,14 +149,18 @@ def q_clean_all(spark, sf_dir):
 
 # ------------------------------------------------------------------ marts
 
+def _money(df: DataFrame) -> DataFrame:
+    """Decimal money as double, for comparison."""
+    return df.withColumns({f.name: F.col(f.name).cast("double") for f in df.schema.fields
+                           if f.dataType.typeName() == "decimal"})
+
+
 def q_revenue_mart(spark, sf_dir):
-    return marts.revenue_mart(clean(spark, sf_dir))
+    return _money(marts.revenue_mart(clean(spark, sf_dir)))
 
 
 def q_session_mart(spark, sf_dir):
-    m = marts.session_mart(clean(spark, sf_dir))
-    # arrays are compared as text
-    return m.withColumn("event_sequence", F.array_join("event_sequence", ","))
+    return _money(marts.session_mart(clean(spark, sf_dir)))
 
 
 def q_session_sequences(spark, sf_dir):
@@ -138,7 +168,7 @@ def q_session_sequences(spark, sf_dir):
 
 
 def q_product_mart(spark, sf_dir):
-    return marts.product_mart(clean(spark, sf_dir))
+    return _money(marts.product_mart(clean(spark, sf_dir)))
 
 
 def q_funnel_mart(spark, sf_dir):
@@ -201,8 +231,10 @@ def q_rollback(spark, sf_dir):
 def q_replace_from_min(spark, sf_dir):
     target, _ = _deliveries(spark, sf_dir)
     old = marts.product_mart(target)
-    new = marts.product_mart(clean(spark, sf_dir)).filter(F.col("event_date") >= REPLACE_FROM)
-    return changelog.replace_from_min(old, new)
+    fresh = clean(spark, sf_dir).filter(F.col("event_date") >= REPLACE_FROM)
+    # the mart's least date is the least date of the rows that make it up
+    since = fresh.filter(F.col("product_id").isNotNull()).select(F.min("event_date")).scalar()
+    return _money(changelog.replace_from_min(old, marts.product_mart(fresh), since=since))
 
 
 def q_evolve_append(spark, sf_dir):
@@ -223,11 +255,18 @@ def q_table_stats(spark, sf_dir):
 # ------------------------------------------------------------------ quality
 
 def q_dq_bronze(spark, sf_dir):
-    return quality.validate(bronze(spark, sf_dir), quality.bronze_rules())
+    return quality.validate(bronze(spark, sf_dir), quality.bronze_rules()).drop("description")
 
 
 def q_dq_silver(spark, sf_dir):
-    return quality.validate(clean(spark, sf_dir), quality.silver_rules())
+    return quality.validate(clean(spark, sf_dir), quality.silver_rules()).drop("description")
+
+
+def q_dq_erroring(spark, sf_dir):
+    """Q5 with rules that cannot be evaluated, and a range over text, next to one that can."""
+    rules = [quality.not_null("event_id", quality.CRITICAL, 1.0), quality.in_range("user_id", 0, 10),
+             quality.not_null("no_such_column"), quality.expect("bad_name", F.expr("no_such_column > 1"))]
+    return quality.validate(clean(spark, sf_dir), rules).drop("description")
 
 
 def q_dq_summary(spark, sf_dir):
@@ -239,6 +278,14 @@ def q_completeness_gate(spark, sf_dir):
     return tagged.select("event_id", "data_quality_score", "error_reason")
 
 
+def q_conform_rejects(spark, sf_dir):
+    """Rows whose required columns are missing after the cast."""
+    broken = clean(spark, sf_dir, keep_order=False).withColumn(
+        "event_timestamp", F.when(F.col("quantity") > 3, F.lit("no time")).otherwise(F.col("event_timestamp").cast("string")))
+    _, rejected = schemas.conform(broken, schemas.SILVER_SCHEMA)
+    return rejected.select("event_id", "error_reason")
+
+
 def q_conform_v1(spark, sf_dir):
     incoming = clean(spark, sf_dir, keep_order=False).drop("utm_campaign")
     ok, _ = schemas.conform(incoming, schemas.SILVER_SCHEMA)
@@ -293,8 +340,27 @@ def q_funnel_query_channel(spark, sf_dir):
 
 
 def q_revenue_rollup(spark, sf_dir):
-    mart = marts.revenue_mart(clean(spark, sf_dir), buyers_sketch=True)
-    return _v1_out(serve.revenue_rollup(mart, *FULL_RANGE, granularity="weekly"))
+    """Exact columns as they are; the estimate of distinct buyers as a flag: within 5 % of the truth."""
+    c = clean(spark, sf_dir)
+    rolled = _v1_out(serve.revenue_rollup(marts.revenue_mart(c, buyers_sketch=True), *FULL_RANGE, granularity="weekly"))
+    exact = serve.revenue_query(c, *FULL_RANGE, granularity="weekly").select("event_date", F.col("unique_buyers").alias("exact_buyers"))
+    near = F.abs(F.col("unique_buyers") - F.col("exact_buyers")) <= 0.05 * F.col("exact_buyers")
+    return (rolled.join(exact, "event_date").withColumn("buyers_within_bound", near)
+            .drop("unique_buyers", "exact_buyers", "revenue_per_buyer"))
+
+
+def q_kpi_chained(spark, sf_dir):
+    """A5 by the stream's two aggregation levels, on a batch: window and user, then window."""
+    from tidepool.streaming import streams
+    return streams.kpi_levels(clean(spark, sf_dir).withColumn("_event_time", F.col("event_timestamp").cast("timestamp")))
+
+
+def q_zorder_rows(spark, sf_dir):
+    """Rows per date after Z-ordering, with a sum that any lost or doubled row changes."""
+    from tidepool.operators import layout
+    out = layout.zorder(clean(spark, sf_dir, keep_order=False), ["event_date", "user_id"])
+    return out.groupBy("event_date").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"),
+                                         F.sum("total_amount").cast("double").alias("amount"))
 
 
 def q_layer_counts(spark, sf_dir):
@@ -317,8 +383,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_json": q_parse_json,                       # P1-P3, C10, C14
     "dead_letter_split": q_dead_letter_split,         # K8, P6, D10
     "replay_range": q_replay_range,                   # S2, D11
+    "dead_letter_json": q_dead_letter_json,           # P6, K8, C14
+    "replay_bounded": q_replay_bounded,               # S2 (both offsets)
     "dedup_latest": q_dedup_latest,                   # W1, F6, P5, D9
     "dedup_window_form": q_dedup_window_form,         # W1, L1
+    "dedup_aggregate_form": q_dedup_aggregate_form,   # W1
     "null_defaults": q_null_defaults,                 # C1
     "standardize": q_standardize,                     # C2
     "derive": q_derive,                               # C3, C4
@@ -341,6 +410,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_stats": q_table_stats,                     # K16, A17, A18
     "dq_bronze": q_dq_bronze,                         # Q1, Q2, Q6, Q8
     "dq_silver": q_dq_silver,                         # Q1-Q4, Q7, F4, F5, F8
+    "dq_erroring": q_dq_erroring,                     # Q5 (rules that cannot be evaluated)
+    "conform_rejects": q_conform_rejects,             # G6 (reject side)
+    "kpi_chained": q_kpi_chained,                     # A5, K7 (two levels)
+    "zorder_rows": q_zorder_rows,                     # K12
     "dq_summary": q_dq_summary,                       # Q5
     "completeness_gate": q_completeness_gate,         # Q9
     "conform_v1": q_conform_v1,                       # G6
@@ -358,8 +431,3 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}
-
-# Queries whose results are estimates by design: no exact SQL oracle (the
-# driver then checks rows only); tests compare them with the exact query at
-# small scale, where the estimate is exact.
-APPROXIMATE = {"revenue_rollup": "distinct buyers from merged HLL sketches"}

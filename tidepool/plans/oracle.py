@@ -151,7 +151,6 @@ SELECT c.session_id, c.user_id, c.device_type, c.channel_group, c.country, c.eve
   count(*) FILTER (WHERE c.event_type = 'add_to_cart') AS add_to_cart_count,
   count(*) FILTER (WHERE c.event_type = 'purchase') AS purchase_count,
   cast(sum(CASE WHEN c.event_type = 'purchase' THEN c.total_amount ELSE 0 END) AS double) AS session_revenue,
-  string_agg(c.event_type, ',' ORDER BY c.event_timestamp, c.event_id) AS event_sequence,
   cast(floor(epoch(min(b.session_end))) AS bigint) - cast(floor(epoch(min(b.session_start))) AS bigint)
     AS session_duration_seconds,
   count(c.event_id) = 1 AS is_bounce,
@@ -327,15 +326,19 @@ FROM bronze
 # ---------------------------------------------------------------- quality
 
 
-def _rule(name, level, threshold, passing, table, description):
+def _rule(name, level, threshold, passing, table):
     rate = f"(CASE WHEN count(*) = 0 THEN 1.0 ELSE ({passing}) / count(*) END)"
-    desc = description.replace("'", "''")
-    return (f"SELECT '{name}' AS \"check\", '{desc}' AS description, '{level}' AS level, "
+    return (f"SELECT '{name}' AS \"check\", '{level}' AS level, "
             f"cast({threshold} AS double) AS threshold, "
             f"cast(round(cast({rate} AS decimal(38,10)), 4) AS double) AS actual, {rate} >= {threshold} AS passed, "
             f"cast(NULL AS varchar) AS error, count(*) AS total_records FROM {table}")
 
 
+def _broken_rule(name, level, threshold, error, table):
+    return (f"SELECT '{name}' AS \"check\", '{level}' AS level, cast({threshold} AS double) AS threshold, "
+            f"cast(NULL AS double) AS actual, false AS passed, '{error}' AS error, count(*) AS total_records FROM {table}")
+
+
 def _nn(c):
     return f"count(*) FILTER (WHERE {c} IS NOT NULL)"
 
@@ -344,38 +347,32 @@ def _uq(c):
     return f"count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0)"
 
 
-def _d_nn(c, t):
-    return f"Column '{c}' must be >= {t * 100}% non-null"
-
-
-def _d_uq(c, t):
-    return f"Column '{c}' must be >= {t * 100}% unique"
-
-
+# The rule sets of SURVEY Q6 and Q7.
 DQ_BRONZE_RULES = [
-    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id"), _d_nn("event_id", 1.0)),
-    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type"), _d_nn("event_type", 1.0)),
-    ("not_null_timestamp", "CRITICAL", 0.99, _nn('"timestamp"'), _d_nn("timestamp", 0.99)),
-    ("unique_event_id", "WARNING", 0.95, _uq("event_id"), _d_uq("event_id", 0.95)),
+    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id")),
+    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type")),
+    ("not_null_timestamp", "CRITICAL", 0.99, _nn('"timestamp"')),
+    ("unique_event_id", "WARNING", 0.95, _uq("event_id")),
 ]
-_ALLOWED = ["page_view", "add_to_cart", "remove_from_cart", "checkout", "purchase", "search"]
 DQ_SILVER_RULES = [
-    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id"), _d_nn("event_id", 1.0)),
-    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type"), _d_nn("event_type", 1.0)),
-    ("not_null_event_timestamp", "CRITICAL", 1.0, _nn("event_timestamp"),
-     _d_nn("event_timestamp", 1.0)),
-    ("unique_event_id", "CRITICAL", 0.999, _uq("event_id"), _d_uq("event_id", 0.999)),
-    ("range_price", "WARNING", 0.99, "count(*) FILTER (WHERE price BETWEEN 0 AND 100000)",
-     "Column 'price' must be in [0, 100000]"),
-    ("range_quantity", "WARNING", 0.99, "count(*) FILTER (WHERE quantity BETWEEN 1 AND 1000)",
-     "Column 'quantity' must be in [1, 1000]"),
+    ("not_null_event_id", "CRITICAL", 1.0, _nn("event_id")),
+    ("not_null_event_type", "CRITICAL", 1.0, _nn("event_type")),
+    ("not_null_event_timestamp", "CRITICAL", 1.0, _nn("event_timestamp")),
+    ("unique_event_id", "CRITICAL", 0.999, _uq("event_id")),
+    ("range_price", "WARNING", 0.99, "count(*) FILTER (WHERE price BETWEEN 0 AND 100000)"),
+    ("range_quantity", "WARNING", 0.99, "count(*) FILTER (WHERE quantity BETWEEN 1 AND 1000)"),
     ("allowed_values_event_type", "WARNING", 0.95,
      "count(*) FILTER (WHERE event_type IN ('page_view', 'add_to_cart', 'remove_from_cart', "
-     "'checkout', 'purchase', 'search'))", f"Column 'event_type' must be in {_ALLOWED}"),
+     "'checkout', 'purchase', 'search'))"),
 ]
-DQ_BRONZE = _ctes() + "\nUNION ALL\n".join(_rule(*r[:4], "bronze", r[4]) for r in DQ_BRONZE_RULES)
-DQ_SILVER = _ctes() + "\nUNION ALL\n".join(_rule(*r[:4], "clean", r[4]) for r in DQ_SILVER_RULES)
-DQ_SUMMARY = _ctes("rep AS (" + " UNION ALL ".join(_rule(*r[:4], "clean", r[4])
+DQ_BRONZE = _ctes() + "\nUNION ALL\n".join(_rule(*r, "bronze") for r in DQ_BRONZE_RULES)
+DQ_SILVER = _ctes() + "\nUNION ALL\n".join(_rule(*r, "clean") for r in DQ_SILVER_RULES)
+DQ_ERRORING = _ctes() + "\nUNION ALL\n".join([
+    _rule("not_null_event_id", "CRITICAL", 1.0, _nn("event_id"), "clean"),
+    _rule("range_user_id", "WARNING", 0.95, "count(*) FILTER (WHERE try_cast(user_id AS double) BETWEEN 0 AND 10)", "clean"),
+    _broken_rule("not_null_no_such_column", "CRITICAL", 0.99, "column not found: no_such_column", "clean"),
+    _broken_rule("bad_name", "WARNING", 1.0, "not evaluable: UNRESOLVED_COLUMN", "clean")])
+DQ_SUMMARY = _ctes("rep AS (" + " UNION ALL ".join(_rule(*r, "clean")
                                                    for r in DQ_SILVER_RULES) + ")") + """
 SELECT max(total_records) AS total_records,
   count(*) FILTER (WHERE passed) AS checks_passed,
@@ -410,15 +407,23 @@ FROM clean
 WHERE event_type = 'purchase' AND event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}'
 GROUP BY 1 ORDER BY 1 LIMIT 100
 """
-SESSION_SUMMARY = SESSION.replace("\nSELECT c.session_id", ", sm AS (SELECT c.session_id", 1).rstrip() + f""")
-SELECT event_date, count(DISTINCT session_id) AS total_sessions,
-  cast(round(cast(avg(session_duration_seconds) AS decimal(38,10)), 2) AS double) AS avg_session_duration,
-  cast(round(cast(avg(page_views) AS decimal(38,10)), 2) AS double) AS avg_page_views,
-  cast(round(cast(avg(CASE WHEN is_bounce THEN 1 ELSE 0 END) AS decimal(38,10)), 4) AS double) AS bounce_rate,
-  cast(round(cast(avg(CASE WHEN has_conversion THEN 1 ELSE 0 END) AS decimal(38,10)), 4) AS double) AS conversion_rate,
-  cast(round(cast(sum(session_revenue) AS decimal(38,10)), 2) AS double) AS total_revenue
-FROM sm WHERE event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' AND device_type = 'mobile'
-GROUP BY event_date
+SESSION_SUMMARY = _ctes("""whole AS (
+  SELECT session_id, floor(epoch(max(event_timestamp))) - floor(epoch(min(event_timestamp))) AS duration
+  FROM clean GROUP BY session_id)""", f"""per_date AS (
+  SELECT c.session_id, c.event_date, any_value(w.duration) AS duration, count(c.event_id) AS events,
+    count(*) FILTER (WHERE c.event_type = 'page_view') AS views,
+    count(*) FILTER (WHERE c.event_type = 'purchase') AS purchases,
+    coalesce(sum(c.total_amount) FILTER (WHERE c.event_type = 'purchase'), 0) AS revenue
+  FROM clean c JOIN whole w USING (session_id)
+  WHERE c.event_date BETWEEN '{FULL_RANGE[0]}' AND '{FULL_RANGE[1]}' AND c.device_type = 'mobile'
+  GROUP BY c.session_id, c.event_date)""") + """
+SELECT event_date, count(*) AS total_sessions,
+  cast(round(cast(avg(duration) AS decimal(38,10)), 2) AS double) AS avg_session_duration,
+  cast(round(cast(avg(views) AS decimal(38,10)), 2) AS double) AS avg_page_views,
+  cast(round(cast(avg(CASE WHEN events = 1 THEN 1 ELSE 0 END) AS decimal(38,10)), 4) AS double) AS bounce_rate,
+  cast(round(cast(avg(CASE WHEN purchases > 0 THEN 1 ELSE 0 END) AS decimal(38,10)), 4) AS double) AS conversion_rate,
+  cast(round(cast(sum(revenue) AS decimal(38,10)), 2) AS double) AS total_revenue
+FROM per_date GROUP BY event_date
 """
 TOP_PRODUCTS = _ctes(f"pagg AS ({PRODUCT_AGG.format(src='clean')})") + f"""
 SELECT product_id, product_name, category, cast(sum(views) AS bigint) AS views,
@@ -497,6 +502,16 @@ FROM clean
 """
 
 
+DEAD_LETTER_JSON = DEAD_LETTER.replace("SELECT event_id AS key, kafka_offset,", "SELECT *, error_reason AS reason_in_json FROM (SELECT event_id AS key, kafka_offset, kafka_key,") + ")"
+REPLAY_BOUNDED = _parsed_ctes() + f"""SELECT * EXCLUDE (corrupt_record) FROM parsed
+WHERE kafka_offset >= 100 AND kafka_offset < 700"""
+CONFORM_REJECTS = _ctes() + "SELECT event_id, 'null_event_timestamp' AS error_reason FROM clean WHERE quantity > 3"
+ZORDER_ROWS = _ctes() + """SELECT event_date, count(*) AS n, count(DISTINCT event_id) AS ids,
+  cast(sum(total_amount) AS double) AS amount FROM clean GROUP BY event_date"""
+REVENUE_ROLLUP = f"SELECT event_date, event_hour, category, channel_group, country, total_revenue, order_count, avg_order_value, " \
+    f"true AS buyers_within_bound FROM ({REVENUE_QUERY})"
+
+
 def queries() -> dict[str, str]:
     return {
         "enrich_raw": ENRICH_RAW,
@@ -506,6 +521,14 @@ def queries() -> dict[str, str]:
         "replay_range": REPLAY,
         "dedup_latest": DEDUP,
         "dedup_window_form": DEDUP,
+        "dedup_aggregate_form": DEDUP,
+        "dead_letter_json": DEAD_LETTER_JSON,
+        "replay_bounded": REPLAY_BOUNDED,
+        "dq_erroring": DQ_ERRORING,
+        "conform_rejects": CONFORM_REJECTS,
+        "kpi_chained": KPI_WINDOWS,
+        "zorder_rows": ZORDER_ROWS,
+        "revenue_rollup": REVENUE_ROLLUP,
         "null_defaults": NULLS,
         "standardize": STANDARDIZE,
         "derive": DERIVE,

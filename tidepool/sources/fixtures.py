@@ -77,20 +77,8 @@ def _q(name: str, dialect: str) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` table.
-
-    A scan that yields fewer splits than the cluster has cores (one large
-    row group, say) would run every per-row step before the first shuffle
-    in that many tasks; such a scan is spread round-robin first. On a large
-    table (many files and row groups) this is a no-op.
-    """
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session)
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """The driver's ``events`` table."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:

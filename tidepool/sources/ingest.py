@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,7 +82,9 @@ def parse_records(records: DataFrame, schema: T.StructType = EVENT_SCHEMA,
         F.col("offset").cast("long").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
         data.alias("data"),
-    ).select(*ENVELOPE, "data.*")
+        *([F.col("headers").alias("kafka_headers")] if "headers" in records.columns else []),
+    )
+    out = out.select(*[c for c in out.columns if c != "data"], "data.*")
     cols = {
         "event_timestamp": F.try_to_timestamp(F.col("timestamp")).cast("timestamp_ntz"),
         "row_hash": X.row_hash("event_id", "timestamp", "user_id"),
@@ -102,7 +104,7 @@ def failure_reason(df: DataFrame) -> Column:
     return F.concat_ws(",", *parts)
 
 
-def split_dead_letters(parsed: DataFrame, metrics_name: str = "dead_letter_split"
+def split_dead_letters(parsed: DataFrame, metrics: Observation | str = "dead_letter_split"
                        ) -> tuple[DataFrame, DataFrame]:
     """(good, bad) by one predicate; both lazy, the caller writes both.
 
@@ -112,7 +114,7 @@ def split_dead_letters(parsed: DataFrame, metrics_name: str = "dead_letter_split
     ``from_json`` once per referenced field instead of parsing once.
     """
     tagged = parsed.withColumn("error_reason", failure_reason(parsed)).observe(
-        metrics_name, F.count(F.lit(1)).alias("rows_in"),
+        metrics, F.count(F.lit(1)).alias("rows_in"),
         F.count_if(F.col("error_reason") != "").alias("rows_dead_letter"))
     good = tagged.filter(F.col("error_reason") == "").drop("error_reason", CORRUPT_COLUMN)
     bad = tagged.filter(F.col("error_reason") != "")
@@ -213,15 +215,16 @@ def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "e
 
 
 def kafka_stream(spark: SparkSession, options: dict) -> DataFrame:
-    """Parsed event stream from Kafka (needs the Kafka connector on the cluster)."""
-    return parse_records(spark.readStream.format("kafka").options(**options).load())
+    """Raw records from Kafka, headers included when asked for (needs the connector); the
+    streams parse them once (``parse_records``)."""
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def kafka_batch(spark: SparkSession, options: dict) -> DataFrame:
     """S2 on Kafka: bounded replay between ``startingOffsets`` and ``endingOffsets``
-    (pass ``ending_offsets`` to ``kafka_options``); needs the Kafka connector."""
+    (pass ``ending_offsets`` to ``kafka_options``), raw; needs the Kafka connector."""
     opts = {k: v for k, v in options.items() if k != "maxOffsetsPerTrigger"}
-    return parse_records(spark.read.format("kafka").options(**opts).load())
+    return spark.read.format("kafka").options(**opts).load()
 
 
 def write_dead_letters_kafka(dead: DataFrame, bootstrap_servers: str, topic: str) -> None:

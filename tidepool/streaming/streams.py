@@ -6,15 +6,13 @@ checkpoint:
 1. ``bronze_stream``: ``foreachBatch`` that parses Kafka-shaped records, adds
    bronze metadata and writes the epoch to
    ``bronze/batch_id=<epoch>/event_date=…/event_hour=…`` by overwriting that
-   batch directory (retry-safe; the epoch number is the batch id, D8). The
-   number of writers per hour partition follows the batch's largest hour, so
-   files stay near a target size: few files for a backfill spread over many
-   hours, many parallel writers when the whole batch is in the current hour.
+   batch directory (retry-safe; the epoch number is the batch id, D8). Rows of
+   an hour are dealt to a fixed number of writers.
 2. ``clean_stream``: ``foreachBatch`` over the bronze table: split dead
-   letters, ``refine``, and write the batch to ``log/batch_id=<epoch>`` by
-   overwriting that directory, so a retried epoch is idempotent. Stage
-   counters come from ``Observation``s on the writes themselves (no extra
-   pass) and go to a run-metrics table.
+   letters, ``refine``, and write the batch to
+   ``log/writer=stream/batch_id=<epoch>`` by overwriting that directory, so a
+   retried epoch is idempotent. Stage counters come from ``Observation``s on
+   the writes themselves (no extra pass) and go to a run-metrics table.
 3. ``kpi_stream``: sliding-window KPIs over the change log with a
    watermark; distinct users are exact through two chained aggregations
    (window, type, user) → (window, type), in append mode (D1, D2).
@@ -22,12 +20,13 @@ checkpoint:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidepool.operators import changelog, refine
 from tidepool.sources import ingest
@@ -70,7 +69,7 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 BRONZE_PARTITIONS = ["event_date", "event_hour"]
-TARGET_ROWS_PER_FILE = 1_000_000
+WRITERS = 8       # tasks that write one hour (bronze) or one date (clean log) of a batch
 
 
 def bronze_schema(spark: SparkSession) -> T.StructType:
@@ -85,44 +84,44 @@ def log_schema(spark: SparkSession) -> T.StructType:
     empty = spark.createDataFrame([], bronze_schema(spark))
     rows = refine.refine(empty.drop(ingest.CORRUPT_COLUMN), keep_order=True)
     logged = changelog.as_log(rows, 0, F.current_timestamp().cast("timestamp_ntz"))
-    return _nullable(logged.schema)
+    return _nullable(logged.schema).add("writer", T.StringType())
 
 
 # ------------------------------------------------------------------ 1. bronze
 
-def write_bronze_batch(enriched: DataFrame, batch_id: str, path: str,
-                       target_rows_per_file: int = TARGET_ROWS_PER_FILE) -> int:
+def write_bronze_batch(enriched: DataFrame, batch_id: str, path: str, writers: int = WRITERS) -> int:
     """Write one batch of bronze rows to ``path/batch_id=<batch_id>``; returns rows written.
 
     Overwriting the batch directory makes a retried batch idempotent. Rows
-    are shuffled by (event_date, event_hour, salt): the salt (a hash of the
-    Kafka coordinates) has as many values as the largest hour needs files,
-    so a hot hour is written by several tasks and a quiet hour by one.
+    are shuffled by (event_date, event_hour, salt), the salt being a hash of
+    the Kafka coordinates below ``writers``, so a batch that is all "current
+    hour" is written by several tasks, whatever its size.
     """
-    enriched = enriched.persist()
-    try:
-        biggest = enriched.groupBy(*BRONZE_PARTITIONS).count().agg(F.max("count")).first()[0] or 0
-        writers = max(1, -(-int(biggest) // int(target_rows_per_file)))
-        salt = F.pmod(F.xxhash64("kafka_topic", "kafka_partition", "kafka_offset"), F.lit(writers))
-        obs = Observation(f"bronze_{batch_id}")
-        out = (enriched.drop("batch_id")
-               .repartition(*[F.col(c) for c in BRONZE_PARTITIONS], salt)
-               .observe(obs, F.count(F.lit(1)).alias("n")))
-        out.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(f"{path}/batch_id={batch_id}")
-        return int(obs.get["n"])
-    finally:
-        enriched.unpersist()
+    salt = F.pmod(F.xxhash64("kafka_topic", "kafka_partition", "kafka_offset"), F.lit(writers))
+    obs = Observation(f"bronze_{batch_id}")
+    out = (enriched.drop("batch_id")
+           .repartition(*[F.col(c) for c in BRONZE_PARTITIONS], salt)
+           .observe(obs, F.count(F.lit(1)).alias("n")))
+    out.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(f"{path}/batch_id={batch_id}")
+    return int(obs.get["n"])
+
+
+def _count_row(spark: SparkSession, metrics_path: str | None, batch: str, counters: dict) -> None:
+    """M1: one row of stage counters, in the batch's own directory (a retry overwrites it)."""
+    if metrics_path:
+        spark.createDataFrame([counters]).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch}")
 
 
 def bronze_stream(records: DataFrame, path: str, checkpoint: str,
                   trigger: dict | None = None, source_system: str = ingest.DEFAULT_SOURCE_SYSTEM,
-                  target_rows_per_file: int = TARGET_ROWS_PER_FILE,
+                  writers: int = WRITERS, metrics_path: str | None = None,
                   query_name: str = "bronze") -> StreamingQuery:
-    """K1: parse records and write each epoch to the raw table."""
+    """K1: parse raw records (of any source) and write each epoch to the raw table."""
     def run(df: DataFrame, epoch_id: int) -> None:
         bid = f"bronze_{epoch_id}"
         enriched = ingest.enrich_raw(ingest.parse_records(df), bid, source_system)
-        write_bronze_batch(enriched, bid, path, target_rows_per_file)
+        n = write_bronze_batch(enriched, bid, path, writers)
+        _count_row(df.sparkSession, metrics_path, bid, {"stage": "bronze", "rows_written": n})
 
     w = (records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .queryName(query_name))
@@ -132,58 +131,45 @@ def bronze_stream(records: DataFrame, path: str, checkpoint: str,
 # ------------------------------------------------------------------ 2. clean
 
 def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
-                metrics_path: str | None = None, generation: int | None = None,
-                target_rows_per_file: int = TARGET_ROWS_PER_FILE) -> dict:
+                metrics_path: str | None = None, generation: int = 0,
+                writers: int = WRITERS, writer: str = "stream") -> dict:
     """K3 body: one micro-batch → log partition + DLQ partition + metrics row.
 
-    Re-running the same ``epoch_id`` rewrites the same directories, so the
-    result is the same (exactly-once in effect). Rows carry the log's current
-    generation (read per batch unless given), so they win over rows restated
-    by an earlier rollback.
-
-    Streams run without AQE, so the log write is sized here: the batch's row
-    count (taken from the cached batch) sets how many writers remain after
-    the dedup shuffle (``coalesce``: no further shuffle), so a batch writes
-    about one file per date per ``target_rows_per_file`` rows instead of one
-    per shuffle partition per date. All counters are exact: the row count and
-    the two written outputs are measured, duplicates follow from them.
+    Re-running the same ``epoch_id`` of the same ``writer`` rewrites the same
+    directories, so the result is the same (exactly-once in effect). Rows
+    carry the ``generation`` given by the caller, so after a rollback they
+    win over the restated rows.
+
+    After the cleaning work the rows are dealt to ``writers`` tasks a date.
+    All counters are exact: input and dead letters are observed on the split,
+    clean rows on the write; duplicates follow from them.
     """
     spark = df.sparkSession
-    if generation is None:
-        generation = changelog.current_generation(spark, log_path)
-    df = df.persist()
-    try:
-        rows_in = df.count()
-        writers = max(1, -(-rows_in // int(target_rows_per_file)))
-        good, bad = ingest.split_dead_letters(df)
-        o_out, o_bad = Observation(f"out_{epoch_id}"), Observation(f"bad_{epoch_id}")
-        clean = refine.refine(good, keep_order=True).observe(o_out, F.count(F.lit(1)).alias("n"))
-        logged = changelog.as_log(clean, epoch_id, F.current_timestamp().cast("timestamp_ntz"),
-                                  generation).coalesce(writers)
-        changelog.write_batch(logged, log_path, epoch_id)
-        dead = ingest.to_dead_letter(bad.observe(o_bad, F.count(F.lit(1)).alias("n")))
-        dead.coalesce(writers).write.mode("overwrite").parquet(f"{dlq_path}/batch_id={epoch_id}")
-        n_bad, n_out = int(o_bad.get["n"]), int(o_out.get["n"])
-        m = {
-            "batch_id": int(epoch_id),
-            "rows_in": int(rows_in),
-            "rows_dead_letter": n_bad,
-            "rows_clean": n_out,
-            "duplicates_removed": int(rows_in) - n_bad - n_out,
-        }
-        if metrics_path:
-            spark.createDataFrame([m]).drop("batch_id").write.mode("overwrite") \
-                .parquet(f"{metrics_path}/batch_id={epoch_id}")
-        return m
-    finally:
-        df.unpersist()
+    o_in, o_out = Observation(f"in_{epoch_id}"), Observation(f"out_{epoch_id}")
+    good, bad = ingest.split_dead_letters(df, o_in)
+    clean = refine.refine(good, keep_order=True).observe(o_out, F.count(F.lit(1)).alias("n"))
+    logged = changelog.as_log(clean, epoch_id, F.current_timestamp().cast("timestamp_ntz"), generation)
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(writers))
+    changelog.write_batch(logged.repartition("event_date", salt), log_path, epoch_id, writer)
+    dead = ingest.to_dead_letter(bad)
+    dead.write.mode("overwrite").parquet(f"{dlq_path}/writer={writer}/batch_id={int(epoch_id)}")
+    seen, n_out = o_in.get, int(o_out.get["n"])
+    m = {
+        "batch_id": int(epoch_id),
+        "rows_in": int(seen["rows_in"]),
+        "rows_dead_letter": int(seen["rows_dead_letter"]),
+        "rows_clean": n_out,
+        "duplicates_removed": int(seen["rows_in"]) - int(seen["rows_dead_letter"]) - n_out,
+    }
+    _count_row(spark, metrics_path, f"{writer}_{epoch_id}", {"stage": "clean"} | {k: v for k, v in m.items() if k != "batch_id"})
+    return m
 
 
 def backfill_clean(spark: SparkSession, bronze_path: str, log_path: str, dlq_path: str,
                    batch_id: int, start_date: str | None = None, end_date: str | None = None,
-                   metrics_path: str | None = None) -> dict:
+                   metrics_path: str | None = None, generation: int = 0) -> dict:
     """T11 batch backfill: bronze rows of a date range through the same
-    ``clean_batch`` the stream runs, written as log batch ``batch_id``.
+    ``clean_batch`` the stream runs, written as batch ``batch_id`` of the writer ``backfill``.
 
     The date bounds are bare comparisons on the ``event_date`` directories,
     so only those partitions are listed and read. Returns the batch metrics
@@ -191,15 +177,18 @@ def backfill_clean(spark: SparkSession, bronze_path: str, log_path: str, dlq_pat
     """
     bronze = ingest.date_range(spark.read.schema(bronze_schema(spark)).parquet(bronze_path),
                                start_date, end_date)
-    return clean_batch(bronze, batch_id, log_path, dlq_path, metrics_path)
+    return clean_batch(bronze, batch_id, log_path, dlq_path, metrics_path, generation, writer="backfill")
 
 
 def clean_stream(spark: SparkSession, bronze_path: str, log_path: str, dlq_path: str,
                  checkpoint: str, metrics_path: str | None = None, trigger: dict | None = None,
-                 max_files_per_trigger: int | None = None, generation: int | None = None,
+                 max_files_per_trigger: int | None = None, generation: int = 0,
                  query_name: str = "clean") -> StreamingQuery:
     """K3 + S4: stream the bronze table into the clean change log.
 
+    ``generation`` is what ``changelog.write_rollback`` returned, if the log
+    was ever rolled back.
+
     A retried bronze epoch overwrites its directory; files listed before the
     retry may then be gone, so missing files are skipped (the rewritten ones
     arrive as new files; duplicates resolve by latest-per-key).
@@ -230,6 +219,11 @@ def kpi_frame(events: DataFrame, watermark: str = WATERMARK, length: str = "5 mi
     ev = (events.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
           .withWatermark("_event_time", watermark)
           .dropDuplicatesWithinWatermark(["event_id"]))
+    return kpi_levels(ev, length, slide, exact)
+
+
+def kpi_levels(ev: DataFrame, length: str = "5 minutes", slide: str = "1 minute", exact: bool = True) -> DataFrame:
+    """The aggregation levels of ``kpi_frame`` over rows with ``_event_time``, stream or batch."""
     win = F.window("_event_time", length, slide).alias("window")
     purchase_amt = F.when(F.col("event_type") == "purchase", F.col("total_amount")).otherwise(F.lit(0))
     if exact:
@@ -292,13 +286,16 @@ def kpi_current(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ T8, T9
 
-def start_streams(spark: SparkSession, records_path: str, root: str,
-                   checkpoint_root: str | None = None,
-                   trigger: dict | None = None, records_format: str = "parquet",
-                   max_files_per_trigger: int | None = 500) -> list[StreamingQuery]:
+def start_streams(spark: SparkSession, records: DataFrame | str, root: str,
+                  checkpoint_root: str | None = None,
+                  trigger: dict | None = None, records_format: str = "parquet",
+                  max_files_per_trigger: int | None = 500, generation: int = 0) -> list[StreamingQuery]:
     """The three chained queries. The caller waits with
     ``spark.streams.awaitAnyTermination()`` and stops with ``q.stop()`` (D19).
 
+    ``records`` is a stream of raw records (``ingest.kafka_stream``, say) or a
+    folder of them. File sources limit a trigger by files, also the clean
+    stream's; a Kafka source limits it by records (``kafka_options``).
     Checkpoints default to the cluster's shared ``spark.checkpoint.dir``.
     """
     from tidepool.operators import schemas
@@ -308,12 +305,12 @@ def start_streams(spark: SparkSession, records_path: str, root: str,
     configure_streaming(spark)
     bronze = f"{root}/bronze"
     schemas.initialize_table(spark, bronze, bronze_schema(spark), ["batch_id", *BRONZE_PARTITIONS])
-    recs = ingest.file_record_stream(spark, records_path, records_format, max_files_per_trigger)
-    q1 = bronze_stream(recs, bronze, f"{checkpoint_root}/bronze", trigger)
+    if isinstance(records, str):
+        records = ingest.file_record_stream(spark, records, records_format, max_files_per_trigger)
+    q1 = bronze_stream(records, bronze, f"{checkpoint_root}/bronze", trigger, metrics_path=f"{root}/run_metrics")
     q2 = clean_stream(spark, bronze, f"{root}/clean_log", f"{root}/dead_letter",
-                      f"{checkpoint_root}/clean", f"{root}/run_metrics", trigger)
-    initial = spark.createDataFrame([], log_schema(spark))
-    initial.write.mode("ignore").partitionBy("batch_id").parquet(f"{root}/clean_log")
+                      f"{checkpoint_root}/clean", f"{root}/run_metrics", trigger, max_files_per_trigger, generation)
+    schemas.initialize_table(spark, f"{root}/clean_log", log_schema(spark), ["writer", "batch_id", *changelog.PARTITION_BY])
     q3 = kpi_stream(spark, f"{root}/clean_log", f"{root}/kpis", f"{checkpoint_root}/kpis", trigger)
     return [q1, q2, q3]
 
@@ -330,25 +327,46 @@ PROGRESS_SCHEMA = T.StructType([
 ])
 
 
+def _progress_row(name, ident, run_id, active: bool, status, p: dict) -> tuple:
+    ops = p.get("stateOperators", [])
+    return (name, ident, run_id, active, status, int(p.get("batchId", -1)), int(p.get("numInputRows", 0)),
+            float(p.get("inputRowsPerSecond", 0.0) or 0.0), float(p.get("processedRowsPerSecond", 0.0) or 0.0),
+            int(p.get("durationMs", {}).get("triggerExecution", 0)), p.get("eventTime", {}).get("watermark"),
+            sum(int(o.get("numRowsTotal", 0)) for o in ops), sum(int(o.get("numRowsDroppedByWatermark", 0)) for o in ops))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress report of every query to a table, as it comes.
+
+    A query itself remembers only its last hundred reports; the table keeps
+    all, so late rows (``late_rows_dropped``) add up over the whole run. Add it
+    with ``spark.streams.addListener(ProgressLog(spark, path))``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        row = _progress_row(p.get("name"), p["id"], p["runId"], True, "progress", p)
+        self.spark.createDataFrame([row], PROGRESS_SCHEMA).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
-    """Status and recent progress of each query as rows of a run-metrics table.
+    """Status and the reports each query still remembers, as rows (``ProgressLog`` keeps all).
 
     ``late_rows_dropped`` sums the state operators' rows dropped by the
     watermark (T4).
     """
-    rows = []
-    for q in queries:
-        status = (q.status or {}).get("message")
-        for p in q.recentProgress:
-            ops = p.get("stateOperators", []) if isinstance(p, dict) else []
-            rows.append((
-                q.name, str(q.id), str(q.runId), bool(q.isActive), status,
-                int(p.get("batchId", -1)),
-                int(p.get("numInputRows", 0)), float(p.get("inputRowsPerSecond", 0.0) or 0.0),
-                float(p.get("processedRowsPerSecond", 0.0) or 0.0),
-                int(p.get("durationMs", {}).get("triggerExecution", 0)),
-                p.get("eventTime", {}).get("watermark"),
-                sum(int(o.get("numRowsTotal", 0)) for o in ops),
-                sum(int(o.get("numRowsDroppedByWatermark", 0)) for o in ops),
-            ))
+    rows = [_progress_row(q.name, str(q.id), str(q.runId), bool(q.isActive), (q.status or {}).get("message"), json.loads(p.json) if hasattr(p, "json") else p)
+            for q in queries for p in q.recentProgress]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
