@@ -8,12 +8,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_dir
 
-CHUNK_BYTES = 1 << 21  # text handled at once inside a task (a longer text is one chunk of its own)
+CHUNK_BYTES = 1 << 19  # text handled at once inside a task (a longer text is one chunk of its own)
+BATCH_ROWS = 1000
 ROUNDS = 64            # far above what pointer jumping needs; reaching it raises
 
 
@@ -34,8 +36,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts are long rows: fewer of them in an Arrow batch keep tasks and their Python workers small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
     """Only ``doc_id`` and ``text``, whatever other columns a caller's table has."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
@@ -117,6 +125,18 @@ class Block:
         return at, chain([self.words[at + i] for i in range(k)])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; records are sorted by their fields in turn."""
+    keep = np.ones(len(values), bool)
+    if values.dtype.names:
+        values = values[np.lexsort([values[n] for n in reversed(values.dtype.names)])]
+        keep[1:] = np.logical_or.reduce([values[n][1:] != values[n][:-1] for n in values.dtype.names])
+    else:
+        values = np.sort(values)
+        keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 def chain(parts: list[np.ndarray]) -> np.ndarray:
     """One hash of several hashes, order kept."""
     out = np.zeros(len(parts[0]), np.uint64)
@@ -127,15 +147,14 @@ def chain(parts: list[np.ndarray]) -> np.ndarray:
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     """(from row, to row, whole texts as UTF-8) of slices of about ``limit`` bytes; a null text is empty."""
-    texts = [t or b"" for t in batch.column(column).cast(pa.large_binary()).to_pylist()]
+    texts = batch.column(column).cast(pa.large_binary())
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     lo = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield lo, i, texts[lo:i]
+    for i, n in enumerate([*sizes, limit]):
+        if size and (i == len(sizes) or size + n > limit):
+            yield lo, i, [t or b"" for t in texts.slice(lo, i - lo).to_pylist()]
             lo, size = i, 0
-        size += len(t) + 1
-    if lo < len(texts):
-        yield lo, len(texts), texts[lo:]
+        size += n + 1
 
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -175,7 +194,7 @@ def unpack(values: np.ndarray, width: int) -> np.ndarray:
 
 def packed(pairs: np.ndarray, width: int, key: str) -> pa.RecordBatch:
     """Distinct records, sorted, as one binary value for each bucket of their ``key``."""
-    pairs = np.unique(pairs)
+    pairs = distinct(pairs)
     cut = np.searchsorted(unpack(pairs[key], width), np.arange(width + 1, dtype=np.uint64))
     some = np.flatnonzero(np.diff(cut))
     return pa.RecordBatch.from_arrays(
@@ -183,19 +202,26 @@ def packed(pairs: np.ndarray, width: int, key: str) -> pa.RecordBatch:
         names=["bucket", "pairs"])
 
 
-def shared(batches: Iterator[pa.RecordBatch], kind: np.dtype, key: str, member: str) -> Iterator[np.ndarray]:
-    """Records of a partition's packed values whose ``key`` two or more members have, with the run's first."""
+def shared(batches: Iterator[pa.RecordBatch], kind: np.dtype, key: str) -> np.ndarray:
+    """The records of a partition's packed values whose ``key`` stands in two or more of them, sorted."""
     held = [np.frombuffer(p, kind) for b in batches for p in b.column("pairs").to_pylist()]
     if not held:
-        return
-    pairs = np.unique(np.concatenate(held))
-    held.clear()
-    start = np.concatenate([[True], pairs[key][1:] != pairs[key][:-1]])
-    run = np.cumsum(start) - 1
-    many = np.bincount(run)[run] > 1
-    pairs, first = pairs[many], pairs[member][start][run][many]
-    for lo in range(0, len(pairs), 1 << 16):
-        yield pairs[lo:lo + (1 << 16)], first[lo:lo + (1 << 16)]
+        return np.zeros(0, kind)
+    pairs = distinct(np.concatenate(held))
+    return pairs[np.bincount(run := run_of(pairs[key]))[run] > 1]
+
+
+def run_of(keys: np.ndarray) -> np.ndarray:
+    """Number of the run of equal neighbours that each of the sorted keys is in."""
+    return np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]])) - 1 if len(keys) else np.zeros(0, np.int64)
+
+
+def columns(arrays: dict[str, np.ndarray], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Batches of 64-bit columns."""
+    n = len(next(iter(arrays.values())))
+    for lo in range(0, n, rows):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a[lo:lo + rows]).view(np.int64)) for a in arrays.values()],
+                                         names=list(arrays))
 
 
 def bitmap(hashes: DataFrame, column: str, bits: int = 27) -> np.ndarray:

@@ -173,6 +173,7 @@ def identify(docs: DataFrame, held_out=None) -> DataFrame:
     ``held_out`` is a Column over ``doc_id`` (default: crc32 of the id as text leaves 2 modulo 4).
     """
     out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2 if held_out is None else held_out
+    C.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).withColumn("held_out", F.coalesce(out, F.lit(False)))
     model = docs.sparkSession.sparkContext.broadcast(fit(rows.filter("not held_out")))

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,60 +36,52 @@ from tidepool.llm import common as C
 SHINGLE, MIN_CHARS, SIMILARITY = 8, 16, 0.8
 ROWS, BANDS = 5, 14
 BINS = ROWS * BANDS
-FLUSH = 1 << 19            # band keys a task packs at once
+BLANK = b" \t\n\r\x0b\x0c"
+FLUSH = 1 << 18            # band keys a task packs at once
+REMEMBER = 200_000         # line hashes a task remembers to skip repeats (a speed matter only)
 RUN_BLOCK = 512            # rows of a run compared in one block
 PAIR = np.dtype([("key", "<u8"), ("line", "<u8")])
 
 
-class Lines:
-    """The lines of several texts: owner, number, trimmed range of code points and hash, as flat arrays."""
-
-    def __init__(self, texts: list[bytes]):
-        self.points = np.frombuffer((b"\n".join(texts) + b"\n").decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-        per_text = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
-        end = np.flatnonzero(self.points == 10)
-        start = np.concatenate([[0], end[:-1] + 1])
-        self.owner = np.repeat(np.arange(len(texts)), per_text)
-        self.number = np.arange(len(end)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        solid = np.flatnonzero(~C.SPACE[np.minimum(self.points, 255)])
-        lo, hi = np.searchsorted(solid, start), np.searchsorted(solid, end)
-        some = hi > lo
-        self.start, self.end = start.copy(), start.copy()
-        self.start[some] = solid[lo[some]]
-        self.end[some] = solid[hi[some] - 1] + 1
-        self.rolling = C.Rolling(self.points)
-        self.keep(self.end - self.start >= MIN_CHARS)
-
-    def keep(self, which: np.ndarray) -> None:
-        self.owner, self.number, self.start, self.end = (x[which] for x in (self.owner, self.number, self.start, self.end))
-        self.hash = self.rolling.ranges(self.start, self.end)
-
-    def text(self, i: int) -> str:
-        return self.points[self.start[i]:self.end[i]].tobytes().decode("utf-32-le", "replace")
-
-    def band_keys(self) -> np.ndarray:
-        """Lines x BANDS keys of the MinHash signature."""
-        grams = self.rolling.windows(SHINGLE)
-        count = self.end - self.start - SHINGLE + 1
-        line = np.repeat(np.arange(len(count)), count)
-        at = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.start, count)
-        h = grams[at]
-        where = ((h >> np.uint64(40)) * np.uint64(BINS) >> np.uint64(24)).astype(np.int64)
-        empty = np.uint32(0xFFFFFFFF)
-        sig = np.full(len(count) * BINS, empty, np.uint32)
-        np.minimum.at(sig, line * BINS + where, h.astype(np.uint32) >> np.uint32(1))
-        sig = sig.reshape(-1, BINS)
-        twice = np.concatenate([sig, sig], axis=1) != empty
-        source = np.where(twice, np.arange(2 * BINS), 4 * BINS)
-        source = np.minimum.accumulate(source[:, ::-1], axis=1)[:, ::-1][:, :BINS]
-        full = np.take_along_axis(sig, source % BINS, axis=1).astype(np.uint64)
-        full += (source - np.arange(BINS)).astype(np.uint64) << np.uint64(32)   # how far it was borrowed
-        return np.stack([C.chain([full[:, b * ROWS + r] for r in range(ROWS)]) + np.uint64(b) for b in range(BANDS)], axis=1)
+def trimmed_lines(text: bytes) -> list[tuple[int, bytes, int]]:
+    """(number, trimmed line, signed 64-bit hash) of the lines that take part."""
+    out = []
+    for i, line in enumerate(text.split(b"\n")):
+        line = line.strip(BLANK)
+        if len(line) >= MIN_CHARS and (len(line) >= 4 * MIN_CHARS or len(line.decode("utf-8", "replace")) >= MIN_CHARS):
+            h = xxhash.xxh3_64_intdigest(line)
+            out.append((i, line, h - (1 << 64) if h >> 63 else h))
+    return out
+
+
+def band_keys(lines: list[bytes]) -> np.ndarray:
+    """Lines x BANDS keys of the MinHash signatures."""
+    points = np.frombuffer(b"\n".join(lines).decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    end = np.append(np.flatnonzero(points == 10), len(points))
+    start = np.concatenate([[0], end[:-1] + 1])
+    grams = C.Rolling(points).windows(SHINGLE)
+    inside = np.ones(len(grams), bool)
+    for i in range(SHINGLE):                           # no shingle spans a line feed
+        cross = end[:-1] - i
+        inside[cross[(cross >= 0) & (cross < len(grams))]] = False
+    h = grams[inside]
+    where = ((h >> np.uint64(40)).astype(np.uint32) * np.uint64(BINS) >> np.uint64(24)).astype(np.int64)
+    where += np.repeat(np.arange(len(lines)) * BINS, end - start - SHINGLE + 1)
+    empty = np.uint32(0xFFFFFFFF)
+    sig = np.full(len(lines) * BINS, empty, np.uint32)
+    np.minimum.at(sig, where, h.astype(np.uint32) >> np.uint32(1))
+    sig = sig.reshape(-1, BINS)
+    twice = np.concatenate([sig, sig], axis=1) != empty
+    source = np.where(twice, np.arange(2 * BINS), 4 * BINS)
+    source = np.minimum.accumulate(source[:, ::-1], axis=1)[:, ::-1][:, :BINS]
+    full = np.take_along_axis(sig, source % BINS, axis=1).astype(np.uint64)
+    full += (source - np.arange(BINS)).astype(np.uint64) << np.uint64(32)   # how far it was borrowed
+    return np.stack([C.chain([full[:, b * ROWS + r] for r in range(ROWS)]) + np.uint64(b) for b in range(BANDS)], axis=1)
 
 
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct shingle hashes of a trimmed line."""
-    return np.unique(C.Rolling(np.frombuffer(text.encode("utf-32-le"), "<u4")).windows(SHINGLE))
+    return C.distinct(C.Rolling(np.frombuffer(text.encode("utf-32-le"), "<u4")).windows(SHINGLE))
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -102,25 +95,34 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, texts in C.chunks(batch):
-            x = Lines(texts)
-            rows = batch.slice(lo, hi - lo)
+        for lo, _, texts in C.chunks(batch):
+            rows = [(lo + k, i, h) for k, t in enumerate(texts) for i, _, h in trimmed_lines(t)]
+            at = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(pa.array(x.owner)), rows.column(1).take(pa.array(x.owner)),
-                 pa.array(x.number, pa.int32()), pa.array(x.hash.view(np.int64))], names=["doc_id", "mark", "number", "line"])
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array([r[1] for r in rows], pa.int32()),
+                 pa.array([r[2] for r in rows], pa.int64())], names=["doc_id", "mark", "number", "line"])
+
+
+def _fresh(texts: list[bytes], seen: set[int]) -> dict[int, bytes]:
+    """Lines of the texts by hash, without those this task has met (it remembers a bounded number)."""
+    if len(seen) > REMEMBER:
+        seen.clear()
+    found = {h: line for t in texts for _, line, h in trimmed_lines(t) if h not in seen}
+    seen.update(found)
+    return found
 
 
 def _packed(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, seen = [], 0, set()
         for batch in batches:
             for _, _, texts in C.chunks(batch):
-                x = Lines(texts)
-                if not len(x.hash):
+                lines = _fresh(texts, seen)
+                if not lines:
                     continue
-                x.keep(np.sort(np.unique(x.hash, return_index=True)[1]))
-                pairs = np.empty(len(x.hash) * BANDS, PAIR)
-                pairs["key"], pairs["line"] = x.band_keys().ravel(), np.repeat(x.hash, BANDS)
+                pairs = np.empty(len(lines) * BANDS, PAIR)
+                pairs["key"] = band_keys(list(lines.values())).ravel()
+                pairs["line"] = np.repeat(np.fromiter(lines, np.int64, len(lines)).view(np.uint64), BANDS)
                 held.append(pairs)
                 size += len(pairs)
                 if size >= FLUSH:
@@ -133,22 +135,23 @@ def _packed(width: int):
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, line, least) of the keys that two or more classes have; a partition holds whole keys."""
-    for pairs, least in C.shared(batches, PAIR, "key", "line"):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (
-            pairs["key"], pairs["line"], least)], names=["key", "line", "least"])
+    pairs = C.shared(batches, PAIR, "key")
+    run = C.run_of(pairs["key"])
+    least = pairs["line"][np.searchsorted(run, run)]
+    yield from C.columns({"key": pairs["key"], "line": pairs["line"], "least": least})
 
 
-def _wanted_texts(found: np.ndarray):
+def _wanted_texts(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        found, seen = wanted.value, set()
         for batch in batches:
             for _, _, texts in C.chunks(batch):
-                x = Lines(texts)
-                rows = [i for i in np.flatnonzero(C.in_bitmap(found, x.hash)) if (h := int(x.hash[i])) not in seen and not seen.add(h)]
-                yield pa.RecordBatch.from_arrays([pa.array(x.hash[rows].view(np.int64)), pa.array([x.text(i) for i in rows], pa.string())],
-                                                 names=["line", "content"])
-                if len(seen) > 1_000_000:
-                    seen.clear()
+                lines = _fresh(texts, seen)
+                names = np.fromiter(lines, np.int64, len(lines))
+                hit = C.in_bitmap(found, names.view(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[hit]), pa.array([x.decode("utf-8", "replace") for x, h in zip(lines.values(), hit, strict=True) if h], pa.string())],
+                    names=["line", "content"])
     return run
 
 
@@ -197,8 +200,7 @@ def line_components(docs: DataFrame) -> DataFrame:
     keys = C.settle(texts.select("text").mapInArrow(_packed(width), "bucket int, pairs binary")
                     .repartition(width, "bucket").mapInArrow(_shared_keys, "key long, line long, least long"))
     wanted = spark.sparkContext.broadcast(C.bitmap(keys, "line"))
-    found = wanted.value
-    content = C.settle(texts.select("text").mapInArrow(_wanted_texts(found), "line long, content string")
+    content = C.settle(texts.select("text").mapInArrow(_wanted_texts(wanted), "line long, content string")
                        .groupBy("line").agg(F.min("content").alias("content")))
     pairs = keys.filter("line <> least").select("line", "least").distinct()
     least = content.select(F.col("line").alias("least"), F.col("content").alias("least_content"))
@@ -224,11 +226,11 @@ def removals(docs: DataFrame) -> DataFrame:
     classes = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     linked = C.settle(line_components(docs))
     named = classes.join(linked.withColumnRenamed("node", "line"), "line", "left")
-    alone = named.filter("component is null and first <> last").select("line", "first")
+    alone = named.filter("component is null and not (first <=> last)").select("line", "first")
     grouped = named.filter("component is not null")
     firsts = grouped.groupBy("component").agg(F.min("first").alias("kept"))
     copies = alone.union(grouped.join(firsts, "component").select("line", F.col("kept").alias("first")))
-    gone = lines.join(copies, "line").filter(place != F.col("first"))
+    gone = lines.join(copies, "line").filter(~place.eqNullSafe(F.col("first")))
     return gone.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("number")).alias("removed"))
 
 
@@ -246,10 +248,12 @@ def rewrite(docs: DataFrame) -> DataFrame:
     """``docs`` with texts rewritten, and ``__removed``, the count of lines taken out."""
     gone = removals(docs).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("removed").alias("__gone"))
     text = F.col("text").cast("string")
-    joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__mark")), "left")
-    cut = _without(F.when(F.col("__gone").isNotNull(), text), F.col("__gone"))
-    return (joined.withColumn("text", F.coalesce(cut, text)).withColumn("__removed", F.coalesce(F.size("__gone"), F.lit(0)))
-            .drop("__id", "__mark", "__gone"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.xxhash64(text).alias("own"), text.alias("text"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("__id")) & (F.col("own") == F.col("__mark")), "left")
+    cut = _without(F.when(F.col("__gone").isNotNull(), F.col("text")), F.col("__gone"))
+    return joined.select(F.col("row").withField("text", F.coalesce(cut, F.col("text"))).alias("row"),
+                         F.coalesce(F.size("__gone"), F.lit(0)).alias("__removed")).select("row.*", "__removed")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

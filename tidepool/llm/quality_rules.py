@@ -71,6 +71,7 @@ CUTOFF = chi2_quantile(1 - TAIL, DIM)
 
 def statistics(docs: DataFrame) -> DataFrame:
     """Counts, base rule and vector of every row: doc_id, mark (of the text), lang, source, counts, v0.."""
+    C.small_batches(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.xxhash64(F.col("text").cast("string")).alias("mark"),
                         F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))

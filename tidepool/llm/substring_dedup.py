@@ -116,8 +116,8 @@ def _anchors(width: int):
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for pairs, _ in C.shared(batches, PAIR, "key", "cls"):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[k]).view(np.int64)) for k in ("key", "cls")], names=["key", "cls"])
+    pairs = C.shared(batches, PAIR, "key")
+    yield from C.columns({"key": pairs["key"], "cls": pairs["cls"]})
 
 
 class Deal:
