@@ -1,6 +1,6 @@
 """Streaming ingest throughput: JSON records -> bronze -> clean change log.
 
-usage: python tools/stream_bench.py [sf_dir] [cpus]
+usage: python tools/stream_bench.py [sf_dir] [cpus] [scratch folder]
 Writes the raw JSON records of the fixture to a scratch folder, then runs the
 bronze stream and the clean foreachBatch stream with availableNow triggers.
 Prints one JSON line with events/s for each stage.
@@ -11,8 +11,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -26,7 +26,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     cpus = int(sys.argv[2]) if len(sys.argv) > 2 else 8
     spark = local_session(cpus, shuffle_partitions=2 * cpus, app="tidepool-stream-bench")
-    root = tempfile.mkdtemp(prefix="stream-bench-", dir="/tmp")
+    root = os.path.join(sys.argv[3] if len(sys.argv) > 3 else "spark-warehouse", f"stream-bench-{uuid.uuid4().hex}")
     recs = FX.raw_json(spark, sf_dir)
     n = recs.count()
     recs.repartition(2 * cpus).write.parquet(f"{root}/records")

@@ -13,7 +13,7 @@ import glob
 import json
 import os
 import sys
-import tempfile
+import uuid
 from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -44,7 +44,7 @@ def _lines(path: str):
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    root = tempfile.mkdtemp(prefix="zskip-", dir="/tmp")
+    root = os.path.join(sys.argv[3] if len(sys.argv) > 3 else "spark-warehouse", f"zskip-{uuid.uuid4().hex}")
     os.makedirs(f"{root}/events")
     b = (SparkSession.builder.master("local[8]").appName("zorder-skipping")
          .config("spark.ui.enabled", "false")
