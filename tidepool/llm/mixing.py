@@ -83,7 +83,8 @@ def blocks(docs: DataFrame, seed: int = SEED) -> DataFrame:
     counts = keyed.groupBy("__source").agg(F.ceil(F.count("*") / BIN_ROWS).alias("__bins"))
     # leading 31 bits of the key (made unsigned), scaled to the source's number of bins: bins rise with the key
     lead = F.shiftrightunsigned(F.col("__order").bitwiseXOR(F.lit(-1 << 63)), 33)
-    binned = keyed.join(counts, "__source").withColumn("__bin", F.shiftright(lead * F.col("__bins"), 31)).drop("__bins")
+    # more than PERIOD sources are refused later on, so this is bounded; a join by source would leave a source's rows together
+    binned = keyed.join(F.broadcast(counts.limit(PERIOD + 1)), "__source").withColumn("__bin", F.shiftright(lead * F.col("__bins"), 31)).drop("__bins")
     sums = binned.groupBy("__source", "__bin").agg(F.sum("__size").alias("n"))
     over = W.partitionBy("__source").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
     before = sums.select(F.col("__source").alias("s"), F.col("__bin").alias("b"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("__before"))
