@@ -146,7 +146,8 @@ def _concentrate(rows: DataFrame, models: DataFrame) -> DataFrame:
     at = F.least(F.greatest(level, F.lit(-BINS // 2)), F.lit(BINS // 2)).alias("bin")
     moments = [F.sum(v).alias(f"s{i}") for i, v in enumerate(V)] + [
         F.sum(F.col(V[i]) * F.col(V[j])).alias(f"q{i}{j}") for i, j in PAIRS]
-    bins = distance(rows, models).groupBy("fit", at).agg(F.count("*").alias("n"), *moments)
+    # settled, as Spark would else deal the partial sums by group alone
+    bins = C.settle(distance(rows, models).groupBy("fit", at).agg(F.count("*").alias("n"), *moments))
 
     def update(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("bin")
