@@ -123,10 +123,12 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]
     idf = (np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1).astype(np.float32)
 
     turn = F.xxhash64(F.lit(7), "doc_id")
-    names = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    ranked = rows.select("lang", turn.alias("turn")).withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("turn")))
-    last = ranked.filter(F.col("at") <= SAMPLE).groupBy("lang").agg(F.max("turn").alias("last")).join(names.select("lang"), "lang", "left_semi")
-    # at most LANGUAGES rows
+    names = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))  # at most LANGUAGES rows
+    # four times the sample by its share of the hash range, so that no task ranks more than that of a language
+    share = (F.col("turn").cast("double") + 2.0 ** 63) / 2.0 ** 64
+    near = rows.select("lang", turn.alias("turn")).join(names, "lang").filter(share * F.col("n") < 4 * SAMPLE)
+    ranked = near.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("turn")))
+    last = ranked.filter(F.col("at") <= SAMPLE).groupBy("lang").agg(F.max("turn").alias("last"))
     chosen = rows.withColumn("turn", turn).join(F.broadcast(last), "lang").filter("turn <= last").select("lang", "turn", "text")
 
     def train(p: pd.DataFrame) -> pd.DataFrame:
@@ -135,7 +137,8 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]
                             for i in range(0, len(p), AT_ONCE)])
         v = v[v.any(axis=1)]
         if not len(v):
-            return pd.DataFrame({"lang": [], "k": [], "centre": [], "least": []})
+            return pd.DataFrame({"lang": pd.Series([], dtype=object), "k": pd.Series([], dtype="int32"),
+                                 "centre": pd.Series([], dtype=object), "least": pd.Series([], dtype="float64")})
         centre = clusters(v, min(CLUSTERS, len(v)))
         near = v @ centre.T
         at = np.argmax(near, axis=1)
