@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tidepool.plans import catalog  # noqa: E402
 from tidepool.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -44,7 +44,7 @@ def main() -> None:
     print("No query has a Python evaluation node, a cartesian product or a nested-loop join.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         counts = [len(re.findall(PATTERNS[c], plan)) for c in cols]
         print(f"| {name} | " + " | ".join(str(c) for c in counts) + " |")
