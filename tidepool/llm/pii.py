@@ -38,7 +38,7 @@ _TITLE = "|".join(t.replace(".", "\\.") for ts in TITLES.values() for t in ts)
 _NAME = r"\p{Lu}\p{Ll}+(?:[-']\p{Lu}\p{Ll}+)?"
 PATTERNS = {
     "secret": r"(?i:\b(?:token|api[_-]?key|secret|password)\b\s?[=:]\s?[\"'])[A-Za-z0-9_\-]{16,128}(?=[\"'])",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![\p{L}\p{N}@])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![\p{L}\p{N}@])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -46,7 +46,19 @@ PATTERNS = {
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
     "name": rf"(?<![\p{{L}}])(?:{_TITLE}) {_NAME}(?: {_NAME}){{0,2}}",
 }
-ANY = "|".join(PATTERNS[k] for k in ("secret", "email", "iban", "phone", "card", "ip", "ssn", "name"))
+#: What a pattern can begin with: tried before the pattern itself, so most places fail on one character.
+_BEGINS = {"secret": "(?=[TtAaSsPp])", "iban": "(?=[A-Z]{2}[0-9])", "phone": "(?=[0-9+(])", "card": "(?=[0-9])", "ip": "(?=[0-9])",
+           "ssn": "(?=[0-9])", "name": "(?=[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "])"}
+_REST = "|".join(_BEGINS[k] + "(?:" + PATTERNS[k] + ")" for k in ("secret", "iban", "phone", "card", "ip", "ssn", "name"))
+#: All patterns, and all but e-mail's (for texts without an at sign).
+ANY, NO_MAIL = "(?:" + PATTERNS["email"] + ")|" + _REST, _REST
+
+
+def _hint(text: Column) -> Column:
+    """False only for texts without any entity: each holds a digit, an at sign, a quoted value or a title."""
+    titles = [F.contains(text, F.lit(t + " ")) for ts in TITLES.values() for t in ts]
+    return reduce(lambda a, b: a | b, titles, text.rlike("[0-9@]") | text.rlike("[=:]\\s?[\"']"))
+
 
 _LOWER, _CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя"
 #: Syllables and endings that surrogate names are built from: script, then gender.
@@ -240,13 +252,18 @@ def exceptions(entities: DataFrame, key: str) -> DataFrame:
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """One row per input row: doc_id, n_entities, text with surrogates."""
-    rows = C.doc_texts(docs).withColumn("found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    def by_mail(what):
+        return F.when(F.contains(F.col("text"), F.lit("@")), what(ANY)).otherwise(what(NO_MAIL))
+
+    found = by_mail(lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0)))
+    rows = C.doc_texts(docs).withColumn("found", F.when(_hint(F.col("text")), found).otherwise(
+        F.when(F.col("text").isNotNull(), F.array().cast("array<string>"))))
     matched = rows.filter(F.size("found") > 0).select("doc_id", "text", F.transform(
         "found", lambda m: F.struct(m.alias("m"), _kind(m).alias("kind"))).alias("found"))
     parts = F.explode(F.flatten(F.transform(F.filter("found", lambda x: x["kind"].isNotNull()), lambda x: _parts(x["kind"], x["m"])))).alias("part")
     entities = C.settle(matched.select(parts).select("part.kind", "part.norm").distinct())
     odd = exceptions(entities, key)
-    gaps = F.split("text", ANY, -1)
+    gaps = by_mail(lambda p: F.split("text", p, -1))
     kinds = F.transform("found", lambda m: _kind(m))
     base = rows.withColumn("kinds", F.when(F.size("found") > 0, kinds))
     again = None
