@@ -39,10 +39,11 @@ from pyspark.sql import functions as F
 from tidepool.llm import common as C
 
 SKETCH_BITS, PIECE = 22, 1 << 14
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 LEADER_BLOCK, RUN_BLOCK = 256, 256
+NEAREST = 48               # cells up to this size look for each set's nearest, not only for leaders
 TOKEN = np.uint64((1 << 56) - 1)
-PAIR = np.dtype([("key", "<u8"), ("cls", "<u8")])
+PAIR = np.dtype([("key", "<u8"), ("size", "<u4"), ("cls", "<u8")])
 
 
 class Join:
@@ -62,12 +63,17 @@ class Join:
         """False if sizes and parity bitmaps (as integers) rule a link out."""
         if min(n, m) * self.den < self.num * max(n, m):
             return False
+        return self.distance(n, x, m, y) <= n + m - 2 * self.needed(n, m)
+
+    @staticmethod
+    def distance(n: int, x: int, m: int, y: int) -> int:
+        """Members that two sets differ in, at least."""
         p, q = bitmap_size(n), bitmap_size(m)
         while p > q:
             p, x = p // 2, x >> (p // 2) ^ x & ((1 << p // 2) - 1)
         while q > p:
             q, y = q // 2, y >> (q // 2) ^ y & ((1 << q // 2) - 1)
-        return (x ^ y).bit_count() <= n + m - 2 * self.needed(n, m)
+        return (x ^ y).bit_count()
 
 
 def bitmap_size(n: int) -> int:
@@ -90,7 +96,7 @@ def token_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     out = []
     for i, n in enumerate(block.n_words):
         if n >= words:
-            out.append(np.unique(h[cut[i]:cut[i + 1]]))
+            out.append(C.distinct(h[cut[i]:cut[i + 1]]))
         elif n:
             own = block.words[block.first[i]:block.first[i + 1]]
             out.append(C.chain([own[k:k + 1] for k in range(n)] + [np.full(1, n, np.uint64)]) >> np.uint64(8))
@@ -226,7 +232,8 @@ def _prefixes(rule: Join, levels, width: int):
                         continue
                     first = ordered(tokens, known)[:rule.prefix(len(tokens))]
                     pairs = np.empty(len(first), PAIR)
-                    pairs["key"], pairs["cls"] = C.mix(first & TOKEN), np.uint64(class_of(tokens) & (1 << 64) - 1)
+                    pairs["key"], pairs["size"] = C.mix(first & TOKEN), len(tokens)
+                    pairs["cls"] = np.uint64(class_of(tokens) & (1 << 64) - 1)
                     held.append(pairs)
                     size += len(first)
                 if size >= FLUSH:
@@ -237,10 +244,21 @@ def _prefixes(rule: Join, levels, width: int):
     return run
 
 
-def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for pairs, _ in C.shared(batches, PAIR, "key", "cls"):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[k]).view(np.int64)) for k in ("key", "cls")],
-                                         names=["key", "cls"])
+def _shared_keys(rule: Join):
+    """(key, cls, first, run) of classes that share a prefix shingle with one of a size that allows a link.
+
+    In the order of sizes only neighbours need a look. ``first`` is the run's smallest set, ``run`` its length.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = C.shared(batches, PAIR, "key")
+        size = pairs["size"].astype(np.int64)
+        near = (pairs["key"][1:] == pairs["key"][:-1]) & (size[:-1] * rule.den >= size[1:] * rule.num)
+        pairs = pairs[np.append(near, False) | np.insert(near, 0, False)] if len(pairs) else pairs
+        group = C.run_of(pairs["key"])
+        length = np.bincount(group)[group] if len(group) else group
+        yield from C.columns({"key": pairs["key"], "cls": pairs["cls"], "first": pairs["cls"][np.searchsorted(group, group)],
+                              "run": length.astype(np.int64)})
+    return run
 
 
 def _pairs(links: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -248,35 +266,45 @@ def _pairs(links: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def _led(rule: Join):
-    """(cls, leader): the first class of each run's cell that may be linked with it; leaders are smaller sets."""
+    """(cls, leader) for each run's cell: the first leader that may be linked, and in small cells the nearest set before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in _several(C.groups(batches, 3), 2000):
+        for some in _several(C.groups(batches, 2), 2000):
             out = set()
             for _, rows in some:
+                sets = sorted((r[3], r[2], int.from_bytes(r[4], "little")) for r in rows)
                 leaders: list[tuple] = []
-                for n, cls, bits in sorted((r[5], r[3], int.from_bytes(r[6], "little")) for r in rows):
-                    lead = next((x[1] for x in leaders if rule.may_link(x[0], x[2], n, bits)), None)
-                    if lead is None:
+                for i, (n, cls, bits) in enumerate(sets):
+                    before = sets[:i] if len(sets) <= NEAREST else leaders
+                    fit = [x for x in before if rule.may_link(x[0], x[2], n, bits)]
+                    if not any(x[1] == y[1] for x in fit for y in leaders):
                         leaders.append((n, cls, bits))
-                    elif lead != cls:
-                        out.add((cls, lead))
-            yield _pairs(list(out), ["cls", "leader"])
+                    if fit:
+                        out.add((cls, fit[0][1]))
+                        out.add((cls, min(fit, key=lambda x: (rule.distance(x[0], x[2], n, bits), x[1]))[1]))
+            yield _pairs([x for x in out if x[0] != x[1]], ["cls", "leader"])
     return run
 
 
 def _open(rule: Join):
-    """(key, cls) of the members of a cell that may be linked with a member of another component."""
+    """(cell, cls) of the members of a cell that may be linked with a member of another component.
+
+    The cell's name is a hash of those members, so runs that leave the same question open ask it once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _several(C.groups(batches, 3), 2000):
             out = set()
-            for (key, lo, hi), rows in some:
+            for (_, lo, hi), rows in some:
                 x = [(r[3], r[4], r[5], int.from_bytes(r[6], "little"), r[7]) for r in rows]
+                members = set()
                 for i in range(len(x)):
                     for j in range(i):
                         a, b = x[i], x[j]
                         if a[4] != b[4] and (lo == hi or a[1] != b[1]) and rule.may_link(a[2], a[3], b[2], b[3]):
-                            out |= {(key, a[0]), (key, b[0])}
-            yield _pairs(list(out), ["key", "cls"])
+                            members |= {a[0], b[0]}
+                if members:
+                    name = int(C.chain([np.array([m], np.int64).view(np.uint64) for m in sorted(members)]).view(np.int64)[0])
+                    out |= {(name, m) for m in members}
+            yield _pairs(list(out), ["cell", "cls"])
     return run
 
 
@@ -307,8 +335,8 @@ def _wanted_sets(rule: Join, levels, found):
 def _joined(rule: Join):
     """Links that connect components inside each cell, by one trie a cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in C.groups(batches, 3):
-            sets = {r[3]: (np.frombuffer(r[5], np.uint64), r[4]) for r in rows}
+        for _, rows in C.groups(batches, 2):
+            sets = {r[2]: (np.frombuffer(r[4], np.uint64), r[3]) for r in rows}
             parent = {c: c for _, c in sets.values()}
 
             def find(c: int) -> int:
@@ -348,15 +376,16 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     levels = spark.sparkContext.broadcast(table)
 
     keys = C.settle(texts.filter("doc_id is not null").mapInArrow(_prefixes(rule, levels, width), "bucket int, pairs binary")
-                    .repartition(width, "bucket").mapInArrow(_shared_keys, "key long, cls long"))
-
-    def cells(rows: DataFrame, wide: DataFrame, *last: str) -> DataFrame:
-        """Runs in cells of blocks; the wide columns of ``wide`` join the light rows only once they are dealt."""
-        return (C.block_pairs(rows, "key", "cls", RUN_BLOCK).join(wide, "cls").select("key", "lo", "hi", "cls", "block", *last)
-                .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
+                    .repartition(width, "bucket").mapInArrow(_shared_keys(rule), "key long, cls long, first long, run long"))
 
+    # a long run is dealt to cells, with its smallest set in each
     described = classes.select("cls", "n", "bits")
-    led = C.settle(cells(keys, described, "n", "bits").mapInArrow(_led(rule), "cls long, leader long").distinct())
+    pieces = F.ceil(F.col("run") / RUN_BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("cls"), pieces).cast("int")
+    cell = F.explode(F.when(F.col("cls") == F.col("first"), F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(own)))
+    led = C.settle(keys.select("key", "cls", cell.alias("block")).join(described, "cls").select("key", "block", "cls", "n", "bits")
+                   .repartition("key", "block").sortWithinPartitions("key", "block")
+                   .mapInArrow(_led(rule), "cls long, leader long").distinct())
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """Ordered sets of the classes; read from the documents again, each class from its first one."""
@@ -371,7 +400,7 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     stand = blocks.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("leader").alias("cls"))
     seats = C.settle(dealt.select("leader", "block", "cls").union(stand))
     links = C.settle(seats.join(sets_of(seats), "cls")
-                     .select("leader", "block", F.lit(0).alias("z"), "cls", F.col("cls").alias("component"), "tokens")
+                     .select("leader", "block", "cls", F.col("cls").alias("component"), "tokens")
                      .repartition("leader", "block").sortWithinPartitions("leader", "block")
                      .mapInArrow(_joined(rule), "a long, b long"))
     known = C.settle(C.components(links)).withColumnRenamed("node", "cls")
@@ -379,11 +408,14 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     # second round: runs that still span components
     placed = keys.join(known, "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    rest = C.settle(cells(placed.join(split, "key", "left_semi"), described, "n", "bits", "component")
-                    .mapInArrow(_open(rule), "key long, cls long").distinct())
+    rest = C.settle(C.block_pairs(placed.join(split, "key", "left_semi"), "key", "cls", RUN_BLOCK).join(described, "cls")
+                    .select("key", "lo", "hi", "cls", "block", "n", "bits", "component")
+                    .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                    .mapInArrow(_open(rule), "cell long, cls long").distinct())
     if not rest.isEmpty():
-        again = cells(rest.join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls")),
-                      sets_of(rest), "component", "tokens").select("key", "lo", "hi", "cls", "component", "tokens")
+        again = (rest.join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls")).join(sets_of(rest), "cls")
+                 .select("cell", F.lit(0).alias("part"), "cls", "component", "tokens")
+                 .repartition("cell").sortWithinPartitions("cell"))
         links = links.union(again.mapInArrow(_joined(rule), "a long, b long"))
     found = C.settle(C.components(links).withColumnRenamed("node", "cls"))
 
