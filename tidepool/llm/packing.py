@@ -30,6 +30,7 @@ from tidepool.llm import tokens as K
 
 CAPACITY, END_ID = 2048, 0
 GROUP, ROUNDS = 50_000, 3
+CACHE_UNITS = 500_000     # workers keep their cache while other stages of a pipeline run
 ROW = "seq long, length int, sequence_id long, offset int, fill int, certified boolean"
 
 
@@ -90,7 +91,7 @@ def _pack(p: pd.DataFrame) -> pd.DataFrame:
 
 def _pieces(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = K.encoder(path, spaced=False)
+        enc = K.encoder(path, spaced=False, cache_units=CACHE_UNITS)
         for batch in batches:
             for lo, hi, texts in C.chunks(batch):
                 rows = []

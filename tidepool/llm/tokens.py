@@ -27,38 +27,41 @@ class Encoder:
     ``spaced``: the pre-tokenizer keeps white space (a unit then begins with its space); otherwise it drops it.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, cache_units: int = CACHE_UNITS):
+        self.cache_units = cache_units
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         self.spaced = spaced
         self.mark = "\n" if spaced else " 0 "
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-        # a space next to other white space: runs of it are cut by rules that look beyond a unit
-        self.unsafe = re.compile(r" \s|\s ").search
+        self.cache: dict[str, bytes] = {"": b""}
+        # white space other than single spaces and line feeds: runs of it are cut by rules that look beyond a unit
+        self.other_space = re.compile(r"[^\S \n]").search
+        self.space_run = re.compile(r" \s|\s ").search
         # a comma or full stop is a token of its own only after a letter or digit and before white space
-        self.joined = re.compile(r"(?:\W|_)[,.](?:\s|\Z)").search
+        self.joined = re.compile(r"[,.](?<![^\W_][,.])(?=\s|\Z)").search
         self.bulk_safe = re.compile(r" ?[^\s]+" if spaced else r"[^\s0]+").fullmatch
 
+    def unsafe(self, text: str) -> bool:
+        """Whether a space stands next to other white space."""
+        return "  " in text or " \n" in text or "\n " in text or bool(self.other_space(text) and self.space_run(text))
+
     def units(self, text: str) -> list[str]:
-        """Parts whose ids, put together, are the text's."""
+        """Parts (some empty) whose ids, put together, are the text's."""
         if self.spaced:
             if self.unsafe(text):
                 return [text]
-            text = text.replace(" ", "\0 ")
-            if "\n\n" not in text and not self.joined(text.replace("\0", "")):
-                text = text.replace("\n", "\0\n\0")
-                text = text.replace(",\0", "\0,\0").replace(".\0", "\0.\0")
-            return [u for u in text.split("\0") if u]
+            if "\n\n" in text or self.joined(text) or self.other_space(text):
+                return text.replace(" ", "\0 ").split("\0")
+            text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+            return text.replace(",\0", "\0,\0").replace(".\0", "\0.\0").split("\0")
         text = text.replace("\n", " ")
         if not self.joined(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
-        return [u for u in text.split(" ") if u]
+        return text.split(" ")
 
     def learn(self, units: set[str]) -> None:
-        if len(self.cache) + len(units) > CACHE_UNITS:
-            self.cache.clear()
         safe = [u for u in units if self.bulk_safe(u)]
         for lo in range(0, len(safe), BULK):
             part = safe[lo:lo + BULK]
@@ -78,11 +81,13 @@ class Encoder:
         """Ids of each whole text."""
         # a NUL would be taken for a cut
         cut = [self.units(t) if "\0" not in t else None for t in texts]
-        new = set().union(*(u for u in cut if u is not None)) - self.cache.keys()
+        every = set().union(*(u for u in cut if u is not None))
+        new = every.difference(self.cache)
+        if len(self.cache) + len(new) > self.cache_units:
+            self.cache.clear()
+            self.cache[""] = b""
+            new = every - {""}
         if new:
-            if len(self.cache) + len(new) > CACHE_UNITS:
-                self.cache.clear()
-                new = set().union(*(u for u in cut if u is not None))
             self.learn(new)
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, u)), self.dtype) if u is not None else
@@ -93,8 +98,8 @@ class Encoder:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
-    """One encoder a Python worker; its cache serves the tasks that follow."""
+def encoder(path: str, spaced: bool, cache_units: int = CACHE_UNITS) -> Encoder:
+    """One encoder a Python worker; its cache serves the tasks that follow (about 200 bytes a unit)."""
     if (path, spaced) not in _encoders:
-        _encoders[path, spaced] = Encoder(path, spaced)
+        _encoders[path, spaced] = Encoder(path, spaced, cache_units)
     return _encoders[path, spaced]
