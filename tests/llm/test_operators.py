@@ -118,6 +118,14 @@ def test_neighbours_recall(spark):
     assert got.keys() == want.keys() and hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_neighbours_are_exact_with_hundreds_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 8)              # 250 lists, far more than a query probes at first
+    rows_ = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.1')}/embeddings.parquet").select("vec_id", "embedding")
+    got = neighbours_of(ann.search(rows_, F.col("vec_id") % 100 == 0))
+    assert {q: [i for _, i in x] for q, x in got.items()} == {
+        q: [i for _, i in x] for q, x in brute.neighbours([(r["vec_id"], r["embedding"]) for r in rows_.collect()]).items()}
+
+
 def test_posting_lists_are_balanced_and_the_graph_connected():
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(size=(900, 6)), rng.normal(size=(100, 6)) * 0.01 + 5])

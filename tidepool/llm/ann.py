@@ -1,14 +1,20 @@
-"""Approximate nearest neighbours by balanced posting lists, replicated boundaries and a graph over centroids.
+"""Nearest neighbours by balanced posting lists, replicated boundaries and a graph over centroids.
 
 A bounded sample of the vectors (``SAMPLE_CELLS`` numbers, smallest vector hashes) is split again and again at
 the median of its main spread until there is a centroid for about every ``LIST`` vectors (at most ``CENTROIDS``); the median
 keeps lists balanced. The centroids form a proximity graph that every task holds in memory and walks best-first.
 Every vector goes to its nearest list and, near a boundary, to further ones: those within ``1 + SPREAD`` times the
 nearest distance, unless a list already chosen is closer to that centroid than the vector is, ``REPLICAS`` at most
-(a replica is redundant: the nearest list always has the vector). A query probes the lists whose centroids lie
+(a replica is redundant: the nearest list always has the vector). A query first probes the lists whose centroids lie
 within ``RATIO`` times its nearest centroid's distance, ``PROBES`` at most, and every vector of these lists is
 compared exactly, in double precision.
 
+What the probes leave out is settled by a bound: a list whose centroid lies further than the query's distance to its
+last neighbour so far plus the list's radius (over the vectors that have it as their nearest list) holds nothing
+nearer. All other lists are scanned in a second round, so the answers are the true neighbours at any number of
+lists; ``RATIO`` and ``PROBES`` only say how much is done in which round. In data without clusters the bound excludes
+few lists, and the work is near that of comparing each query with everything.
+
 Equal vectors travel as one, with the ``KEEP`` smallest of their ids: no more of them can be in an answer, since
 ties go to the smaller id. So a vector that a third of all rows share costs one entry. A list that has grown over ``PART``
 vectors is split among tasks by the vector's hash, and its queries go to each part.
@@ -40,6 +46,7 @@ SPREAD, REPLICAS = 0.15, 6
 RATIO, PROBES, EFFORT = 1.35, 48, 64
 DEGREE = 16
 PART = 4096
+PACK = 256                 # queries that travel to a list in one row, at most
 
 
 def balanced_centroids(sample: np.ndarray, k: int) -> np.ndarray:
@@ -131,13 +138,23 @@ class Graph:
                 chosen.append(j)
         return chosen
 
+    def open_lists(self, q: np.ndarray, radius: np.ndarray, last: float) -> np.ndarray:
+        """Lists beyond the probes that can hold a vector as near as ``last``."""
+        dist = np.sqrt(((self.points - q) ** 2).sum(axis=1))
+        can = (radius >= 0) & (dist - radius <= last + 1e-9 * (dist + radius))
+        can[self.probes_of(q)] = False
+        return np.flatnonzero(can)
+
     def probes_of(self, q: np.ndarray) -> list[int]:
         at, dist = self.nearest(q, EFFORT)
         return at[dist <= RATIO * dist[0]][:PROBES].tolist()
 
 
 def _lists(graph, kind: int):
-    """Rows (list, kind, name, v, ids): a vector's lists (kind 0) or a query's probes (kind 1)."""
+    """Rows (list, kind, name, v, ids, reach): a vector's lists (kind 0) or a query's probes (kind 1).
+
+    ``reach`` is a vector's distance to its nearest list's centroid, null in other rows.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = graph.value
         for batch in batches:
@@ -147,12 +164,74 @@ def _lists(graph, kind: int):
             found = [g.lists_of(x) if kind == 0 else g.probes_of(x) for x in v]
             at = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
             blobs = [x.tobytes() for x in v]
+            reach = [float(np.sqrt(((g.points[j] - x) ** 2).sum())) if kind == 0 and n == 0 else None
+                     for f, x in zip(found, v, strict=True) for n, j in enumerate(f)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([j for f in found for j in f], pa.int32()), pa.array(np.full(len(at), kind), pa.int32()), batch.column(0).take(pa.array(at)),
-                 pa.array([blobs[i] for i in at], pa.binary()), batch.column(2).take(pa.array(at))], names=["list", "kind", "name", "v", "ids"])
+                 pa.array([blobs[i] for i in at], pa.binary()), batch.column(2).take(pa.array(at)),
+                 pa.array(reach, pa.float64())], names=["list", "kind", "name", "v", "ids", "reach"])
+    return run
+
+
+def _rest(graph, radius):
+    """Rows (list, v, names, lasts): the queries (their vectors, names and bounds) that a further list must answer."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = graph.value
+        for whole in batches:
+            for lo in range(0, whole.num_rows, PACK):
+                batch = whole.slice(lo, PACK)
+                v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                names, lasts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+                asked: dict[int, list[int]] = {}
+                for i, (x, last) in enumerate(zip(v, lasts.tolist(), strict=True)):
+                    for j in g.open_lists(x, radius, last).tolist():
+                        asked.setdefault(j, []).append(i)
+                lists = sorted(asked)
+                for at in range(0, len(lists), 64):
+                    some = lists[at:at + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some, pa.int32()), pa.array([v[asked[j]].tobytes() for j in some], pa.binary()),
+                         pa.array([names[asked[j]] for j in some], pa.list_(pa.int64())), pa.array([lasts[asked[j]] for j in some], pa.list_(pa.float64()))],
+                        names=["list", "v", "names", "lasts"])
+    return run
+
+
+def _scan_rest(keep: int):
+    """Per list part and query, the vectors of the part that are no further than the query's bound, ``keep`` at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, matrix, square, names, ids = None, [], None, None, [], []
+        for batch in batches:
+            out: list[tuple] = []
+            for lst, number, kind, name, v, own, asking, lasts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (lst, number) != part:
+                    part, held, names, ids, matrix = (lst, number), [], [], [], None
+                if kind == 0:
+                    held.append(np.frombuffer(v, "<f8"))
+                    names.append(name)
+                    ids.append(own)
+                elif held:
+                    if matrix is None:
+                        matrix = np.stack(held)
+                        square = (matrix * matrix).sum(axis=1)
+                    q = np.frombuffer(v, "<f8").reshape(len(asking), -1)
+                    size = square[:, None] + (q * q).sum(axis=1)[None, :]
+                    rough = size - 2 * matrix @ q.T                  # squared, with a rounding error far below the margin
+                    could = rough <= np.square(lasts)[None, :] * (1 + 1e-9) + 1e-9 * size
+                    for j in np.flatnonzero(could.any(axis=0)).tolist():
+                        at = np.flatnonzero(could[:, j])
+                        d = np.sqrt(((matrix[at] - q[j]) ** 2).sum(axis=1))
+                        best = sorted((x, ids[i][0], i) for x, i in zip(d.tolist(), at.tolist(), strict=True) if x <= lasts[j])[:keep]
+                        out += [(asking[j], names[i], x, ids[i]) for x, _, i in best]
+            yield _found(out)
     return run
 
 
+def _found(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                                       pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.list_(pa.int64()))],
+                                      names=["query", "name", "score", "ids"])
+
+
 def _scan(keep: int):
     """Per list part and query, the nearest vectors of the part; only the part's vectors are held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,9 +255,7 @@ def _scan(keep: int):
                         near = np.arange(len(d))
                     best = sorted((d[i], ids[i][0], i) for i in near.tolist())[:keep]
                     out += [(name, names[i], float(x), ids[i]) for x, _, i in best]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                              pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.list_(pa.int64()))],
-                                             names=["query", "name", "score", "ids"])
+            yield _found(out)
     return run
 
 
@@ -192,6 +269,16 @@ def usable(rows: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return good.filter(F.size("v") == size).withColumn("h", F.xxhash64("v")).distinct()
 
 
+def _nearest(found: DataFrame) -> DataFrame:
+    """Each vector once a query: replicas meet the same query in several lists, always at the same distance."""
+    return found.groupBy("query", "name").agg(F.min("score").alias("score"), F.first("ids").alias("ids"))
+
+
+def _top(near: DataFrame, keep: int) -> DataFrame:
+    each = near.select("query", "score", F.explode("ids").alias("vec_id"))
+    return each.withColumn("at", F.row_number().over(W.partitionBy("query").orderBy("score", "vec_id"))).filter(F.col("at") <= keep)
+
+
 def search(rows: DataFrame, queries, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each row where the Column ``queries`` (over vec_id) holds."""
     spark = rows.sparkSession
@@ -209,7 +296,7 @@ def search(rows: DataFrame, queries, k: int = 10, id_column: str = "vec_id", vec
     lists = min(CENTROIDS, max(1, -(-count // LIST)), max(1, len(sample) // 4))
     graph = spark.sparkContext.broadcast(Graph(balanced_centroids(sample, lists)))
 
-    row = "list int, kind int, name long, v binary, ids array<long>"
+    row = "list int, kind int, name long, v binary, ids array<long>, reach double"
     postings = C.settle(vectors.select("name", "v", "ids").mapInArrow(_lists(graph, 0), row))
     asked = base.filter(queries).select(F.col("vec_id").alias("query_id"), "h", "v")
     named = asked.join(vectors.select("h", "v", "name"), ["h", "v"]).select("query_id", "name")
@@ -224,10 +311,26 @@ def search(rows: DataFrame, queries, k: int = 10, id_column: str = "vec_id", vec
     both = dealt.drop("parts").unionByName(spread.drop("parts")).select("list", "part", "kind", "name", "v", "ids")
     found = (both.repartition("list", "part").sortWithinPartitions("list", "part", "kind")
              .mapInArrow(_scan(k + 1), "query long, name long, score double, ids array<long>"))
-    # replicas meet the same query in several lists, always at the same distance
-    near = found.groupBy("query", "name").agg(F.min("score").alias("score"), F.first("ids").alias("ids"))
-    each = near.select("query", "score", F.explode("ids").alias("vec_id"))
-    top = each.withColumn("at", F.row_number().over(W.partitionBy("query").orderBy("score", "vec_id"))).filter(F.col("at") <= k + 1)
+    near = C.settle(_nearest(found))
+    top = _top(near, k + 1)
+
+    # the distance that a further list must beat; infinite with too few found
+    lasts = top.groupBy("query").agg(F.max("score").alias("score"), F.count("*").alias("n")).select(
+        F.col("query").alias("name"), F.when(F.col("n") > k, F.col("score")).alias("last"))
+    waiting = once.join(lasts, "name", "left").select("name", "v", F.coalesce("last", F.lit(float("inf"))).alias("last"))
+    radius = np.full(lists, -1.0)
+    for r in postings.groupBy("list").agg(F.max("reach").alias("reach")).filter("reach is not null").toLocalIterator():
+        radius[r["list"]] = r["reach"]
+    none = F.lit(None)
+    packs = (waiting.repartition(C.shuffle_width(spark), "name").mapInArrow(_rest(graph, radius), "list int, v binary, names array<long>, lasts array<double>")
+             .join(parts, "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("list", "part", F.lit(1).alias("kind"), none.cast("long").alias("name"), "v", none.cast("array<long>").alias("ids"), "names", "lasts"))
+    # vectors count in their nearest list only, which the radius is about
+    own = dealt.filter("reach is not null").select("list", "part", "kind", "name", "v", "ids", none.cast("array<long>").alias("names"),
+                                                   none.cast("array<double>").alias("lasts"))
+    more = (own.unionByName(packs).repartition("list", "part").sortWithinPartitions("list", "part", "kind")
+            .mapInArrow(_scan_rest(k + 1), "query long, name long, score double, ids array<long>"))
+    top = _top(_nearest(near.unionByName(more)), k + 1)
     answers = named.join(top, named["name"] == top["query"]).filter("vec_id <> query_id")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return (answers.withColumn("rank", rank).filter(F.col("rank") <= k)
