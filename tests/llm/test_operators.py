@@ -400,6 +400,29 @@ def test_quality_verdicts(spark, monkeypatch):
     assert all(got[d] for d, q in labels.items() if q == 1 and d not in failed)
 
 
+def test_quality_rejects_what_is_extreme_in_one_statistic(spark):
+    rng = np.random.default_rng(7)
+    words = list(dict.fromkeys("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(3000)))
+
+    def lines_of(ws):
+        return "\n".join(" ".join(ws[i:i + 6]) for i in range(0, len(ws), 6))
+    clean = [(i, lines_of(rng.choice(words, 120, replace=False)), "en", "s") for i in range(150)]
+    few, seen = [], set()                                # 10 one-word lines, no three of them twice in the same order
+    while len(few) < 200:
+        w = words[rng.integers(10)]
+        if (*few[-2:], w) not in seen:
+            few.append(w)
+            seen.add(tuple(few[-3:]))
+    some = list(rng.choice(words, 73, replace=False))
+    repeated = [w for i in range(16) for w in (*some[3 * (i % 8):3 * (i % 8) + 3], *some[24 + 3 * i:27 + 3 * i])] + some[72:]
+    symbols = "\n".join(" ".join(rng.choice(words, 6)) + " ######" for _ in range(20))
+    lines, repeated = "\n".join(few), lines_of(repeated)
+    docs = frame(spark, [*clean, (1001, lines, "en", "s"), (1002, repeated, "en", "s"), (1003, symbols, "en", "s")])
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert all(got[i]["kept"] for i in range(150)) and not any(got[i]["kept"] for i in (1001, 1002, 1003))
+
+
 # ------------------------------------------------------------------ 10 substrings
 
 def test_substring_dedup(spark, odd, doubled, empty, small):
