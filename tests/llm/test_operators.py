@@ -71,6 +71,19 @@ def test_surrogates_are_drawn_again_on_collisions(spark, monkeypatch):
     assert len({a, d, g}) == 3 and again == a
 
 
+def test_phone_surrogates_are_checked_as_they_are_written(spark):
+    texts = ["+44 20 7946 0958 or +442079460958 now", "+49 30 901820 or +4930901820 now", "+1 212 555 0199 or +12125550199 now", "(212) 555-0199 or 212.555.0199 now"]
+    out = table(pii.replace(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])), "n_entities", "text")
+    for i, (code, t) in enumerate(zip(["+44", "+49", "+1", ""], texts, strict=True)):
+        a, b = out[i][1].removesuffix(" now").split(" or ")
+        assert out[i][0] == 2 and re.sub(r"\D", "", a) == re.sub(r"\D", "", b) and a.startswith(code) and a != t.split(" or ")[0]
+    norms = ["+442079460958", "+4930901820", "2125550199"]
+    df = spark.createDataFrame([("phone", n, w) for n, w in zip(norms, ["+44 20 7946 0958", "+49 30 901820", "(212) 555-0199"], strict=True)], "kind string, norm string, text string")
+    def drawn(w):
+        return pii._phone_norm(pii.surrogate("k", F.col("kind"), w, F.col("norm"), F.lit(0)))
+    assert all(r["a"] == r["b"] for r in df.select(drawn(pii._written(F.col("kind"), F.col("norm"))).alias("a"), drawn(F.col("text")).alias("b")).collect())
+
+
 def test_surrogates_whole_table(spark, small):
     got = table(queries.op1_pii_surrogates(spark, SF_SMALL), "n_entities", "text")
     seen = {}

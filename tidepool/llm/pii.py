@@ -29,6 +29,8 @@ from tidepool.llm import common as C
 
 DRAWS = 20
 KEY = "tidepool-surrogates"          # production callers give their own
+#: Country calling codes of one and two digits; all others have three.
+COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 
 #: Titles that announce a name, by the gender of the given name that follows.
 TITLES = {"m": ["Mr.", "Herr", "Monsieur", "Señor", "Sir", "Господин"],
@@ -115,6 +117,11 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def _phone_norm(text: Column) -> Column:
+    """Digits, after a plus sign if the country code is written."""
+    return F.concat(F.when(text.startswith("+"), "+").otherwise(""), _digits(text))
+
+
 def _luhn_sum(digits: Column) -> Column:
     """Luhn sum of digits whose last one is not doubled."""
     start = F.struct(F.lit(0).alias("sum"), F.lit(False).alias("twice"))
@@ -164,7 +171,7 @@ def _parts(kind: Column, m: Column) -> Column:
     names = F.transform(tokens, lambda t, i: F.struct(
         F.when(i == F.size(tokens) - 1, "surname").otherwise(_gender(m)).alias("kind"), F.lower(t).alias("norm")))
     norm = (F.when(kind.isin("email"), F.lower(m)).when(kind == "secret", _value(m))
-            .when(kind.isin("card", "ssn", "phone"), _digits(m)).when(kind == "iban", F.regexp_replace(m, " ", "")).otherwise(m))
+            .when(kind == "phone", _phone_norm(m)).when(kind.isin("card", "ssn"), _digits(m)).when(kind == "iban", F.regexp_replace(m, " ", "")).otherwise(m))
     return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
 
 
@@ -201,7 +208,11 @@ def _surrogate(key: str, kind: Column, written: Column, norm: Column, s: Column)
     body = F.concat(F.substring(written, F.lit(1), F.lit(1)), F.substring(_shaped(written, s), F.lit(2), F.length(written) - 2))
     card = let(body, lambda b: F.concat(b, ((10 - _luhn_sum(F.concat(_digits(b), F.lit("0"))) % 10) % 10).cast("string")))
     ssn = F.concat(F.lit("9"), F.substring(_shaped(written, s), F.lit(2), F.length(written)))
-    code = F.regexp_extract(written, r"^(\+\d{1,3}(?=[ .(-])|\+\d)?", 1)
+    # the norm says how many digits are the country code, so all spellings keep the same ones
+    n = F.length(F.regexp_extract(norm, COUNTRY, 1))
+    code = F.lit("")
+    for i in (1, 2, 3):
+        code = F.when(n == i, F.regexp_extract(written, rf"^(\D*(?:\d\D*){{{i - 1}}}\d)", 1)).otherwise(code)
     phone = F.concat(code, _shaped(F.substring(written, F.length(code) + 1, F.length(written)), s))
     solid = F.regexp_replace(norm, " ", "")
     bban = _shaped(F.substring(written, F.lit(5), F.length(written)), s)
@@ -217,7 +228,7 @@ def _norm_of(kind: Column, text: Column) -> Column:
 
 def _written(kind: Column, norm: Column) -> Column:
     """A value to draw on for the collision check: its norm, in a form that ``surrogate`` reads."""
-    return F.when(kind == "secret", F.concat(F.lit("token=\""), norm)).when(kind == "phone", F.concat(F.lit("+"), norm)).otherwise(norm)
+    return F.when(kind == "secret", F.concat(F.lit("token=\""), norm)).otherwise(norm)
 
 
 def exceptions(entities: DataFrame, key: str) -> DataFrame:
@@ -226,7 +237,7 @@ def exceptions(entities: DataFrame, key: str) -> DataFrame:
         text = surrogate(key, F.col("kind"), _written(F.col("kind"), F.col("norm")), F.col("norm"), F.col("draw"))
         is_name = F.col("kind").startswith("given") | (F.col("kind") == "surname")
         got = F.when(is_name, F.lower(text)).when(F.col("kind") == "secret", _value(text)).when(F.col("kind") == "email", F.lower(text)).when(
-            F.col("kind").isin("card", "ssn", "phone"), _digits(text)).otherwise(text)
+            F.col("kind").isin("card", "ssn"), _digits(text)).when(F.col("kind") == "phone", _phone_norm(text)).otherwise(text)
         # given names are one space, whatever their gender
         space = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
         return rows.withColumns({"got": got, "space": space})
