@@ -84,6 +84,18 @@ def test_phone_surrogates_are_checked_as_they_are_written(spark):
     assert all(r["a"] == r["b"] for r in df.select(drawn(pii._written(F.col("kind"), F.col("norm"))).alias("a"), drawn(F.col("text")).alias("b")).collect())
 
 
+def test_surrogates_grow_where_a_space_is_full(spark):
+    texts = [f"mail {i}@corp.org now" for i in range(10)]
+    out = table(pii.replace(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])), "n_entities", "text")
+    assert all(n == 1 and re.fullmatch(r"mail \w+@\w+\.example now", t) for n, t in out.values()) and len({t for _, t in out.values()}) == 10
+    kinds = {"card": "4539578763621486", "ssn": "123456789", "phone": "+442079460958", "iban": "DE89370400440532013000", "ip": "10.20.30.40", "surname": "smith", "secret": "24be64439e3e49cf"}
+    df = spark.createDataFrame(list(kinds.items()), "kind string, norm string")
+    def drawn(draw):
+        return pii.surrogate("k", F.col("kind"), pii._written(F.col("kind"), F.col("norm")), F.col("norm"), F.lit(draw))
+    for r in df.select(drawn(0).alias("a"), drawn(pii.DRAWS + 2).alias("b")).collect():
+        assert len(r["b"]) >= len(r["a"]) + 3
+
+
 def test_surrogates_whole_table(spark, small):
     got = table(queries.op1_pii_surrogates(spark, SF_SMALL), "n_entities", "text")
     seen = {}

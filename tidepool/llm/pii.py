@@ -10,8 +10,9 @@ after a title get names built in the gender of the title (given names) and in th
 each part of a name maps by itself, so "Mr. Smith" follows "Mr. John Smith".
 
 Collisions: all distinct values are drawn once; a surrogate drawn for two values, or equal to a value that
-is really there, is drawn again (the smallest value keeps it) until none is left, at most ``DRAWS`` times. What has been
-drawn again is a table of exceptions, tiny for domains of this size and joined to the documents only if it has rows; everything else is a
+is really there, is drawn again (the smallest value keeps it) until none is left. From draw ``DRAWS`` on each draw is
+one character, digit, octet or syllable longer than the one before, so there is always room, however many values a kind has.
+What has been drawn again is a table of exceptions, joined to the documents only if it has rows; everything else is a
 pure function of the text. The work is DataFrame expressions only, no Python in tasks.
 
 Defined cases: null texts stay null, empty ones empty, without entities. Repeated rows get equal results.
@@ -20,6 +21,7 @@ An empty table gives no rows. Columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import common as C
 
-DRAWS = 20
+DRAWS = 4                            # draws of a value's own length; later ones grow
 KEY = "tidepool-surrogates"          # production callers give their own
 #: Country calling codes of one and two digits; all others have three.
 COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
@@ -175,11 +177,13 @@ def _parts(kind: Column, m: Column) -> Column:
     return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
 
 
-def _name(kind: Column, written: Column, stream: Column) -> Column:
-    """A name in the script of ``written``, in the gender of ``kind``."""
+def _name(kind: Column, written: Column, stream: Column, more: Column) -> Column:
+    """A name in the script of ``written``, in the gender of ``kind``, with ``more`` syllables than usual."""
     def built(script: str) -> Column:
         parts = _array(_PARTS[script])
         body = F.concat(*[F.element_at(parts, _number(stream, F.lit(i)) % 32 + 1) for i in range(3)])
+        grown = F.transform(F.sequence(F.lit(1), more), lambda i: F.element_at(parts, _number(stream, i + 5) % 32 + 1))
+        body = F.when(more > 0, F.concat(body, F.array_join(grown, ""))).otherwise(body)
         end = F.lit("")
         for k, ends in _ENDS[script].items():
             end = F.when(kind == k, F.element_at(_array(ends), _number(stream, F.lit(5)) % 4 + 1)).otherwise(end)
@@ -189,22 +193,34 @@ def _name(kind: Column, written: Column, stream: Column) -> Column:
 
 def surrogate(key: str, kind: Column, written: Column, norm: Column, draw: Column) -> Column:
     """Replacement of one part as it is written; equal for equal norms up to separators and case."""
-    return let(F.struct(kind.alias("kind"), written.alias("written"), norm.alias("norm"), _stream(key, kind, norm, draw).alias("s")),
-               lambda x: _surrogate(key, x["kind"], x["written"], x["norm"], x["s"]))
+    more = F.greatest(draw - DRAWS + 1, F.lit(0))
+    return let(F.struct(kind.alias("kind"), _grown(kind, written, more).alias("written"), norm.alias("norm"), _stream(key, kind, norm, draw).alias("s"),
+                        more.alias("more"), (written == F.upper(written)).alias("upper")),
+               lambda x: _surrogate(key, x["kind"], x["written"], x["norm"], x["s"], x["more"], x["upper"]))
 
 
-def _surrogate(key: str, kind: Column, written: Column, norm: Column, s: Column) -> Column:
+def _grown(kind: Column, written: Column, more: Column) -> Column:
+    """The value with ``more`` further places, which are drawn like its own."""
+    at = F.instr(written, "@")
+    email = F.concat(F.substring(written, F.lit(1), at - 1), F.repeat(F.lit("a"), more), F.substring(written, at, F.length(written)))
+    longer = F.when(kind == "email", email).when(kind == "secret", F.concat(written, F.repeat(F.lit("a"), more))).when(
+        kind.isin("card", "ssn", "phone", "iban"), F.concat(written, F.repeat(F.lit("0"), more))).otherwise(written)
+    return F.when(more > 0, longer).otherwise(written)
+
+
+def _surrogate(key: str, kind: Column, written: Column, norm: Column, s: Column, more: Column, upper: Column) -> Column:
     at = F.instr(written, "@")
     domain = F.lower(F.substring(written, at + 1, F.length(written)))
     host = F.regexp_replace(domain, r"\.[^.]*$", "")
     local = _shaped(F.substring(written, F.lit(1), at - 1), s)
     place = let(F.struct(host.alias("host"), _stream(key, F.lit("domain"), domain, F.lit(0)).alias("s")), lambda x: _shaped(x["host"], x["s"]))
     email = F.concat(local, F.lit("@"), place, F.lit(".example"))
-    email = F.when(written == F.upper(written), F.upper(email)).otherwise(email)
+    email = F.when(upper, F.upper(email)).otherwise(email)
     value = _value(written)
     secret = F.concat(F.substring(written, F.lit(1), F.length(written) - F.length(value)), _shaped(value, s, F.lower(value).rlike("^[0-9a-f]+$")))
     octet = [_number(s, F.lit(i)) for i in range(4)]
     ip = F.concat_ws(".", (240 + octet[0] % 15).cast("string"), *[o.cast("string") for o in octet[1:]])
+    ip = F.when(more > 0, F.concat_ws(".", ip, F.transform(F.sequence(F.lit(1), more), lambda i: _number(s, i + 3).cast("string")))).otherwise(ip)
     body = F.concat(F.substring(written, F.lit(1), F.lit(1)), F.substring(_shaped(written, s), F.lit(2), F.length(written) - 2))
     card = let(body, lambda b: F.concat(b, ((10 - _luhn_sum(F.concat(_digits(b), F.lit("0"))) % 10) % 10).cast("string")))
     ssn = F.concat(F.lit("9"), F.substring(_shaped(written, s), F.lit(2), F.length(written)))
@@ -219,7 +235,7 @@ def _surrogate(key: str, kind: Column, written: Column, norm: Column, s: Column)
     country = F.substring(solid, F.lit(1), F.lit(2))
     iban = let(bban, lambda b: F.concat(country, F.lpad((98 - _mod97(F.concat(F.regexp_replace(b, " ", ""), country, F.lit("00")))).cast("string"), 2, "0"), b))
     return (F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "card", card)
-            .when(kind == "ssn", ssn).when(kind == "phone", phone).when(kind == "iban", iban).otherwise(_name(kind, written, s)))
+            .when(kind == "ssn", ssn).when(kind == "phone", phone).when(kind == "iban", iban).otherwise(_name(kind, written, s, more)))
 
 
 def _norm_of(kind: Column, text: Column) -> Column:
@@ -244,8 +260,7 @@ def exceptions(entities: DataFrame, key: str) -> DataFrame:
 
     real = entities.select(F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind")).alias("space"), F.col("norm").alias("got")).distinct()
     table = C.settle(drawn(entities.withColumn("draw", F.lit(0))))
-    changed = None
-    for draw in range(1, DRAWS + 1):
+    for draw in itertools.count(1):
         keeper = table.groupBy("space", "got").agg(F.min(F.struct("draw", "norm", "kind")).alias("keeper"), F.count("*").alias("n"))
         shared = table.join(keeper.filter("n > 1"), ["space", "got"]).filter(
             (F.struct("draw", "norm", "kind") != F.col("keeper"))).select("kind", "norm")
@@ -255,10 +270,7 @@ def exceptions(entities: DataFrame, key: str) -> DataFrame:
             break
         fresh = drawn(again.withColumn("draw", F.lit(draw)))
         table = C.settle(table.join(again, ["kind", "norm"], "left_anti").unionByName(fresh.select(*table.columns)))
-        changed = table.filter("draw > 0").select("kind", "norm", "draw")
-    else:
-        raise ValueError(f"values still collide after {DRAWS} draws: a kind has more values than surrogates")
-    return changed if changed is not None else table.filter("draw > 0").select("kind", "norm", "draw")
+    return table.filter("draw > 0").select("kind", "norm", "draw")
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
