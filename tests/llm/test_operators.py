@@ -96,6 +96,23 @@ def test_surrogates_grow_where_a_space_is_full(spark):
         assert len(r["b"]) >= len(r["a"]) + 3
 
 
+def test_surrogates_of_further_forms(spark):
+    names = ["Mrs. O'Brien", "Mr. J. Smith", "Mr. J. R. R. Smith", "Mr J Smith", "Mr. McDonald", "Mr Smith", "Dr Jones", "Mr. SMITH", "Mrs. O’Brien", "Mr. Smith's"]
+    phones = ["1-800-555-1234", "555 123 4567", "(020) 7946 0958", "+1 800 555 1234", "1 (800) 555-1234"]
+    texts = [f"so {x} it is" for x in names + phones]
+    out = table(pii.replace(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])), "n_entities", "text")
+    got = dict(zip(names + phones, (re.fullmatch("so (.*) it is", out[i][1]).group(1) for i in range(len(texts))), strict=True))
+    assert all(out[i][0] == 1 for i in range(len(texts)))
+    for x in names:
+        assert not re.search("Brien|Smith|SMITH|Donald|Mc|Jones", got[x]) and got[x].split()[0] == x.split()[0], x
+    smith = got["Mr Smith"].split()[-1]
+    assert all(got[x].split()[-1] == smith for x in ("Mr. J. Smith", "Mr. J. R. R. Smith", "Mr J Smith")) and got["Mr. SMITH"] == "Mr. " + smith.upper()
+    assert got["Mr. Smith's"] == f"Mr. {smith}'s" and got["Mrs. O'Brien"] == got["Mrs. O’Brien"]
+    for x in phones:
+        assert got[x] != x and re.sub(r"\d", "", got[x]) == re.sub(r"\d", "", x)
+    assert len({re.sub(r"\D", "", got[x]) for x in ("1-800-555-1234", "+1 800 555 1234", "1 (800) 555-1234")}) == 1
+
+
 def test_surrogates_whole_table(spark, small):
     got = table(queries.op1_pii_surrogates(spark, SF_SMALL), "n_entities", "text")
     seen = {}

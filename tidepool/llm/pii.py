@@ -7,7 +7,8 @@ the type needs: separators, letter case, script and digits stay where they are;
 digit, IBANs country and check digits, phones the country code; secrets stay hexadecimal; e-mail domains map as a whole,
 to the reserved top level ``example``; IP addresses go to the reserved block 240-254; SSNs to unassigned 9xx areas. Names
 after a title get names built in the gender of the title (given names) and in the script they are written in;
-each part of a name maps by itself, so "Mr. Smith" follows "Mr. John Smith".
+each part of a name maps by itself, so "Mr. Smith" follows "Mr. John Smith". A title's dot may be missing; a part is a
+capitalised or all capital word, also with an apostrophe, a hyphen or capitals inside, or an initial (which gets a whole name).
 
 Collisions: all distinct values are drawn once; a surrogate drawn for two values, or equal to a value that
 is really there, is drawn again (the smallest value keeps it) until none is left. From draw ``DRAWS`` on each draw is
@@ -35,20 +36,23 @@ KEY = "tidepool-surrogates"          # production callers give their own
 COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 
 #: Titles that announce a name, by the gender of the given name that follows.
-TITLES = {"m": ["Mr.", "Herr", "Monsieur", "Señor", "Sir", "Господин"],
-          "f": ["Mrs.", "Ms.", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Lady", "Госпожа"],
-          "u": ["Dr.", "Prof."]}
+TITLES = {"m": ["Mr.", "Mr", "Herr", "Monsieur", "Señor", "Sir", "Господин"],
+          "f": ["Mrs.", "Mrs", "Ms.", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Lady", "Госпожа"],
+          "u": ["Dr.", "Dr", "Prof.", "Prof"]}
 _TITLE = "|".join(t.replace(".", "\\.") for ts in TITLES.values() for t in ts)
-_NAME = r"\p{Lu}\p{Ll}+(?:[-']\p{Lu}\p{Ll}+)?"
+_INITIAL = r"\p{Lu}(?:\.|(?= \p{Lu}[\p{L}'’]))"
+_NAME = r"(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+(?:[-'’](?!S(?!\p{L}))\p{Lu}[\p{L}\p{M}]+)*"
 PATTERNS = {
     "secret": r"(?i:\b(?:token|api[_-]?key|secret|password)\b\s?[=:]\s?[\"'])[A-Za-z0-9_\-]{16,128}(?=[\"'])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![\p{L}\p{N}@])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+             r"|(?<![\d.-])(?:1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+             r"|(?<!\d)\(0\d{2,5}\) ?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
-    "name": rf"(?<![\p{{L}}])(?:{_TITLE}) {_NAME}(?: {_NAME}){{0,2}}",
+    "name": rf"(?<![\p{{L}}])(?:{_TITLE}) (?:{_INITIAL} ){{0,3}}{_NAME}(?: (?:{_NAME}|{_INITIAL} {_NAME})){{0,2}}",
 }
 #: What a pattern can begin with: tried before the pattern itself, so most places fail on one character.
 _BEGINS = {"secret": "(?=[TtAaSsPp])", "iban": "(?=[A-Z]{2}[0-9])", "phone": "(?=[0-9+(])", "card": "(?=[0-9])", "ip": "(?=[0-9])",
@@ -120,8 +124,9 @@ def _digits(text: Column) -> Column:
 
 
 def _phone_norm(text: Column) -> Column:
-    """Digits, after a plus sign if the country code is written."""
-    return F.concat(F.when(text.startswith("+"), "+").otherwise(""), _digits(text))
+    """Digits, after a plus sign if the country code is written (a leading 1 of eleven digits is one)."""
+    long = text.rlike(r"^1[ .(-]") & (F.length(_digits(text)) == 11)
+    return F.concat(F.when(text.startswith("+") | long, "+").otherwise(""), _digits(text))
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -146,11 +151,11 @@ def _kind(m: Column) -> Column:
     solid = F.regexp_replace(m, " ", "")
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
     iban = _mod97(F.concat(F.substring(solid, F.lit(5), F.length(solid)), F.substring(solid, F.lit(1), F.lit(4)))) == 1
-    return (F.when(m.rlike("@"), "email").when(m.rlike("[\"']"), "secret")
+    return (F.when(m.rlike("@"), "email").when(m.rlike("[=:]\\s?[\"']"), "secret")
             .when(m.rlike(r"^[A-Z]{2}\d{2}"), F.when(iban, "iban"))
             .when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), F.when(F.array_max(octets) < 256, "ip"))
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
+            .when(m.rlike(r"^[+(]|^(1[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}$"), "phone")
             .when(m.rlike(r"^\d[\d -]*$"), F.when(_luhn_sum(_digits(m)) % 10 == 0, "card"))
             .otherwise("name"))
 
@@ -169,9 +174,9 @@ def _gender(m: Column) -> Column:
 
 def _parts(kind: Column, m: Column) -> Column:
     """(kind, norm) of what is replaced in a match: one, or each part of a name."""
-    tokens = F.slice(F.split(m, " "), 2, 4)
+    tokens = F.slice(F.split(m, " "), 2, 12)
     names = F.transform(tokens, lambda t, i: F.struct(
-        F.when(i == F.size(tokens) - 1, "surname").otherwise(_gender(m)).alias("kind"), F.lower(t).alias("norm")))
+        F.when(i == F.size(tokens) - 1, "surname").otherwise(_gender(m)).alias("kind"), F.translate(F.lower(t), "’.", "'").alias("norm")))
     norm = (F.when(kind.isin("email"), F.lower(m)).when(kind == "secret", _value(m))
             .when(kind == "phone", _phone_norm(m)).when(kind.isin("card", "ssn"), _digits(m)).when(kind == "iban", F.regexp_replace(m, " ", "")).otherwise(m))
     return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
@@ -188,7 +193,8 @@ def _name(kind: Column, written: Column, stream: Column, more: Column) -> Column
         for k, ends in _ENDS[script].items():
             end = F.when(kind == k, F.element_at(_array(ends), _number(stream, F.lit(5)) % 4 + 1)).otherwise(end)
         return F.initcap(F.concat(body, end))
-    return F.when(written.rlike(r"\p{IsCyrillic}"), built("cyrillic")).otherwise(built("latin"))
+    name = F.when(written.rlike(r"\p{IsCyrillic}"), built("cyrillic")).otherwise(built("latin"))
+    return F.when(written.rlike(r"\p{Lu}{2}") & (written == F.upper(written)), F.upper(name)).otherwise(name)
 
 
 def surrogate(key: str, kind: Column, written: Column, norm: Column, draw: Column) -> Column:
@@ -303,7 +309,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def replaced(m: Column, kind: Column) -> Column:
         # a name is its title and its parts; anything else is one part
-        written = F.when(kind == "name", F.slice(F.split(m, " "), 2, 4)).otherwise(F.array(m))
+        written = F.when(kind == "name", F.slice(F.split(m, " "), 2, 12)).otherwise(F.array(m))
         parts = F.transform(F.arrays_zip(_parts(kind, m).alias("part"), written.alias("written")),
                             lambda x: surrogate(key, x["part"]["kind"], x["written"], x["part"]["norm"], draw_of(x["part"])))
         title = F.when(kind == "name", F.concat(F.element_at(F.split(m, " "), 1), F.lit(" "))).otherwise("")
