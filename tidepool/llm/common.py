@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from tidepool.session import checkpoint_dir
 
 CHUNK_BYTES = 1 << 19  # text handled at once inside a task (a longer text is one chunk of its own)
 BATCH_ROWS = 1000
+LANES = 32             # 8-byte steps of a hash in numpy; longer ranges are hashed one by one
 ROUNDS = 64            # far above what pointer jumping needs; reaching it raises
 
 
@@ -81,18 +83,41 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+def byte_hashes(padded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges; ``padded`` has 8 bytes more than any range reaches.
+
+    Eight bytes at a time go through a bijective finaliser, so regular texts spread like any other (a polynomial
+    modulo 2**64 gives equal hashes to unlike Thue-Morse words). Ranges above ``LANES`` words go to xxhash.
+    """
+    lanes = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (max(len(padded) - 7, 0),), (1,), writeable=False)
+    size = end - start
+    out = mix(size.astype(np.uint64) * _M2 + _M1)
+    short = size <= 8 * LANES
+    left = np.flatnonzero(short & (size > 0))
+    for k in range(LANES):
+        if not len(left):
+            break
+        lane = lanes[start[left] + 8 * k]
+        rest = np.minimum(size[left] - 8 * k, 8).astype(np.uint64)
+        lane = lane & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * rest))
+        out[left] = mix((out[left] ^ lane) * _M2 + np.uint64(0x632BE59BD9B4E019))
+        left = left[size[left] > 8 * (k + 1)]
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(padded[start[i]:end[i]])
+    return out
+
+
 class Rolling:
-    """64-bit hashes of ranges of a sequence of small numbers; equal for equal ranges wherever they stand."""
+    """64-bit hashes of the short windows of a sequence of small numbers, equal wherever they stand.
+
+    For windows of a few values only: over a thousand values and more, regular sequences would meet.
+    """
 
     def __init__(self, values: np.ndarray):
         self.size = len(values)
         weighted = (values.astype(np.uint64) + np.uint64(1)) * powers(_BASE, self.size)[:self.size]
         self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighted)])
 
-    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self.prefix[end] - self.prefix[start]) * powers(_INVERSE, self.size)[start]
-        return mix(h + (end - start).astype(np.uint64) * _M2)
-
     def windows(self, k: int) -> np.ndarray:
         """Hash of the ``k`` values from each place on."""
         n = max(0, self.size - k + 1)
@@ -106,8 +131,9 @@ class Block:
         self.n = len(texts)
         sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, self.n)
         self.doc_start = np.concatenate([[0], np.cumsum(sizes)])
-        raw = np.frombuffer(b"\n".join(texts) + b"\n" if texts else b"", np.uint8)
-        self.bytes = LOWER[raw] if lower else raw
+        raw = np.frombuffer((b"\n".join(texts) + b"\n" if texts else b"") + bytes(8), np.uint8)
+        self.padded = LOWER[raw] if lower else raw
+        self.bytes = raw = self.padded[:-8]
         space = SPACE[raw]
         edge = np.diff(np.concatenate([[True], space]).astype(np.int8))
         self.start = np.flatnonzero(edge == -1)
@@ -115,8 +141,7 @@ class Block:
         self.first = np.searchsorted(self.start, self.doc_start)   # words before each text
         self.n_words = np.diff(self.first)
         self.owner = np.repeat(np.arange(self.n), self.n_words)
-        self.rolling = Rolling(self.bytes)
-        self.words = self.rolling.ranges(self.start, self.end)
+        self.words = byte_hashes(self.padded, self.start, self.end)
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of every run of k words inside one text."""

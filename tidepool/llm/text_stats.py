@@ -41,7 +41,7 @@ def line_counts(block: C.Block) -> tuple[np.ndarray, np.ndarray]:
     words = np.searchsorted(block.start, end) - np.searchsorted(block.start, start)
     start, end = start[words > 0], end[words > 0]
     owner = np.searchsorted(block.doc_start, start, side="right") - 1
-    key = C.mix(block.rolling.ranges(start, end) ^ (owner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    key = C.mix(C.byte_hashes(block.padded, start, end) ^ (owner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
     _, first = np.unique(key, return_index=True)
     dup = np.ones(len(key), np.int64)
     dup[first] = 0
