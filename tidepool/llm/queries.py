@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import ann, common, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
+from tidepool.llm import ann, collocations, common, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top(collocations.mine(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_balanced_posting_lists": op2_balanced_posting_lists,
@@ -75,6 +79,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_phrase_collocations": """
+WITH words AS (
+  SELECT lang, doc, piece, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (
+    SELECT lang, doc, piece, regexp_extract_all(p, '[^ \\t]+') AS w FROM (
+      SELECT lang, doc, unnest(ps) AS p, generate_subscripts(ps, 1) AS piece FROM (
+        SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+') AS ps
+        FROM documents WHERE text IS NOT NULL)))),
+runs AS (
+  SELECT lang, word AS w1, lead(word) OVER p AS w2, lead(word, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY doc, piece ORDER BY i)),
+n AS (SELECT lang, count(*) AS n FROM runs GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, 1 AS k, c.f AS a, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON (x.lang, x.w1) = (c.lang, c.w1) JOIN f1 y ON (y.lang, y.w1) = (c.lang, c.w2)
+  WHERE c.f >= 10 AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = c.lang AND f3.w1 = c.w1 AND f3.w2 = c.w2 AND 100 * f3.f >= 50 * c.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = c.lang AND f3.w2 = c.w1 AND f3.w3 = c.w2 AND 100 * f3.f >= 50 * c.f)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, 1, c.f, x.f, y.f
+  FROM f3 c JOIN f1 x ON (x.lang, x.w1) = (c.lang, c.w1) JOIN f2 y ON (y.lang, y.w1, y.w2) = (c.lang, c.w2, c.w3)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, 2, c.f, x.f, y.f
+  FROM f3 c JOIN f2 x ON (x.lang, x.w1, x.w2) = (c.lang, c.w1, c.w2) JOIN f1 y ON (y.lang, y.w1) = (c.lang, c.w3)),
+scored AS (SELECT *, (1000000::hugeint * a * a) // (l::hugeint * r) AS s FROM cuts),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY s, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY s DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, s::bigint AS score
+FROM weakest JOIN n USING (lang) QUALIFY rank <= 2000
+""",
+}
