@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import ann, collocations, common, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
+from tidepool.llm import ann, collocations, common, hard_negatives, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,12 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.top(collocations.mine(table(spark, sf_dir, "documents")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_balanced_posting_lists": op2_balanced_posting_lists,
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -112,5 +119,21 @@ scored AS (SELECT *, (1000000::hugeint * a * a) // (l::hugeint * r) AS s FROM cu
 weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY s, k) = 1)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY s DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, s::bigint AS score
 FROM weakest JOIN n USING (lang) QUALIFY rank <= 2000
+""",
+    "op12_hard_negatives": """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT DISTINCT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.v, b.v)::bigint AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+positives AS (SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other)::integer AS rank,
+       s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+WHERE 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score QUALIFY rank <= 3
 """,
 }
