@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import ann, collocations, common, hard_negatives, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
+from tidepool.llm import ann, bpe, collocations, common, hard_negatives, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
 
 
+def op13_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_balanced_posting_lists": op2_balanced_posting_lists,
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_bpe_transducer": op13_bpe_transducer,
 }
 
 ORACLES: dict[str, str] = {
