@@ -155,3 +155,70 @@ def test_log_filters_prune_partitions(spark, tmp_path):
     stored = _stored(spark, path)
     by_time = changelog.as_of_time_batches(stored, changelog.history(log, 100), ts)
     assert _live(by_time) == _live(changelog.as_of_timestamp(stored, ts))
+
+
+def _writers(spark, path):
+    """Three writers that number their batches apart: the stream at 9, 10 and 13 o'clock, a backfill at 12, rollbacks later."""
+    log = catalog.change_log(spark, SF_SMALL)
+
+    def put(rows, n, hour, writer):
+        at = F.lit(f"2024-03-01 {hour:02d}:00:00").cast("timestamp_ntz")
+        changelog.write_batch(rows.withColumn("committed_at", at), path, n, writer)
+    put(log.filter("batch_id = 0"), 1, 9, "stream")
+    put(log.filter("batch_id = 1"), 2, 10, "stream")
+    put(log.filter("batch_id between 2 and 4").withColumn("total_amount", F.lit(1).cast("decimal(29,2)")), 0, 12, "backfill")
+    put(log.filter("batch_id between 0 and 5"), 3, 13, "stream")
+    return log
+
+
+def test_versions_of_three_writers_are_one_order(spark, tmp_path):
+    path = str(tmp_path / "log")
+    _writers(spark, path)
+    schema = streams.log_schema(spark)
+    at = F.lit("2024-03-01 14:00:00").cast("timestamp_ntz")
+    before = _stored(spark, path)
+    want = [(0, "stream", 1), (1, "stream", 2), (2, "backfill", 0), (3, "stream", 3)]
+    assert sorted((r["version"], r["writer"], r["batch_id"]) for r in changelog.commits(before).collect()) == want
+    parts = {v: before.filter((F.col("writer") == w) & (F.col("batch_id") == b)) for v, w, b in want}
+    states = []
+    for v in range(4):
+        upto = parts[0]
+        for u in range(1, v + 1):
+            upto = upto.unionByName(parts[u])
+        states.append(_live(changelog.current(upto)))
+        assert _live(changelog.as_of_version(before, v)) == states[v]
+    assert len({str(s) for s in states}) == 4
+    # rollback to a version in the middle, of two writers; then back over the rollback itself
+    assert changelog.write_rollback(spark, path, 1, schema, committed_at=at) == 1
+    stored = _stored(spark, path)
+    assert _live(changelog.current(stored)) == states[1]
+    newest = changelog.history(stored, 2).collect()
+    assert [(r["version"], r["writer"], r["operation"]) for r in newest] == [(4, "rollback", "ROLLBACK"), (3, "stream", "MERGE")]
+    assert changelog.write_rollback(spark, path, 3, schema, committed_at=F.lit("2024-03-01 15:00:00").cast("timestamp_ntz")) == 2
+    stored = _stored(spark, path)
+    assert _live(changelog.current(stored)) == states[3]
+    assert [_live(changelog.as_of_version(stored, v)) for v in range(6)] == [*states, states[1], states[3]]
+    # by time, with the directories pruned by each writer's own numbers
+    known = changelog.commits(stored)
+    for hour, state in ((8, []), (9, states[0]), (11, states[1]), (12, states[2]), (14, states[1]), (23, states[3])):
+        ts = f"2024-03-01 {hour:02d}:30:00"
+        got = changelog.as_of_time_batches(stored, known, ts)
+        assert _live(got) == _live(changelog.as_of_timestamp(stored, ts)) == state
+    plan = changelog.as_of_time_batches(stored, known, "2024-03-01 09:30:00")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "writer" in plan.split("PartitionFilters: [")[1][:300]
+    assert _live(changelog.as_of_version(stored, 99)) == states[3] and changelog.as_of_version(stored, -1).count() == 0
+
+
+def test_rollback_buries_and_raises_the_dead(spark):
+    base = catalog.change_log(spark, SF_SMALL)
+    one = base.filter("batch_id = 0").limit(3).collect()
+    rows = []
+    for i, (r, steps) in enumerate(zip(one, [[(0, False), (1, True)], [(0, True), (1, False)], [(1, False), (2, True)]], strict=True)):
+        for b, dead in steps:
+            d = r.asDict() | {"event_id": f"k{i}", "batch_id": b, "is_deleted": dead, "kafka_offset": b}
+            rows.append(d)
+    log = spark.createDataFrame(rows, base.schema)
+    assert {r["event_id"] for r in changelog.current(log).collect()} == {"k1"}
+    back = changelog.rollback(log, 0)
+    assert {r["event_id"] for r in changelog.current(back).collect()} == {"k0"} == {r["event_id"] for r in changelog.as_of_version(log, 0).collect()}
+    assert {(r["event_id"], r["is_deleted"]) for r in changelog.rollback_batch(log, 0).collect()} == {("k0", False), ("k1", True)}

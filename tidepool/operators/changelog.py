@@ -7,10 +7,13 @@ apart. Every row carries its recency (``kafka_timestamp``,
 ``kafka_offset``), its ``batch_id``, ``committed_at``, the table
 ``generation`` (raised by each rollback), ``is_deleted`` and ``operation``.
 
+* version      = a commit. ``commits`` numbers the batches of all writers from 0 in the order of
+                 (committed_at, writer, batch_id); a log without ``writer`` has one writer, whose
+                 batch numbers are its versions
 * current      = latest row per key by (generation, kafka_timestamp, kafka_offset, batch_id),
                  tombstones removed                              (K4, J1)
-* as-of v / ts = the same over ``batch_id <= v`` / ``committed_at <= ts``  (S6, S7)
-* history      = one row per batch, newest first                 (S8, L2)
+* as-of v / ts = the same over the commits up to v / ``committed_at <= ts``  (S6, S7)
+* history      = one row per commit, newest first                (S8, L2)
 * rollback(v)  = append a batch that restates keys changed after v as they were at v
                  and tombstones keys that appeared after v      (K10)
 """
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,9 +54,59 @@ def current(log: DataFrame, key: str = KEY, keep_meta: bool = False) -> DataFram
     return latest if keep_meta else latest.drop(*LOG_META)
 
 
-def as_of_version(log: DataFrame, version: int, key: str = KEY) -> DataFrame:
-    """The table as it was after batch ``version``."""
-    return current(log.filter(F.col("batch_id") <= version), key)
+COMMIT = ["committed_at", "writer", "batch_id"]      # order of the commits of all writers
+
+
+def commits(log: DataFrame) -> DataFrame:
+    """One row per commit (writer and batch) with its ``version``, numbered over all writers.
+
+    Reads the log's few small columns; one row a batch reaches the numbering window.
+    """
+    grouped = log.groupBy("writer", "batch_id").agg(
+        F.max("committed_at").alias("committed_at"),
+        F.max("operation").alias("operation"),
+        F.max("generation").alias("generation"),
+        F.count(F.lit(1)).alias("num_rows"),
+        F.count_if(F.col("is_deleted")).alias("num_deleted"),
+        F.min("kafka_timestamp").alias("first_event_time"),
+        F.max("kafka_timestamp").alias("last_event_time"))
+    return grouped.withColumn("version", (F.row_number().over(Window.orderBy(*COMMIT)) - 1).cast("int"))
+
+
+def _by_writer(known: DataFrame) -> Column:
+    """Directories (writer, batch_id) up to each writer's last commit in ``known``: static, so files are pruned.
+
+    One row a writer reaches the driver. A writer's later batches commit later, so none of ``known`` is left out.
+    """
+    last = known.groupBy("writer").agg(F.max("batch_id").alias("n")).collect()
+    reach = F.lit(False)
+    for r in last:
+        reach = reach | ((F.col("writer") == r["writer"]) & (F.col("batch_id") <= r["n"]))
+    return reach
+
+
+def _upto(log: DataFrame, version: int, known: DataFrame | None = None) -> tuple[Column, Column]:
+    """(rows of the commits up to ``version``, a coarser test on directories alone)."""
+    if "writer" not in log.columns:
+        upto = F.col("batch_id") <= version
+        return upto, upto
+    known = commits(log) if known is None else known
+    cut = known.filter(F.col("version") == version).select(*COMMIT).first()
+    if cut is None:
+        last = known.agg(F.max("version")).first()[0]
+        if last is None or version < 0:
+            return F.lit(False), F.lit(False)
+        if version > last:
+            return F.lit(True), F.lit(True)
+    order = F.struct(F.col("committed_at").cast("timestamp_ntz"), F.col("writer"), F.col("batch_id").cast("int"))
+    bound = F.struct(F.lit(cut["committed_at"]).cast("timestamp_ntz"), F.lit(cut["writer"]), F.lit(cut["batch_id"]).cast("int"))
+    return order <= bound, _by_writer(known.filter(F.col("version") <= version))
+
+
+def as_of_version(log: DataFrame, version: int, key: str = KEY, known: DataFrame | None = None) -> DataFrame:
+    """The table as it was after commit ``version``; ``known`` (stored ``commits``) spares their pass over the log."""
+    upto, dirs = _upto(log, version, known)
+    return current(log.filter(dirs).filter(upto), key)
 
 
 def as_of_timestamp(log: DataFrame, ts: str, key: str = KEY) -> DataFrame:
@@ -62,21 +115,11 @@ def as_of_timestamp(log: DataFrame, ts: str, key: str = KEY) -> DataFrame:
 
 
 def history(log: DataFrame, limit: int = 20) -> DataFrame:
-    """One row per batch, newest first, at most ``limit`` rows (L2)."""
-    return (
-        log.groupBy("batch_id")
-        .agg(
-            F.max("committed_at").alias("committed_at"),
-            F.max("operation").alias("operation"),
-            F.max("generation").alias("generation"),
-            F.count(F.lit(1)).alias("num_rows"),
-            F.count_if(F.col("is_deleted")).alias("num_deleted"),
-            F.min("kafka_timestamp").alias("first_event_time"),
-            F.max("kafka_timestamp").alias("last_event_time"),
-        )
-        .orderBy(F.col("batch_id").desc())
-        .limit(limit)
-    )
+    """One row per commit, newest first, at most ``limit`` rows (L2); with several writers also ``version`` and ``writer``."""
+    if "writer" in log.columns:
+        return commits(log).orderBy(F.col("version").desc()).limit(limit)
+    return (commits(log.withColumn("writer", F.lit(""))).drop("writer", "version")
+            .orderBy(F.col("batch_id").desc()).limit(limit))
 
 
 def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = None,
@@ -84,21 +127,29 @@ def rollback_batch(log: DataFrame, version: int, committed_at: Column | None = N
     """The compensating batch to append so that current == as-of(version).
 
     Only keys with a row after ``version`` can differ, so only those are
-    looked at (a semi-join on the later batches' keys). Their latest row at
-    ``version`` is restated; keys without one get a tombstone. The batch
-    number and generation come from one scalar subquery over the log.
+    looked at (a semi-join on the later commits' keys). One shuffle by key
+    serves both windows: the first leaves a key's latest row up to the version and
+    its latest after it, the second takes of these two the one to restate, or to bury.
+    The batch number and generation come from one scalar subquery over the log.
     """
     top = log.select(F.struct((F.max("batch_id") + 1).alias("batch_id"),
                               (F.max("generation") + 1).alias("generation"))).scalar()
     next_gen = F.lit(generation) if generation is not None else top["generation"]
     when = committed_at if committed_at is not None else F.current_timestamp().cast("timestamp_ntz")
-    changed = log.filter(F.col("batch_id") > version).select(key).distinct()
-    touched = log.join(changed, key, "left_semi")
-    now = dedup_latest(touched, key=key, order=RECENCY)
-    then = dedup_latest(touched.filter(F.col("batch_id") <= version), key=key, order=RECENCY)
-    back = then.filter(~F.col("is_deleted"))
-    dead = now.filter(~F.col("is_deleted")).join(back.select(key), key, "left_anti").withColumn("is_deleted", F.lit(True))
-    return back.unionByName(dead).withColumns({
+    upto, _ = _upto(log, version)
+    tagged = log.withColumn("_later", ~upto)
+    changed = tagged.filter("_later").select(key).distinct()
+    touched = tagged.join(changed, key, "left_semi").repartition(key)
+    latest = [F.col(c).desc() for c in RECENCY]
+    ends = (touched.withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_later").orderBy(*latest)))
+            .filter(F.col("_rn") == 1))
+    live = ~F.col("is_deleted")
+    of_key = Window.partitionBy(key)
+    ends = ends.withColumns({"_stood": F.max(~F.col("_later") & live).over(of_key),
+                             "_rn": F.row_number().over(of_key.orderBy(*latest))})
+    chosen = ends.filter(live & F.when(F.col("_stood"), ~F.col("_later")).otherwise(F.col("_rn") == 1))
+    return chosen.withColumns({
+        "is_deleted": F.col("_later"),
         "batch_id": top["batch_id"].cast("int"),
         "committed_at": when.cast("timestamp_ntz"),
         "generation": next_gen.cast("int"),
@@ -175,6 +226,11 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int, writer: str, schema: T.StructType) -> DataFrame:
+    """One stored batch with all columns of the log."""
+    return spark.read.schema(schema).option("basePath", path).parquet(log_path(path, writer, batch_id))
+
+
 def write_rollback(spark: SparkSession, path: str, version: int, schema: T.StructType,
                    committed_at: Column | None = None, key: str = KEY) -> int:
     """K10 on disk: write the rollback batch of the stored log; returns its generation.
@@ -190,8 +246,11 @@ def write_rollback(spark: SparkSession, path: str, version: int, schema: T.Struc
     return generation
 
 
-def as_of_time_batches(log: DataFrame, commits: DataFrame, ts: str, key: str = KEY) -> DataFrame:
-    """S7 with batch pruning: ``commits`` (batch_id, committed_at; one row a batch, such as
-    ``history``'s) maps the time to batch ids, which prune the log's directories."""
-    upto = commits.filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz")).select(F.max("batch_id")).scalar()
-    return as_of_timestamp(log.filter(F.col("batch_id") <= upto), ts, key)
+def as_of_time_batches(log: DataFrame, known: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+    """S7 with batch pruning: ``known`` (``commits`` of the log, stored say) maps the time to each writer's
+    last batch, and these prune the log's directories. Without ``writer`` in ``known``, batch numbers
+    say nothing about other writers' directories, and all are read."""
+    if "writer" not in known.columns:
+        return as_of_timestamp(log, ts, key)
+    at = F.lit(ts).cast("timestamp_ntz")
+    return as_of_timestamp(log.filter(_by_writer(known.filter(F.col("committed_at") <= at))), ts, key)
