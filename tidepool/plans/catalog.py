@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
-from tidepool.operators import changelog, marts, quality, refine, schemas, serve
+from tidepool.operators import changelog, current_table, marts, quality, refine, schemas, serve, sketches
+from tidepool.session import scratch_folder
 from tidepool.sources import fixtures as FX
 from tidepool.sources import ingest
 
@@ -223,11 +224,58 @@ def q_history(spark, sf_dir):
     return changelog.history(change_log(spark, sf_dir), limit=20)
 
 
+def writers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log as three writers leave it, who number their batches apart: the stream's days, a backfill of every
+    tenth event in two batches on two noons, and re-deliveries by a third writer in the evening of each second day."""
+    log = change_log(spark, sf_dir)
+    again, tenth, day = F.col("kafka_offset") >= SHIFT, F.col("kafka_offset") % 10 == 3, F.col("batch_id")
+    half = (day >= 15).cast("int")
+    noon = F.when(half == 0, F.lit("2024-01-08 12:00:00")).otherwise(F.lit("2024-01-23 12:00:00")).cast("timestamp_ntz")
+    evening = F.lit("2024-01-01 18:00:00").cast("timestamp_ntz") + F.make_interval(days=(day / 2).cast("int") * 2)
+    return log.withColumns({
+        "writer": F.when(again, F.lit("repeats")).when(tenth, F.lit("backfill")).otherwise(F.lit("stream")),
+        "batch_id": F.when(again, (day / 2).cast("int")).when(tenth, half).otherwise(day),
+        "committed_at": F.when(again, evening).when(tenth, noon).otherwise(F.col("committed_at"))})
+
+
+WRITERS_VERSION = 22
+
+
+def q_as_of_version_writers(spark, sf_dir):
+    return _out(changelog.as_of_version(writers_log(spark, sf_dir), WRITERS_VERSION))
+
+
+def q_history_writers(spark, sf_dir):
+    return changelog.history(writers_log(spark, sf_dir), 100).select("version", "writer", "batch_id", "committed_at", "num_rows")
+
+
+def q_rollback_writers(spark, sf_dir):
+    log = writers_log(spark, sf_dir)
+    return _out(changelog.current(changelog.rollback(log, WRITERS_VERSION)))
+
+
 def q_rollback(spark, sf_dir):
     log = changelog.rollback(change_log(spark, sf_dir), AS_OF_VERSION)
     return _out(changelog.current(log))
 
 
+def q_current_buckets(spark, sf_dir):
+    """K4: the bucketed current table after a first load, two upserts and one of tombstones."""
+    folder, buckets = scratch_folder(spark), 16
+    log = change_log(spark, sf_dir)
+    log.write.parquet(f"{folder}/log")
+    log = spark.read.schema(log.schema).parquet(f"{folder}/log")
+    current_table.rebuild(log.filter("batch_id <= 9"), f"{folder}/t", buckets=buckets)
+    for lo, hi in ((10, 19), (20, 99)):
+        current_table.upsert(log.filter(F.col("batch_id").between(lo, hi)), f"{folder}/t", buckets=buckets)
+    gone = log.filter(F.substring("event_id", 5, 9).cast("int") % DELETED_EVERY == 0).withColumns({"is_deleted": F.lit(True), "generation": F.lit(1)})
+    current_table.upsert(gone, f"{folder}/t", buckets=buckets)
+    return _out(current_table.read(spark, f"{folder}/t", log.schema, buckets)).drop(*refine.ORDER_COLUMNS)
+
+
+DELETED_EVERY = 41      # every so many events get a tombstone
+
+
 def q_replace_from_min(spark, sf_dir):
     target, _ = _deliveries(spark, sf_dir)
     old = marts.product_mart(target)
@@ -349,6 +397,45 @@ def q_revenue_rollup(spark, sf_dir):
             .drop("unique_buyers", "exact_buyers", "revenue_per_buyer"))
 
 
+def q_median_rollup(spark, sf_dir):
+    """A10, V1: weekly medians from merged sketches; the flag holds their true rank against the bound."""
+    sold = clean(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    rolled = sketches.median_rollup(sketches.order_value_mart(sold), "weekly")
+    values = sold.select(sketches.period("weekly"), (F.col("total_amount") * sketches.CENTS).cast("long").alias("v"))
+    cents = F.round(F.col("q50") * sketches.CENTS).cast("long")
+    ranks = values.join(rolled.select("event_date", cents.alias("m")), "event_date").groupBy("event_date").agg(
+        (F.count_if(F.col("v") < F.col("m")) / F.count("v")).alias("below"), (F.count_if(F.col("v") <= F.col("m")) / F.count("v")).alias("upto"))
+    near = (F.col("below") <= 0.5 + sketches.RANK_ERROR) & (F.col("upto") >= 0.5 - sketches.RANK_ERROR)
+    return rolled.join(ranks, "event_date").select("event_date", "total_revenue", "order_count", near.alias("median_within_bound"))
+
+
+def q_funnel_rollup(spark, sf_dir):
+    """A4, V4: users a channel over all dates, and of two stages, from theta sketches; flags hold them against the exact counts."""
+    c = clean(spark, sf_dir)
+    rolled = sketches.funnel_rollup(sketches.funnel_sketch_mart(c), ["channel_group"])
+    kinds = [t for _, t in marts.FUNNEL_STAGES]
+    flags = [F.max((F.col("event_type") == t).cast("int")).alias(f"_{i}") for i, t in enumerate(kinds)]
+    users = c.groupBy("channel_group", "user_id").agg(*flags)
+    exact = users.groupBy("channel_group").agg(
+        *[F.sum(f"_{i}").alias(f"x_{i}") for i in range(len(kinds))],
+        *[F.count_if((F.col(f"_{i}") + F.col(f"_{i + 1}")) == 2).alias(f"k_{i}") for i in range(len(kinds) - 1)])
+    both = rolled.join(exact, "channel_group")
+    stages = [(F.abs(F.col(s) - F.col(f"x_{i}")) <= 0.05 * F.col(f"x_{i}")).alias(f"{s}_ok") for i, s in enumerate(sketches.STAGES)]
+    kept = [(F.abs(F.col(f"kept_{i + 2}") - F.col(f"k_{i}")) <= 0.05 * F.greatest(f"x_{i}", f"x_{i + 1}")).alias(f"kept_{i + 2}_ok") for i in range(len(kinds) - 1)]
+    return both.select("channel_group", *stages, *kept)
+
+
+def q_top_products_sketch(spark, sf_dir):
+    """V3, L4: the first products from merged count-min rows and candidate lists; flags hold the estimate against its bound."""
+    products = marts.product_mart(clean(spark, sf_dir))
+    top = sketches.top_products(sketches.revenue_cells(products), sketches.candidates(products), 20)
+    exact = products.groupBy(*sketches.PRODUCT).agg(F.sum("total_revenue").alias("exact"))
+    return (top.join(exact, sketches.PRODUCT)
+            .select(*sketches.PRODUCT, F.col("rank").cast("long").alias("rank"), F.col("exact").cast("double").alias("total_revenue"),
+                    (F.col("revenue_estimate") >= F.col("exact")).alias("not_too_low"),
+                    (F.col("revenue_estimate") - F.col("exact") <= F.col("error_bound")).alias("within_bound")))
+
+
 def q_kpi_chained(spark, sf_dir):
     """A5 by the stream's two aggregation levels, on a batch: window and user, then window."""
     from tidepool.streaming import streams
@@ -401,6 +488,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_windows": q_kpi_windows,                     # A5, T3, P8
     "upsert_window_form": q_upsert_window_form,       # K4
     "upsert_join_form": q_upsert_join_form,           # J1
+    "current_buckets": q_current_buckets,             # K4 (incremental, bucketed)
     "as_of_version": q_as_of_version,                 # S6
     "as_of_timestamp": q_as_of_timestamp,             # S7
     "history": q_history,                             # S8, L2
@@ -412,6 +500,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_silver": q_dq_silver,                         # Q1-Q4, Q7, F4, F5, F8
     "dq_erroring": q_dq_erroring,                     # Q5 (rules that cannot be evaluated)
     "conform_rejects": q_conform_rejects,             # G6 (reject side)
+    "median_rollup": q_median_rollup,                 # A10, V1 (KLL sketches)
+    "funnel_rollup": q_funnel_rollup,                 # A4, V4 (theta sketches)
+    "top_products_sketch": q_top_products_sketch,     # V3, L4 (count-min)
+    "as_of_version_writers": q_as_of_version_writers,  # S6, S8 (three writers)
+    "history_writers": q_history_writers,             # S8, L2 (three writers)
+    "rollback_writers": q_rollback_writers,           # K10 (three writers)
     "kpi_chained": q_kpi_chained,                     # A5, K7 (two levels)
     "zorder_rows": q_zorder_rows,                     # K12
     "dq_summary": q_dq_summary,                       # Q5

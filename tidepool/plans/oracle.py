@@ -512,8 +512,48 @@ REVENUE_ROLLUP = f"SELECT event_date, event_hour, category, channel_group, count
     f"true AS buyers_within_bound FROM ({REVENUE_QUERY})"
 
 
+CURRENT_BUCKETS = _ctes() + f"SELECT {CLEAN_COLS} FROM clean WHERE cast(substring(event_id, 5) AS integer) % 41 <> 0"
+
+# Three writers: day batches of the stream, two noon batches of a backfill, evening batches of the re-deliveries.
+_AGAIN, _TENTH = f"kafka_offset >= {SHIFT}", "kafka_offset % 10 = 3"
+WRITERS = f"""SELECT *,
+    CASE WHEN {_AGAIN} THEN 'repeats' WHEN {_TENTH} THEN 'backfill' ELSE 'stream' END AS writer,
+    cast(CASE WHEN {_AGAIN} THEN {BATCH} // 2 WHEN {_TENTH} THEN CASE WHEN {BATCH} >= 15 THEN 1 ELSE 0 END ELSE {BATCH} END AS integer) AS batch_no,
+    CASE WHEN {_AGAIN} THEN TIMESTAMP '2024-01-01 18:00:00' + to_days(cast({BATCH} // 2 * 2 AS integer))
+         WHEN {_TENTH} THEN CASE WHEN {BATCH} >= 15 THEN TIMESTAMP '2024-01-23 12:00:00' ELSE TIMESTAMP '2024-01-08 12:00:00' END
+         ELSE {COMMITTED} END AS committed"""
+COMMITS = """SELECT cast(row_number() OVER (ORDER BY committed_at, writer, batch_id) - 1 AS integer) AS version, * FROM (
+  SELECT writer, batch_no AS batch_id, max(committed) AS committed_at, count(*) AS num_rows FROM w GROUP BY writer, batch_no)"""
+HISTORY_WRITERS = f"WITH w AS ({WRITERS} FROM {FX.raw_events_sql()} r) SELECT * FROM ({COMMITS}) ORDER BY version DESC LIMIT 100"
+AS_OF_VERSION_WRITERS = (
+    f"WITH w AS ({WRITERS} FROM {FX.raw_events_sql()} r), commits AS ({COMMITS}),\n"
+    "raw AS (SELECT w.* EXCLUDE (writer, batch_no, committed) FROM w JOIN commits c ON c.writer = w.writer AND c.batch_id = w.batch_no WHERE c.version <= 22),\n"
+    + ",\n".join(_chain("", "raw")) + f"\nSELECT {CLEAN_KEYED} FROM clean")
+
+MEDIAN_ROLLUP = _ctes() + """
+SELECT strftime(date_trunc('week', event_timestamp), '%Y-%m-%d') AS event_date, cast(sum(total_amount) AS double) AS total_revenue,
+  count(event_id) AS order_count, true AS median_within_bound
+FROM clean WHERE event_type = 'purchase' GROUP BY 1"""
+FUNNEL_ROLLUP = _ctes() + """
+SELECT DISTINCT channel_group, true AS stage_1_viewers_ok, true AS stage_2_cart_adders_ok, true AS stage_3_checkout_ok, true AS stage_4_purchasers_ok,
+  true AS kept_2_ok, true AS kept_3_ok, true AS kept_4_ok FROM clean"""
+TOP_PRODUCTS_SKETCH = _ctes() + """
+SELECT *, true AS not_too_low, true AS within_bound FROM (
+  SELECT product_id, product_name, category, row_number() OVER (ORDER BY revenue DESC, product_id, category, product_name) AS rank,
+    cast(revenue AS double) AS total_revenue
+  FROM (SELECT product_id, product_name, category, sum(CASE WHEN event_type = 'purchase' THEN total_amount ELSE 0 END) AS revenue
+        FROM clean WHERE product_id IS NOT NULL GROUP BY ALL)) WHERE rank <= 20"""
+
+
 def queries() -> dict[str, str]:
     return {
+        "current_buckets": CURRENT_BUCKETS,
+        "as_of_version_writers": AS_OF_VERSION_WRITERS,
+        "history_writers": HISTORY_WRITERS,
+        "rollback_writers": AS_OF_VERSION_WRITERS,
+        "median_rollup": MEDIAN_ROLLUP,
+        "funnel_rollup": FUNNEL_ROLLUP,
+        "top_products_sketch": TOP_PRODUCTS_SKETCH,
         "enrich_raw": ENRICH_RAW,
         "date_range_read": DATE_RANGE,
         "parse_json": PARSE_JSON,

@@ -7,6 +7,7 @@ The library never creates a session on its own: callers pass one in.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +45,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path in the cluster's shared folder (below the warehouse where that is unset, as in tests)."""
+    base = checkpoint_dir(spark, spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

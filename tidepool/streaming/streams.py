@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidepool.operators import changelog, refine
+from tidepool.operators import changelog, current_table, refine
 from tidepool.sources import ingest
 
 # State store settings for large keyed state (de-duplication by event id and
@@ -132,7 +132,8 @@ def bronze_stream(records: DataFrame, path: str, checkpoint: str,
 
 def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
                 metrics_path: str | None = None, generation: int = 0,
-                writers: int = WRITERS, writer: str = "stream") -> dict:
+                writers: int = WRITERS, writer: str = "stream", current_path: str | None = None,
+                buckets: int = current_table.BUCKETS) -> dict:
     """K3 body: one micro-batch → log partition + DLQ partition + metrics row.
 
     Re-running the same ``epoch_id`` of the same ``writer`` rewrites the same
@@ -143,6 +144,9 @@ def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
     After the cleaning work the rows are dealt to ``writers`` tasks a date.
     All counters are exact: input and dead letters are observed on the split,
     clean rows on the write; duplicates follow from them.
+
+    With ``current_path`` the batch, as stored, is also folded into the bucketed
+    current table (``operators.current_table``); only the buckets of its keys are touched.
     """
     spark = df.sparkSession
     o_in, o_out = Observation(f"in_{epoch_id}"), Observation(f"out_{epoch_id}")
@@ -151,6 +155,9 @@ def clean_batch(df: DataFrame, epoch_id: int, log_path: str, dlq_path: str,
     logged = changelog.as_log(clean, epoch_id, F.current_timestamp().cast("timestamp_ntz"), generation)
     salt = F.pmod(F.xxhash64("event_id"), F.lit(writers))
     changelog.write_batch(logged.repartition("event_date", salt), log_path, epoch_id, writer)
+    if current_path:
+        stored = changelog.read_batch(spark, log_path, epoch_id, writer, log_schema(spark))
+        current_table.upsert(stored, current_path, buckets=buckets)
     dead = ingest.to_dead_letter(bad)
     dead.write.mode("overwrite").parquet(f"{dlq_path}/writer={writer}/batch_id={int(epoch_id)}")
     seen, n_out = o_in.get, int(o_out.get["n"])
@@ -183,8 +190,8 @@ def backfill_clean(spark: SparkSession, bronze_path: str, log_path: str, dlq_pat
 def clean_stream(spark: SparkSession, bronze_path: str, log_path: str, dlq_path: str,
                  checkpoint: str, metrics_path: str | None = None, trigger: dict | None = None,
                  max_files_per_trigger: int | None = None, generation: int = 0,
-                 query_name: str = "clean") -> StreamingQuery:
-    """K3 + S4: stream the bronze table into the clean change log.
+                 query_name: str = "clean", current_path: str | None = None) -> StreamingQuery:
+    """K3 + S4: stream the bronze table into the clean change log (and, with ``current_path``, the current table).
 
     ``generation`` is what ``changelog.write_rollback`` returned, if the log
     was ever rolled back.
@@ -199,7 +206,7 @@ def clean_stream(spark: SparkSession, bronze_path: str, log_path: str, dlq_path:
     src = reader.parquet(bronze_path)
 
     def run(df: DataFrame, epoch_id: int) -> None:
-        clean_batch(df, epoch_id, log_path, dlq_path, metrics_path, generation)
+        clean_batch(df, epoch_id, log_path, dlq_path, metrics_path, generation, current_path=current_path)
 
     w = (src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .queryName(query_name))
