@@ -172,9 +172,13 @@ def optimize_in_place(spark: SparkSession, path: str, staging: str, zorder_colum
     """K11-K13 on a table in use: the selected partitions are rewritten, the others stay.
 
     The new files are written to ``staging`` (a shared folder) and then replace
-    the partitions they belong to. Run again, both steps give the same table.
+    the partitions they belong to. Run again, both steps give the same table. A table of
+    batch directories is what streams read, to whom new files are new rows: it is refused
+    (``compact_copy`` serves its readers).
     """
     by = partitioning(spark, path)
+    if "batch_id" in by:
+        raise ValueError(f"{path} holds batches that streams read; use compact_copy")
     optimize(spark, path, staging, zorder_columns, where, by)
     ready = spark.read.schema(spark.read.parquet(path).schema).parquet(staging)
     writer = ready.write.mode("overwrite").partitionBy(*by)
@@ -207,3 +211,75 @@ def optimize_all(spark: SparkSession, tables: dict[str, str], out_root: str,
         return name, "optimized", int(row["num_files"]), int(row["row_count"])
 
     return spark.createDataFrame([maintained(*t) for t in tables.items()], MAINTAINED)
+
+
+# ------------------------------------------------------------------ a compact copy beside a streamed table
+
+BATCH_NUMBER = r"(\d+)$"      # the batch's number at the end of its id
+MERGE_OVER = 8                # ranges of a copy that are made one
+
+
+def _number() -> Column:
+    return F.regexp_extract(F.col("batch_id"), BATCH_NUMBER, 1).cast("long")
+
+
+def _ranges(spark: SparkSession, copy: str) -> list[tuple[int, int]]:
+    """Batch ranges a copy holds; one inside a wider one has been merged into it."""
+    if not table_exists(spark, copy):
+        return []
+    found = [tuple(r) for r in spark.read.parquet(copy).select("first", "last").distinct().collect()]
+    return sorted(r for r in found if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in found))
+
+
+def _of_ranges(ranges: Sequence[tuple[int, int]]) -> Column:
+    held = F.lit(False)
+    for first, last in ranges:
+        held = held | ((F.col("first") == first) & (F.col("last") == last))
+    return held
+
+
+def compact_copy(spark: SparkSession, path: str, copy: str, schema, partition_cols: Sequence[str] = ("event_date", "event_hour"),
+                 upto: int | None = None, merge_over: int = MERGE_OVER, target_file_bytes: int = 128 * 1024 * 1024) -> list[tuple[int, int]]:
+    """K11/K13 on a table that streams read: its new batches, as few large files, to a copy for readers.
+
+    The batch directories of the table (``batch_id=<name>_<n>``) are left as they are, so a stream over them sees no
+    new files and cleans nothing twice. Each run writes the batches after the copy's last to
+    ``copy/first=<a>/last=<b>``; more than ``merge_over`` such ranges are written together as one, and readers use the
+    widest. A range's directory is overwritten by a retry. Without ``upto`` the newest batch waits for the next run, as only
+    that one may still be rewritten by a retried trigger. Returns the ranges of the copy.
+    """
+    ranges = _ranges(spark, copy)
+    done = ranges[-1][1] if ranges else -1
+    table = spark.read.schema(schema).parquet(path).withColumn("_n", _number())
+    if upto is None:
+        newest = table.agg(F.max("_n")).first()[0]
+        upto = -1 if newest is None else newest - 1
+    if upto <= done:
+        return ranges
+    rows, first = table.filter((F.col("_n") > done) & (F.col("_n") <= upto)).drop("_n"), done + 1
+    if len(ranges) >= merge_over:
+        held = spark.read.schema(_copy_schema(schema)).parquet(copy).filter(_of_ranges(ranges)).drop("first", "last")
+        rows, first = held.unionByName(rows), ranges[0][0]
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(int(target_file_bytes)))
+    try:
+        rows.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{copy}/first={first}/last={upto}")
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+    return _ranges(spark, copy)
+
+
+def _copy_schema(schema):
+    return type(schema)([*schema.fields]).add("first", "long").add("last", "long")
+
+
+def read_compacted(spark: SparkSession, path: str, copy: str, schema) -> DataFrame:
+    """The whole table: compacted batches from the copy, later ones from the table itself. Both tests are on directories, so
+    each batch's files are listed and read in one of the two places only."""
+    ranges = _ranges(spark, copy)
+    table = spark.read.schema(schema).parquet(path)
+    if not ranges:
+        return table
+    held = spark.read.schema(_copy_schema(schema)).parquet(copy).filter(_of_ranges(ranges)).drop("first", "last")
+    return held.unionByName(table.filter((_number() > ranges[-1][1]) | (_number() < ranges[0][0])))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions import expressions as X
-from tidepool.operators import changelog, current_table, marts, quality, refine, schemas, serve, sketches
+from tidepool.operators import changelog, current_table, drift, marts, quality, refine, schemas, serve, sketches, skipping
 from tidepool.session import scratch_folder
 from tidepool.sources import fixtures as FX
 from tidepool.sources import ingest
@@ -450,6 +450,55 @@ def q_zorder_rows(spark, sf_dir):
                                          F.sum("total_amount").cast("double").alias("amount"))
 
 
+SKIP_USER, SKIP_DATES, SKIP_FILES = "user_7", ("2024-01-08", "2024-01-14"), 16
+
+
+def q_zone_skipping(spark, sf_dir):
+    """Two filters read through the zone map of Hilbert-ordered files; the flag says that most files were left closed."""
+    folder = scratch_folder(spark)
+    clean(spark, sf_dir, keep_order=False).drop("silver_processed_at").write.parquet(f"{folder}/clean")
+    skipping.hilbert(spark.read.parquet(f"{folder}/clean"), ["event_date", "user_id"], SKIP_FILES).write.parquet(f"{folder}/table")
+    table = spark.read.parquet(f"{folder}/table")
+    skipping.zone_map(table, ["event_date", "user_id"], ["user_id"]).write.parquet(f"{folder}/zones")
+    zones = spark.read.parquet(f"{folder}/zones")
+    files = zones.count()
+    user, opened = skipping.read(spark, f"{folder}/table", zones, equal={"user_id": SKIP_USER})
+    week, opened_week = skipping.read(spark, f"{folder}/table", zones, between={"event_date": SKIP_DATES})
+    both = [(user, "user", opened), (week, "week", opened_week)]
+    parts = [df.select(F.lit(name).alias("filter"), "event_id", F.lit(2 * n <= files + 2).alias("most_closed")) for df, name, n in both]
+    return parts[0].union(parts[1])
+
+
+def drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose senders changed some payloads: a field the schema does not know, and a session id that is a number."""
+    records = FX.raw_json(spark, sf_dir)
+    added = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(',"loyalty_tier":"gold"}'))
+    whole = F.col("value").endswith("}")
+    records = records.withColumn("value", F.when(whole & (F.col("offset") % 50 == 0), added).otherwise(F.col("value")))
+    return records.withColumn("value", F.when(whole & (F.col("offset") % 70 == 0), F.regexp_replace("value", '"session_id":"[^"]*"', '"session_id":17'))
+                              .otherwise(F.col("value")))
+
+
+def q_payload_drift(spark, sf_dir):
+    """Fields and types that the declared schema does not expect, with the rows that have them."""
+    return drift.report(drifted(spark, sf_dir)).filter(F.col("status") != drift.EXPECTED)
+
+
+def q_unknown_fields(spark, sf_dir):
+    """What parsing leaves behind, kept beside the row."""
+    kept = drifted(spark, sf_dir).select("offset", drift.unknown_fields(F.col("value")).alias("rest"))
+    return kept.filter("rest is not null").select("offset", F.col("rest")["loyalty_tier"].alias("loyalty_tier"), F.size("rest").cast("long").alias("n_unknown"))
+
+
+def q_dq_incremental(spark, sf_dir):
+    """Q2, Q5: the silver report merged from one state a day; the uniqueness rate comes from sketches, so as a flag."""
+    rules = quality.silver_rules()
+    states = quality.batch_state(clean(spark, sf_dir), rules, ["event_date"])
+    rows = quality.report(states, rules).drop("description")
+    near = F.when(F.col("check").startswith("unique_"), F.lit(1.0)).otherwise(F.col("actual"))
+    return rows.withColumn("within_bound", F.abs(F.col("actual") - near) <= 0.02).withColumn("actual", near).withColumn("passed", near >= F.col("threshold"))
+
+
 def q_layer_counts(spark, sf_dir):
     return serve.layer_counts(bronze(spark, sf_dir), clean(spark, sf_dir))
 
@@ -500,6 +549,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_silver": q_dq_silver,                         # Q1-Q4, Q7, F4, F5, F8
     "dq_erroring": q_dq_erroring,                     # Q5 (rules that cannot be evaluated)
     "conform_rejects": q_conform_rejects,             # G6 (reject side)
+    "zone_skipping": q_zone_skipping,                 # K12 (Hilbert order, zone map)
+    "payload_drift": q_payload_drift,                 # P2, G1 (VARIANT)
+    "unknown_fields": q_unknown_fields,               # P2, G2
+    "dq_incremental": q_dq_incremental,               # Q2, Q5 (batch states)
     "median_rollup": q_median_rollup,                 # A10, V1 (KLL sketches)
     "funnel_rollup": q_funnel_rollup,                 # A4, V4 (theta sketches)
     "top_products_sketch": q_top_products_sketch,     # V3, L4 (count-min)

