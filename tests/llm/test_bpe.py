@@ -67,8 +67,16 @@ def test_merges_in_step_and_by_heap(model):
     for w in words:
         ids = model.encode(w, add_special_tokens=False).ids
         raw = w.encode()
-        got, size = known.merge_step(np.frombuffer(raw, np.uint8).reshape(1, -1))
-        assert got.tolist() == ids == known.merge_long(raw).tolist() and size.tolist() == [len(ids)]
+        assert ids == known.merge_long(raw).tolist()
+    raw = [w.encode() for w in words]
+    seen = 0
+    for rows, table, size in bpe.by_width(raw, 60):
+        got, n = known.merge_step(table, size)
+        ends = np.cumsum(n)
+        for i, a, b in zip(rows.tolist(), (ends - n).tolist(), ends.tolist(), strict=True):
+            assert got[a:b].tolist() == model.encode(words[i], add_special_tokens=False).ids
+        seen += len(rows)
+    assert seen == sum(len(w) <= 60 for w in raw) > 2900
 
 
 def test_transducer_holds_its_words_only_and_shares_suffixes():
@@ -79,7 +87,8 @@ def test_transducer_holds_its_words_only_and_shares_suffixes():
     machine = transducer.Transducer(np.frombuffer(transducer.to_bytes(arrays, {"apart": ""}), np.uint8))
     for length in range(1, 9):
         every = [bytes(draw.choice(b"abcd") for _ in range(length)) for _ in range(500)] + [w for w in words if len(w) == length]
-        found, ids, size = machine.lookup(np.frombuffer(b"".join(every), np.uint8).reshape(-1, length))
+        table = np.frombuffer(b"".join(w.ljust(9, b"a") for w in every), np.uint8).reshape(-1, 9)
+        found, ids, size = machine.lookup(table, np.full(len(every), length))
         assert found.tolist() == [w in pairs for w in every]
         ends = np.cumsum(size)
         assert [tuple(ids[e - n:e].tolist()) for e, n in zip(ends, size, strict=True)] == [pairs[w] for w in every if w in pairs]
@@ -88,7 +97,7 @@ def test_transducer_holds_its_words_only_and_shares_suffixes():
     with pytest.raises(ValueError, match="sorted"):
         transducer.compile_words([(b"b", (1,)), (b"a", (2,))])
     nothing = transducer.Transducer(np.frombuffer(transducer.to_bytes(transducer.compile_words([]), {}), np.uint8))
-    assert not nothing.lookup(np.zeros((2, 3), np.uint8))[0].any()
+    assert not nothing.lookup(np.zeros((2, 3), np.uint8), np.array([3, 2]))[0].any()
 
 
 def test_other_kinds_of_tokenizers_are_refused():

@@ -40,13 +40,14 @@ LEXICON = 1 << 16          # words of the lexicon at most
 LONGEST = 48               # bytes of a lexicon word at most
 STEP_BYTES = 64            # words up to this size are merged in step
 COUNTED = 400_000          # distinct words a task counts before it sends them
+CHUNK = 1 << 22            # bytes of text encoded at once
 CACHED = 300_000           # distinct words a task keeps with their ids
 LEVELS = 16                # steps of the count histogram in a doubling
 
 # The pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORDS = regex.compile(PATTERN)
-_NONE = np.iinfo(np.int64).max
+_NONE = np.iinfo(np.int32).max
 
 
 def byte_letters() -> list[str]:
@@ -56,76 +57,71 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(other)) for b in range(256)]
 
 
-class Vocabulary:
-    """What encoding and decoding need of a tokenizer file."""
+class Merges:
+    """The merge list of a byte-level BPE file, and the ids that its bytes start from."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            data = json.load(f)
-        model, cut = data["model"], data["pre_tokenizer"] or {}
-        odd = [k for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "dropout", "byte_fallback", "ignore_merges") if model.get(k)]
-        if cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut.get("add_prefix_space") or data["normalizer"] or odd:
-            raise ValueError("not a plain byte-level BPE")
-        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in data["added_tokens"]):
-            raise ValueError("added tokens must be plain strings")
-        ids = model["vocab"]
+            self.data = json.load(f)
+        model = self.data["model"]
+        self.ids = ids = model["vocab"]
         letters = byte_letters()
-        byte_of = {c: b for b, c in enumerate(letters)}
-        self.size = 1 + max([*ids.values(), *(t["id"] for t in data["added_tokens"])])
-        spelt = [b""] * self.size
-        for token, i in ids.items():
-            spelt[i] = bytes(byte_of[c] for c in token)
-        self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        for token, i in self.special.items():
-            spelt[i] = token.encode()
-        self.at_special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.size = 1 + max([*ids.values(), *(t["id"] for t in self.data["added_tokens"])])
+        suffix = model.get("end_of_word_suffix") or ""
         self.byte_id = np.array([ids[c] for c in letters], np.int64)
+        self.last_id = np.array([ids[c + suffix] for c in letters], np.int64)    # a word's last byte
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         keys = np.array([ids[a] * self.size + ids[b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.pairs = keys[order]
         self.ranks = order.astype(np.int64)
-        self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)      # by rank
-        self.rank_of: dict[int, int] | None = None                            # filled for the first long word
-        self.spelt, self.spelt_n = np.frombuffer(b"".join(spelt), np.uint8), np.array([len(s) for s in spelt])
-        self.spelt_at = np.cumsum(self.spelt_n) - self.spelt_n
-        figures = [f"{i},".encode() for i in range(self.size)]
-        self.figures, self.figures_n = np.frombuffer(b"".join(figures), np.uint8), np.array([len(s) for s in figures])
-        self.figures_at = np.cumsum(self.figures_n) - self.figures_n
+        self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)         # by rank
+        self.rank_of: dict[int, int] | None = None                               # filled for the first long word
+
+        # ranks of all pairs of bytes, and of those whose second byte ends a word
+        inner = self.byte_id[:, None]
+        self.byte_rank = self.rank(inner, self.byte_id[None, :])
+        self.last_rank = self.rank(inner, self.last_id[None, :])
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * self.size + b
+        key = a.astype(np.int64) * self.size + b
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == key, self.ranks[at], _NONE)
+        return np.where(self.pairs[at] == key, self.ranks[at], _NONE).astype(np.int32)
 
-    def merge_step(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one after another, ids a word) of equally long words, one a row of bytes: one merge a word at a time."""
+    def merge_step(self, words: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, ids a word) of words given as rows of bytes, ``size`` of which count: one merge a word at a time."""
         n, length = words.shape
-        ids, size = self.byte_id[words], np.full(n, length)
+        ids, size, every = self.byte_id[words].astype(np.int32), size.astype(np.int64), np.arange(n)
+        ids[every, size - 1] = self.last_id[words[every, size - 1]]
         if length > 1:
-            rank = self.rank(ids[:, :-1], ids[:, 1:])
             place = np.arange(length)
-            live = np.arange(n)
-            while len(live):
-                at = np.argmin(rank[live], axis=1)               # the leftmost of the lowest
-                best = rank[live, at]
+            rank = self.byte_rank[words[:, :-1], words[:, 1:]]
+            two = np.flatnonzero(size > 1)
+            rank[two, size[two] - 2] = self.last_rank[words[two, size[two] - 2], words[two, size[two] - 1]]
+            rank[place[:-1] >= size[:, None] - 1] = _NONE
+            # words that still merge are kept together, so that each round works on these alone
+            live, part, own, left = every, ids, rank, size.copy()
+            while True:
+                at = np.argmin(own, axis=1)                      # the leftmost of the lowest
+                best = own[np.arange(len(live)), at]
                 some = best < _NONE
-                live, at, best = live[some], at[some], best[some]
+                if not some.all():
+                    done = live[~some]
+                    ids[done], size[done] = part[~some], left[~some]
+                    live, part, own, left, at, best = live[some], part[some], own[some], left[some], at[some], best[some]
                 if not len(live):
                     break
-                move = np.minimum(place + (place > at[:, None]), length - 1)
-                part = np.take_along_axis(ids[live], move, axis=1)
-                part[np.arange(len(live)), at] = self.merged[best]
-                ids[live] = part
-                size[live] -= 1
-                ranks = np.take_along_axis(rank[live], np.minimum(move[:, :-1], length - 2), axis=1)
-                ranks[:, -1] = _NONE
                 rows = np.arange(len(live))
+                later = place[:-1] > at[:, None]
+                part[:, :-1] = np.where(later, part[:, 1:], part[:, :-1])
+                part[rows, at] = self.merged[best]
+                left -= 1
+                own[:, :-1] = np.where(later[:, :-1], own[:, 1:], own[:, :-1])
+                own[:, -1] = _NONE
                 after = self.rank(part[rows, at], part[rows, np.minimum(at + 1, length - 1)])
-                ranks[rows, at] = np.where(at < size[live] - 1, after, _NONE)
-                left = np.flatnonzero(at > 0)
-                ranks[left, at[left] - 1] = self.rank(part[left, at[left] - 1], part[left, at[left]])
-                rank[live] = ranks
+                own[rows, at] = np.where(at < left - 1, after, _NONE)
+                inside = np.flatnonzero(at > 0)
+                own[inside, at[inside] - 1] = self.rank(part[inside, at[inside] - 1], part[inside, at[inside]])
         return ids[place_mask(size, length)], size
 
     def merge_long(self, word: bytes) -> np.ndarray:
@@ -134,6 +130,7 @@ class Vocabulary:
             self.rank_of = dict(zip(self.pairs.tolist(), self.ranks.tolist(), strict=True))
         get, size, merged = self.rank_of.get, self.size, self.merged
         ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
+        ids[-1] = int(self.last_id[word[-1]])
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := get(ids[i] * size + ids[i + 1])) is not None]
@@ -153,6 +150,32 @@ class Vocabulary:
                 heapq.heappush(heap, (r, before[i], ids[before[i]], ids[i]))
         return np.array([i for i in ids if i is not None], np.int64)
 
+
+class Vocabulary(Merges):
+    """What encoding and decoding need of a tokenizer file."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        model, cut, added = self.data["model"], self.data["pre_tokenizer"] or {}, self.data["added_tokens"]
+        odd = [k for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "dropout", "byte_fallback", "ignore_merges") if model.get(k)]
+        if cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut.get("add_prefix_space") or self.data["normalizer"] or odd:
+            raise ValueError("not a plain byte-level BPE")
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
+            raise ValueError("added tokens must be plain strings")
+        byte_of = {c: b for b, c in enumerate(byte_letters())}
+        spelt = [b""] * self.size
+        for token, i in self.ids.items():
+            spelt[i] = bytes(byte_of[c] for c in token)
+        self.special = {t["content"]: t["id"] for t in added}
+        for token, i in self.special.items():
+            spelt[i] = token.encode()
+        self.at_special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.spelt, self.spelt_n = np.frombuffer(b"".join(spelt), np.uint8), np.array([len(s) for s in spelt])
+        self.spelt_at = np.cumsum(self.spelt_n) - self.spelt_n
+        figures = [f"{i},".encode() for i in range(self.size)]
+        self.figures, self.figures_n = np.frombuffer(b"".join(figures), np.uint8), np.array([len(s) for s in figures])
+        self.figures_at = np.cumsum(self.figures_n) - self.figures_n
+
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids' tokens, what is no UTF-8 replaced."""
         raw = transducer.gather(self.spelt, self.spelt_at[ids], self.spelt_n[ids]).tobytes()
@@ -167,6 +190,21 @@ class Vocabulary:
         return transducer.gather(self.figures, self.figures_at[ids], self.figures_n[ids])[:-1].tobytes()
 
 
+WIDTHS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64)     # words of near lengths share a table
+
+
+def by_width(words: list[bytes], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, words as rows of bytes filled up with zeros, sizes) of the words of 1 to ``most`` bytes, by width."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    low = 0
+    for width in (*(w for w in WIDTHS if w < most), most):
+        rows = np.flatnonzero((sizes > low) & (sizes <= width))
+        low = width
+        if len(rows):
+            table = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(-1, width)
+            yield rows, table, sizes[rows]
+
+
 def place_mask(size: np.ndarray, length: int) -> np.ndarray:
     return np.arange(length) < size[:, None]
 
@@ -257,23 +295,17 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         raw = [w.encode() for w in words]
-        by_size: dict[int, list[int]] = {}
-        for i, w in enumerate(raw):
-            by_size.setdefault(len(w), []).append(i)
-        for length, rows in by_size.items():
-            if length > STEP_BYTES:
-                for i in rows:
-                    self._keep([words[i]], ids := self.vocabulary.merge_long(raw[i]), np.array([len(ids)]))
-                continue
-            table = np.frombuffer(b"".join(raw[i] for i in rows), np.uint8).reshape(-1, length)
+        for rows, table, size in by_width(raw, STEP_BYTES):
             if self.lexicon is not None:
-                found, ids, size = self.lexicon.lookup(table)
-                self._keep([words[i] for i, f in zip(rows, found.tolist(), strict=True) if f], ids, size)
-                self.looked_up += len(size)
-                rows, table = [i for i, f in zip(rows, found.tolist(), strict=True) if not f], table[~found]
-            if rows:
-                self._keep([words[i] for i in rows], *self.vocabulary.merge_step(table))
+                found, ids, n = self.lexicon.lookup(table, size)
+                self._keep([words[i] for i in rows[found].tolist()], ids, n)
+                self.looked_up += len(n)
+                rows, table, size = rows[~found], table[~found], size[~found]
+            if len(rows):
+                self._keep([words[i] for i in rows.tolist()], *self.vocabulary.merge_step(table, size))
                 self.merged += len(rows)
+        for i in [i for i, w in enumerate(raw) if len(w) > STEP_BYTES]:
+            self._keep([words[i]], ids := self.vocabulary.merge_long(raw[i]), np.array([len(ids)]))
         self._flat()
 
     def _keep(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
@@ -370,7 +402,7 @@ def _encoded(path: str, lexicon: str, result: Callable):
         known = vocabulary(path)
         encoder = Encoder(path, known, mapped, mapped.extra["apart"])
         for batch in batches:
-            for lo, hi, texts in C.chunks(batch):
+            for lo, hi, texts in C.chunks(batch, limit=CHUNK):
                 ids, size = encoder.encode([t.decode("utf-8", "replace") for t in texts])
                 end = np.cumsum(size)
                 yield result(known, batch.column("doc_id").slice(lo, hi - lo), [ids[a:b] for a, b in zip((end - size).tolist(), end.tolist(), strict=True)])

@@ -118,23 +118,26 @@ class Transducer:
     def open(cls, path: str) -> Transducer:
         return cls(np.memmap(path, np.uint8, mode="r"))
 
-    def lookup(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(found, ids of the found words one after another, ids a found word) for equally long words, one a row."""
-        n, length = words.shape
+    def lookup(self, words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(found, ids of the found words one after another, ids a found word) of words given as rows of bytes."""
+        n, width = words.shape
         state = np.full(n, self.root, np.int64)
-        at, size = np.zeros((n, length + 1), np.int64), np.zeros((n, length + 1), np.int64)
-        live = np.arange(n)
-        for p in range(length):
+        at, size = np.zeros((n, width + 1), np.int64), np.zeros((n, width + 1), np.int64)
+        live, ended = np.arange(n), np.zeros(n, bool)
+        for p in range(width + 1):
+            over = lengths[live] == p
+            ended[live[over]] = True
+            live = live[~over]
+            if not len(live) or p == width or not len(self.keys):
+                break
             key = state[live] * 256 + words[live, p]
-            edge = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-            ok = self.keys[edge] == key if len(self.keys) else np.zeros(len(live), bool)
+            edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            ok = self.keys[edge] == key
             live, edge = live[ok], edge[ok]
             state[live] = self.target[edge]
             at[live, p], size[live, p] = self.out_at[edge], self.out_n[edge]
-        live = live[self.final[state[live]] > 0]
-        at[live, length], size[live, length] = self.final_at[state[live]], self.final_n[state[live]]
-        found = np.zeros(n, bool)
-        found[live] = True
+        found = ended & (self.final[state] > 0)
+        at[found, width], size[found, width] = self.final_at[state[found]], self.final_n[state[found]]
         return found, gather(self.pool, at[found].ravel(), size[found].ravel()), size[found].sum(axis=1)
 
 
