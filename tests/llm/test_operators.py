@@ -256,7 +256,6 @@ def test_line_dedup_compares_what_leaders_leave_open(spark, monkeypatch):
 
 def test_token_store(spark, odd, doubled, empty, small):
     model = Tokenizer.from_file(BYTE)
-    model.encode_special_tokens = True
     for data, df in ((pairs(), odd), (small, spark.read.parquet(f"{SF_SMALL}/documents.parquet"))):
         folder = common.shared_folder(spark)
         got = table(token_store.digest(spark, folder, token_store.write(df, BYTE, folder)), "start", "n_tokens", "ids_crc32")
@@ -288,6 +287,7 @@ def test_encoder_equals_the_tokenizer(path, spaced):
     rng = np.random.default_rng(2)
     letters = list("ab0 ,.\n'_s\tÉ́ \r")
     texts = ["".join(rng.choice(letters, size=rng.integers(0, 16))) for _ in range(4000)] + [t or "" for _, t in pairs()]
+    texts += ["<|endoftext|> end", "a b<|endoftext|>c, d.", "<|startoftext|> X <|ENDOFTEXT|>", "Éé ÀÖØ öÿ ÄÖÜ Straße, ſ İ ŉ ŀ Ωω Ёё Ж", "x" * 300 + " y " + "é" * 70, "İ" * 3]
     enc = tokens.Encoder(path, spaced)
     for _ in range(2):                                 # the second time from the cache
         assert [x.tolist() for x in enc.encode(texts)] == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -372,7 +372,6 @@ def check_packed(got, data, model):
 
 def test_packing(spark, odd, doubled, empty, small):
     model = Tokenizer.from_file(WORD)
-    model.encode_special_tokens = True
     check_packed(packing.pack(odd, WORD).collect(), pairs(), model)
     check_packed(packing.pack(doubled, WORD).collect(), pairs(rows() * 2) + [(None, rows()[0][1])], model)
     assert packing.pack(empty, WORD).count() == 0
@@ -525,7 +524,6 @@ def test_pipeline_stages(spark):
     mixed = common.settle(functions[3](spark, apart, SF_SMALL))
     assert set(data(mixed)) == set(data(apart))
     model = Tokenizer.from_file(WORD)
-    model.encode_special_tokens = True
     check_packed(functions[4](spark, mixed, SF_SMALL).collect(), data(mixed), model)
     assert all(x.columns == docs.columns for x in (kept, lined, apart, mixed))
 
@@ -546,3 +544,35 @@ def test_run_gives_all_stages(spark):
 def test_queries_have_stable_schemas(spark, name):
     df = queries.QUERIES[name](spark, SF_SMALL)
     assert len(set(df.columns)) == len(df.columns)
+
+
+# ------------------------------------------------------------------ regular texts and special tokens
+
+def regular(n):
+    """Two unlike words for which a polynomial hash modulo 2**64 gives one value, whatever its base."""
+    a, b = "a", "b"
+    while len(a) < n:
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_regular_texts_are_told_apart(spark):
+    a, b = regular(4096)
+    data = [(1, a), (2, b), (3, a), (4, f"{a}\n{b}\n{a}"), (5, " ".join(a)), (6, " ".join(b)), (7, " ".join(a))]
+    df = frame(spark, [(d, t, "en", "s") for d, t in data])
+    assert table(ngram_join.near_equal(df), "n_shingles", "component_id") == brute.jaccard_components(data)
+    assert table(substring_dedup.remove(df), "n_words", "n_removed", "kept_sha256") == brute.substring_dedup(data)
+    got = table(quality_rules.judge(df), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert got == {d: brute.base_statistics(t) for d, t in data}
+
+
+def test_special_tokens_are_encoded_as_the_library_does(spark):
+    data = [(1, "<|endoftext|> end"), (2, "a<|endoftext|>b <|startoftext|>"), (3, "<|endoftext|><|endoftext|>"), (4, "plain words")]
+    df = frame(spark, [(d, t, "en", "s") for d, t in data])
+    folder = common.shared_folder(spark)
+    got = table(token_store.digest(spark, folder, token_store.write(df, BYTE, folder)), "n_tokens", "ids_crc32")
+    model = Tokenizer.from_file(BYTE)
+    assert got == {d: (len(x := brute.encoded(model, t, 2)), brute.crc(x)) for d, t in data} and got[1][0] == 3
+    got = table(packing.pack(df, WORD), "length", "ids_crc32")
+    model = Tokenizer.from_file(WORD)
+    assert got == {d: (len(x := brute.encoded(model, t, 0)), brute.crc(x)) for d, t in data}

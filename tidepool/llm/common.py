@@ -27,6 +27,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of the file system that Spark finds it on (its default one, if none is named)."""
+    if "://" in folder or folder.startswith("file:"):
+        return folder
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{folder}/_where")
+    return spark.read.parquet(f"{folder}/_where").inputFiles()[0].rsplit("/_where/", 1)[0]
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     path = shared_folder(df.sparkSession)

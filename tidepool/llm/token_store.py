@@ -158,7 +158,7 @@ def shard_bytes(keys: list[int], ids: list[np.ndarray], dtype: np.dtype) -> byte
 def _write(path: str, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = K.encoder(path, spaced=True)
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        store, base = fs.FileSystem.from_uri(folder)
         task = TaskContext.get()
         keys, ids, size, made = [], [], 0, []
 
@@ -173,7 +173,7 @@ def _write(path: str, folder: str):
             keys, ids, size = [], [], 0
 
         for batch in batches:
-            for lo, hi, texts in C.chunks(batch):
+            for lo, hi, texts in C.chunks(batch, limit=K.CHUNK):
                 names = batch.column(0).slice(lo, hi - lo).fill_null(NO_KEY).to_pylist()
                 for key, x in zip(names, enc.encode([t.decode("utf-8") for t in texts]), strict=True):
                     if size and size + len(x) >= SHARD_IDS:
@@ -191,7 +191,8 @@ def _write(path: str, folder: str):
 
 def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """Write the shards to ``folder`` (a new one, shared by all) and return (part, shard, n_docs, n_ids)."""
-    store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    folder = C.qualified(docs.sparkSession, folder)
+    store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(base)
     rows = C.doc_texts(docs)
     mark = F.xxhash64("text")
