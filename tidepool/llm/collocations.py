@@ -36,7 +36,7 @@ LEAST = 10             # occurrences that make a phrase a candidate
 LONGEST = 3            # words of a phrase
 COVER = 50             # per cent of a phrase's occurrences inside a longer one that drop it
 TOP = 2000             # phrases returned a language
-HELD = 1 << 21         # fingerprints a task holds before it counts equal ones together
+HELD = 1 << 20         # fingerprints a task holds before it counts equal ones together
 BITS = 1 << 28         # bound of the bitmap of frequent parts (32 MB)
 SALTS = 32             # parts in which a language's best are found first
 LONG_WORD = 4096       # bytes; a longer word is hashed by its digest
@@ -274,7 +274,7 @@ def _frequent(least: int):
         return rows({name: v[often] for name, v in found.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bucket, size, langs = _blank(), None, 0, {}
+        held, bucket, size, langs, most = _blank(), None, 0, {}, 2 * HELD
         for batch in batches:
             for b, lang, total, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if blob is None:
@@ -283,13 +283,14 @@ def _frequent(least: int):
                 if b != bucket:
                     if size:
                         yield merged(held)
-                    held, bucket, size = _blank(), b, 0
+                    held, bucket, size, most = _blank(), b, 0, 2 * HELD
                 for name, v in _opened(blob).items():
                     held[name].append(v)
                 size += len(held["fp"][-1])
-                if size >= 4 * HELD:                                  # equal ones of many tasks are made one
+                if size >= most:                                      # equal ones of many tasks are made one
                     held = {name: [v] for name, v in counted(held).items()}
-                    size = len(held["fp"][0]) if len(held["fp"][0]) > 2 * HELD else size // 4
+                    size = len(held["fp"][0])
+                    most = max(2 * HELD, 2 * size)
         if size:
             yield merged(held)
         if langs:
