@@ -11,8 +11,10 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.operators import marts
+from tidepool.session import scratch_folder
 
 
 NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -59,22 +61,34 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
     then removed, so a table with 1, 2 and 3 January refreshed with the 2nd
     ends with the 1st and 2nd. An empty ``df`` changes nothing. Both steps may
     be repeated after a failure.
+
+    ``df`` is computed once: its rows go to a scratch table first, whose partition
+    directories tell the dates, and from there into place.
     """
     spark = df.sparkSession
     counted, obs = _counted(df, "write_partitioned")
-    w = counted.write.partitionBy(*partition_by).mode("overwrite")
     if not table_exists(spark, path):
-        w.parquet(path)
+        counted.write.partitionBy(*partition_by).mode("overwrite").parquet(path)
         return int(obs.get["rows"])
     by = partition_by[0]
+    staged = f"{scratch_folder(spark)}/staged"
+    counted.write.partitionBy(*partition_by).parquet(staged)
+    rows = int(obs.get["rows"])
+    if not rows:
+        return 0
+    ready = spark.read.schema(_nullable(df.schema)).parquet(staged)
     before = {str(r[0]) for r in spark.read.parquet(path).select(by).distinct().collect()}   # partition values
-    w.option("partitionOverwriteMode", "dynamic").parquet(path)
-    kept = {str(r[0]) for r in df.select(by).distinct().collect()}
+    kept = {str(r[0]) for r in ready.select(by).distinct().collect()}                        # of directories, no row is read
+    (ready.write.partitionBy(*partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    for value in sorted(v for v in before - kept if kept and v >= min(kept)):
+    for value in sorted(v for v in before - kept if v >= min(kept)):
         gone = fs_path(f"{path}/{by}={value}")
         gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    return int(obs.get["rows"])
+    return rows
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def write_marts(clean: DataFrame, root: str, names: Sequence[str] | None = None) -> dict[str, int]:

@@ -442,6 +442,39 @@ def q_kpi_chained(spark, sf_dir):
     return streams.kpi_levels(clean(spark, sf_dir).withColumn("_event_time", F.col("event_timestamp").cast("timestamp")))
 
 
+def q_exact_kpi_days(spark, sf_dir):
+    """A day's events, users and revenue by type, from the update-mode stream over the whole log."""
+    from tidepool.streaming import exact_kpis, streams
+    folder = scratch_folder(spark)
+    change_log(spark, sf_dir).write.parquet(f"{folder}/log")
+    streams.configure_streaming(spark)
+    source = spark.readStream.schema(spark.read.parquet(f"{folder}/log").schema).parquet(f"{folder}/log")
+    changed = exact_kpis.changes(source, "1 day", "1 day", "1 day")
+    exact_kpis.start(changed, f"{folder}/kpis", f"{folder}/late", f"{folder}/checkpoint", {"availableNow": True}, f"kpis_{folder[-8:]}").awaitTermination()
+    return exact_kpis.exact_kpis(spark, f"{folder}/kpis")
+
+
+RECORD_LIMIT = 4_000
+
+
+def q_records_limited(spark, sf_dir):
+    """Stored records through the record-limited source: what arrived by partition, and whether each trigger kept the limit."""
+    from tidepool.sources import record_source
+    folder = scratch_folder(spark)
+    FX.raw_json(spark, sf_dir).repartitionByRange(4, "partition", "offset").write.parquet(f"{folder}/records")
+
+    def write(df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{folder}/out/epoch={epoch}")
+    stream = record_source.stored_record_stream(spark, f"{folder}/records", RECORD_LIMIT).writeStream.foreachBatch(write)
+    query = stream.option("checkpointLocation", f"{folder}/checkpoint").start()
+    query.processAllAvailable()
+    query.stop()
+    got = spark.read.schema(record_source.SCHEMA + ", epoch long").parquet(f"{folder}/out")
+    most = got.groupBy("epoch").count().agg(F.max("count")).scalar()
+    return got.groupBy("partition").agg(F.count("*").alias("n"), F.count_distinct("offset").alias("offsets"),
+                                        F.sum("offset").alias("offset_sum")).withColumn("limit_kept", most <= RECORD_LIMIT)
+
+
 def q_zorder_rows(spark, sf_dir):
     """Rows per date after Z-ordering, with a sum that any lost or doubled row changes."""
     from tidepool.operators import layout
@@ -549,6 +582,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_silver": q_dq_silver,                         # Q1-Q4, Q7, F4, F5, F8
     "dq_erroring": q_dq_erroring,                     # Q5 (rules that cannot be evaluated)
     "conform_rejects": q_conform_rejects,             # G6 (reject side)
+    "exact_kpi_days": q_exact_kpi_days,               # K7, T7 (transformWithState)
+    "records_limited": q_records_limited,             # S1, T6 (record source)
     "zone_skipping": q_zone_skipping,                 # K12 (Hilbert order, zone map)
     "payload_drift": q_payload_drift,                 # P2, G1 (VARIANT)
     "unknown_fields": q_unknown_fields,               # P2, G2

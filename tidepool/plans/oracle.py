@@ -530,6 +530,14 @@ AS_OF_VERSION_WRITERS = (
     "raw AS (SELECT w.* EXCLUDE (writer, batch_no, committed) FROM w JOIN commits c ON c.writer = w.writer AND c.batch_id = w.batch_no WHERE c.version <= 22),\n"
     + ",\n".join(_chain("", "raw")) + f"\nSELECT {CLEAN_KEYED} FROM clean")
 
+EXACT_KPI_DAYS = _ctes() + """
+SELECT date_trunc('day', event_timestamp)::timestamp AS window_start, date_trunc('day', event_timestamp)::timestamp + INTERVAL 1 DAY AS window_end, event_type,
+  count(event_id) AS event_count, count(DISTINCT user_id) AS active_users,
+  cast(sum(CASE WHEN event_type = 'purchase' THEN total_amount ELSE 0 END) AS double) AS window_revenue
+FROM clean GROUP BY ALL"""
+RECORDS_LIMITED = f"""
+SELECT "partition", count(*) AS n, count(DISTINCT "offset") AS offsets, cast(sum("offset") AS bigint) AS offset_sum, true AS limit_kept
+FROM {FX.raw_json_sql()} j GROUP BY 1"""
 ZONE_SKIPPING = _ctes() + """
 SELECT 'user' AS filter, event_id, true AS most_closed FROM clean WHERE user_id = 'user_7'
 UNION ALL SELECT 'week', event_id, true FROM clean WHERE event_date BETWEEN '2024-01-08' AND '2024-01-14'"""
@@ -566,6 +574,8 @@ def queries() -> dict[str, str]:
         "rollback_writers": AS_OF_VERSION_WRITERS,
         "median_rollup": MEDIAN_ROLLUP,
         "zone_skipping": ZONE_SKIPPING,
+        "exact_kpi_days": EXACT_KPI_DAYS,
+        "records_limited": RECORDS_LIMITED,
         "payload_drift": PAYLOAD_DRIFT,
         "unknown_fields": UNKNOWN_FIELDS,
         "dq_incremental": DQ_INCREMENTAL,

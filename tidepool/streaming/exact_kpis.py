@@ -129,6 +129,11 @@ def exact_kpi_stream(spark: SparkSession, log_path: str, path: str, late_path: s
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     live = reader.parquet(log_path).filter(~F.col("is_deleted"))
 
+    return start(changes(live, watermark, salts=salts), path, late_path, checkpoint, trigger, query_name)
+
+
+def start(changed: DataFrame, path: str, late_path: str, checkpoint: str, trigger: dict | None = None, query_name: str = "exact_kpis") -> StreamingQuery:
+    """Writes what ``changes`` gives, trigger by trigger."""
     def write(df: DataFrame, epoch_id: int) -> None:
         # both kinds in one job (the operator runs once): the kind is the first directory
         df.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/epoch={epoch_id}")
@@ -136,8 +141,7 @@ def exact_kpi_stream(spark: SparkSession, log_path: str, path: str, late_path: s
         late.select("event_id", "event_type", "user_id", "event_timestamp", "window_start", "window_end").write.mode("overwrite").parquet(
             f"{late_path}/epoch={epoch_id}")
 
-    w = (changes(live, watermark, salts=salts).writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", checkpoint).queryName(query_name))
+    w = changed.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).queryName(query_name)
     return streams._with_trigger(w, trigger or streams.KPI_TRIGGER).start()
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidepool.operators import changelog, current_table, refine
-from tidepool.sources import ingest
+from tidepool.sources import ingest, record_source
 
 # State store settings for large keyed state (de-duplication by event id and
 # per-user window aggregates within the watermark): RocksDB keeps it off the
@@ -296,13 +296,16 @@ def kpi_current(spark: SparkSession, path: str) -> DataFrame:
 def start_streams(spark: SparkSession, records: DataFrame | str, root: str,
                   checkpoint_root: str | None = None,
                   trigger: dict | None = None, records_format: str = "parquet",
-                  max_files_per_trigger: int | None = 500, generation: int = 0) -> list[StreamingQuery]:
+                  max_files_per_trigger: int | None = 500, generation: int = 0,
+                  max_records_per_trigger: int | None = None) -> list[StreamingQuery]:
     """The three chained queries. The caller waits with
     ``spark.streams.awaitAnyTermination()`` and stops with ``q.stop()`` (D19).
 
     ``records`` is a stream of raw records (``ingest.kafka_stream``, say) or a
     folder of them. File sources limit a trigger by files, also the clean
-    stream's; a Kafka source limits it by records (``kafka_options``).
+    stream's; a Kafka source limits it by records (``kafka_options``), and so does
+    a Parquet folder with ``max_records_per_trigger`` (``record_source``).
+    The clean stream also keeps the bucketed current table at ``root/current``.
     Checkpoints default to the cluster's shared ``spark.checkpoint.dir``.
     """
     from tidepool.operators import schemas
@@ -313,10 +316,12 @@ def start_streams(spark: SparkSession, records: DataFrame | str, root: str,
     bronze = f"{root}/bronze"
     schemas.initialize_table(spark, bronze, bronze_schema(spark), ["batch_id", *BRONZE_PARTITIONS])
     if isinstance(records, str):
-        records = ingest.file_record_stream(spark, records, records_format, max_files_per_trigger)
+        records = (record_source.stored_record_stream(spark, records, max_records_per_trigger) if max_records_per_trigger
+                   else ingest.file_record_stream(spark, records, records_format, max_files_per_trigger))
     q1 = bronze_stream(records, bronze, f"{checkpoint_root}/bronze", trigger, metrics_path=f"{root}/run_metrics")
     q2 = clean_stream(spark, bronze, f"{root}/clean_log", f"{root}/dead_letter",
-                      f"{checkpoint_root}/clean", f"{root}/run_metrics", trigger, max_files_per_trigger, generation)
+                      f"{checkpoint_root}/clean", f"{root}/run_metrics", trigger, max_files_per_trigger, generation,
+                      current_path=f"{root}/current")
     schemas.initialize_table(spark, f"{root}/clean_log", log_schema(spark), ["writer", "batch_id", *changelog.PARTITION_BY])
     q3 = kpi_stream(spark, f"{root}/clean_log", f"{root}/kpis", f"{checkpoint_root}/kpis", trigger)
     return [q1, q2, q3]
