@@ -20,7 +20,8 @@ third of all rows is spread over as many bins as it needs.
 Defined cases: a null source is a source of its own. Null or empty texts count as one code point. Ties in the
 order key are broken by doc_id, then by the other columns' hash; repeated rows are scheduled each. Given
 weights name sources; sources without one, or with a weight of zero or less, get the least share (one slot a period).
-More than ``PERIOD`` sources raise an error. An empty table gives no rows.
+The period has ``PERIOD`` slots, or with more sources than that, the power of two from twice their number on; so any number of sources is
+mixed. One row a source and one a slot of the period reach the driver. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,12 +39,25 @@ BLOCK_CHARS = 1 << 16
 TEMPERATURE = 0.85
 BIN_ROWS = 20_000          # documents of one source in a bin, about
 SEED = 42
+SALTS = 32                 # parts of a source's rows where the sources are too many to broadcast
+
+
+def period_for(sources: int) -> int:
+    """Slots of the period: every source needs one at least, and as many again leave room for the weights."""
+    return PERIOD if sources <= PERIOD else 1 << (2 * sources - 1).bit_length()
+
+
+def _beside(rows: DataFrame, table: DataFrame, on: list[str], small: bool) -> DataFrame:
+    """``rows`` with the columns of a table by source: broadcast where it is ``small``, else joined by source and a salt, so that
+    a source with a third of all rows is many groups."""
+    if small:
+        return rows.join(F.broadcast(table), on)
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", F.pmod(F.xxhash64("__id", "__order"), F.lit(SALTS)).cast("int")).join(salted, [*on, "__salt"]).drop("__salt")
 
 
 def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     """Whole shares of a period, at least 1 each, nearest to the weights (largest remainders)."""
-    if len(weights) > period:
-        raise ValueError(f"{len(weights)} sources do not fit a period of {period} slots")
     total = sum(weights.values())
     exact = {s: (period - len(weights)) * w / total for s, w in weights.items()}
     out = {s: 1 + int(x) for s, x in exact.items()}
@@ -83,8 +97,9 @@ def blocks(docs: DataFrame, seed: int = SEED) -> DataFrame:
     counts = keyed.groupBy("__source").agg(F.ceil(F.count("*") / BIN_ROWS).alias("__bins"))
     # leading 31 bits of the key (made unsigned), scaled to the source's number of bins: bins rise with the key
     lead = F.shiftrightunsigned(F.col("__order").bitwiseXOR(F.lit(-1 << 63)), 33)
-    # more than PERIOD sources are refused later on, so this is bounded; a join by source would leave a source's rows together
-    binned = keyed.join(F.broadcast(counts.limit(PERIOD + 1)), "__source").withColumn("__bin", F.shiftright(lead * F.col("__bins"), 31)).drop("__bins")
+    counts = C.settle(counts)
+    # a join by source alone would leave a source's rows together
+    binned = _beside(keyed, counts, ["__source"], counts.count() <= PERIOD).withColumn("__bin", F.shiftright(lead * F.col("__bins"), 31)).drop("__bins")
     sums = binned.groupBy("__source", "__bin").agg(F.sum("__size").alias("n"))
     over = W.partitionBy("__source").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
     before = sums.select(F.col("__source").alias("s"), F.col("__bin").alias("b"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("__before"))
@@ -100,19 +115,17 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, seed: int
     """One row per document and epoch: __id, __whole, __source, __block, __epoch, __slot, __release, __deadline, __order."""
     spark = docs.sparkSession
     rows = C.settle(blocks(docs, seed))
-    sizes = {r["__source"]: r["n"] for r in rows.groupBy("__source").agg((F.max("__block") + 1).alias("n")).take(PERIOD + 1)}
-    table = _table(spark, sizes, weights)
-    jobs = rows.join(F.broadcast(table.select("__source", "__blocks", "__given").distinct()), "__source")  # at most PERIOD rows
+    sizes = {r["__source"]: r["n"] for r in rows.groupBy("__source").agg((F.max("__block") + 1).alias("n")).collect()}     # a row a source
+    table, period, small = _table(spark, sizes, weights), period_for(len(sizes)), len(sizes) <= PERIOD
+    jobs = _beside(rows, table.select("__source", "__blocks", "__given", "__share").distinct(), ["__source"], small)
     epochs = F.sequence(F.lit(0), F.floor((F.col("__given") - 1) / F.col("__blocks")).cast("int"))
     runs = (jobs.withColumn("__epoch", F.explode(epochs))
             .withColumn("__number", F.col("__epoch") * F.col("__blocks") + F.col("__block"))
             .filter("__number < __given"))
     place = table.select("__source", "__k", "__share", "__at", "__from", "__to")
-    turn = F.floor(F.col("__number") / F.col("__share")) * PERIOD
-    # the period's table has PERIOD rows, so its size is bounded
-    return (runs.join(F.broadcast(table.select("__source", "__share").distinct()), "__source")
-            .withColumn("__k", F.col("__number") % F.col("__share"))
-            .join(F.broadcast(place.drop("__share")), ["__source", "__k"])
+    turn = F.floor(F.col("__number") / F.col("__share")) * period
+    # the period's table has a row a slot
+    return (_beside(runs.withColumn("__k", F.col("__number") % F.col("__share")), place.drop("__share"), ["__source", "__k"], small)
             .select("__id", "__whole", "__source", "__block", "__epoch", "__order",
                     (turn + F.col("__at")).alias("__slot"), (turn + F.col("__from")).alias("__release"), (turn + F.col("__to")).alias("__deadline")))
 
@@ -127,15 +140,16 @@ def _table(spark: SparkSession, sizes: dict[str, int], weights: dict[str, float]
             wanted = dict.fromkeys(sizes, 1.0)
     rows = []
     if sizes:
-        share = shares(wanted)
-        plan = period_schedule(share)
+        period = period_for(len(sizes))
+        share = shares(wanted, period)
+        plan = period_schedule(share, period)
         order: dict[str, list[tuple]] = {}
         for s, k, release, deadline, slot in plan:
             order.setdefault(s, []).append((k, release, deadline, slot))
         # the slot after which every source has given each of its blocks
-        end = max((n - 1) // share[s] * PERIOD + order[s][(n - 1) % share[s]][3] + 1 for s, n in sizes.items())
+        end = max((n - 1) // share[s] * period + order[s][(n - 1) % share[s]][3] + 1 for s, n in sizes.items())
         for s, ks in order.items():
-            given = end // PERIOD * share[s] + sum(x[3] < end % PERIOD for x in ks)
+            given = end // period * share[s] + sum(x[3] < end % period for x in ks)
             rows += [(s, k, share[s], sizes[s], given, slot, release, deadline) for k, release, deadline, slot in ks]
     return spark.createDataFrame(rows, "__source string, __k long, __share long, __blocks long, __given long, __at long, __from long, __to long")
 
