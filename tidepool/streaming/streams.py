@@ -348,29 +348,38 @@ def _progress_row(name, ident, run_id, active: bool, status, p: dict) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends every progress report of every query to a table, as it comes.
+    """Appends every progress report of every query to a table.
 
     A query itself remembers only its last hundred reports; the table keeps
-    all, so late rows (``late_rows_dropped``) add up over the whole run. Add it
+    all, so late rows (``late_rows_dropped``) add up over the whole run. Reports are written ``every`` so many,
+    and when a query ends, so that the listener seldom starts a job. Add it
     with ``spark.streams.addListener(ProgressLog(spark, path))``.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, every: int = 20):
+        self.spark, self.path, self.every = spark, path, every
+        self.held: list[tuple] = []
+
+    def flush(self) -> None:
+        """Writes the reports held so far."""
+        rows, self.held = self.held, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = json.loads(event.progress.json)
-        row = _progress_row(p.get("name"), p["id"], p["runId"], True, "progress", p)
-        self.spark.createDataFrame([row], PROGRESS_SCHEMA).write.mode("append").parquet(self.path)
+        self.held.append(_progress_row(p.get("name"), p["id"], p["runId"], True, "progress", p))
+        if len(self.held) >= self.every:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
 
 
 def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
