@@ -47,6 +47,11 @@ LEVELS = 16                # steps of the count histogram in a doubling
 # The pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORDS = regex.compile(PATTERN)
+# The same over Latin, Cyrillic and common punctuation, whose classes every Unicode version agrees on: twice as fast.
+_LETTER, _NUMBER, _BLANK = "A-Za-zªµºÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_COMMON_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+"
+                           f"|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
+_uncommon = re.compile("[^\x00-ɏЀ-ҁҊ-ԯ–—‘’“”…]").search
 _NONE = np.iinfo(np.int32).max
 
 
@@ -254,7 +259,9 @@ class Cutter:
         self.library = None
 
     def plain(self, text: str) -> list[str]:
-        if self.apart and not text.isascii() and self.apart(text):
+        if text.isascii() or not _uncommon(text):
+            return _COMMON_WORDS.findall(text)
+        if self.apart and self.apart(text):
             if self.library is None:
                 from tokenizers import Tokenizer
                 self.library = Tokenizer.from_file(self.path).pre_tokenizer
