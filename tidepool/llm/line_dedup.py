@@ -79,6 +79,31 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     return np.stack([C.chain([full[:, b * ROWS + r] for r in range(ROWS)]) + np.uint64(b) for b in range(BANDS)], axis=1)
 
 
+PARITY = 256               # bits of a line's parity map
+MAPS = [f"map{i}" for i in range(PARITY // 64)]
+
+
+def parities(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each line, and for each of ``PARITY`` cells whether an odd number of them falls into it.
+
+    Two lines' maps differ in at most as many cells as the lines differ in shingles, so unlike lines are told
+    from their maps without their texts.
+    """
+    points = np.frombuffer(b"\n".join(lines).decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    end = np.append(np.flatnonzero(points == 10), len(points))
+    start = np.concatenate([[0], end[:-1] + 1])
+    grams = C.Rolling(points).windows(SHINGLE)
+    at = np.concatenate([np.arange(a, b) for a, b in zip(start, end - SHINGLE + 1, strict=True)])
+    owner = np.repeat(np.arange(len(lines)), end - start - SHINGLE + 1)
+    order = np.lexsort([grams[at], owner])
+    h, owner = grams[at][order], owner[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[new], owner[new]
+    odd = np.bincount(owner * PARITY + (h >> np.uint64(56)).astype(np.int64), minlength=len(lines) * PARITY) & 1
+    return np.bincount(owner, minlength=len(lines)), np.packbits(odd.astype(bool).reshape(len(lines), PARITY), axis=1, bitorder="little").view("<u8")
+
+
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct shingle hashes of a trimmed line."""
     return C.distinct(C.Rolling(np.frombuffer(text.encode("utf-32-le"), "<u4")).windows(SHINGLE))
@@ -149,9 +174,14 @@ def _wanted_texts(wanted):
                 lines = _fresh(texts, seen)
                 names = np.fromiter(lines, np.int64, len(lines))
                 hit = C.in_bitmap(found, names.view(np.uint64))
+                kept = [x for x, h in zip(lines.values(), hit, strict=True) if h]
+                if not kept:
+                    continue
+                size, maps = parities(kept)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[hit]), pa.array([x.decode("utf-8", "replace") for x, h in zip(lines.values(), hit, strict=True) if h], pa.string())],
-                    names=["line", "content"])
+                    [pa.array(names[hit]), pa.array([x.decode("utf-8", "replace") for x in kept], pa.string()), pa.array(size.astype(np.int32)),
+                     *[pa.array(np.ascontiguousarray(maps[:, i]).view(np.int64)) for i in range(len(MAPS))]],
+                    names=["line", "content", "size", *MAPS])
     return run
 
 
@@ -197,15 +227,22 @@ def line_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = C.doc_texts(docs)
     width = max(8, C.shuffle_width(spark))
-    keys = C.settle(texts.select("text").mapInArrow(_packed(width), "bucket int, pairs binary")
-                    .repartition(width, "bucket").mapInArrow(_shared_keys, "key long, line long, least long"))
+    keys = C.settle(texts.select("text").mapInArrow(C.frugal(_packed(width)), "bucket int, pairs binary")
+                    .repartition(width, "bucket").mapInArrow(C.frugal(_shared_keys), "key long, line long, least long"))
     wanted = spark.sparkContext.broadcast(C.bitmap(keys, "line"))
-    content = C.settle(texts.select("text").mapInArrow(_wanted_texts(wanted), "line long, content string")
-                       .groupBy("line").agg(F.min("content").alias("content")))
+    described = C.settle(texts.select("text").mapInArrow(C.frugal(_wanted_texts(wanted)), "line long, content string, size int, " + ", ".join(f"{m} long" for m in MAPS))
+                         .groupBy("line").agg(F.min("content").alias("content"), *[F.first(c).alias(c) for c in ("size", *MAPS)]))
+    content, facts = described.select("line", "content"), described.drop("content")
     pairs = keys.filter("line <> least").select("line", "least").distinct()
+    # lines are alike if 9 times the shingles they differ in is at most the shingles of both; the maps differ in no more
+    other = facts.select(F.col("line").alias("least"), *[F.col(c).alias(f"least_{c}") for c in ("size", *MAPS)])
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"least_{m}"))) for m in MAPS), F.lit(0))
+    both = F.col("size") + F.col("least_size")
+    pairs = (pairs.join(facts, "line").join(other, "least")
+             .filter((9 * differ <= both) & (9 * F.abs(F.col("size") - F.col("least_size")) <= both)).select("line", "least"))
     least = content.select(F.col("line").alias("least"), F.col("content").alias("least_content"))
     links = C.settle(pairs.join(content, "line").join(least, "least").select("line", "least", "content", "least_content")
-                     .mapInArrow(_verified, "line long, least long"))
+                     .mapInArrow(C.frugal(_verified), "line long, least long"))
     known = C.settle(C.components(links, "line", "least"))
     placed = keys.select("key", "line").join(known.withColumnRenamed("node", "line"), "line", "left").select(
         "key", "line", F.coalesce("component", "line").alias("component"))
@@ -214,14 +251,14 @@ def line_components(docs: DataFrame) -> DataFrame:
     more = (C.block_pairs(rest, "key", "line", RUN_BLOCK).join(content, "line")
             .select("key", "lo", "hi", "line", "block", "component", "content")
             .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "line")
-            .mapInArrow(_compared, "line long, least long"))
+            .mapInArrow(C.frugal(_compared), "line long, least long"))
     return C.components(links.union(more), "line", "least")
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, removed): the numbers (from 0) of each document's lines that go."""
     rows = C.doc_texts(docs).select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    lines = C.settle(rows.mapInArrow(_occurrences, "doc_id long, mark long, number int, line long"))
+    lines = C.settle(rows.mapInArrow(C.frugal(_occurrences), "doc_id long, mark long, number int, line long"))
     place = F.struct("doc_id", "mark", "number")
     classes = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     linked = C.settle(line_components(docs))
