@@ -104,12 +104,13 @@ def _pieces(path: str):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        enc.clear()
     return run
 
 
 def pieces(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
-    return C.doc_texts(docs).mapInArrow(_pieces(path), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return C.doc_texts(docs).mapInArrow(C.frugal(_pieces(path)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def table_bound(lengths: DataFrame) -> int:
@@ -126,16 +127,25 @@ def assign(numbered: DataFrame) -> DataFrame:
         n = max(1, -(-rows.count() // GROUP))
         return rows.withColumn("group", F.pmod(F.xxhash64(by, F.lit(turn)), F.lit(n))), n
 
+    def sequences(rows: DataFrame) -> int:
+        return rows.filter("offset = 0").count()
+
+    least = table_bound(numbered)
     rows, n = dealt(numbered, "seq", 0)
     state = C.settle(rows.groupBy("group").applyInPandas(_pack, ROW))
-    closed = []
+    closed, done, made = [], 0, sequences(state)
     for turn in range(1, ROUNDS + 1):
-        if n == 1:
-            break
+        if done + made <= least:
+            break                                      # nothing can be packed into fewer
         unfilled = "not certified and fill < %d" % CAPACITY
-        closed.append(state.filter(f"not ({unfilled})"))
+        full = state.filter(f"not ({unfilled})")
+        closed.append(full)
+        kept = sequences(full)
         rows, n = dealt(state.filter(unfilled), "sequence_id", turn)
         state = C.settle(rows.groupBy("group").applyInPandas(_pack, ROW))
+        before, done, made = made, done + kept, sequences(state)
+        if n == 1 and kept + made == before:
+            break                                      # one group, dealt alike, packs alike again
     out = state
     for c in closed:
         out = out.union(c)
