@@ -28,3 +28,15 @@ def test_shares_of_many_sources():
     assert sum(share.values()) == 16_384 and min(share.values()) >= 1
     plan = mixing.period_schedule(share, 16_384)
     assert len(plan) == 16_384 and all(r <= t < d for _, _, r, d, t in plan)
+
+
+def test_a_run_keeps_its_tables_in_its_folder(spark, tmp_path):
+    import os
+
+    from tidepool.llm import common
+    spark.conf.set(common.RUN_FOLDER, str(tmp_path / "run"))
+    try:
+        assert common.settle(spark.range(5)).count() == 5
+    finally:
+        spark.conf.unset(common.RUN_FOLDER)
+    assert len(os.listdir(tmp_path / "run")) == 1 and str(tmp_path) not in common.shared_folder(spark)

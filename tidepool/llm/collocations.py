@@ -36,7 +36,7 @@ LEAST = 10             # occurrences that make a phrase a candidate
 LONGEST = 3            # words of a phrase
 COVER = 50             # per cent of a phrase's occurrences inside a longer one that drop it
 TOP = 2000             # phrases returned a language
-HELD = 1 << 20         # fingerprints a task holds before it counts equal ones together
+HELD = 1 << 19         # fingerprints a task holds before it counts equal ones together
 BITS = 1 << 28         # bound of the bitmap of frequent parts (32 MB)
 SALTS = 32             # parts in which a language's best are found first
 LONG_WORD = 4096       # bytes; a longer word is hashed by its digest
@@ -301,9 +301,9 @@ def _frequent(least: int):
 def _mined(docs: DataFrame, sizes: tuple[int, ...], least: int, bits: int, parts: np.ndarray | None = None) -> DataFrame:
     """Frequent n-grams (and, with sizes from 1, rows of word totals a language), settled."""
     width = C.shuffle_width(docs.sparkSession) * SLICES
-    sent = docs.mapInArrow(_counts(sizes, width, parts, 1 in sizes, bits), "bucket int, lang string, total long, grams binary")
+    sent = docs.mapInArrow(C.frugal(_counts(sizes, width, parts, 1 in sizes, bits)), "bucket int, lang string, total long, grams binary")
     dealt = sent.repartition(C.shuffle_width(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return C.settle(dealt.mapInArrow(_frequent(least), FREQUENT + ", lang string"))
+    return C.settle(dealt.mapInArrow(C.frugal(_frequent(least)), FREQUENT + ", lang string"))
 
 
 def _bits_for(n: int) -> int:
@@ -357,9 +357,9 @@ def _materialised(docs: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
     pointers = frequent.groupBy("key").agg(F.collect_list(F.struct("fp", "check", "words", "n", "at")).alias("pointers"))
     keys = frequent.select("key").distinct()
     found = C.bitmap(keys, "key", _bits_for(keys.count()))
-    texts = docs.mapInArrow(_wanted(found), docs.schema).groupBy("key").agg(F.first(F.struct("lang", "text")).alias("t"))
-    return C.settle(texts.join(pointers, "key").select("t.lang", "t.text", "pointers").mapInArrow(
-        _phrases(bits), "lang string, phrase string, words int, n long"))
+    texts = docs.mapInArrow(C.frugal(_wanted(found)), docs.schema).groupBy("key").agg(F.first(F.struct("lang", "text")).alias("t"))
+    return C.settle(texts.join(pointers, "key").select("t.lang", "t.text", "pointers").mapInArrow(C.frugal(
+        _phrases(bits)), "lang string, phrase string, words int, n long"))
 
 
 # ------------------------------------------------------------------ scores

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 import uuid
 from collections.abc import Iterator
@@ -17,13 +19,19 @@ from tidepool.session import checkpoint_dir
 
 CHUNK_BYTES = 1 << 19  # text handled at once inside a task (a longer text is one chunk of its own)
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 LANES = 32             # 8-byte steps of a hash in numpy; longer ranges are hashed one by one
+RUN_FOLDER = "spark.tidepool.run.folder"
 ROUNDS = 64            # far above what pointer jumping needs; reaching it raises
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir`` (below the warehouse where that is unset, as in tests)."""
-    base = checkpoint_dir(spark, spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    """A new path below ``spark.checkpoint.dir`` (below the warehouse where that is unset, as in tests).
+
+    A caller that sets ``RUN_FOLDER`` to a folder of the shared store gets all of a run's tables there, and may drop it once
+    the run's results are written.
+    """
+    base = spark.conf.get(RUN_FOLDER, None) or checkpoint_dir(spark, spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -47,8 +55,9 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole texts are long rows: fewer of them in an Arrow batch keep tasks and their Python workers small."""
+    """Whole texts and packed values are long rows: fewer of them in an Arrow batch keep tasks and their Python workers small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def doc_texts(docs: DataFrame) -> DataFrame:
@@ -57,6 +66,28 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+# ------------------------------------------------------------------ memory of Python workers
+
+def release() -> None:
+    """Gives free memory back to the system: Spark keeps a worker for later tasks, and idle ones would hold what the last one used."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                                 # another C library than glibc
+
+
+def frugal(run):
+    """A task's function that releases memory when its rows have been taken."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return wrapped
+
+
 # ------------------------------------------------------------------ hashing
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -309,14 +340,14 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     spark = links.sparkSession
     pairs = links.select(F.col(left).cast("long").alias("a"), F.col(right).cast("long").alias("b")).dropna()
     schema = "node long, root long"
-    tree = settle(pairs.mapInArrow(_shrink, schema))
+    tree = settle(pairs.mapInArrow(frugal(_shrink), schema))
     for _ in range(ROUNDS):
         # large star: each node's neighbours that are larger hang below its least neighbour
         both = tree.select(F.col("node").alias("x"), F.col("root").alias("y")).union(
             tree.select(F.col("root").alias("x"), F.col("node").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
         hung = (both.filter("y > x").join(least, "x").select(F.col("y").alias("node"), F.col("m").alias("root"))
-                .mapInArrow(_shrink, schema))
+                .mapInArrow(frugal(_shrink), schema))
         # small star: each node and its smaller neighbours hang below the least of them
         low = hung.groupBy("node").agg(F.min("root").alias("m"))
         new = settle(hung.join(low, "node").select(

@@ -364,7 +364,7 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     spark = docs.sparkSession
     texts = C.doc_texts(docs)
     width = max(8, C.shuffle_width(spark))
-    told = C.settle(texts.mapInArrow(_described(rule), "doc_id long, n long, cls long, bits binary, piece int, counts binary"))
+    told = C.settle(texts.mapInArrow(C.frugal(_described(rule)), "doc_id long, n long, cls long, bits binary, piece int, counts binary"))
     info = told.filter("n is not null").select("doc_id", "n", "cls")
     classes = C.settle(told.filter("cls is not null and doc_id is not null").groupBy("cls").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits")))
@@ -375,8 +375,8 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
         table[r["piece"] * PIECE:(r["piece"] + 1) * PIECE] = np.frombuffer(r["levels"], np.uint8)
     levels = spark.sparkContext.broadcast(table)
 
-    keys = C.settle(texts.filter("doc_id is not null").mapInArrow(_prefixes(rule, levels, width), "bucket int, pairs binary")
-                    .repartition(width, "bucket").mapInArrow(_shared_keys(rule), "key long, cls long, first long, run long"))
+    keys = C.settle(texts.filter("doc_id is not null").mapInArrow(C.frugal(_prefixes(rule, levels, width)), "bucket int, pairs binary")
+                    .repartition(width, "bucket").mapInArrow(C.frugal(_shared_keys(rule)), "key long, cls long, first long, run long"))
 
     # a long run is dealt to cells, with its smallest set in each
     described = classes.select("cls", "n", "bits")
@@ -385,14 +385,14 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     cell = F.explode(F.when(F.col("cls") == F.col("first"), F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(own)))
     led = C.settle(keys.select("key", "cls", cell.alias("block")).join(described, "cls").select("key", "block", "cls", "n", "bits")
                    .repartition("key", "block").sortWithinPartitions("key", "block")
-                   .mapInArrow(_led(rule), "cls long, leader long").distinct())
+                   .mapInArrow(C.frugal(_led(rule)), "cls long, leader long").distinct())
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """Ordered sets of the classes; read from the documents again, each class from its first one."""
         need = wanted.select("cls").distinct()
         bits = C.bitmap(need.join(classes, "cls"), "first")
         found = spark.sparkContext.broadcast(bits)
-        return (texts.filter("doc_id is not null").mapInArrow(_wanted_sets(rule, levels, found), "cls long, tokens binary"))
+        return (texts.filter("doc_id is not null").mapInArrow(C.frugal(_wanted_sets(rule, levels, found)), "cls long, tokens binary"))
 
     # first round: leaders with their followers; a popular leader stands in each block of its followers
     blocks = led.groupBy("leader").agg(F.ceil(F.count("*") / LEADER_BLOCK).cast("int").alias("blocks"))
@@ -402,7 +402,7 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     links = C.settle(seats.join(sets_of(seats), "cls")
                      .select("leader", "block", "cls", F.col("cls").alias("component"), "tokens")
                      .repartition("leader", "block").sortWithinPartitions("leader", "block")
-                     .mapInArrow(_joined(rule), "a long, b long"))
+                     .mapInArrow(C.frugal(_joined(rule)), "a long, b long"))
     known = C.settle(C.components(links)).withColumnRenamed("node", "cls")
 
     # second round: runs that still span components
@@ -411,12 +411,12 @@ def near_equal(docs: DataFrame, rule: Join | None = None) -> DataFrame:
     rest = C.settle(C.block_pairs(placed.join(split, "key", "left_semi"), "key", "cls", RUN_BLOCK).join(described, "cls")
                     .select("key", "lo", "hi", "cls", "block", "n", "bits", "component")
                     .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                    .mapInArrow(_open(rule), "cell long, cls long").distinct())
+                    .mapInArrow(C.frugal(_open(rule)), "cell long, cls long").distinct())
     if not rest.isEmpty():
         again = (rest.join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls")).join(sets_of(rest), "cls")
                  .select("cell", F.lit(0).alias("part"), "cls", "component", "tokens")
                  .repartition("cell").sortWithinPartitions("cell"))
-        links = links.union(again.mapInArrow(_joined(rule), "a long, b long"))
+        links = links.union(again.mapInArrow(C.frugal(_joined(rule)), "a long, b long"))
     found = C.settle(C.components(links).withColumnRenamed("node", "cls"))
 
     named = info.join(found, "cls", "left").withColumn("component", F.coalesce("component", "cls"))

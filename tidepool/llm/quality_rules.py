@@ -78,7 +78,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.xxhash64(F.col("text").cast("string")).alias("mark"),
                         F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
-    counted = named.mapInArrow(S.add_statistics, "doc_id long, mark long, lang string, source string, " + S.SCHEMA)
+    counted = named.mapInArrow(C.frugal(S.add_statistics), "doc_id long, mark long, lang string, source string, " + S.SCHEMA)
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     return counted.withColumns({
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")),

@@ -236,8 +236,8 @@ def spans(docs: DataFrame, info: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = C.doc_texts(docs).filter("doc_id is not null")
     width = max(8, C.shuffle_width(spark))
-    keys = C.settle(texts.select("text").mapInArrow(_anchors(width), "bucket int, pairs binary")
-                    .repartition(width, "bucket").mapInArrow(_shared_keys, "key long, cls long"))
+    keys = C.settle(texts.select("text").mapInArrow(C.frugal(_anchors(width)), "bucket int, pairs binary")
+                    .repartition(width, "bucket").mapInArrow(C.frugal(_shared_keys), "key long, cls long"))
     n = keys.count()
     limit = max(HOT, n // HOT_ANCHORS)
     many = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > limit).collect()       # at most HOT_ANCHORS rows
@@ -246,16 +246,16 @@ def spans(docs: DataFrame, info: DataFrame) -> DataFrame:
     wanted = spark.sparkContext.broadcast(C.bitmap(keys, "key"))
     first = info.filter("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"))
     row = "shard int, kind int, cls long, first long, start long, words binary"
-    both = keys.join(first, "cls").mapInArrow(_names(deal), row).unionByName(texts.select("text").mapInArrow(_stretches(deal, wanted), row))
+    both = keys.join(first, "cls").mapInArrow(C.frugal(_names(deal)), row).unionByName(texts.select("text").mapInArrow(C.frugal(_stretches(deal, wanted)), row))
     return (both.repartition(max(1, min(shards, 4 * width)), "shard").sortWithinPartitions("shard", "kind")
-            .mapInArrow(_searched, "cls long, from long, to long"))
+            .mapInArrow(C.frugal(_searched), "cls long, from long, to long"))
 
 
 def remove(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept words (``kept``)."""
     texts = C.doc_texts(docs).withColumn("mark", F.xxhash64("text"))
-    info = C.settle(texts.select("doc_id", "mark", "text").mapInArrow(
-        _described, "doc_id long, mark long, cls long, n_words long, whole string"))
+    info = C.settle(texts.select("doc_id", "mark", "text").mapInArrow(C.frugal(
+        _described), "doc_id long, mark long, cls long, n_words long, whole string"))
     found = C.settle(spans(docs, info))
     first = info.filter("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"))
     known = C.settle(info.join(first, "cls", "left").withColumn(
@@ -264,8 +264,8 @@ def remove(docs: DataFrame, with_text: bool = False) -> DataFrame:
     lists = found.groupBy("cls").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
     cut = C.settle(known.filter("not copy and doc_id is not null").select("doc_id", "mark", "cls").distinct().join(lists, "cls").drop("cls"))
     wanted = docs.sparkSession.sparkContext.broadcast(C.bitmap(cut, "doc_id"))
-    changed = (texts.filter("doc_id is not null").select("doc_id", "mark", "text").mapInArrow(_some(wanted), "doc_id long, mark long, text string")
-               .join(cut, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).mapInArrow(_cut, "doc_id long, mark long, n_removed long, kept string"))
+    changed = (texts.filter("doc_id is not null").select("doc_id", "mark", "text").mapInArrow(C.frugal(_some(wanted)), "doc_id long, mark long, text string")
+               .join(cut, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).mapInArrow(C.frugal(_cut), "doc_id long, mark long, n_removed long, kept string"))
     fixed = changed.withColumn("sha", F.sha2(F.col("kept").cast("binary"), 256)).select(
         F.col("doc_id").alias("d"), F.col("mark").alias("m"), F.col("n_removed").alias("r"), "sha", *(["kept"] if with_text else []))
     out = known.join(fixed, (F.col("doc_id") == F.col("d")) & (F.col("mark") == F.col("m")), "left").select(

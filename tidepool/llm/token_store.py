@@ -183,6 +183,7 @@ def _write(path: str, folder: str):
                     size += len(x) + 1
         if keys:
             flush()
+        enc.clear()
         cols = list(zip(*made, strict=True)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
                                           pa.array(cols[3], pa.int64())], names=["part", "shard", "n_docs", "n_ids"])
@@ -198,7 +199,7 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
     mark = F.xxhash64("text")
     width = max(8, C.shuffle_width(docs.sparkSession))
     return C.settle(rows.repartitionByRange(width, "doc_id").sortWithinPartitions("doc_id", mark)
-                    .mapInArrow(_write(path, folder), "part int, shard int, n_docs long, n_ids long"))
+                    .mapInArrow(C.frugal(_write(path, folder)), "part int, shard int, n_docs long, n_ids long"))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +230,7 @@ def digest(spark, folder: str, shards: DataFrame) -> DataFrame:
     before = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("p"))
     inner = F.sum("n_ids").over(W.partitionBy("part").orderBy("shard")) - F.col("n_ids")
     base = shards.withColumn("q", inner).join(before, "part").select("part", "shard", (F.col("p") + F.col("q")).alias("base"))
-    rows = files(spark, folder).mapInArrow(_read, "part int, shard int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    rows = files(spark, folder).mapInArrow(C.frugal(_read), "part int, shard int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     return rows.join(base, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
@@ -248,4 +249,4 @@ def lookup(spark, folder: str, keys: list[int]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
                                                   pa.array([f[1] for f in found], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return files(spark, folder).mapInArrow(fetch, "doc_id long, ids array<long>")
+    return files(spark, folder).mapInArrow(C.frugal(fetch), "doc_id long, ids array<long>")

@@ -145,7 +145,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def encoder(path: str, spaced: bool, cache_units: int = CACHE_UNITS) -> Encoder:
-    """One encoder a Python worker; its cache serves the tasks that follow (about 200 bytes a unit)."""
+    """One encoder a Python worker. A task clears it when it ends (a cached unit takes about 200 bytes), so idle workers hold none."""
     if (path, spaced) not in _encoders:
         _encoders[path, spaced] = Encoder(path, spaced, cache_units)
     return _encoders[path, spaced]
