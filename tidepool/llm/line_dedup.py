@@ -227,10 +227,10 @@ def line_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = C.doc_texts(docs)
     width = max(8, C.shuffle_width(spark))
-    keys = C.settle(texts.select("text").mapInArrow(C.frugal(_packed(width)), "bucket int, pairs binary")
-                    .repartition(width, "bucket").mapInArrow(C.frugal(_shared_keys), "key long, line long, least long"))
+    keys = C.settle(texts.select("text").mapInArrow(_packed(width), "bucket int, pairs binary")
+                    .repartition(width, "bucket").mapInArrow(_shared_keys, "key long, line long, least long"))
     wanted = spark.sparkContext.broadcast(C.bitmap(keys, "line"))
-    described = C.settle(texts.select("text").mapInArrow(C.frugal(_wanted_texts(wanted)), "line long, content string, size int, " + ", ".join(f"{m} long" for m in MAPS))
+    described = C.settle(texts.select("text").mapInArrow(_wanted_texts(wanted), "line long, content string, size int, " + ", ".join(f"{m} long" for m in MAPS))
                          .groupBy("line").agg(F.min("content").alias("content"), *[F.first(c).alias(c) for c in ("size", *MAPS)]))
     content, facts = described.select("line", "content"), described.drop("content")
     pairs = keys.filter("line <> least").select("line", "least").distinct()
@@ -242,7 +242,7 @@ def line_components(docs: DataFrame) -> DataFrame:
              .filter((9 * differ <= both) & (9 * F.abs(F.col("size") - F.col("least_size")) <= both)).select("line", "least"))
     least = content.select(F.col("line").alias("least"), F.col("content").alias("least_content"))
     links = C.settle(pairs.join(content, "line").join(least, "least").select("line", "least", "content", "least_content")
-                     .mapInArrow(C.frugal(_verified), "line long, least long"))
+                     .mapInArrow(_verified, "line long, least long"))
     known = C.settle(C.components(links, "line", "least"))
     placed = keys.select("key", "line").join(known.withColumnRenamed("node", "line"), "line", "left").select(
         "key", "line", F.coalesce("component", "line").alias("component"))
@@ -251,14 +251,14 @@ def line_components(docs: DataFrame) -> DataFrame:
     more = (C.block_pairs(rest, "key", "line", RUN_BLOCK).join(content, "line")
             .select("key", "lo", "hi", "line", "block", "component", "content")
             .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "line")
-            .mapInArrow(C.frugal(_compared), "line long, least long"))
+            .mapInArrow(_compared, "line long, least long"))
     return C.components(links.union(more), "line", "least")
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, removed): the numbers (from 0) of each document's lines that go."""
     rows = C.doc_texts(docs).select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    lines = C.settle(rows.mapInArrow(C.frugal(_occurrences), "doc_id long, mark long, number int, line long"))
+    lines = C.settle(rows.mapInArrow(_occurrences, "doc_id long, mark long, number int, line long"))
     place = F.struct("doc_id", "mark", "number")
     classes = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     linked = C.settle(line_components(docs))
