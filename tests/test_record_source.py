@@ -74,3 +74,29 @@ def test_bronze_stream_on_stored_records(spark, tmp_path):
     assert bronze.count() == n == bronze.select("kafka_partition", "kafka_offset").distinct().count()
     sizes = [r["count"] for r in bronze.groupBy("batch_id").count().collect()]
     assert max(sizes) <= 400 and len(sizes) == -(-n // 400)
+
+
+def test_a_trigger_opens_few_rows_of_a_stored_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK_BYTES", 1 << 12)
+    src = str(tmp_path / "src")
+    rows = [(o % 3, o) for o in range(12_000)] + [(o % 3, 10 ** 9 + o) for o in range(0, 12_000, 20)]       # far re-deliveries
+    R.store(spark.createDataFrame([(f"k{o}", f"v{p}-{o}" * 5, "t", p, o, T0) for p, o in rows], R.SCHEMA).repartition(5), src)
+    reader, start, opened, keys, got = R.StoredRecordsReader(src, 600), {}, 0, 0, []
+    offsets = R.StoredRecordsReader._offsets
+
+    def counted(self, name, groups, begin):
+        nonlocal keys
+        keys += sum(g.rows for g in groups)
+        return offsets(self, name, groups, begin)
+    monkeypatch.setattr(R.StoredRecordsReader, "_offsets", counted)
+    while (end := reader.latestOffset()) != start:
+        parts = [p for s in reader.partitions(start, end) for p in s.parts]
+        size = {(g.file, g.number): g.rows for groups in reader.groups.values() for g in groups}
+        opened += sum(size[p.file, p.number] for p in parts)
+        batch = [r for s in reader.partitions(start, end) for b in reader.read(s) for r in zip(b["partition"].to_pylist(), b["offset"].to_pylist(), strict=True)]
+        assert 0 < len(batch) <= 600
+        got += batch
+        start = end
+    assert sorted(got) == sorted(rows)
+    # 21 triggers; with files in any other order each would open every row
+    assert opened < 4 * len(rows) and keys < 4 * len(rows), (opened, keys)

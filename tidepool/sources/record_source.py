@@ -7,14 +7,20 @@ goes on where its checkpoint stands, whatever files have been added meanwhile.
 
 The driver looks at file footers alone: each row group of one topic partition counts by its statistics. Only where a
 trigger's limit falls inside a row group (or inside row groups whose offsets overlap) are their offsets read. Row
-groups that mix partitions have their three key columns read once. Rows themselves are read by the tasks, a row group
-each. Offsets may have gaps; within a topic partition each stands once.
+groups that mix partitions have their three key columns read once. Rows themselves are read by the tasks, each some
+whole row groups. Offsets may have gaps; within a topic partition each stands once.
+
+A trigger reads the row groups its offsets lie in, so its cost does not grow with the records stored when the files
+are in the order of the log and their row groups small: ``store`` writes them so. Any other layout gives the same
+records, at the cost of reading a row group once for each trigger that takes a part of it.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -22,6 +28,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 SCHEMA = "key string, value string, topic string, partition int, offset long, timestamp timestamp_ntz"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 LIMIT = 500
+BLOCK_BYTES = 1 << 20      # a row group of ``store``
+TASK_ROWS = 16_000         # a task opens row groups up to about so many rows
 
 
 @dataclass(frozen=True)
@@ -35,8 +43,10 @@ class Group:
     rows: int
 
 
-@dataclass
-class Slice(InputPartition):
+@dataclass(frozen=True)
+class Part:
+    """Some offsets of one topic partition in one row group."""
+
     file: str
     number: int
     topic: str
@@ -45,6 +55,11 @@ class Slice(InputPartition):
     end: int
 
 
+@dataclass
+class Slice(InputPartition):
+    parts: list[Part]
+
+
 def _open(path: str):
     import pyarrow.fs
     return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
@@ -60,10 +75,11 @@ class StoredRecordsReader(DataSourceStreamReader):
         self.position: dict[str, int] = {}
         self.seen: set[str] = set()
         self.groups: dict[str, list[Group]] = {}       # by topic partition, rising
+        self.lasts: dict[str, list[int]] = {}          # the greatest offset so far, beside each group
 
     def __getstate__(self) -> dict:
         # tasks need the place only, not the driver's index
-        return {"path": self.path, "limit": self.limit, "position": {}, "seen": set(), "groups": {}}
+        return {"path": self.path, "limit": self.limit, "position": {}, "seen": set(), "groups": {}, "lasts": {}}
 
     # -------------------------------------------------------------- index (driver)
 
@@ -72,6 +88,7 @@ class StoredRecordsReader(DataSourceStreamReader):
         import pyarrow.fs
         import pyarrow.parquet as pq
         store, base = _open(self.path)
+        grown = set()
         for info in store.get_file_info(pyarrow.fs.FileSelector(base, recursive=True, allow_not_found=True)):
             inner = info.path[len(base):].strip("/").split("/")
             if info.path in self.seen or not info.is_file or not info.path.endswith(".parquet") or any(p[0] in "._" for p in inner):
@@ -90,8 +107,14 @@ class StoredRecordsReader(DataSourceStreamReader):
                 for topic, partition, first, last, rows in parts:
                     if rows:
                         self.groups.setdefault(_name(topic, partition), []).append(Group(info.path, n, first, last, rows))
-        for groups in self.groups.values():
-            groups.sort(key=lambda g: (g.first, g.last))
+                        grown.add(_name(topic, partition))
+        for name in grown:
+            self.groups[name].sort(key=lambda g: (g.first, g.last))
+            self.lasts[name] = list(accumulate((g.last for g in self.groups[name]), max))
+
+    def _first(self, name: str, start: int) -> int:
+        """Number of the first group that may hold ``start`` or a later offset."""
+        return bisect_left(self.lasts[name], start)
 
     def _offsets(self, name: str, groups: list[Group], start: int) -> list[int]:
         """Offsets from ``start`` on in some row groups, rising."""
@@ -108,15 +131,15 @@ class StoredRecordsReader(DataSourceStreamReader):
 
     def _advance(self, name: str, start: int, budget: int) -> tuple[int, int]:
         """(next offset after at most ``budget`` records from ``start`` on, records taken)."""
-        left = [g for g in self.groups[name] if g.last >= start]
-        end, taken, i = start, 0, 0
-        while i < len(left) and taken < budget:
+        groups = self.groups[name]
+        end, taken, i = start, 0, self._first(name, start)
+        while i < len(groups) and taken < budget:
             # row groups whose offsets overlap are one stretch
-            j, last = i + 1, left[i].last
-            while j < len(left) and left[j].first <= last:
-                last = max(last, left[j].last)
+            j, last = i + 1, groups[i].last
+            while j < len(groups) and groups[j].first <= last:
+                last = max(last, groups[j].last)
                 j += 1
-            stretch = left[i:j]
+            stretch = [g for g in groups[i:j] if g.last >= start]
             whole = stretch[0].first >= start
             rows = sum(g.rows for g in stretch)
             if whole and taken + rows <= budget:
@@ -133,7 +156,7 @@ class StoredRecordsReader(DataSourceStreamReader):
         end, budget = dict(self.position), self.limit
         while budget:
             # an equal share for each partition; what one does not need goes to the others
-            waiting = [n for n, g in sorted(self.groups.items()) if max(x.last for x in g) >= end.get(n, 0)]
+            waiting = [n for n, lasts in sorted(self.lasts.items()) if lasts[-1] >= end.get(n, 0)]
             if not waiting:
                 break
             for k, name in enumerate(waiting):
@@ -148,12 +171,22 @@ class StoredRecordsReader(DataSourceStreamReader):
         # also called with start == end when a query goes on from its checkpoint
         self.position = dict(end)
         self._look()
-        out = []
+        out, rows = [], 0
         for name, stop in end.items():
             begin = start.get(name, 0)
             topic, partition = name.rsplit("/", 1)
-            if begin < stop:
-                out += [Slice(g.file, g.number, topic, int(partition), begin, stop) for g in self.groups.get(name, []) if g.last >= begin and g.first < stop]
+            if begin >= stop or name not in self.groups:
+                continue
+            for g in self.groups[name][self._first(name, begin):]:
+                if g.first >= stop:
+                    break
+                if g.last < begin:
+                    continue
+                if not out or rows + g.rows > TASK_ROWS:
+                    out.append(Slice([]))
+                    rows = 0
+                out[-1].parts.append(Part(g.file, g.number, topic, int(partition), begin, stop))
+                rows += g.rows
         return out
 
     # -------------------------------------------------------------- rows (tasks)
@@ -163,12 +196,16 @@ class StoredRecordsReader(DataSourceStreamReader):
         import pyarrow.compute as pc
         import pyarrow.parquet as pq
         store, _ = _open(self.path)
-        rows = pq.ParquetFile(store.open_input_file(partition.file)).read_row_group(partition.number, columns=COLUMNS)
-        mine = pc.and_(pc.equal(rows["topic"], partition.topic), pc.equal(rows["partition"], partition.partition))
-        inside = pc.and_(pc.greater_equal(rows["offset"], partition.start), pc.less(rows["offset"], partition.end))
         kinds = pa.schema([("key", pa.string()), ("value", pa.string()), ("topic", pa.string()), ("partition", pa.int32()), ("offset", pa.int64()),
                            ("timestamp", pa.timestamp("us"))])
-        yield from rows.filter(pc.and_(mine, inside)).select(COLUMNS).cast(kinds).combine_chunks().to_batches()
+        name, file = None, None
+        for part in partition.parts:
+            if part.file != name:
+                name, file = part.file, pq.ParquetFile(store.open_input_file(part.file))
+            rows = file.read_row_group(part.number, columns=COLUMNS)
+            mine = pc.and_(pc.equal(rows["topic"], part.topic), pc.equal(rows["partition"], part.partition))
+            inside = pc.and_(pc.greater_equal(rows["offset"], part.start), pc.less(rows["offset"], part.end))
+            yield from rows.filter(pc.and_(mine, inside)).select(COLUMNS).cast(kinds).combine_chunks().to_batches()
 
 
 class StoredRecords(DataSource):
@@ -192,3 +229,9 @@ def stored_record_stream(spark: SparkSession, path: str, max_records_per_trigger
     """Streaming records of the Parquet files below ``path``, at most so many a trigger."""
     spark.dataSource.register(StoredRecords)
     return spark.readStream.format(StoredRecords.name()).option("path", path).option("maxRecordsPerTrigger", max_records_per_trigger).load()
+
+
+def store(records: DataFrame, path: str) -> None:
+    """Write records as a log: ordered by topic, partition and offset, in row groups that a trigger may read a few of."""
+    log = ["topic", "partition", "offset"]
+    records.repartitionByRange(*log).sortWithinPartitions(*log).write.option("parquet.block.size", BLOCK_BYTES).parquet(path)
