@@ -2,7 +2,9 @@
 
 import datetime as dt
 import decimal
+import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidepool.operators import marts, refine
@@ -70,3 +72,77 @@ def test_a_retried_trigger_changes_nothing(spark, tmp_path):
     first = _bag(K.exact_kpis(spark, out))
     _run(K.exact_kpi_stream(spark, src, out, late, ck, ONCE))
     assert _bag(K.exact_kpis(spark, out)) == first
+
+
+class _Calls:
+    """Stands for a state variable: its content, and how often it was called."""
+
+    def __init__(self, calls):
+        self.calls, self.held, self.value = calls, {}, None
+
+    def containsKey(self, key):
+        self.calls.append("containsKey")
+        return key in self.held
+
+    def getValue(self, key):
+        self.calls.append("getValue")
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.calls.append("updateValue")
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.calls.append("removeKey")
+        self.held.pop(key, None)
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class _Handle:
+    def __init__(self, calls):
+        self.calls = calls
+
+    def getMapState(self, *_):
+        return _Calls(self.calls)
+
+    getValueState = getMapState
+
+    def registerTimer(self, _):
+        pass
+
+
+class _Mark:
+    def getCurrentWatermarkInMs(self):
+        return -1
+
+
+def test_few_state_calls_and_the_same_totals_however_many_events_are_held(monkeypatch):
+    rng = random.Random(5)
+    rows = [(f"e{rng.randrange(300)}", rng.choice(["u1", "u2", "u3", "u4", None]), decimal.Decimal(rng.randrange(9)), pd.Timestamp(T0) + pd.Timedelta(rng.randrange(50), "min"), o)
+            for o in range(2_000)]
+    last = {}
+    for r in rows:
+        if r[0] not in last or last[r[0]][3:] < r[3:]:
+            last[r[0]] = r
+    want = (len(last), len({r[1] for r in last.values()} - {None}), sum(r[2] for r in last.values()))
+    key = (T0, T0 + dt.timedelta(days=1), "purchase", 0)
+    for held in (100_000, 50, 1):
+        monkeypatch.setattr(K, "HELD", held)
+        calls, users = [], K.WindowUsers()
+        users.init(_Handle(calls))
+        for lo, hi in ((0, 1_500), (1_500, 2_000)):          # two triggers
+            table = pd.DataFrame(rows[lo:hi], columns=["event_id", "user_id", "amount", "kafka_timestamp", "kafka_offset"])
+            got = [r for part in users.handleInputRows(key, iter([table[:700], table[700:]]), _Mark()) for r in part.itertuples()]
+            if held == 100_000 and not lo:
+                # one write an event and one a user, no read of a key that has nothing stored
+                assert len(calls) <= len({r[0] for r in rows[:hi]}) + 4 and set(calls) == {"updateValue"}
+        assert (got[0].event_count, got[0].active_users, got[0].window_revenue) == want == users.totals.get()
+        assert {k[0]: (v[0], v[3]) for k, v in users.events.held.items()} == {i: (r[1], r[4]) for i, r in last.items()}
