@@ -10,9 +10,10 @@ Method: one hash of each shingle fills a one-permutation MinHash signature (empt
 neighbour); ``BANDS`` bands of ``ROWS`` values give keys, on which two lines of similarity ``SIMILARITY`` meet
 with probability 1 - (1 - 0.8**5)**14 = 0.996, and at 0.9 of 0.99999. Keys travel as packed arrays, after
 dropping repeats inside a task. In each run of classes with one key, every class is first verified against the
-run's least class (exact Jaccard on whole lines). Runs that still span several components after a distributed
-union-find are then compared in full inside tasks, large runs in blocks, skipping members that are already
-connected: no pair that shares a key is left unverified unless it is already in one component.
+run's least class (exact Jaccard on whole lines), which settles all pairs with that class. Runs whose other classes
+still span several components after a distributed union-find are then compared in full inside tasks, large runs in
+blocks, skipping members that are already connected and pairs that sizes and parity maps rule out: no pair that
+shares a key is left unverified unless it is already in one component or cannot be alike.
 
 Defined cases: a null text has no lines and stays null; rows with the same doc_id and text get the same
 decision (they are one document); equal lines inside one document are copies as well. A document that loses its last
@@ -21,11 +22,13 @@ line gets the empty text. An empty table gives no rows. Other columns are carrie
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +42,7 @@ BINS = ROWS * BANDS
 BLANK = b" \t\n\r\x0b\x0c"
 FLUSH = 1 << 18            # band keys a task packs at once
 REMEMBER = 200_000         # line hashes a task remembers to skip repeats (a speed matter only)
+AT_ONCE = 1 << 17          # text whose shingles are hashed at once; small, as it stays in the processor's cache
 RUN_BLOCK = 512            # rows of a run compared in one block
 PAIR = np.dtype([("key", "<u8"), ("line", "<u8")])
 
@@ -54,19 +58,42 @@ def trimmed_lines(text: bytes) -> list[tuple[int, bytes, int]]:
     return out
 
 
+def spans(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of consecutive items that start within one ``limit`` of the running size."""
+    cut = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // limit)) + 1
+    edge = [0, *cut.tolist(), len(sizes)]
+    return (x for x in itertools.pairwise(edge) if x[0] < x[1])
+
+
+def windows(lines: list[bytes]) -> list[np.ndarray]:
+    """Hashes of each line's shingles in turn, repeats included; many lines are hashed at once."""
+    out = []
+    for lo, hi in spans(np.fromiter(map(len, lines), np.int64, len(lines)), AT_ONCE):
+        points = np.frombuffer(b"\n".join(lines[lo:hi]).decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+        end = np.append(np.flatnonzero(points == 10), len(points))
+        start = np.concatenate([[0], end[:-1] + 1])
+        grams = C.Rolling(points).windows(SHINGLE)
+        out += [grams[a:b] for a, b in zip(start.tolist(), (end - SHINGLE + 1).tolist(), strict=True)]  # none spans a line feed
+    return out
+
+
+def ordered(parts: list[np.ndarray], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts as one array, sorted between ``bounds``, and which values differ from those before them there."""
+    h = np.concatenate(parts)
+    for lo, hi in itertools.pairwise(bounds.tolist()):
+        h[lo:hi].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    new[bounds[:-1]] = True
+    return h, new
+
+
 def band_keys(lines: list[bytes]) -> np.ndarray:
     """Lines x BANDS keys of the MinHash signatures."""
-    points = np.frombuffer(b"\n".join(lines).decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-    end = np.append(np.flatnonzero(points == 10), len(points))
-    start = np.concatenate([[0], end[:-1] + 1])
-    grams = C.Rolling(points).windows(SHINGLE)
-    inside = np.ones(len(grams), bool)
-    for i in range(SHINGLE):                           # no shingle spans a line feed
-        cross = end[:-1] - i
-        inside[cross[(cross >= 0) & (cross < len(grams))]] = False
-    h = grams[inside]
-    where = ((h >> np.uint64(40)).astype(np.uint32) * np.uint64(BINS) >> np.uint64(24)).astype(np.int64)
-    where += np.repeat(np.arange(len(lines)) * BINS, end - start - SHINGLE + 1)
+    parts = windows(lines)
+    h = np.concatenate(parts)
+    where = ((h >> np.uint64(40)) * np.uint64(BINS) >> np.uint64(24)).view(np.int64)
+    where += np.repeat(np.arange(len(lines)) * BINS, [len(x) for x in parts])
     empty = np.uint32(0xFFFFFFFF)
     sig = np.full(len(lines) * BINS, empty, np.uint32)
     np.minimum.at(sig, where, h.astype(np.uint32) >> np.uint32(1))
@@ -89,17 +116,10 @@ def parities(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     Two lines' maps differ in at most as many cells as the lines differ in shingles, so unlike lines are told
     from their maps without their texts.
     """
-    points = np.frombuffer(b"\n".join(lines).decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-    end = np.append(np.flatnonzero(points == 10), len(points))
-    start = np.concatenate([[0], end[:-1] + 1])
-    grams = C.Rolling(points).windows(SHINGLE)
-    at = np.concatenate([np.arange(a, b) for a, b in zip(start, end - SHINGLE + 1, strict=True)])
-    owner = np.repeat(np.arange(len(lines)), end - start - SHINGLE + 1)
-    order = np.lexsort([grams[at], owner])
-    h, owner = grams[at][order], owner[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    h, owner = h[new], owner[new]
+    parts = windows(lines)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    h, new = ordered(parts, np.concatenate([[0], np.cumsum(sizes)]))
+    h, owner = h[new], np.repeat(np.arange(len(lines)), sizes)[new]
     odd = np.bincount(owner * PARITY + (h >> np.uint64(56)).astype(np.int64), minlength=len(lines) * PARITY) & 1
     return np.bincount(owner, minlength=len(lines)), np.packbits(odd.astype(bool).reshape(len(lines), PARITY), axis=1, bitorder="little").view("<u8")
 
@@ -112,7 +132,9 @@ def shingles(text: str) -> np.ndarray:
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    h = np.concatenate([a, b])
+    h.sort(kind="stable")                              # merges the two sorted sets
+    both = np.count_nonzero(h[1:] == h[:-1])
     return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
@@ -186,22 +208,42 @@ def _wanted_texts(wanted):
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = (None, None)
+    """The pairs whose lines are alike: one sort of both lines' shingles gives the size of their union."""
     for b in batches:
-        keep = []
-        for i, (least, x, y) in enumerate(zip(b.column("least").to_pylist(), b.column("content").to_pylist(),
-                                              b.column("least_content").to_pylist(), strict=True)):
-            if known[0] != least:
-                known = (least, shingles(y))
-            if alike(shingles(x), known[1]):
-                keep.append(i)
-        yield b.take(pa.array(keep, pa.int64())).select(["line", "least"])
+        alike_here = [np.zeros(0, bool)]
+        texts, others = b.column("content").cast(pa.binary()), b.column("least_content").cast(pa.binary())
+        both = (b.column("size").to_numpy().astype(np.int64) + b.column("least_size").to_numpy())
+        least = b.column("least").to_numpy()
+        for lo, hi in spans(pc.add(pc.binary_length(texts), pc.binary_length(others)).to_numpy().astype(np.int64), C.CHUNK_BYTES):
+            run = C.run_of(least[lo:hi])               # neighbours with the same other line hash it once
+            first = np.searchsorted(run, np.arange(run[-1] + 1)) + lo
+            mine, its = windows(texts.slice(lo, hi - lo).to_pylist()), windows(others.take(pa.array(first)).to_pylist())
+            sizes = np.fromiter((len(x) + len(its[r]) for x, r in zip(mine, run, strict=True)), np.int64, hi - lo)
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            _, new = ordered([y for x, r in zip(mine, run, strict=True) for y in (x, its[r])], bounds)
+            union = np.add.reduceat(new, bounds[:-1], dtype=np.int64)
+            alike_here.append(5 * (both[lo:hi] - union) >= 4 * union)
+        yield b.filter(pa.array(np.concatenate(alike_here))).select(["line", "least"])
+
+
+def _undecided(component: np.ndarray, size: np.ndarray, maps: np.ndarray, block: np.ndarray | None) -> list[tuple[int, int]]:
+    """Pairs of a cell's rows in different components (and blocks) whose sizes and maps allow them to be alike."""
+    i, j = np.tril_indices(len(component), -1)
+    apart = component[i] != component[j]
+    if block is not None:
+        apart &= block[i] != block[j]
+    i, j = i[apart], j[apart]
+    both = size[i] + size[j]
+    near = 9 * np.abs(size[i] - size[j]) <= both
+    i, j, both = i[near], j[near], both[near]
+    near = 9 * np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64) <= both
+    return list(zip(i[near].tolist(), j[near].tolist(), strict=True))
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each cell (key, lo, hi) between members of different components, all pairs that need it."""
     for (_, lo, hi), rows in C.groups(batches, 3):
-        lines, block, component, content = zip(*(r[3:] for r in rows), strict=True)
+        lines, block, component, content, size, *maps = zip(*(r[3:] for r in rows), strict=True)
         parent = {c: c for c in component}
 
         def find(c: int) -> int:
@@ -209,13 +251,14 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 c = parent[c]
             return c
 
-        sets = [shingles(t) for t in content]
+        pairs = _undecided(np.array(component), np.array(size), np.array(maps).view(np.uint64).T, None if lo == hi else np.array(block))
+        some = sorted({k for pair in pairs for k in pair})
+        sets = dict(zip(some, map(C.distinct, windows([content[k].encode() for k in some])), strict=True))
         links = []
-        for i in range(len(lines)):
-            for j in range(i):
-                if (lo == hi or block[i] != block[j]) and (a := find(component[i])) != (b := find(component[j])) and alike(sets[i], sets[j]):
-                    parent[a] = b
-                    links.append((lines[i], lines[j]))
+        for i, j in pairs:
+            if (a := find(component[i])) != (b := find(component[j])) and alike(sets[i], sets[j]):
+                parent[a] = b
+                links.append((lines[i], lines[j]))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
                                          names=["line", "least"])
 
@@ -239,17 +282,17 @@ def line_components(docs: DataFrame) -> DataFrame:
     differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"least_{m}"))) for m in MAPS), F.lit(0))
     both = F.col("size") + F.col("least_size")
     pairs = (pairs.join(facts, "line").join(other, "least")
-             .filter((9 * differ <= both) & (9 * F.abs(F.col("size") - F.col("least_size")) <= both)).select("line", "least"))
+             .filter((9 * differ <= both) & (9 * F.abs(F.col("size") - F.col("least_size")) <= both)).select("line", "least", "size", "least_size"))
     least = content.select(F.col("line").alias("least"), F.col("content").alias("least_content"))
-    links = C.settle(pairs.join(content, "line").join(least, "least").select("line", "least", "content", "least_content")
+    links = C.settle(pairs.join(content, "line").join(least, "least").select("line", "least", "size", "least_size", "content", "least_content")
                      .mapInArrow(_verified, "line long, least long"))
     known = C.settle(C.components(links, "line", "least"))
-    placed = keys.select("key", "line").join(known.withColumnRenamed("node", "line"), "line", "left").select(
+    placed = keys.filter("line <> least").select("key", "line").join(known.withColumnRenamed("node", "line"), "line", "left").select(
         "key", "line", F.coalesce("component", "line").alias("component"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
     rest = placed.join(open_keys, "key", "left_semi")
-    more = (C.block_pairs(rest, "key", "line", RUN_BLOCK).join(content, "line")
-            .select("key", "lo", "hi", "line", "block", "component", "content")
+    more = (C.block_pairs(rest, "key", "line", RUN_BLOCK).join(described, "line")
+            .select("key", "lo", "hi", "line", "block", "component", "content", "size", *MAPS)
             .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "line")
             .mapInArrow(_compared, "line long, least long"))
     return C.components(links.union(more), "line", "least")
@@ -262,7 +305,8 @@ def removals(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "mark", "number")
     classes = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     linked = C.settle(line_components(docs))
-    named = classes.join(linked.withColumnRenamed("node", "line"), "line", "left")
+    named = C.settle(classes.join(linked.withColumnRenamed("node", "line"), "line", "left")
+                     .filter("component is not null or not (first <=> last)"))
     alone = named.filter("component is null and not (first <=> last)").select("line", "first")
     grouped = named.filter("component is not null")
     firsts = grouped.groupBy("component").agg(F.min("first").alias("kept"))
