@@ -100,3 +100,54 @@ def test_a_trigger_opens_few_rows_of_a_stored_log(spark, tmp_path, monkeypatch):
     assert sorted(got) == sorted(rows)
     # 21 triggers; with files in any other order each would open every row
     assert opened < 4 * len(rows) and keys < 4 * len(rows), (opened, keys)
+
+
+def test_a_trigger_reads_the_offsets_of_a_row_group_once(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(R, "BLOCK_BYTES", 1 << 12)
+    src = str(tmp_path / "src")
+    rows = [(o % 3, 5 * o) for o in range(9_000)]
+    R.store(spark.createDataFrame([(f"k{o}", f"v{p}-{o}" * 5, "t", p, o, T0) for p, o in rows], R.SCHEMA), src)
+    reader, start, opened = R.StoredRecordsReader(src, 90), {}, []
+    reader._look()
+    groups = sum(map(len, reader.groups.values()))
+    read = pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda self, n, **k: opened.append(n) or read(self, n, **k))
+    triggers = 0
+    while (end := reader.latestOffset()) != start:
+        reader.partitions(start, end)
+        start, triggers = end, triggers + 1
+    assert triggers == 100
+    assert len(opened) <= groups < 3 * triggers, (len(opened), groups)
+
+
+def test_offsets_kept_are_bounded_and_change_nothing(spark, tmp_path, monkeypatch):
+    src = str(tmp_path / "src")
+    rows = [(o % 4, 3 * o) for o in range(2_000)]
+    _put(spark, src, rows, files=1)
+    _put(spark, src, [(p, o + 1) for p, o in rows], files=1)
+
+    def ends(kept):
+        monkeypatch.setattr(R, "KEPT_OFFSETS", kept)
+        reader, out = R.StoredRecordsReader(src, 130), []
+        while (end := reader.latestOffset()) != (out[-1] if out else {}):
+            reader.partitions(out[-1] if out else {}, end)
+            out.append(end)
+            assert reader.kept_offsets == sum(map(len, reader.kept.values())) <= kept
+        return out
+    assert ends(0) == ends(1_500) == ends(1 << 20)
+
+
+def test_a_file_written_anew_is_not_read_by_its_old_footer(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    src = tmp_path / "src"
+    src.mkdir()
+
+    def read(n):
+        kinds = {"key": pa.string(), "value": pa.string(), "topic": pa.string(), "partition": pa.int32(), "offset": pa.int64(), "timestamp": pa.timestamp("us")}
+        cols = {"key": ["k"] * n, "value": ["v" * n] * n, "topic": ["t"] * n, "partition": [0] * n, "offset": list(range(n)), "timestamp": [T0] * n}
+        pq.write_table(pa.table({c: pa.array(v, kinds[c]) for c, v in cols.items()}), src / "part-0.parquet")
+        reader = R.StoredRecordsReader(str(src), 1000)
+        return [o for s in reader.partitions({}, reader.latestOffset()) for b in reader.read(s) for o in b["offset"].to_pylist()]
+    assert read(20) == list(range(20)) and read(300) == list(range(300))
